@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,5 +22,15 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
-QUERIES = {"op1_best_fit_packing": op1_best_fit_packing}
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import encode_pieces
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_pieces(docs, tokenizer_file("piece_bpe_32k.model")).select("doc_id", F.size("pieces.ids").cast("long").alias("n_pieces"), "pieces.ids_crc32", "pieces.parity", "pieces.round_trip")
+
+
+QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_sentencepiece": op4_sentencepiece,
+}
 ORACLE_SQL: dict[str, str] = {}
