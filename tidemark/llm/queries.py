@@ -29,8 +29,25 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(docs, tokenizer_file("piece_bpe_32k.model")).select("doc_id", F.size("pieces.ids").cast("long").alias("n_pieces"), "pieces.ids_crc32", "pieces.parity", "pieces.round_trip")
 
 
+def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import find_secrets, train_field
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_secrets(docs, train_field(docs))
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def spelled(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "crf")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spelled(base), 256).alias("base_sha256"), spelled("secrets").alias("spans"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_sentencepiece": op4_sentencepiece,
+    "op7_crf_secrets": op7_crf_secrets,
 }
 ORACLE_SQL: dict[str, str] = {}
