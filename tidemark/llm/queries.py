@@ -45,9 +45,18 @@ def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spelled(base), 256).alias("base_sha256"), spelled("secrets").alias("spans"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit_judge, judged
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    judge = fit_judge(docs, _table(spark, sf_dir, "labels"))
+    return judged(docs, judge).select("doc_id", F.col("_low").alias("p_low"), F.col("_toxic").alias("p_toxic"), F.col("_kept").alias("kept"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_sentencepiece": op4_sentencepiece,
     "op7_crf_secrets": op7_crf_secrets,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {}
