@@ -141,7 +141,7 @@ class PieceCodec:
         self.broken: set[str] = set()  # chunks that decoding doesn't give back
         self.feed = self.reference.encode("\n") if self.cuts else []
         find = re.compile(r" +[^ \n]*|[^ \n]+|\n").findall if self.cuts else (lambda t: [t])
-        self.cache = ChunkCache(find, self._encode_many, 400_000 if self.cuts else 1)
+        self.cache = ChunkCache(find, self._encode_many, 800_000 if self.cuts else 1)
 
     def _ids(self, chunks: list[str]) -> list[list[int]]:
         if not self.cuts:
