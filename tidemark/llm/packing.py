@@ -25,34 +25,37 @@ _encoders: dict[str, ChunkCache] = {}
 def byte_level_encoder(path: str) -> ChunkCache:
     """Ids of texts under a byte-level BPE of the tokenizers library.
 
-    Such a tokenizer never joins text across the start of a white-space run, so chunks are cut there and each
-    distinct chunk is encoded once. Strings of special tokens are ordinary text.
+    Such a tokenizer never joins letters or numbers with other marks (an apostrophe before letters aside), nor
+    anything across the start of a white-space run. Chunks are cut there and each distinct one is encoded once;
+    those that start with a space are encoded many at a time, and the bytes of their tokens part them again.
+    Strings of special tokens are ordinary text.
     """
     if path not in _encoders:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        plain = re.compile(r" \S+")
-
-        def ids(e) -> bytes:
-            return np.array(e.ids, "<u4").tobytes()
+        vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+        n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            n_bytes[i] = len(token)  # a character stands for a byte
 
         def encode_many(chunks: list[str]) -> list[bytes]:
             out = dict.fromkeys(chunks, b"")
-            joined = [c for c in chunks if plain.fullmatch(c)]  # the tokenizer itself cuts before each of these
-            for a in range(0, len(joined), 4096):
-                part = joined[a : a + 4096]
-                starts = np.cumsum([0] + [len(c) for c in part])
-                e = tokenizer.encode("".join(part), add_special_tokens=False)
+            spaced = [c for c in chunks if c[0] == " " and not c.isspace()]
+            groups = [spaced[a : a + 2048] for a in range(0, len(spaced), 2048)]
+            for part, e in zip(groups, tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True):
                 flat = np.array(e.ids, "<u4")
-                first = np.searchsorted(np.array([s for s, _ in e.offsets]), starts)
-                out.update((c, flat[first[i] : first[i + 1]].tobytes()) for i, c in enumerate(part))
-            rest = [c for c in chunks if not plain.fullmatch(c)]
-            out.update(zip(rest, map(ids, tokenizer.encode_batch(rest, add_special_tokens=False)), strict=True))
+                starts = np.cumsum([0] + [len(c.encode()) for c in part])
+                first = np.searchsorted(np.concatenate([[0], np.cumsum(n_bytes[flat])]), starts).tolist()
+                raw = flat.tobytes()
+                out.update((c, raw[4 * first[i] : 4 * first[i + 1]]) for i, c in enumerate(part))
+            rest = [c for c in chunks if not out[c]]
+            out.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
             return [out[c] for c in chunks]
 
-        _encoders[path] = ChunkCache(re.compile(r" ?\S+|\s+(?!\S)|\s+").findall, encode_many)
+        find = re.compile(r" ?[^\W_]+| ?(?:[^\w\s]|_)+(?:(?<=')[^\W_]+)?|\s+(?!\S)|\s+").findall
+        _encoders[path] = ChunkCache(find, encode_many, 1_200_000)
     return _encoders[path]
 
 

@@ -29,6 +29,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(docs, tokenizer_file("piece_bpe_32k.model")).select("doc_id", F.size("pieces.ids").cast("long").alias("n_pieces"), "pieces.ids_crc32", "pieces.parity", "pieces.round_trip")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import Shingles, near_groups
+
+    return near_groups(_table(spark, sf_dir, "documents"), Shingles(4))
+
+
 def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import find_secrets, train_field
 
@@ -56,6 +62,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_minhash": op6_minhash,
     "op7_crf_secrets": op7_crf_secrets,
     "op9_quality_classifier": op9_quality_classifier,
 }
