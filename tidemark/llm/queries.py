@@ -29,6 +29,12 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(docs, tokenizer_file("piece_bpe_32k.model")).select("doc_id", F.size("pieces.ids").cast("long").alias("n_pieces"), "pieces.ids_crc32", "pieces.parity", "pieces.round_trip")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import repeats_report
+
+    return repeats_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash import Shingles, near_groups
 
@@ -62,6 +68,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_minhash": op6_minhash,
     "op7_crf_secrets": op7_crf_secrets,
     "op9_quality_classifier": op9_quality_classifier,
