@@ -65,6 +65,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(docs, judge).select("doc_id", F.col("_low").alias("p_low"), F.col("_toxic").alias("p_toxic"), F.col("_kept").alias("kept"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngrams import score
+
+    return score(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_sentencepiece": op4_sentencepiece,
@@ -72,5 +78,6 @@ QUERIES = {
     "op6_minhash": op6_minhash,
     "op7_crf_secrets": op7_crf_secrets,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLE_SQL: dict[str, str] = {}
