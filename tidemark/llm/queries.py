@@ -22,6 +22,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embeddings import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pieces import encode_pieces
 
@@ -73,6 +79,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_minhash": op6_minhash,
