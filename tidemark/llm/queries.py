@@ -63,6 +63,15 @@ def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spelled(base), 256).alias("base_sha256"), spelled("secrets").alias("spans"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import shared_path
+    from .warc import read_archives, write_archives
+
+    folder = shared_path(spark, "warc")
+    files = write_archives(_table(spark, sf_dir, "pages"), folder)
+    return read_archives(files, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import fit_judge, judged
 
@@ -84,6 +93,7 @@ QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_minhash": op6_minhash,
     "op7_crf_secrets": op7_crf_secrets,
+    "op8_warc": op8_warc,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
 }
