@@ -22,6 +22,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rules import rule_verdicts
+
+    return rule_verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embeddings import near_vectors
 
@@ -88,6 +94,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_rules": op2_quality_rules,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_suffix_dedup": op5_suffix_dedup,
