@@ -16,50 +16,39 @@ SYMBOLS = "#*$%&|<>"
 RISK, CONFIDENCE = 0.01, 0.95
 
 
-def text_measures(text: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of a text (null: of an empty one).
-
-    Repeats are told by 64-bit hashes of three-word windows within a text, sorted with their places; a word
-    counts once however many repeated windows hold it.
-    """
-    text = F.coalesce(text, F.lit(""))
-    blank = F.translate(text, SPACES, " " * len(SPACES))
-    words = F.filter(F.split(blank, " "), lambda w: w != "")
-    bare = F.translate(text, SPACES, "")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    return {
-        "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(bare).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "_words": words,
-    }
-
-
 def with_measures(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
-    """docs with prefix + n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    m = text_measures(F.col(text_col))
-    hidden = "_tidemark_words"
-    out = docs.withColumns({prefix + k: v for k, v in m.items() if k != "_words"} | {hidden: m["_words"]})
-    return out.withColumn(prefix + "n_repeat_words", repeat_words(F.col(hidden))).drop(hidden)
-
-
-def repeat_words(words: Column) -> Column:
-    """Words in three-word windows found twice or more, the first included.
+    """docs with prefix + n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (a null text is empty).
 
-    Windows (hash, place) are sorted once; a walk over them keeps the places of equal hashes. The places in
-    order then cover min(3, distance to the next) words each.
+    Each costly array is a column of its own and used more than once, so it is made once a row. Repeats:
+    windows of three words as (64-bit hash, place) are sorted; those beside an equal hash repeat, and their
+    places in order cover min(3, distance to the next) words each.
     """
-    n = F.size(words)
-    windows = F.sort_array(F.transform(F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>")), lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("p"))))
-    # each window beside the ones before and after it
-    padded = F.concat(F.array(F.lit(None).cast("struct<h:bigint,p:int>")), windows)
-    after = F.slice(windows, 2, F.greatest(F.size(windows), F.lit(1)))
-    triples = F.arrays_zip(windows.alias("w"), padded.alias("b"), after.alias("a"))
-    same = F.filter(triples, lambda t: t["w"].isNotNull() & (F.coalesce(t["w"]["h"] == t["b"]["h"], F.lit(False)) | F.coalesce(t["w"]["h"] == t["a"]["h"], F.lit(False))))
-    places = F.sort_array(F.transform(same, lambda t: t["w"]["p"]))
-    covered = F.aggregate(places, F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last")), lambda s, p: F.struct((s["n"] + F.least(F.lit(3), p - s["last"])).alias("n"), p.alias("last")), lambda s: s["n"])
-    return covered
+    w, win, at, text = (F.col(f"_tidemark_{c}") for c in ("words", "windows", "places", "text"))
+    out = docs.withColumn("_tidemark_text", F.coalesce(F.col(text_col), F.lit("")))
+    out = out.withColumn("_tidemark_words", F.array_remove(F.split(text, f"[{SPACES}]+"), ""))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACES}]"))
+    n = F.size(w)
+    starts = F.when(n >= 3, F.sequence(F.lit(0), n - 3)).otherwise(F.array().cast("array<int>"))
+    out = out.withColumns({
+        prefix + "n_words": n.cast("long"),
+        prefix + "word_chars": F.length(F.array_join(w, "")).cast("long"),
+        prefix + "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
+        "_tidemark_lines": lines,
+        "_tidemark_windows": F.sort_array(F.transform(starts, lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p")))),
+    })
+    lines = F.col("_tidemark_lines")
+
+    def beside(x: Column, i: Column) -> Column:
+        return F.coalesce(F.get(win, i - 1)["h"] == x["h"], F.lit(False)) | F.coalesce(F.get(win, i + 1)["h"] == x["h"], F.lit(False))
+
+    repeated = F.filter(win, beside)
+    out = out.withColumns({
+        prefix + "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        "_tidemark_places": F.sort_array(F.transform(repeated, lambda x: x["p"])),
+    })
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last"))
+    covered = F.aggregate(at, start, lambda s, p: F.struct((s["n"] + F.least(F.lit(3), p - s["last"])).alias("n"), p.alias("last")), lambda s: s["n"])
+    return out.withColumn(prefix + "n_repeat_words", covered).drop("_tidemark_text", "_tidemark_words", "_tidemark_lines", "_tidemark_windows", "_tidemark_places")
 
 
 def rule_values(prefix: str = "") -> dict[str, Column]:
