@@ -8,9 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, spans_of_bytes, text_buffer
+from .common import Words, spans_of_bytes, stored, text_buffer
 
 HEADS = ("low", "toxic")
+#: Groups (a site, a path and two numbers each) that may be broadcast.
+MOST_BROADCAST = 50_000
 #: Hash buckets of words; then come the bins of the shape features.
 BUCKETS = 1 << 18
 BINS = 12
@@ -69,7 +71,7 @@ class Evidence:
         return total[bounds[1:]] - total[bounds[:-1]] + self.constant
 
 
-def fit_evidence(texts: list[str], labels: np.ndarray, least: int = 6, surprise: float = 3.5, epochs: int = 40, ridge: float = 1.0) -> Evidence:
+def fit_evidence(texts: list[str], labels: np.ndarray, least: int = 6, surprise: float = 3.0, epochs: int = 40, ridge: float = 1.0) -> Evidence:
     """Two logistic regressions on the features whose share differs between the classes.
 
     labels: n x 2 of 0 and 1 (low quality, toxic). A feature counts if least documents have it and its log
@@ -106,22 +108,22 @@ def fit_evidence(texts: list[str], labels: np.ndarray, least: int = 6, surprise:
     return Evidence(weights, constant)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (text, low, toxic, mark) of documents with labels; mark orders them by a hash of the id."""
-    told = labels.where(F.col("quality").isNotNull() | F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.coalesce(1 - F.col("quality"), F.lit(0))).alias("low"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
-    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
-    return own.join(told, "_id").select("text", "low", "toxic", F.xxhash64("_id", F.lit(9)).alias("mark"))
+def sampled(labels: DataFrame, sample: int) -> DataFrame:
+    """At most sample ids of each class (clean, low, toxic), first by a hash: _id, low, toxic."""
+    told = labels.where("doc_id is not null and (quality is not null or toxic is not null)").groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.coalesce(1 - F.col("quality"), F.lit(0))).alias("low"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
+    classes = ((F.col("low") == 0) & (F.col("toxic") == 0), F.col("low") == 1, (F.col("low") == 0) & (F.col("toxic") == 1))
+    clean, low, toxic = (told.where(c).orderBy(F.xxhash64("_id", F.lit(9)), "_id").limit(sample) for c in classes)
+    return clean.unionByName(low).unionByName(toxic)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 2500, id_col: str = "doc_id", text_col: str = "text", max_chars: int = 40_000) -> Evidence:
-    """Evidence fitted on at most sample documents of each class (clean, low, toxic), first by a hash of the id.
+    """Evidence fitted on at most sample documents of each class, first by a hash of the id.
 
     Longer texts than max_chars are not used for fitting; scoring reads whole texts.
     """
-    told = labelled(docs, labels, id_col, text_col).where(F.length("text") <= max_chars)
-    classes = ((F.col("low") == 0) & (F.col("toxic") == 0), F.col("low") == 1, (F.col("low") == 0) & (F.col("toxic") == 1))
-    top = [told.where(c).orderBy("mark", "text").limit(sample) for c in classes]
-    rows = top[0].unionByName(top[1]).unionByName(top[2]).collect()
+    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).where(F.length("text") <= max_chars)
+    rows = own.join(F.broadcast(sampled(labels, sample)), "_id").collect()  # 3 x sample ids at most
+    rows.sort(key=lambda r: (r["_id"], r["text"]))
     return fit_evidence([r["text"] for r in rows], np.array([[r["low"], r["toxic"]] for r in rows], np.int64).reshape(-1, 2))
 
 
@@ -176,8 +178,6 @@ def hierarchy(scored: DataFrame, site: str, path: str, base_rates: dict[str, flo
     """
     p = [probability(F.col(h) + float(np.log(base_rates[h] / (1 - base_rates[h])))).alias(h) for h in HEADS]
     paths = scored.select(F.col(site).alias("site"), F.col(path).alias("path"), *p).groupBy("site", "path").agg(F.count("*").alias("n"), *(F.sum(h).alias(h) for h in HEADS))
-    from .common import stored
-
     paths = stored(paths, "quality-paths")
     sites = paths.groupBy("site").agg(F.sum("n").alias("site_n"), *(F.sum(h).alias(f"site_{h}") for h in HEADS))
     whole = paths.agg(F.sum("n").alias("n"), *(F.sum(h).alias(h) for h in HEADS)).first()
@@ -201,11 +201,11 @@ class Judge:
     cutoffs: dict[str, float]
 
 
-def fit_judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", cutoff: float = 0.25) -> Judge:
+def fit_judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", low_cutoff: float = 0.25, toxic_cutoff: float = 0.15) -> Judge:
     """Evidence from a bounded labelled sample, base rates from all labels."""
     r = labels.agg(F.count("*").alias("n"), F.sum(1 - F.col("quality")).alias("low"), F.sum("toxic").alias("toxic")).first()
     base = {h: ((r[h] or 0) + 1) / (r["n"] + 4) for h in HEADS}
-    return Judge(train(docs, labels, id_col=id_col, text_col=text_col), base, dict.fromkeys(HEADS, cutoff))
+    return Judge(train(docs, labels, id_col=id_col, text_col=text_col), base, {"low": low_cutoff, "toxic": toxic_cutoff})
 
 
 def judged(docs: DataFrame, judge: Judge, site: str = "source", path: str = "lang", text_col: str = "text") -> DataFrame:
@@ -217,7 +217,9 @@ def judged(docs: DataFrame, judge: Judge, site: str = "source", path: str = "lan
     """
     llr = evidence_column(docs, judge.evidence, text_col)
     scored = docs.select(F.col(site).alias("_s"), F.col(path).alias("_p"), llr.alias("_e")).select("_s", "_p", "_e.low", "_e.toxic")
-    groups = hierarchy(scored, "_s", "_p", judge.base).select(F.col("site").alias("_s"), F.col("path").alias("_p"), F.struct(*HEADS).alias("_rates"))
+    groups = stored(hierarchy(scored, "_s", "_p", judge.base).select(F.col("site").alias("_s"), F.col("path").alias("_p"), F.struct(*HEADS).alias("_rates")), "quality-groups")
+    if groups.count() <= MOST_BROADCAST:  # else both sides are shuffled by site and path
+        groups = F.broadcast(groups)
     all_rows = docs.withColumn("_e", llr)
     joined = all_rows.join(groups, all_rows[site].eqNullSafe(groups["_s"]) & all_rows[path].eqNullSafe(groups["_p"]))
     out = joined.select(*(all_rows[c] for c in docs.columns), *(probability(F.col(f"_e.{h}") + logit(F.col(f"_rates.{h}"))).alias(f"_{h}") for h in HEADS))
