@@ -94,8 +94,8 @@ class Block:
     def parts(self, keys: np.ndarray):
         """(shard, a, b) of sorted keys."""
         shard = self.shard_of(keys)
-        at = np.searchsorted(shard, np.arange(self.shards + 1))
-        return [(s, int(at[s]), int(at[s + 1])) for s in np.unique(shard).tolist()]
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(shard), 1), bool), shard[1:] != shard[:-1]])).tolist()
+        return list(zip(shard[first].tolist(), first, [*first[1:], len(shard)], strict=True))
 
     def ask_keys(self):
         """Distinct keys, 6 bytes each, and whether more than one document here has them."""
