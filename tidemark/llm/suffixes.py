@@ -95,7 +95,7 @@ class Block:
         """(shard, a, b) of sorted keys."""
         shard = self.shard_of(keys)
         first = np.flatnonzero(np.concatenate([np.ones(min(len(shard), 1), bool), shard[1:] != shard[:-1]])).tolist()
-        return list(zip(shard[first].tolist(), first, [*first[1:], len(shard)], strict=True))
+        return list(zip(shard[first].tolist(), first, [*first[1:], len(shard)][: len(first)], strict=True))
 
     def ask_keys(self):
         """Distinct keys, 6 bytes each, and whether more than one document here has them."""
