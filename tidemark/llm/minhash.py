@@ -14,6 +14,8 @@ from .common import Words, mix64, runs_of_words, spans_of_bytes, stored, text_bu
 BANDS, ROWS = 32, 5
 #: Standard errors below the threshold at which a signature alone rules a pair out.
 CERTAIN = 6.0
+#: Members of a bucket that are compared in one piece, and rows of a bin of buckets.
+PIECE, BIN_ROWS = 1024, 8192
 
 
 @dataclass(frozen=True)
@@ -152,14 +154,64 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, shingles: Shingles) -> DataFrame:
+    """Links (a, b) between documents that share a bucket but no component yet.
+
+    In each such bucket all members outside its largest component are held against all members, full set
+    against full set, in pieces: no pair becomes a row unless it is a link, and of a member's links to one
+    component a piece gives one. Many small buckets share a bin.
+    """
+    placed = members.select("key", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
+    parts = placed.groupBy("key", "c").agg(F.count("*").alias("k"))
+    apart = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("k").alias("m"), F.max("k").alias("most"), F.max_by("c", "k").alias("main")).where("parts > 1")
+    apart = apart.select("key", "main", F.ceil(F.col("m") / PIECE).cast("int").alias("wide"), F.ceil((F.col("m") - F.col("most")) / PIECE).cast("int").alias("tall"), "m")
+    apart = stored(apart, "apart")
+    rows = apart.agg(F.sum(F.col("m") * F.col("tall") + F.col("m") * F.col("wide"))).first()[0] or 0
+    bins = max(1, -(-rows // BIN_ROWS))
+    here = placed.join(apart, "key")
+    own_wide, own_tall = (F.pmod(F.xxhash64("rep", F.lit(n)), F.col(x)).cast("int") for n, x in ((1, "wide"), (2, "tall")))
+    among = here.select("key", "rep", "c", F.lit(False).alias("minor"), own_wide.alias("w"), F.explode(F.sequence(F.lit(0), F.col("tall") - 1)).alias("t"))
+    minor = here.where("c <> main").select("key", "rep", "c", F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("w"), own_tall.alias("t"))
+    met = among.unionByName(minor).join(sets.select(F.col("id").alias("rep"), "whole"), "rep").withColumn("bin", F.pmod(F.xxhash64("key", "w", "t"), F.lit(bins)))
+
+    def compared(table: pa.Table) -> pa.Table:
+        key, w, t, rep, c, is_minor = (table.column(n).to_numpy() for n in ("key", "w", "t", "rep", "c", "minor"))
+        is_minor = is_minor.astype(bool)
+        whole = table.column("whole").to_pylist()
+        order = np.lexsort((t, w, key))
+        cut = np.flatnonzero(np.any([x[order][1:] != x[order][:-1] for x in (key, w, t)], axis=0)) + 1
+        found = []
+        for group in np.split(order, cut):
+            xs, ys = group[is_minor[group]], group[~is_minor[group]]
+            if not len(xs) or not len(ys):
+                continue
+            flat = [np.frombuffer(whole[k], np.uint64) for k in ys]
+            size = np.array([len(f) for f in flat])
+            starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+            codes, flat = np.unique(np.concatenate(flat), return_inverse=True)
+            for x in xs:
+                mine = np.frombuffer(whole[x], np.uint64)
+                at = np.minimum(np.searchsorted(codes, mine), len(codes) - 1)
+                marked = np.zeros(len(codes), bool)
+                marked[at[codes[at] == mine]] = True
+                both = np.add.reduceat(marked[flat], starts, dtype=np.int64)
+                hit = np.flatnonzero((c[ys] != c[x]) & (both * shingles.under >= (len(mine) + size - both) * shingles.over))
+                for y in ys[hit[np.unique(c[ys[hit]], return_index=True)[1]]]:
+                    found.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return met.groupBy("bin").applyInArrow(compared, "a long, b long").distinct()
+
+
 def near_groups(docs: DataFrame, shingles: Shingles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of near-duplicate documents: id_col, n_shingles, component_id, kept.
 
     Two documents are linked if their shingle sets reach the threshold, confirmed on the full sets; a group is
     what links connect, component_id its smallest id, kept whether a row bears it. Equal sets are one node, so
     exact copies cost nothing more. In each bucket of a band, every member is first held against the bucket's
-    smallest and largest; what is still apart after that is held against all others of its bucket, so that no
-    pair that a band shows is left out and no group is expanded into all its pairs.
+    smallest and against the one that meets most others; what is still apart after that is held against all
+    of its bucket, so no pair that a band shows is left out and no group is expanded into all its pairs.
 
     A null or empty text, or one without words, links with nothing and is its own group. Rows with one id are
     one document and fall in one group. A row with a null id joins its group but isn't kept unless its group
@@ -171,22 +223,17 @@ def near_groups(docs: DataFrame, shingles: Shingles, id_col: str = "doc_id", tex
     reps = stored(reps, "sets")
     some = rows.where("n > 0").join(reps.where("rep is not null").select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
     members = some.select(F.col("id").alias("rep"), F.explode("bands").alias("key")).distinct()
-    shared = members.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("m > 1")
+    shared = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     members = stored(members.join(shared, "key"), "buckets")
+    popular = members.groupBy("rep").agg(F.sum("m").alias("met"))
+    leaders = members.join(popular, "rep").groupBy("key").agg(F.min("rep").alias("first"), F.max_by("rep", "met").alias("hub"))
     pair = (F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
-    tried = stored(members.select("rep", F.explode(F.array("lo", "hi")).alias("other")).where("rep <> other").select(*pair).distinct(), "pairs")
+    tried = members.join(leaders, "key").select("rep", F.explode(F.array("first", "hub")).alias("other")).where("rep <> other").select(*pair).distinct()
     wanted = members.select(F.col("rep").alias("id")).distinct()
     sets = stored(full_sets(own.join(wanted, "id", "left_semi").dropDuplicates(["id"]), shingles, "id", "text"), "full-sets")
     links = stored(verified(tried, sets, shingles), "links")
     groups = stored(components(links), "components")
-    # what is still apart within a bucket
-    placed = members.select("key", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("c"))
-    sizes = placed.groupBy("key", "c").agg(F.count("*").alias("k"))
-    apart = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("c", F.struct("k", "c")).alias("main")).where("parts > 1").select("key", "main")
-    placed = stored(placed.join(apart, "key"), "apart")
-    minor = placed.where("c <> main").select("key", F.col("rep").alias("other"), F.col("c").alias("oc"))
-    cross = placed.join(minor, "key").where("c <> oc and (c = main or rep < other)").select(*pair).distinct().join(tried, ["a", "b"], "left_anti")
-    late = stored(verified(cross, sets, shingles), "late-links")
+    late = stored(links_across(members, groups, sets, shingles), "late-links")
     if late.head(1):
         groups = stored(components(links.unionByName(late)), "components")
     nodes = reps.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
