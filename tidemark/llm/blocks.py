@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 #: Text bytes of a block (one longer document is a block alone) and of what a shard answers for.
 BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 
 
 def packed(docs: DataFrame, text_col: str = "text", name: str = "blocks") -> DataFrame:
