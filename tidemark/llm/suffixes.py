@@ -63,7 +63,8 @@ def anchors(raw: np.ndarray, offsets: np.ndarray):
             wins = np.diff(np.append(first, n))
             ok = valid[first]
             first, wins = first[ok], wins[ok]
-            out.append((h[place[first]] >> np.uint64(16), np.searchsorted(offsets, first + s, "right") - 1, first + s, wins))
+            # mixed once more, as least hashes crowd at the low end of the key space
+            out.append((mix64(h[place[first]]) >> np.uint64(16), np.searchsorted(offsets, first + s, "right") - 1, first + s, wins))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
