@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from .common import give_back
+
 #: Text bytes of a block (one longer document is a block alone) and of what a shard answers for.
 BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 2 << 20
@@ -37,6 +39,7 @@ def packed(docs: DataFrame, text_col: str = "text", name: str = "blocks") -> Dat
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_table(table)
+            give_back()
             return pa.RecordBatch.from_arrays([pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["size", "data"])
 
         for batch in batches:
@@ -82,6 +85,7 @@ def asked(blocks: DataFrame, ask: Callable[[pa.Table, list], Iterator[tuple]], f
                 block = batch.column("block")[k].as_py()
                 told = [earlier(batch.column(f"answer{i}")[k]) for i in range(n_answers)]
                 rows = list(ask(opened(batch.column("data")[k]), told))
+                give_back()
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array([block] * len(rows), pa.int64()), *(pa.array(c, arrow.field(i + 2).type) for i, c in enumerate(cols[1:]))], schema=arrow)
@@ -108,6 +112,7 @@ def answered(questions: DataFrame, reply: Callable[[pa.Table], list[bytes]]) ->
 
     def made(table: pa.Table) -> pa.Table:
         out = reply(table)
+        give_back()
         return pa.table({"shard": table.column("shard"), "block": table.column("block"), "reply": pa.array(out, pa.binary())})
 
     return questions.groupBy("shard").applyInArrow(made, "shard int, block long, reply binary")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -9,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Text bytes that numpy works on at once; one longer document is worked on alone.
-CHUNK_BYTES = 1 << 20
+#: Text bytes that numpy works on at once (one longer document is worked on alone), and characters of texts whose
+#: chunks are looked up at once.
+CHUNK_BYTES, LOOKUP_CHARS = 1 << 18, 1 << 20
 
 _own_folder: dict[str, str] = {}
 
@@ -36,6 +38,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hands freed memory back to the system: a worker serves one operator after another, and without this the
+    highest use of each would stay with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts and the n + 1 offsets into them; null is empty."""
     texts = texts.cast(pa.large_string())
@@ -164,7 +175,7 @@ class ChunkCache:
         a = 0
         while a < len(texts):
             b, size = a, 0
-            while b < len(texts) and (b == a or size < CHUNK_BYTES):
+            while b < len(texts) and (b == a or size < LOOKUP_CHARS):
                 size += len(texts[b])
                 b += 1
             cut = [self.find(t) for t in texts[a:b]]

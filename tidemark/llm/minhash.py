@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, mix64, runs_of_words, spans_of_bytes, stored, text_buffer
+from .common import Words, give_back, mix64, runs_of_words, spans_of_bytes, stored, text_buffer
 
 #: Bands and rows: two sets of similarity 0.8 share no band with a chance of (1 - 0.8**5)**32, 3 in a million.
 BANDS, ROWS = 32, 5
@@ -81,6 +81,7 @@ def sketches(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str) ->
         n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
         at = np.concatenate([[0], np.cumsum((n > 0) * BANDS)]).astype(np.int32)
         flat = [np.concatenate(x).astype(np.uint64).view(np.int64) if x else np.zeros(0, np.int64) for x in (one, two, keys)]
+        give_back()
         return pa.StructArray.from_arrays([pa.array(n), pa.array(flat[0]), pa.array(flat[1]), pa.ListArray.from_arrays(pa.array(at), pa.array(flat[2]))], names=["n", "h1", "h2", "bands"])
 
     udf = F.arrow_udf(made, "struct<n:bigint,h1:bigint,h2:bigint,bands:array<bigint>>")
@@ -98,6 +99,7 @@ def full_sets(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str) -
             s = signatures(sets, bounds)
             whole += [sets[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
             sig += [r.tobytes() for r in s]
+        give_back()
         return pa.StructArray.from_arrays([pa.array(whole, pa.binary()), pa.array(sig, pa.binary())], names=["whole", "sig"])
 
     return docs.select(F.col(id_col).alias("id"), F.arrow_udf(made, "struct<whole:binary,sig:binary>")(F.col(text_col)).alias("s")).select("id", "s.*")
@@ -199,6 +201,7 @@ def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, shingle
                 for y in ys[hit[np.unique(c[ys[hit]], return_index=True)[1]]]:
                     found.append((min(rep[x], rep[y]), max(rep[x], rep[y])))
         pairs = np.array(found, np.int64).reshape(-1, 2)
+        give_back()
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return met.groupBy("bin").applyInArrow(compared, "a long, b long").distinct()

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ChunkCache, stored
+from .common import ChunkCache, give_back, stored
 
 #: Documents and gaps that one task sweeps.
 ROWS_PER_TASK = 50_000
@@ -19,10 +19,13 @@ LEAST_SHARE = 0.05
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 _arrow_pieces = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]))
 
-_encoders: dict[str, ChunkCache] = {}
+#: Distinct chunks that a worker keeps the ids of, some 200 bytes each.
+CHUNKS = 250_000
 
+_encoders: dict[tuple[str, int], ChunkCache] = {}
 
-def byte_level_encoder(path: str) -> ChunkCache:
+
+def byte_level_encoder(path: str, chunks: int = CHUNKS) -> ChunkCache:
     """Ids of texts under a byte-level BPE of the tokenizers library.
 
     Such a tokenizer never joins letters or numbers with other marks (an apostrophe before letters aside), nor
@@ -30,7 +33,7 @@ def byte_level_encoder(path: str) -> ChunkCache:
     those that start with a space are encoded many at a time, and the bytes of their tokens part them again.
     Strings of special tokens are ordinary text.
     """
-    if path not in _encoders:
+    if (path, chunks) not in _encoders:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -55,8 +58,8 @@ def byte_level_encoder(path: str) -> ChunkCache:
             return [out[c] for c in chunks]
 
         find = re.compile(r" ?[^\W_]+| ?(?:[^\w\s]|_)+(?:(?<=')[^\W_]+)?|\s+(?!\S)|\s+").findall
-        _encoders[path] = ChunkCache(find, encode_many, 1_200_000)
-    return _encoders[path]
+        _encoders[path, chunks] = ChunkCache(find, encode_many, chunks)
+    return _encoders[path, chunks]
 
 
 def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
@@ -67,17 +70,19 @@ def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
     return [(k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))]
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", chunks: int = CHUNKS) -> DataFrame:
     """Pieces of at most capacity ids: id_col, piece, start, length, ids_crc32. A null text is empty: one end id."""
     tail = np.array([end_id], "<u4").tobytes()
 
     @F.arrow_udf(PIECES)
     def pieces(texts: pa.Array) -> pa.Array:
-        encoder = byte_level_encoder(tokenizer_path)
+        encoder = byte_level_encoder(tokenizer_path, chunks)
         rows = [cut(ids + tail, capacity) for ids in encoder.encode([t or "" for t in texts.to_pylist()])]
         flat = np.array([p for r in rows for p in r], np.int64).reshape(-1, 4)
         offsets = np.cumsum([0] + [len(r) for r in rows]).astype(np.int32)
         values = pa.StructArray.from_arrays([pa.array(flat[:, 0].astype(np.int32)), *(pa.array(flat[:, k]) for k in (1, 2, 3))], fields=list(_arrow_pieces.value_type))
+        del rows
+        give_back()
         return pa.ListArray.from_arrays(pa.array(offsets), values)
 
     return docs.select(F.col(id_col), F.explode(pieces(F.col(text_col))).alias("_p")).select(id_col, "_p.*")
@@ -176,16 +181,17 @@ def best_fit(items: DataFrame, capacity: int = 1024, rows_per_task: int = ROWS_P
     return spark.createDataFrame([], out.schema).unionByName(out)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", chunks: int = CHUNKS) -> DataFrame:
     """Packs documents into sequences of at most capacity ids.
 
     A document is its ids and one end_id; one that is longer than capacity is cut into full pieces, of which
     the first may be shorter. Columns: id_col, piece (from 0), start (ids before it in its document), length,
     ids_crc32 (of little-endian unsigned 32-bit ids), sequence_id, offset (gapless from 0 in a sequence).
     Null texts and empty ones become one end id. Repeated rows and ids are packed each; null ids stay null.
-    An empty table gives no rows. Columns besides id and text are ignored, whatever their names.
+    An empty table gives no rows. Columns besides id and text are ignored, whatever their names. chunks: distinct
+    chunks that a worker keeps the ids of; more cost memory and save encoding.
     """
-    pieces = token_pieces(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), tokenizer_path, capacity, end_id, "_id", "_text")
+    pieces = token_pieces(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), tokenizer_path, capacity, end_id, "_id", "_text", chunks)
     pieces = stored(pieces.withColumn("_key", F.monotonically_increasing_id()), "packing-pieces")
     spots = best_fit(pieces.select(F.col("_key").alias("key"), "length"), capacity).withColumnRenamed("key", "_key")
     return pieces.join(spots, "_key").select(F.col("_id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

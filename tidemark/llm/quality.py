@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, spans_of_bytes, stored, text_buffer
+from .common import Words, give_back, spans_of_bytes, stored, text_buffer
 
 HEADS = ("low", "toxic")
 #: Groups (a site, a path and two numbers each) that may be broadcast.
@@ -136,6 +136,7 @@ def evidence_column(docs: DataFrame, evidence: Evidence, text_col: str = "text")
         parts = [shared.value.ratios(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in spans_of_bytes(offsets)]
         r = np.concatenate(parts) if parts else np.zeros((0, 2))
         r[np.diff(offsets) == 0] = 0
+        give_back()
         return pa.StructArray.from_arrays([pa.array(r[:, 0]), pa.array(r[:, 1])], names=list(HEADS))
 
     return F.arrow_udf(made, "struct<low:double,toxic:double>")(F.col(text_col))

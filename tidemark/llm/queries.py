@@ -21,7 +21,7 @@ def tokenizer_file(name: str) -> str:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), chunks=1_200_000)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, spans_of_bytes, text_buffer
+from .common import Words, give_back, spans_of_bytes, text_buffer
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -286,6 +286,7 @@ def scan(texts: pa.Array, field: Field) -> list[list[tuple[int, int, int]]]:
                 e = chars_before(text_bytes, tokens.end[until] - shift)
                 spans = sorted(spans + [(x, 3, y) for x, y in zip(s.tolist(), e.tolist(), strict=True) if not any(p < y and q > x for p, _, q in spans)])
             out.append(spans)
+    give_back()
     return out
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import blocks as B
-from .common import BYTE_VALUE, mix64, powers, spans_of_bytes, stored, text_buffer
+from .common import BYTE_VALUE, give_back, mix64, powers, spans_of_bytes, stored, text_buffer
 
 #: Bytes of a match, of the k-grams that anchor it, and k-grams in a match.
 MATCH, GRAM = 50, 20
@@ -314,7 +314,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 kept = [left[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 extra = [np.diff(b.offsets), np.diff(total[b.offsets]), np.diff(spans[b.offsets])]
                 table = pa.Table.from_arrays([*b.rows.columns, *(pa.array(x.astype(np.int64)) for x in extra), pa.array(kept, pa.binary())], names=[*b.rows.column_names, "_n_bytes", "_n_removed", "_n_spans", "_kept"])
+                del b, gone, edge, total, spans, left, kept
                 yield from table.to_batches()
+                give_back()
 
     return B.joined(blocks, (shared, masks)).mapInArrow(cut, schema)
 
