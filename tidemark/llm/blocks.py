@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from .common import give_back
+from .common import give_back, small_batches
 
 #: Text bytes of a block (one longer document is a block alone) and of what a shard answers for.
 BLOCK_BYTES = 4 << 20
@@ -29,6 +29,7 @@ def packed(docs: DataFrame, text_col: str = "text", name: str = "blocks") -> Dat
     It is bucketed by block, so joining answers to it doesn't move text. Rows keep all their columns.
     """
     spark = docs.sparkSession
+    small_batches(spark)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

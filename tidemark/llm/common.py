@@ -38,6 +38,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1000 rows or 4 MB from now on: 10000 rows, Spark's default, are tens of MB of
+    text several times over, in a task's JVM and in its worker. A smaller setting of the session stays."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)):
+        now = str(spark.conf.get(key)).lower().rstrip("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def give_back() -> None:
     """Hands freed memory back to the system: a worker serves one operator after another, and without this the
     highest use of each would stay with it."""

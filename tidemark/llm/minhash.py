@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, give_back, mix64, runs_of_words, spans_of_bytes, stored, text_buffer
+from .common import Words, give_back, mix64, runs_of_words, small_batches, spans_of_bytes, stored, text_buffer
 
 #: Bands and rows: two sets of similarity 0.8 share no band with a chance of (1 - 0.8**5)**32, 3 in a million.
 BANDS, ROWS = 32, 5
@@ -220,6 +220,7 @@ def near_groups(docs: DataFrame, shingles: Shingles, id_col: str = "doc_id", tex
     one document and fall in one group. A row with a null id joins its group but isn't kept unless its group
     has no id. Other columns are ignored; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = stored(sketches(own, shingles, "id", "text"), "sketches")
     reps = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))

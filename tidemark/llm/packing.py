@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ChunkCache, give_back, stored
+from .common import ChunkCache, give_back, small_batches, stored
 
 #: Documents and gaps that one task sweeps.
 ROWS_PER_TASK = 50_000
@@ -191,6 +191,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int
     An empty table gives no rows. Columns besides id and text are ignored, whatever their names. chunks: distinct
     chunks that a worker keeps the ids of; more cost memory and save encoding.
     """
+    small_batches(docs.sparkSession)
     pieces = token_pieces(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), tokenizer_path, capacity, end_id, "_id", "_text", chunks)
     pieces = stored(pieces.withColumn("_key", F.monotonically_increasing_id()), "packing-pieces")
     spots = best_fit(pieces.select(F.col("_key").alias("key"), "length"), capacity).withColumnRenamed("key", "_key")

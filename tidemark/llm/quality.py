@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, give_back, spans_of_bytes, stored, text_buffer
+from .common import Words, give_back, small_batches, spans_of_bytes, stored, text_buffer
 
 HEADS = ("low", "toxic")
 #: Groups (a site, a path and two numbers each) that may be broadcast.
@@ -129,6 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2500, id_col: str =
 
 def evidence_column(docs: DataFrame, evidence: Evidence, text_col: str = "text"):
     """struct<low double, toxic double>: log likelihood ratios of a text; 0 for a null or empty one."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(evidence)  # FEATURES x 2 floats
 
     def made(texts: pa.Array) -> pa.Array:

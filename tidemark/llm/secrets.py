@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, give_back, spans_of_bytes, text_buffer
+from .common import Words, give_back, small_batches, spans_of_bytes, text_buffer
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -303,6 +303,7 @@ def find_secrets(docs: DataFrame, field: Field, text_col: str = "text", out_col:
     Kinds: assign, access and hex of the base patterns, crf of the random field (Viterbi). A null or empty
     text has none; other columns and repeated rows stay as they are; an empty table stays empty.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)  # a fixed size: FEATURES x 3 floats
 
     def made(texts: pa.Array) -> pa.Array:
@@ -314,6 +315,7 @@ def find_secrets(docs: DataFrame, field: Field, text_col: str = "text", out_col:
 
 def redact(docs: DataFrame, field: Field, mask: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """docs with every found span of the text replaced by mask (overlapping spans together); null stays null."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def made(texts: pa.Array) -> pa.Array:
