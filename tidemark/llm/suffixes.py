@@ -265,8 +265,11 @@ def reply_suffixes(table: pa.Table) -> list[bytes]:
     return [out[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with _n_bytes, _n_removed, _n_spans, _kept (binary: the bytes that stay).
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", replace: bool = False) -> DataFrame:
+    """docs with _n_bytes, _n_removed, _n_spans and _kept (binary: the bytes that stay).
+
+    With replace there is no _kept: the text itself becomes what stays, less the bytes of characters cut apart
+    (a text that loses nothing stays as it is, null too).
 
     A byte goes if a MATCH-byte string that covers it also starts in a document with a smaller id. Texts are
     UTF-8 bytes; null is empty; matches never cross documents; all is judged on the input. A null id ranks
@@ -296,7 +299,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = stored(B.answered(B.asked(blocks, keys, "keys binary, several binary"), reply_keys), "suffix-keys")
     masks = stored(B.answered(B.asked(blocks, suffixes, "n int, keys binary, ids binary, wins binary, text binary", (shared,)), reply_suffixes), "suffix-masks")
     fields = [*docs.schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", _n_bytes long, _n_removed long, _n_spans long, _kept binary"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", _n_bytes long, _n_removed long, _n_spans long" + ("" if replace else ", _kept binary")
 
     def cut(batches):
         for batch in batches:
@@ -313,7 +316,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 at = b.offsets - total[b.offsets]
                 kept = [left[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 extra = [np.diff(b.offsets), np.diff(total[b.offsets]), np.diff(spans[b.offsets])]
-                table = pa.Table.from_arrays([*b.rows.columns, *(pa.array(x.astype(np.int64)) for x in extra), pa.array(kept, pa.binary())], names=[*b.rows.column_names, "_n_bytes", "_n_removed", "_n_spans", "_kept"])
+                table = b.rows
+                if replace:
+                    texts = [k.decode("utf-8", "ignore") if n else t for k, n, t in zip(kept, extra[1].tolist(), table.column(text_col).to_pylist(), strict=True)]
+                    at = table.column_names.index(text_col)
+                    table = table.set_column(at, table.schema.field(at), pa.array(texts, table.schema.field(at).type))
+                last = [] if replace else [("_kept", pa.array(kept, pa.binary()))]
+                for name, values in [*zip(("_n_bytes", "_n_removed", "_n_spans"), (pa.array(x.astype(np.int64)) for x in extra), strict=True), *last]:
+                    table = table.append_column(name, values)
                 del b, gone, edge, total, spans, left, kept
                 yield from table.to_batches()
                 give_back()
