@@ -6,7 +6,6 @@ written as Parquet and read again as the next one's docs.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import stored
@@ -35,14 +34,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Bytes of a character that was cut apart are dropped.
     """
-    def decoded(kept: pa.Array) -> pa.Array:
-        return pa.array([k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
-
-    text = F.arrow_udf(decoded, "string")
-    out = without_repeats(docs)
-    changed = F.col("_n_removed") > 0
-    out = out.withColumn("text", F.when(changed, text("_kept")).otherwise(F.col("text")))
-    return out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    out = without_repeats(docs, replace=True)
+    n_chars = F.when(F.col("_n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
