@@ -104,6 +104,18 @@ def test_best_fit_rounds_over_several_ranges(spark, lengths):
     assert len(sequences) <= least * 1.03 + 6
 
 
+def test_best_fit_offers_gaps_of_other_ranges(spark):
+    from tidemark.llm.packing import best_fit, plan
+
+    lengths = [600] * 3000 + [100] * 3000  # gaps of 424 and documents of 100 lie in different ranges
+    items = spark.createDataFrame(list(enumerate(lengths)), "key long, length long")
+    for rows in (200, 50_000):
+        assert best_fit(items, 1024, rows_per_task=rows).select("sequence_id").distinct().count() == 3000
+    assert plan({600: 5_000_000, 100: 5_000_000}, 1024)[:, 3].max() < 5_000_000
+    full = plan({400: 7, 100: 30}, 1024)  # opened sequences' gaps are filled too
+    assert full[:, 2].sum() == 37 and (full[:, 3] + full[:, 2]).max() == 6
+
+
 def test_chunked_ids_equal_whole_ids():
     from tokenizers import Tokenizer
 

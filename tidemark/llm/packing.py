@@ -7,14 +7,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import ChunkCache, give_back, small_batches, stored
 
-#: Documents and gaps that one task sweeps.
+#: Documents that one task ranks within their sizes.
 ROWS_PER_TASK = 50_000
-#: A round that places a smaller share of what is left is the last before new sequences are opened.
-LEAST_SHARE = 0.05
 
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 _arrow_pieces = pa.list_(pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]))
@@ -88,97 +87,117 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
     return docs.select(F.col(id_col), F.explode(pieces(F.col(text_col))).alias("_p")).select(id_col, "_p.*")
 
 
-def sweep(sizes: np.ndarray, is_gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One successor sweep: (documents, gaps) matched, each at most once.
+def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """Where the documents of each size go: rows (size, first rank, number, first sequence, offset).
 
-    From the largest size down, gaps wait on a stack and each document takes the smallest gap that waits, as
-    brackets close: with +1 for a gap and -1 for a document, mates follow each other on one level.
+    Row by row, documents of a size from a first rank on go to as many sequences in a row, at one offset. Sizes
+    over half the capacity open sequences. Then bulk-synchronous rounds: from the largest size down, gaps wait on
+    a stack and each document takes the smallest gap that waits, gaps are updated after the sweep, and what is
+    left goes to the next round. When nothing fits, what is left opens as few sequences as its volume needs, and
+    their gaps take part in the rounds that follow, until no document is left.
+    """
+    left, used, rows, opened = {s: n for s, n in counts.items() if n}, dict.fromkeys(counts, 0), [], 0
+    gaps: dict[int, list[tuple[int, int]]] = {}  # by size: sequences as (first, number)
+
+    def put(size: int, n: int, first: int, gap: int) -> tuple[int, int, int]:
+        rows.append((size, used[size], n, first, capacity - gap))
+        used[size] += n
+        left[size] -= n
+        if not left[size]:
+            del left[size]
+        return gap - size, first, n
+
+    def wait(changed: list[tuple[int, int, int]]) -> None:
+        for gap, first, n in changed:
+            gaps.setdefault(gap, []).append((first, n))
+
+    def open_sequences(size: int, n: int) -> None:
+        nonlocal opened
+        wait([put(size, n, opened, capacity)])
+        opened += n
+
+    for size in [s for s in left if s * 2 > capacity]:
+        open_sequences(size, left[size])
+    while left:
+        least, stack, changed = min(left), [], []
+        for size in sorted({*gaps, *left}, reverse=True):
+            if size < least:  # such gaps can't take what is left
+                break
+            stack += [(size, *g) for g in gaps.pop(size, ())]
+            while stack and size in left:
+                gap, first, n = stack.pop()
+                k = min(n, left[size])
+                changed.append(put(size, k, first, gap))
+                if k < n:
+                    stack.append((gap, first + k, n - k))
+        wait(stack)
+        wait(changed)
+        if not changed:
+            need = -(-sum(s * n for s, n in left.items()) // capacity)
+            for size in sorted(left, reverse=True):
+                k = min(need, left[size])
+                need -= k
+                if k:
+                    open_sequences(size, k)
+    return np.array(rows, np.int64).reshape(-1, 5)
+
+
+def ranked(items: DataFrame, rows_per_task: int) -> DataFrame:
+    """key, size, part and the rank among the part's items of a size, by a hash of the key.
+
+    Parts are ranges of size and hash, so that one common length splits.
     """
-    order = np.lexsort((~is_gap, -sizes))
-    gap = is_gap[order]
-    depth = np.cumsum(np.where(gap, 1, -1))
-    level = np.where(gap, depth, depth + 1)
-    by_level = np.argsort(level, kind="stable")
-    a, b = by_level[:-1], by_level[1:]
-    mates = (level[a] == level[b]) & gap[a] & ~gap[b]
-    return order[b[mates]], order[a[mates]]
-
 
-def fill(keys: np.ndarray, sizes: np.ndarray, is_gap: np.ndarray, capacity: int, may_open: bool):
-    """Sweeps over one range of sizes, again and again with updated gaps.
+    def made(batches):
+        part, last, n = TaskContext.get().partitionId(), -1, 0
+        for batch in batches:
+            if batch.num_rows:
+                sizes = batch.column("size").to_numpy()
+                starts = np.flatnonzero(np.concatenate([[True], sizes[1:] != sizes[:-1]]))
+                runs = np.diff(np.append(starts, len(sizes)))
+                rank = np.arange(len(sizes)) - np.repeat(starts, runs)
+                if sizes[0] == last:
+                    rank[: runs[0]] += n
+                last, n = sizes[-1], rank[-1] + 1
+                yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("size"), pa.array(np.full(len(sizes), part, np.int64)), pa.array(rank)], ["key", "size", "part", "rank"])
 
-    Returns for documents (key, size, sequence, offset; sequence -1: not placed) and gaps (key, size left).
-    With may_open, documents that fit nowhere open as few new sequences as their volume needs.
-    """
-    doc_key, doc_size = keys[~is_gap], sizes[~is_gap]
-    gap_key, gap_size = keys[is_gap], sizes[is_gap]
-    sequence, offset = np.full(len(doc_key), -1, np.int64), np.zeros(len(doc_key), np.int64)
-    left = np.arange(len(doc_key))
-    while len(left):
-        open_gaps = np.flatnonzero(gap_size >= doc_size[left].min())
-        d, g = sweep(np.concatenate([doc_size[left], gap_size[open_gaps]]), np.arange(len(left) + len(open_gaps)) >= len(left))
-        if len(d):
-            d, g = left[d], open_gaps[g - len(left)]
-            sequence[d], offset[d] = gap_key[g], capacity - gap_size[g]
-            gap_size[g] -= doc_size[d]
-        elif may_open:
-            new = left[np.argsort(-doc_size[left], kind="stable")][: -(-int(doc_size[left].sum()) // capacity)]
-            sequence[new], offset[new] = doc_key[new], 0
-            gap_key, gap_size = np.concatenate([gap_key, doc_key[new]]), np.concatenate([gap_size, capacity - doc_size[new]])
-        else:
-            break
-        left = left[sequence[left] < 0]
-    return doc_key, doc_size, sequence, offset, gap_key, gap_size
+    parts = max(1, -(-items.count() // rows_per_task))
+    hashed = items.withColumn("h", F.xxhash64("key"))
+    return stored(hashed.repartitionByRange(parts, "size", "h").sortWithinPartitions("size", "h", "key").mapInArrow(made, "key long, size long, part long, rank long"), "packing-ranks")
 
 
 def best_fit(items: DataFrame, capacity: int = 1024, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Places items (key long, unique; length long, 1 to capacity) in sequences: key, sequence_id, offset.
 
-    Bulk-synchronous best fit. Items over half the capacity open sequences. Then rounds: items and gaps are
-    sorted by size into ranges, each range is swept so that an item takes the smallest gap it fits, rank
-    decides where several want one, gaps are updated and what is left goes to the next round. When a round
-    places few, what is left opens new sequences. sequence_id is the key of the sequence's first item.
-    Equal sizes are spread over ranges by a hash of the key, so that one common length splits.
+    Items of one size are alike, so plan() sweeps counts per size, over all items at once at every number of
+    them; the driver holds these counts by range, and rows of the plan: some for each size and round, however
+    many items. Items then look up their rank within their size. sequence_id is the key of the sequence's first
+    item.
     """
-    spark = items.sparkSession
-    items = items.select(F.col("key").cast("long").alias("key"), F.col("length").cast("long").alias("size"))
-    opens = F.col("size") * 2 > capacity
-    placed = [items.where(opens).select("key", F.col("key").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
-    gaps = items.where(opens & (F.col("size") < capacity)).select("key", (F.lit(capacity) - F.col("size")).alias("size"))
-    state = items.where(~opens).withColumn("gap", F.lit(False)).unionByName(gaps.withColumn("gap", F.lit(True)))
-    schema = "key long, size long, gap boolean, sequence_id long, offset long"
-    may_open = False
-    while True:
-        counts = {r["gap"]: r["n"] for r in state.groupBy("gap").agg(F.count("*").alias("n")).collect()}
-        docs, total = counts.get(False, 0), sum(counts.values())
-        if not docs:
-            break
-        parts = -(-total // rows_per_task)
-        may_open = may_open or parts == 1
-
-        def swept(batches, may_open=may_open):
-            rows = pa.Table.from_batches(list(batches))  # one range: about rows_per_task rows of 17 bytes
-            if rows.num_rows:
-                keys, sizes, gap = (rows.column(c).to_numpy() for c in ("key", "size", "gap"))
-                order = np.argsort(keys, kind="stable")
-                dk, ds, sequence, offset, gk, gs = fill(keys[order], sizes[order], gap[order].astype(bool), capacity, may_open)
-                none = np.zeros(len(gk), np.int64)
-                cols = [np.concatenate(x) for x in ((dk, gk), (ds, gs), (np.zeros(len(dk), bool), np.ones(len(gk), bool)), (sequence, none), (offset, none))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["key", "size", "gap", "sequence_id", "offset"])
-
-        ranged = state.select("key", "size", "gap").repartitionByRange(parts, F.desc("size"), F.xxhash64("key")) if parts > 1 else state.select("key", "size", "gap").coalesce(1)
-        done = stored(ranged.mapInArrow(swept, schema), "packing-round")
-        here = ~F.col("gap") & (F.col("sequence_id") >= 0)
-        placed.append(done.where(here).select("key", "sequence_id", "offset"))
-        if may_open:
-            break
-        state = done.where((F.col("gap") & (F.col("size") > 0)) | (~F.col("gap") & (F.col("sequence_id") < 0)))
-        left = state.where(~F.col("gap")).count()
-        may_open = docs - left < LEAST_SHARE * docs
-    out = placed[0]
-    for p in placed[1:]:
-        out = out.unionByName(p)
-    return spark.createDataFrame([], out.schema).unionByName(out)
+    items = ranked(items.select(F.col("key").cast("long").alias("key"), F.col("length").cast("long").alias("size")), rows_per_task)
+    parts = np.array([tuple(r) for r in items.groupBy("part", "size").count().orderBy("size", "part").collect()], np.int64).reshape(-1, 3)
+    part, size, n = parts.T
+    before = np.cumsum(n) - n
+    before -= before[np.searchsorted(size, size)]  # items of this size in earlier parts
+    sizes, at = np.unique(size, return_index=True)
+    totals = dict(zip(sizes.tolist(), np.add.reduceat(n, at).tolist() if len(at) else [], strict=True))
+    rows = plan(totals, capacity)
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    order = np.lexsort((size, part))
+    shared = items.sparkSession.sparkContext.broadcast((part[order] * (capacity + 1) + size[order], before[order], rows))
+
+    def found(batches):
+        codes, ahead, rows = shared.value
+        heads = (rows[:, 0] << 44) + rows[:, 1]
+        for batch in batches:
+            key, size, part, rank = (batch.column(c).to_numpy() for c in ("key", "size", "part", "rank"))
+            rank = rank + ahead[np.searchsorted(codes, part * (capacity + 1) + size)]
+            row = rows[np.searchsorted(heads, (size << 44) + rank, "right") - 1]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, row[:, 3] + rank - row[:, 1], row[:, 4])], ["key", "sequence", "offset"])
+
+    spots = items.mapInArrow(found, "key long, sequence long, offset long")
+    firsts = spots.where("offset = 0").select("sequence", F.col("key").alias("sequence_id"))
+    return spots.join(firsts, "sequence").select("key", "sequence_id", "offset")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", chunks: int = CHUNKS) -> DataFrame:
