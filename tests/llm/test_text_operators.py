@@ -409,6 +409,24 @@ def test_scores(docs, rows, empty):
     assert score(empty).count() == 0
 
 
+def test_scores_of_a_corpus_beyond_any_cap(spark, monkeypatch):
+    from tidemark.llm import ngrams
+
+    monkeypatch.setattr(ngrams, "MOST_BITS", 1 << 12, raising=False)  # stands for a corpus far over it
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(200))) for i in range(100)]
+    single, pair = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        if not ngrams.held_out([i])[0]:
+            single.update([*t.split(), None])
+            pair.update(zip([None, *t.split()], [*t.split(), None], strict=True))
+    n, v = sum(single.values()), len(single)
+    for r in ngrams.score(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        w = [*dict(rows)[r.doc_id].split(), None]
+        want = sum(math.log10(0.6 * min(1, pair[a, b] / single[a]) + 0.4 * (single[b] + 1) / (n + v + 1)) if single[a] else math.log10((single[b] + 1) / (n + v + 1)) for a, b in zip([None, *w], w, strict=False))
+        assert abs(r.score - want) <= 0.2 * len(w)
+
+
 def test_log_filter_holds_levels():
     from tidemark.llm.ngrams import LogFilter, levels, shard_of
 

@@ -14,9 +14,8 @@ from . import blocks as B
 from .common import Words, mix64, spans_of_bytes, stored, text_buffer
 from .suffixes import by_key
 
-#: Size of the filter: so many bits for each text byte, and no more than 2**28 (32 MB, which is broadcast), in
-#: at most so many segments.
-BITS_PER_BYTE, MOST_BITS, MOST_SEGMENTS = 1.5, 1 << 28, 2048
+#: Size of the filter: so many bits for each event in it, or for each text byte where events aren't counted.
+BITS_PER_EVENT, BITS_PER_BYTE = 12, 1.5
 #: Probes of an event, base of the logarithm that counts are rounded to, weight of pairs against single tokens.
 PROBES, LOG_BASE, PAIR_WEIGHT = 3, 2.0, 0.6
 #: The end of a document, a token like words; no word hashes to it but by a 64-bit chance.
@@ -75,6 +74,12 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(LOG_BASE) + 1e-9).astype(np.int64)
 
 
+def middle(level: np.ndarray) -> np.ndarray:
+    """Approximate counts of levels: 0, or the middle of the level's range."""
+    level = level.astype(np.float64)
+    return np.where(level > 0, (LOG_BASE ** (level - 1.0) + np.maximum(LOG_BASE**level - 1, 1)) / 2, 0.0)
+
+
 @dataclass
 class LogFilter:
     """A Bloom filter of (n-gram, level) events in segments, each of a range of the key space.
@@ -89,23 +94,32 @@ class LogFilter:
 
     @classmethod
     def sized(cls, segments: int, text_bytes: int) -> LogFilter:
-        total = min(MOST_BITS, int(text_bytes * BITS_PER_BYTE) + segments * 512)
-        bits = total // segments // 64 * 64
+        bits = (int(text_bytes * BITS_PER_BYTE) + segments * 512) // segments // 64 * 64
         return cls(segments, bits, np.zeros((0, bits // 8), np.uint8))
 
+    @classmethod
+    def fitted(cls, keys: np.ndarray, counts: np.ndarray) -> LogFilter:
+        """One segment that has room for all events of these n-grams, and holds them."""
+        bits = (int(levels(counts).sum()) * BITS_PER_EVENT + 512) // 64 * 64
+        out = cls(1, bits, np.zeros((0, bits // 8), np.uint8))
+        data, floor = out.segment(keys, counts)
+        assert floor == 1, "n-grams left out of the filter"
+        out.data = np.frombuffer(data, np.uint8).reshape(1, -1)
+        return out
+
     def places(self, keys: np.ndarray, level: int) -> list[np.ndarray]:
         g = mix64(keys + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64))
         low, high = g & np.uint64(0xFFFFFFFF), (g >> np.uint64(32)) | np.uint64(1)
         return [((low + np.uint64(i) * high) % np.uint64(self.bits)).astype(np.int64) for i in range(PROBES)]
 
-    def segment(self, keys: np.ndarray, counts: np.ndarray, share: float = 1.0) -> tuple[bytes, int]:
-        """A segment's bits with these n-grams, which are a share of its own, and the least level it holds.
+    def segment(self, keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
+        """A segment's bits with these n-grams, and the least level it holds.
 
-        If all events would fill over half of the bits, those of the lowest levels stay out: the bound on what
-        is broadcast is kept by forgetting the rarest n-grams, whose probabilities fall back to single tokens.
+        In a segment of a size set beforehand, if all events would fill over half of the bits, those of the
+        lowest levels stay out; fitted() leaves none out.
         """
         level = levels(counts)
-        room = self.bits * np.log(2) / PROBES * share
+        room = self.bits * np.log(2) / PROBES
         floor = 1
         while level[level >= floor].sum() > room * 1.25 and (level >= floor).any():
             floor += 1
@@ -116,8 +130,8 @@ class LogFilter:
                 set_bits[at] = True
         return np.packbits(set_bits, bitorder="little").tobytes(), floor
 
-    def read(self, keys: np.ndarray) -> np.ndarray:
-        """Approximate counts: 0, or the middle of the range of the level found."""
+    def level(self, keys: np.ndarray) -> np.ndarray:
+        """The level found by probing, 0 for none."""
         segment = shard_of(keys, self.segments)
         level = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
@@ -129,7 +143,11 @@ class LogFilter:
             if not len(alive):
                 break
             level[alive] = j
-        return np.where(level > 0, (LOG_BASE ** (level - 1.0) + np.maximum(LOG_BASE ** (level - 0.0) - 1, 1)) / 2, 0.0)
+        return level
+
+    def read(self, keys: np.ndarray) -> np.ndarray:
+        """Approximate counts."""
+        return middle(self.level(keys))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,22 +160,18 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     first is an end. A null id counts as the empty text, so it trains. Repeated rows each count. Other columns
     are ignored; an empty table gives no rows.
 
-    Blocks send their distinct tokens and pairs with counts to shards by hash; a shard adds them up, answers
-    each block with the exact counts of its tokens, and sets its bits of a segment of the filter. Shards that
-    share a segment are joined by OR.
+    Blocks send their distinct tokens and pairs with counts to shards by hash, those of held-out documents with
+    a count of 0. A shard adds them up, sets the bits of its segment of the filter, which is as large as its
+    n-grams need, and answers each block with the exact counts of its tokens and with the levels that probes of
+    the segment find for its tokens and pairs. So the filter grows with the n-grams and is never in one place.
     """
-    spark = docs.sparkSession
     blocks = B.packed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
-    size = blocks.agg(F.sum("size")).first()[0] or 0
-    segments = min(max(12, -(-size // B.SHARD_BYTES)), MOST_SEGMENTS)
-    per = max(1, -(-size // B.SHARD_BYTES // segments))  # shards of a segment
-    shards = segments * per
-    empty = LogFilter.sized(segments, size)
+    shards = B.shard_count(blocks)
 
     def ask(rows: pa.Table, _):
         t = Tokens(rows, "id", "text")
         keys, counts = counted(t.token, t.train.astype(np.int64))
-        pairs, pair_counts = counted(t.pair[t.train])
+        pairs, pair_counts = counted(t.pair, t.train.astype(np.int64))
         one, two = shard_of(keys, shards), shard_of(pairs, shards)
         present = np.union1d(one, two)
         six = pairs.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]
@@ -174,56 +188,50 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         counts, _ = column("counts", "<u4")
         known, total = counted(keys, counts.astype(np.int64))
         told = total[np.searchsorted(known, keys)].astype("<u8")
-        six = column("pairs", np.uint8)[0].reshape(-1, 6)
+        six, pair_ends = column("pairs", np.dtype("V6"))
         eight = np.zeros((len(six), 8), np.uint8)
-        eight[:, :6] = six
-        pairs, pair_total = counted(eight.view(">u8").ravel().astype(np.uint64), column("pair_counts", "<u4")[0].astype(np.int64))
-        seen = total > 0
+        eight[:, :6] = six.view(np.uint8).reshape(-1, 6)
+        pairs = eight.view(">u8").ravel().astype(np.uint64)
+        known_pairs, pair_total = counted(pairs, column("pair_counts", "<u4")[0].astype(np.int64))
+        seen, pair_seen = total > 0, pair_total > 0
         low = ~np.uint64(0xFFFF)
-        segment, _ = empty.segment(np.concatenate([known[seen] & low, pairs]), np.concatenate([total[seen], pair_total]), 1 / per)
+        lf = LogFilter.fitted(np.concatenate([known[seen] & low, known_pairs[pair_seen]]), np.concatenate([total[seen], pair_total[pair_seen]]))
+        rough = lf.level(known & low).astype(np.uint8)[np.searchsorted(known, keys)]
+        pair_rough = lf.level(known_pairs).astype(np.uint8)[np.searchsorted(known_pairs, pairs)]
+        replies = [told[a:b].tobytes() + rough[a:b].tobytes() + pair_rough[p:q].tobytes() for a, b, p, q in zip(ends[:-1], ends[1:], pair_ends[:-1], pair_ends[1:], strict=True)]
         n = table.num_rows
         return pa.table({
             "shard": pa.array([table.column("shard")[0].as_py()] * (n + 1), pa.int32()),
             "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
-            "reply": pa.array([*(told[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)), segment], pa.binary()),
+            "reply": pa.array([*replies, None], pa.binary()),
             "tokens": pa.array([0] * n + [int(total.sum())], pa.int64()),
             "types": pa.array([0] * n + [int(seen.sum())], pa.int64()),
         })
 
-    def joined_bits(table: pa.Table) -> pa.Table:
-        bits = np.bitwise_or.reduce([np.frombuffer(b.as_buffer(), np.uint8) for b in table.column("reply")])
-        return pa.table({"segment": table.column("segment")[:1], "reply": pa.array([bits.tobytes()])})
-
     asked = B.asked(blocks, ask, "keys binary, counts binary, pairs binary, pair_counts binary")
     replies = stored(asked.groupBy("shard").applyInArrow(reply, "shard int, block long, reply binary, tokens long, types long"), "ngram-counts")
     sums = replies.agg(F.sum("tokens"), F.sum("types")).first()
     n, v = sums[0] or 0, sums[1] or 0
-    parts = replies.where("block is null").select(F.expr(f"shard div {per}").alias("segment"), "reply")
-    if per > 1:
-        parts = parts.groupBy("segment").applyInArrow(joined_bits, "segment long, reply binary")
-    data = np.zeros((segments, empty.bits // 8), np.uint8)
-    for r in parts.collect():  # MOST_BITS in all
-        data[r["segment"]] = np.frombuffer(r["reply"], np.uint8)
-    shared = spark.sparkContext.broadcast(LogFilter(segments, empty.bits, data))
 
     def scored(batches):
-        lf = shared.value
-        low = ~np.uint64(0xFFFF)
         for batch in batches:
             for k in range(batch.num_rows):
                 t = Tokens(B.opened(batch.column("data")[k]), "id", "text")
                 told = B.earlier(batch.column("answer0")[k])
-                exact = np.frombuffer(b"".join(told[s] for s in sorted(told)), "<u8").astype(np.float64)
                 order, bounds = by_key(t.token)
                 which = np.empty(len(order), np.int64)
                 which[order] = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 words = t.token[order[bounds[:-1]]]
-                rough = lf.read(words & low)
+                n_words = np.bincount(shard_of(words, shards), minlength=shards).tolist()
+                parts = [(told[i], n_words[i]) for i in sorted(told)]
+                exact = np.frombuffer(b"".join(r[: 8 * w] for r, w in parts), "<u8").astype(np.float64)
+                rough = middle(np.frombuffer(b"".join(r[8 * w : 9 * w] for r, w in parts), np.uint8))
+                rough_pairs = middle(np.frombuffer(b"".join(r[9 * w :] for r, w in parts), np.uint8))
                 known = exact[which]
                 base = np.log10((known + 1) / (n + 1 * (v + 1)))
                 p_order, p_bounds = by_key(t.pair)
                 pair = np.empty(len(t.pair))
-                pair[p_order] = np.repeat(lf.read(t.pair[p_order[p_bounds[:-1]]] & low), np.diff(p_bounds))
+                pair[p_order] = np.repeat(rough_pairs, np.diff(p_bounds))
                 single = (rough + 1) / (n + v + 1)
                 before = rough[np.searchsorted(words, t.before)] if len(words) else rough
                 share = np.where(before > 0, np.minimum(pair / np.maximum(before, 1), 1.0), 0.0)
