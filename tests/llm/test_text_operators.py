@@ -385,6 +385,22 @@ def test_field_learns_and_finds_more_than_the_patterns(spark, docs, empty):
     assert find_secrets(empty, field).count() == 0 and find_secrets(docs, field).count() == docs.count()
 
 
+def test_field_trains_on_rare_matches_and_on_long_lines(spark, monkeypatch):
+    from tidemark.llm import secrets
+
+    seen = []
+    monkeypatch.setattr(secrets.Field, "fit", lambda self, columns, labels, starts: seen.append((columns, labels, starts)) or self)
+    plain = " ".join(["the report said nine"] * 200)
+    rows = [(k, f"{k} {plain} password: Abcdefgh{k} {plain}" if k % 50 == 0 else f"{k} plain text") for k in range(2000)]
+    secrets.train_field(spark.createDataFrame(rows, "doc_id long, text string"), sample=40)
+    columns, labels, starts = seen[0]
+    assert (labels == secrets.BEGIN).sum() == 40 and not (labels[starts] == secrets.INSIDE).any()
+    assert len(labels) < 40 * 400 + 40 * 3
+    (whole, found, _), = secrets.excerpts([rows[0][1]], 400, 16)
+    alone = secrets.Tokens(*secrets.text_buffer(pa.array([rows[0][1]]))).columns()
+    assert (found > 0).any() and set(whole[:, 5].tolist()) == set(alone[:, 5].tolist())  # the file feature of the whole text
+
+
 def test_scores(docs, rows, empty):
     from tidemark.llm.ngrams import HELD_OUT, score
 

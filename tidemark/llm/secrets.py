@@ -8,12 +8,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, give_back, small_batches, spans_of_bytes, text_buffer
+from .common import Words, give_back, small_batches, spans_of_bytes, stored, text_buffer
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: For Spark: whether a text has a base match. What else points to secrets.
+BASE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}|AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}"""
+MARKS = re.compile(r"(?i:passw|secret|token|api_?key)|AKIA", re.A)
 KINDS = ("assign", "access", "hex", "crf")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -218,40 +221,66 @@ def chars_before(text: bytes, at: np.ndarray) -> np.ndarray:
     return total[at]
 
 
-def weak_labels(texts: list[str]):
-    """Columns, labels and chain starts of tokens labelled by the base patterns."""
-    raw, offsets = text_buffer(pa.array(texts, pa.string()))
-    tokens = Tokens(raw, offsets)
-    labels = np.zeros(len(tokens.start), np.int64)
-    for d, text in enumerate(texts):
-        a, b = tokens.first[d], tokens.first[d + 1]
-        spans = base_spans(text) if b > a else []
-        if spans:
-            at = chars_before(text.encode(), tokens.start[a:b] - offsets[d])
-            to = chars_before(text.encode(), tokens.end[a:b] - offsets[d])
-            for s, _, e in spans:
-                hit = a + np.flatnonzero((at < e) & (to > s))
-                labels[hit] = np.where(labels[hit] > 0, labels[hit], INSIDE)
-                labels[hit[:1]] = np.where(labels[hit[:1]] == INSIDE, BEGIN, labels[hit[:1]])
-    return tokens.columns(), labels, tokens.chain_start
-
-
-def train_field(docs: DataFrame, sample: int = 1500, line_chars: int = 400, id_col: str = "doc_id", text_col: str = "text") -> Field:
+def spread(found: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """At most so many of them, evenly spaced."""
+    return [found[i] for i in sorted({k * len(found) // most for k in range(most)})] if len(found) > most else found
+
+
+def excerpts(texts: list[str], line_chars: int, windows: int):
+    """Of each text with words: columns, labels by the base patterns and chain starts of the tokens to learn from.
+
+    Those are the tokens in windows around base matches and around other marks, and the first ones of the first
+    three lines. All are features and labels of the whole text.
+    """
+    for text in texts:
+        raw, offsets = text_buffer(pa.array([text], pa.string()))
+        tokens = Tokens(raw, offsets)
+        if not len(tokens.start):
+            continue
+        at, to = chars_before(raw.tobytes(), tokens.start), chars_before(raw.tobytes(), tokens.end)
+        labels = np.zeros(len(at), np.uint8)
+        spans = base_spans(text)
+        for s, _, e in spans:
+            hit = np.arange(np.searchsorted(to, s, "right"), np.searchsorted(at, e, "left"))
+            labels[hit] = np.where(labels[hit] > 0, labels[hit], INSIDE)
+            labels[hit[:1]] = np.where(labels[hit[:1]] == INSIDE, BEGIN, labels[hit[:1]])
+        line = np.cumsum(tokens.chain_start) - 1
+        chosen = (line < 3) & (at - at[tokens.chain_start][line] < line_chars)
+        others = [m.span() for m in MARKS.finditer(text)]
+        for s, e in [*spread([(s, e) for s, _, e in spans], windows), *spread(others, windows)]:
+            chosen[np.searchsorted(to, s - line_chars // 2, "right") : np.searchsorted(at, e + line_chars // 2, "left")] = True
+        for i in np.flatnonzero(chosen[1:] & ~chosen[:-1] & (labels[1:] == INSIDE)).tolist():  # no chain starts inside
+            while labels[i + 1] == INSIDE and i >= 0:
+                chosen[i] = True
+                i -= 1
+        kept = np.flatnonzero(chosen)
+        start = tokens.chain_start[kept] | (np.diff(kept, prepend=-9) > 1)
+        yield tokens.columns()[kept].astype("<u2"), labels[kept], start
+
+
+def train_field(docs: DataFrame, sample: int = 1500, line_chars: int = 400, id_col: str = "doc_id", text_col: str = "text", windows: int = 16) -> Field:
     """Fits the field on at most sample documents with a base pattern and as many without.
 
-    Bounded by sample and line_chars: of each sampled document, the lines with a keyword, access key or long
-    hex run and the first lines, each up to line_chars long. Both halves come first by a hash of the id, from
-    a share of documents (by the same hash) that holds some 20 times as many.
+    Both come first of all documents by a hash of the id: hashes alone are compared, then texts are looked up.
+    Bounded by sample, line_chars and windows: of each, windows of line_chars characters around base matches and
+    around other marks (if there are more, so many of each, evenly spaced) and as many characters of the first
+    three lines.
     """
-    marks = r"(?i)passw|secret|token|api_?key|AKIA|[0-9a-f]{24}"
-    order = F.xxhash64(F.col(id_col), F.lit(7))
-    share = min(1.0, 20 * sample / max(docs.count(), 1))
-    some = docs.where(F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(id_col).alias("_id"), order.alias("_mark"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    lines = F.filter(F.split("_text", "\n"), lambda x: (F.length(x) <= line_chars) & (F.length(x) > 0))
-    told = F.slice(F.filter(lines, lambda x: x.rlike(marks)), 1, 5)
-    some = some.withColumn("_hint", F.col("_text").rlike(marks)).select("_id", "_mark", "_hint", F.array_join(F.concat(told, F.slice(lines, 1, 3)), "\n").alias("t"))
-    rows = [r for hint in (True, False) for r in some.where(F.col("_hint") == hint).orderBy("_mark", "_id", "t").limit(sample).select("t").collect()]
-    return Field().fit(*weak_labels(sorted({r["t"] for r in rows if r["t"]})))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    mark, same = F.xxhash64(F.col(id_col), F.lit(7)), F.xxhash64(text)
+    keys = stored(docs.select(mark.alias("_mark"), same.alias("_same"), text.rlike(BASE).alias("_hint")), "secret-marks")
+    some = [keys.where(F.col("_hint") == hint).orderBy("_mark", "_same").limit(sample).select("_mark", "_same") for hint in (True, False)]
+    chosen = F.broadcast(some[0].unionByName(some[1]).distinct())
+
+    def made(batches):
+        for batch in batches:
+            rows = [[x.tobytes() for x in e] for e in excerpts(batch.column("_text").to_pylist(), line_chars, windows)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in (zip(*rows, strict=True) if rows else ((), (), ()))], ["columns", "labels", "starts"])
+
+    texts = docs.select(mark.alias("_mark"), same.alias("_same"), text.alias("_text")).join(chosen, ["_mark", "_same"]).select("_text")
+    parts = sorted({tuple(bytes(x) for x in r) for r in texts.mapInArrow(made, "columns binary, labels binary, starts binary").distinct().collect()})
+    columns, labels, starts = (np.frombuffer(b"".join(p[k] for p in parts), kind) for k, kind in enumerate(("<u2", np.uint8, bool)))
+    return Field().fit(columns.reshape(-1, 6), labels.astype(np.int64), starts)
 
 
 def scan(texts: pa.Array, field: Field) -> list[list[tuple[int, int, int]]]:
