@@ -152,3 +152,14 @@ def test_stream_appends_each_file_once(spark):
     assert append_new_files(spark, src, df.schema, target, marks) == 1
     assert append_new_files(spark, src, df.schema, target, marks) == 0
     assert spark.read.parquet(target).count() == 10
+
+
+def test_csv_latin1_carries_whole_titles(spark, data, monkeypatch):
+    from tidemark.plans import queries as Q
+
+    read, seen = Q.scans.read_csv, []
+    monkeypatch.setattr(Q.scans, "read_csv", lambda *a, **k: seen.append(read(*a, **k)) or seen[-1])
+    out = Q.QUERIES["csv_latin1"](spark, data)
+    sent = spark.read.parquet(f"{data}/pages.parquet").selectExpr("page_id", "regexp_extract(html, '<title>([^<]*)', 1) AS t")
+    assert sorted((r.page_id, r.titulo or "") for r in seen[0].collect()) == sorted(map(tuple, sent.collect()))
+    assert out.count() == sent.count() and out.where("length(titulo) > 30").count() == 0

@@ -471,9 +471,13 @@ def _(spark, d):
 @query("csv_latin1", "SELECT page_id, left(regexp_extract(html, '<title>([^<]*)', 1), 30) AS titulo FROM pages")
 def _(spark, d):
     src = shared_path(spark, "latin1")
-    table(spark, d, "pages").select("page_id", F.left(F.regexp_extract("html", "<title>([^<]*)", 1), F.lit(30)).alias("titulo")).write.option("header", True).option("sep", ";").option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("encoding", "ISO-8859-1").csv(src)
+    table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)", 1).alias("titulo")).write.option("header", True).option("sep", ";").option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("encoding", "ISO-8859-1").csv(src)
     out = scans.read_csv(spark, src, "page_id long, titulo string", sep=";", encoding="ISO-8859-1")
-    return out.withColumn("titulo", F.coalesce("titulo", F.lit("")))
+    # whole titles go out and come back, each held against its page; only what is shown is cut, as the SQL does
+    whole = table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)", 1).alias("_sent"))
+    read = out.select("page_id", F.coalesce("titulo", F.lit("")).alias("titulo")).join(whole, "page_id", "full")
+    same = F.col("titulo").eqNullSafe(F.col("_sent"))
+    return read.select("page_id", F.when(same, F.left("titulo", F.lit(30))).otherwise(F.raise_error(F.concat(F.lit("title changed on its way: page "), F.col("page_id").cast("string")))).alias("titulo"))
 
 
 _DRIFT = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.StringType()), T.StructField("v", T.DoubleType())])
