@@ -122,9 +122,10 @@ class PieceCodec:
     """Encodes and decodes through chunks that no piece spans, each held against the reference library once.
 
     Where no piece has a marker behind another character, texts are cut before each run of spaces; a line
-    feed that is in no piece is a chunk of its own. Ids that differ from the reference's are replaced by them
-    and counted (BPE models that give one score to several pieces leave the order of merges to position).
-    Unigram models, and models whose pieces cross such cuts, are encoded whole.
+    feed that is in no piece is a chunk of its own. The ids are the rebuilt tokenizer's in any case; chunks
+    whose ids differ from the reference's are remembered (BPE models that make one piece by several merges leave
+    their order to position, as in long runs of one mark). Unigram models, and models whose pieces cross such
+    cuts, are encoded whole.
     """
 
     def __init__(self, raw: bytes):
@@ -137,7 +138,7 @@ class PieceCodec:
         self.plain = not self.model.charsmap and not self.model.squeeze
         texts = [p for p, _, kind in self.model.pieces if kind in (NORMAL, USER_DEFINED)]
         self.cuts = self.model.kind == BPE and self.model.escape and self.model.dummy_prefix and self.model.byte_fallback and not any(MARK in p.lstrip(MARK) or "\n" in p for p in texts)
-        self.differ: set[str] = set()  # chunks whose ids the reference had to give
+        self.differ: set[str] = set()  # chunks whose ids the reference gives otherwise
         self.broken: set[str] = set()  # chunks that decoding doesn't give back
         self.feed = self.reference.encode("\n") if self.cuts else []
         find = re.compile(r" +[^ \n]*|[^ \n]+|\n").findall if self.cuts else (lambda t: [t])
@@ -160,14 +161,14 @@ class PieceCodec:
         self.differ &= self.cache.known.keys()
         self.broken &= self.cache.known.keys()
         out = []
-        own, truth = self._ids(chunks), self._truth(chunks)
-        back = (self.part if self.cuts else self.whole).decode_batch(truth, skip_special_tokens=False)
-        for chunk, a, b, text in zip(chunks, own, truth, back, strict=True):
-            if a != b:
+        own, told = self._ids(chunks), self._truth(chunks)
+        back = (self.part if self.cuts else self.whole).decode_batch(own, skip_special_tokens=False)
+        for chunk, ids, other, text in zip(chunks, own, told, back, strict=True):
+            if ids != other:
                 self.differ.add(chunk)
             if text != (chunk if self.cuts else self.clean.normalize_str(chunk)):
                 self.broken.add(chunk)
-            out.append(np.array(b, "<u4").tobytes())
+            out.append(np.array(ids, "<u4").tobytes())
         return out
 
     def encode(self, texts: list[str]):
@@ -193,10 +194,10 @@ def codec(path: str) -> PieceCodec:
 def encode_pieces(docs: DataFrame, model_path: str, threads: int = 2, text_col: str = "text", out_col: str = "pieces") -> DataFrame:
     """docs with out_col: struct<ids array<int>, ids_crc32, parity, round_trip>.
 
-    parity: the rebuilt tokenizer itself gave the reference library's ids for every part of the text (they
-    are what ids holds in any case); round_trip: decoding gives the normalised text back. A null or empty text
-    has no ids and both true. All other columns stay; an empty table stays empty. threads: of the library's
-    batches in one task.
+    ids are the rebuilt tokenizer's. parity: the reference library gives the same ids for every part of the
+    text; round_trip: decoding gives the normalised text back. A null or empty text has no ids and both true.
+    All other columns stay, one that is named out_col is replaced; an empty table stays empty. threads: of the
+    library's batches in one task.
     """
 
     def made(texts: pa.Array) -> pa.Array:
