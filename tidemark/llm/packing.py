@@ -30,13 +30,14 @@ def byte_level_encoder(path: str, chunks: int = CHUNKS) -> ChunkCache:
     Such a tokenizer never joins letters or numbers with other marks (an apostrophe before letters aside), nor
     anything across the start of a white-space run. Chunks are cut there and each distinct one is encoded once;
     those that start with a space are encoded many at a time, and the bytes of their tokens part them again.
-    Strings of special tokens are ordinary text.
+    Added tokens in a text get their own ids, as the library does by default: each is a chunk of its own, and
+    what lies between them is cut as a text. With added tokens that take white space or need whole words,
+    texts are encoded uncut.
     """
     if (path, chunks) not in _encoders:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         n_bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -56,8 +57,20 @@ def byte_level_encoder(path: str, chunks: int = CHUNKS) -> ChunkCache:
             out.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
             return [out[c] for c in chunks]
 
-        find = re.compile(r" ?[^\W_]+| ?(?:[^\w\s]|_)+(?:(?<=')[^\W_]+)?|\s+(?!\S)|\s+").findall
-        _encoders[path, chunks] = ChunkCache(find, encode_many, chunks)
+        words = re.compile(r" ?[^\W_]+| ?(?:[^\w\s]|_)+(?:(?<=')[^\W_]+)?|\s+(?!\S)|\s+").findall
+        added = sorted(tokenizer.get_added_tokens_decoder().values(), key=lambda t: -len(t.content))
+        marks = [t.content for t in added]
+        at_marks = re.compile("(" + "|".join(map(re.escape, marks)) + ")").split
+
+        def find(text: str) -> list[str]:
+            if not any(m in text for m in marks):
+                return words(text)
+            return [c for k, part in enumerate(at_marks(text)) for c in ([part] if k % 2 else words(part))]
+
+        if any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added):
+            _encoders[path, chunks] = ChunkCache(lambda text: [text], encode_many, 1)
+        else:
+            _encoders[path, chunks] = ChunkCache(find, encode_many, chunks)
     return _encoders[path, chunks]
 
 
