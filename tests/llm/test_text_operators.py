@@ -57,7 +57,6 @@ def test_packing(docs, rows, empty):
     from tidemark.llm.packing import pack
 
     tokenizer = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     out = pack(docs, tokenizer_file("byte_bpe_50k.json")).collect()
     want = collections.Counter()
     total = 0
@@ -122,8 +121,7 @@ def test_chunked_ids_equal_whole_ids():
     from tidemark.llm.packing import byte_level_encoder
 
     tokenizer = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    odd = ["don't we'll 'tis it's. **'s **'x a'b'c  d   \n e ", "x\n\n  y\t z", " a  ", "日本語 ² ½ x² _a_b __'re 12ab", "'", "", " ", "<|endoftext|> x", *filter(None, texts())]
+    odd = ["a <|endoftext|>  \n b<|endoftext|><|endoftext|>c <|endoftext|", "<|<|endoftext|>|>  ", " <|endoftext|> don't","don't we'll 'tis it's. **'s **'x a'b'c  d   \n e ", "x\n\n  y\t z", " a  ", "日本語 ² ½ x² _a_b __'re 12ab", "'", "", " ", "<|endoftext|> x", *filter(None, texts())]
     ids = byte_level_encoder(tokenizer_file("byte_bpe_50k.json")).encode(odd)
     assert [np.frombuffer(x, "<u4").tolist() for x in ids] == [e.ids for e in tokenizer.encode_batch(odd, add_special_tokens=False)]
 
@@ -174,8 +172,24 @@ def test_pieces_equal_the_reference_library(docs, rows, empty):
     for r in out:
         ids = reference.encode(r.text or "")
         assert r.ids == ids and r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
-        assert r.round_trip and r.decoded == (r.text or "")
+        assert r.parity and r.round_trip and r.decoded == (r.text or "")
     assert encode_pieces(empty, path).count() == 0
+    named = encode_pieces(docs.withColumn("pieces", F.lit("x")), path)
+    assert named.columns.count("pieces") == 1 and named.where("pieces.parity").count() == len(rows)
+
+
+def test_a_wrong_rebuild_shows_in_ids_and_parity(monkeypatch):
+    from tidemark.llm import pieces as P
+
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        raw = f.read()
+    said = ["the theory of the thing", ""]
+    right = list(P.PieceCodec(raw).encode(said))
+    whole = P.merges
+    monkeypatch.setattr(P, "merges", lambda model: [m for m in whole(model) if "".join(m) not in ("▁the", "▁th", "th")])
+    wrong = list(P.PieceCodec(raw).encode(said))
+    assert right[0][1] and not wrong[0][1] and wrong[0][0] != right[0][0]
+    assert wrong[0][2] and wrong[1] == right[1] == (b"", True, True)
 
 
 def wire(number, value):
