@@ -7,7 +7,6 @@ bear costs one entry a block; shards of the key space answer every block in the
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from ..scratch import shared_table
 from .common import give_back, small_batches
 
 #: Text bytes of a block (one longer document is a block alone) and of what a shard answers for.
@@ -58,7 +58,7 @@ def packed(docs: DataFrame, text_col: str = "text", name: str = "blocks") -> Dat
         if held:
             yield block()
 
-    table = f"tidemark_{name}_{uuid.uuid4().hex[:12]}"
+    table = shared_table(spark, name)
     rows = docs.mapInArrow(made, "size long, data binary").select(F.monotonically_increasing_id().alias("block"), "size", "data")
     n = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows.write.bucketBy(n, "block").option("compression", "none").saveAsTable(table)

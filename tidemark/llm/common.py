@@ -3,32 +3,19 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..scratch import shared_path
 
 #: Text bytes that numpy works on at once (one longer document is worked on alone), and characters of texts whose
 #: chunks are looked up at once.
 CHUNK_BYTES, LOOKUP_CHARS = 1 << 18, 1 << 20
 
-_own_folder: dict[str, str] = {}
-
-
-def setting(spark: SparkSession, key: str, default: str | None = None) -> str | None:
-    """A setting of the session or of the application."""
-    return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, default)
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
-    base = setting(spark, "spark.checkpoint.dir")
-    if not base:
-        app = spark.sparkContext.applicationId
-        base = _own_folder.setdefault(app, tempfile.mkdtemp(prefix="tidemark-"))
-    return f"{base.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex[:12]}"
+#: Rows of a side that joins broadcast; hot keys that they broadcast beyond it, and the least rows of one.
+SMALL_SIDE, MOST_HOT, LEAST_HOT = 200_000, 10_000, 100
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -38,6 +25,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(rows: DataFrame, side: DataFrame, key: str | list[str], count: str) -> DataFrame:
+    """rows joined with side, a written table with one row of each key, of which count says how many of rows have it.
+
+    A side of at most SMALL_SIDE rows is broadcast. Of a larger one, keys with more than a MOST_HOT-th of all
+    rows are broadcast, which are MOST_HOT at most, and only the rest is shuffled, so no key is one task's.
+    """
+    keys = [key] if isinstance(key, str) else key
+    n, total = side.agg(F.count("*"), F.sum(count)).first()
+    if n <= SMALL_SIDE:
+        return rows.join(F.broadcast(side), keys)
+    least = max((total or 0) // MOST_HOT, LEAST_HOT)
+    hot = side.where(F.col(count) > least)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(side.where(F.col(count) <= least), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of at most 1000 rows or 4 MB from now on: 10000 rows, Spark's default, are tens of MB of
     text several times over, in a task's JVM and in its worker. A smaller setting of the session stays."""

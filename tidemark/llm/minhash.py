@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, give_back, mix64, runs_of_words, small_batches, spans_of_bytes, stored, text_buffer
+from .common import SMALL_SIDE, Words, give_back, join_counted, mix64, runs_of_words, small_batches, spans_of_bytes, stored, text_buffer
 
 #: Bands and rows: two sets of similarity 0.8 share no band with a chance of (1 - 0.8**5)**32, 3 in a million.
 BANDS, ROWS = 32, 5
@@ -64,8 +64,8 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return acc
 
 
-def sketches(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str) -> DataFrame:
-    """id, n (set size), h1, h2 (a 128-bit hash of the set), bands (array of BANDS keys; empty for no set)."""
+def sketches(docs: DataFrame, shingles: Shingles, text_col: str) -> DataFrame:
+    """docs without the text, n (set size), h1, h2 (a 128-bit hash of the set), bands (array of BANDS keys; empty for no set)."""
 
     def made(texts: pa.Array) -> pa.Array:
         raw, offsets = text_buffer(texts)
@@ -85,7 +85,8 @@ def sketches(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str) ->
         return pa.StructArray.from_arrays([pa.array(n), pa.array(flat[0]), pa.array(flat[1]), pa.ListArray.from_arrays(pa.array(at), pa.array(flat[2]))], names=["n", "h1", "h2", "bands"])
 
     udf = F.arrow_udf(made, "struct<n:bigint,h1:bigint,h2:bigint,bands:array<bigint>>")
-    return docs.select(F.col(id_col).alias("id"), udf(F.col(text_col)).alias("s")).select("id", "s.*")
+    rest = [c for c in docs.columns if c != text_col]
+    return docs.select(*rest, udf(F.col(text_col)).alias("s")).select(*rest, "s.*")
 
 
 def full_sets(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str) -> DataFrame:
@@ -129,11 +130,22 @@ def verified(pairs: DataFrame, sets: DataFrame, shingles: Shingles) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(alike("wa", "sa", "wb", "sb")).select("a", "b")
 
 
+def with_least(pairs: DataFrame, n: int) -> DataFrame:
+    """n pairs (a, b) at most, each with m, the least b that its a has.
+
+    The least comes from partial aggregation; nodes with very many pairs are joined by broadcast.
+    """
+    least = pairs.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    if n <= SMALL_SIDE:  # nodes are as many as pairs at most
+        return pairs.join(F.broadcast(least), "a")
+    return join_counted(pairs, stored(least, "least"), "a", "n")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components by alternating large-star and small-star: node, component (its smallest node).
 
-    edges: a, b. Every node of an edge is returned. Each round is a written table; the least neighbour of a
-    node comes from partial aggregation and a join, so a hub is never gathered in one place.
+    edges: a, b. Every node of an edge is returned. Each star is a written table, and no hub is gathered in one
+    place (with_least).
     """
 
     def state(e: DataFrame) -> tuple:
@@ -143,11 +155,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = state(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        e = stored(small.where("a <> b").distinct(), "star")
+        large = with_least(both, 2 * before[0]).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b")
+        large = stored(large.distinct(), "star")
+        told = with_least(large, before[0])
+        e = stored(told.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(told.select("a", F.col("m").alias("b"))).distinct(), "star")
         now = state(e)
         if now == before:
             break
@@ -170,7 +181,7 @@ def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, shingle
     apart = stored(apart, "apart")
     rows = apart.agg(F.sum(F.col("m") * F.col("tall") + F.col("m") * F.col("wide"))).first()[0] or 0
     bins = max(1, -(-rows // BIN_ROWS))
-    here = placed.join(apart, "key")
+    here = join_counted(placed, apart, "key", "m")
     own_wide, own_tall = (F.pmod(F.xxhash64("rep", F.lit(n)), F.col(x)).cast("int") for n, x in ((1, "wide"), (2, "tall")))
     among = here.select("key", "rep", "c", F.lit(False).alias("minor"), own_wide.alias("w"), F.explode(F.sequence(F.lit(0), F.col("tall") - 1)).alias("t"))
     minor = here.where("c <> main").select("key", "rep", "c", F.lit(True).alias("minor"), F.explode(F.sequence(F.lit(0), F.col("wide") - 1)).alias("w"), own_tall.alias("t"))
@@ -207,40 +218,74 @@ def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, shingle
     return met.groupBy("bin").applyInArrow(compared, "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame, shingles: Shingles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Groups of near-duplicate documents: id_col, n_shingles, component_id, kept.
-
-    Two documents are linked if their shingle sets reach the threshold, confirmed on the full sets; a group is
-    what links connect, component_id its smallest id, kept whether a row bears it. Equal sets are one node, so
-    exact copies cost nothing more. In each bucket of a band, every member is first held against the bucket's
-    smallest and against the one that meets most others; what is still apart after that is held against all
-    of its bucket, so no pair that a band shows is left out and no group is expanded into all its pairs.
+def near_rows(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
+    """row, id, n (set size), component (a number of the group, null without a set), component_id of each row.
 
-    A null or empty text, or one without words, links with nothing and is its own group. Rows with one id are
-    one document and fall in one group. A row with a null id joins its group but isn't kept unless its group
-    has no id. Other columns are ignored; an empty table gives no rows.
+    row_col: a column of distinct numbers; without one rows are numbered here. See near_groups.
     """
     small_batches(docs.sparkSession)
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = stored(sketches(own, shingles, "id", "text"), "sketches")
-    reps = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
+    text = F.col(text_col)
+    own = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text, F.lit(3)).alias("t"), (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"))
+    rows = stored(sketches(own, shingles, "text"), "sketches")
+    full, one_set = rows.where("n > 0"), ["h1", "h2", "n"]
+    # a set is a node; one of its texts, found again by id and hash, stands for all
+    first = F.struct(F.col("id").isNull(), "id", "row")
+    reps = full.groupBy(*one_set).agg(F.min("row").alias("rep"), F.min("id").alias("least_id"), F.min_by("id", first).alias("id"), F.min_by("t", first).alias("t"), F.count("*").alias("copies"))
     reps = stored(reps, "sets")
-    some = rows.where("n > 0").join(reps.where("rep is not null").select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    members = some.select(F.col("id").alias("rep"), F.explode("bands").alias("key")).distinct()
-    shared = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    members = stored(members.join(shared, "key"), "buckets")
+    bands = stored(full.join(reps.select(F.col("rep").alias("row")), "row", "left_semi").select(F.col("row").alias("rep"), "bands"), "bands")
+    members = bands.select("rep", F.explode("bands").alias("key"))
+    shared = stored(members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "shared-keys")
+    members = stored(join_counted(members, shared, "key", "m"), "buckets")
     popular = members.groupBy("rep").agg(F.sum("m").alias("met"))
-    leaders = members.join(popular, "rep").groupBy("key").agg(F.min("rep").alias("first"), F.max_by("rep", "met").alias("hub"))
+    leaders = stored(members.join(popular, "rep").groupBy("key").agg(F.min("rep").alias("first"), F.max_by("rep", "met").alias("hub"), F.max("m").alias("m")), "leaders")
     pair = (F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
-    tried = members.join(leaders, "key").select("rep", F.explode(F.array("first", "hub")).alias("other")).where("rep <> other").select(*pair).distinct()
-    wanted = members.select(F.col("rep").alias("id")).distinct()
-    sets = stored(full_sets(own.join(wanted, "id", "left_semi").dropDuplicates(["id"]), shingles, "id", "text"), "full-sets")
+    tried = join_counted(members.drop("m"), leaders, "key", "m").select("rep", F.explode(F.array("first", "hub")).alias("other")).where("rep <> other").select(*pair).distinct()
+    wanted = reps.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", F.coalesce("id", "t").alias("_id"), F.col("t").alias("_t"))
+    texts = own.select(F.coalesce("id", "t").alias("_id"), F.col("t").alias("_t"), "text").join(wanted, ["_id", "_t"]).dropDuplicates(["rep"])
+    sets = stored(full_sets(texts, shingles, "rep", "text"), "full-sets")
     links = stored(verified(tried, sets, shingles), "links")
     groups = stored(components(links), "components")
-    late = stored(links_across(members, groups, sets, shingles), "late-links")
+    late = stored(links_across(members.drop("m"), groups, sets, shingles), "late-links")
     if late.head(1):
         groups = stored(components(links.unionByName(late)), "components")
-    nodes = reps.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
-    found = rows.where("n > 0").select("id", "h1", "h2", "n").join(nodes, ["h1", "h2", "n"]).select("id", "n", "component_id")
-    found = found.unionByName(rows.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
+    nodes = stored(reps.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(*one_set, "least_id", "component", F.col("rep").alias("own"), "copies"), "nodes")
+    ids = stored(nodes.where("component is not null").groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("sets")), "component-ids")
+    joined = join_counted(nodes.where("component is not null"), ids, "component", "sets").select(*one_set, "component", "component_id", "copies")
+    alone = nodes.where("component is null").select(*one_set, F.col("own").alias("component"), F.col("least_id").alias("component_id"), "copies")
+    nodes = stored(joined.unionByName(alone), "set-groups")
+    found = join_counted(full.select("row", "id", *one_set), nodes, one_set, "copies").select("row", "id", "n", "component", "component_id")
+    none = rows.where("n = 0").select("row", "id", "n", F.lit(None).cast("long").alias("component"), F.col("id").alias("component_id"))
+    return found.unionByName(none)
+
+
+def near_groups(docs: DataFrame, shingles: Shingles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Groups of near-duplicate documents: id_col, n_shingles, component_id, kept.
+
+    Two documents are linked if their shingle sets reach the threshold, confirmed on the full sets; a group is
+    what links connect, component_id its smallest id, kept whether a row bears it. Equal sets are one node, so
+    exact copies cost nothing more. In each bucket of a band, every member is first held against the bucket's
+    smallest and against the one that meets most others; what is still apart after that is held against all
+    of its bucket, so no pair that a band shows is left out and no group is expanded into all its pairs.
+
+    A null or empty text, or one without words, links with nothing and is its own group. Every row is a document:
+    rows with one id and different texts are compared each by its own text and may fall in different groups. A
+    row with a null id joins its group but isn't kept unless its group has no id. Other columns are ignored; an
+    empty table gives no rows.
+    """
+    found = near_rows(docs, shingles, id_col, text_col)
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def without_near_copies(docs: DataFrame, shingles: Shingles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near-duplicates: that of the smallest id, of repeated ids one.
+
+    Rows whose ids are null come last in their group. Texts without words are in no group and all stay. All
+    columns stay, but one named _tidemark_row; an empty table stays empty.
+    """
+    rows = stored(docs.withColumn("_tidemark_row", F.monotonically_increasing_id()), "numbered")
+    found = stored(near_rows(rows, shingles, id_col, text_col, "_tidemark_row").where("n > 0").select("row", "id", "component"), "near-rows")
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias("row"))
+    gone = stored(found.join(first, "row", "left_anti").select(F.col("row").alias("_tidemark_row")), "near-copies")
+    if gone.count() <= SMALL_SIDE:  # else both sides are shuffled by row
+        gone = F.broadcast(gone)
+    return rows.join(gone, "_tidemark_row", "left_anti").drop("_tidemark_row")
