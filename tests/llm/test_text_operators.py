@@ -277,6 +277,35 @@ def test_minhash_groups_without_a_common_centre(spark):
     assert out == {i: c for i, (_, c) in want.items()}
 
 
+def test_rows_that_share_an_id_are_documents_each(spark):
+    from tidemark.llm.minhash import Shingles, near_groups, without_near_copies
+
+    rng = random.Random(12)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (5, a), (5, b), (7, b), (7, b), (9, c), (None, c), (None, c), (3, ""), (3, "")]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "text").withColumn("row", F.lit("clash"))
+        out = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_groups(docs, Shingles(4)).collect()), key=repr)
+        assert out == sorted([(1, 57, 1, True), (5, 57, 1, False), (5, 57, 5, True), (7, 57, 5, False), (7, 57, 5, False), (9, 57, 9, True), (None, 57, 9, False), (None, 57, 9, False), (3, 0, 3, True), (3, 0, 3, True)], key=repr)
+        left = sorted(((r.doc_id, r.text, r.row) for r in without_near_copies(docs, Shingles(4)).collect()), key=repr)
+        assert left == sorted([(1, a, "clash"), (5, b, "clash"), (9, c, "clash"), (3, "", "clash"), (3, "", "clash")], key=repr)
+
+
+def test_joins_with_hot_keys_keep_all_rows(spark, monkeypatch):
+    from tidemark.llm import common
+    from tidemark.llm.minhash import components
+
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(0)).otherwise(F.col("id") % 400).alias("k"), "id")
+    side = common.stored(rows.groupBy("k").agg(F.count("*").alias("n")), "side")
+    monkeypatch.setattr(common, "SMALL_SIDE", 10)
+    out = common.join_counted(rows, side, "k", "n")
+    assert out.columns == ["k", "id", "n"] and out.count() == 3000 and out.where("k = 0 and n < 1000").count() == 0
+    monkeypatch.setattr("tidemark.llm.minhash.SMALL_SIDE", 10)
+    edges = [(0, k) for k in range(1, 400)] + [(k, k + 1) for k in range(500, 520)]
+    out = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert out == {**dict.fromkeys(range(400), 0), **dict.fromkeys(range(500, 521), 500)}
+
+
 def test_components(spark):
     from tidemark.llm.minhash import components
 
