@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.minhash import Shingles, near_groups
+from tidemark.llm.minhash import Shingles, without_near_copies
 from tidemark.llm.packing import pack
 from tidemark.llm.quality import fit_judge, judged
 from tidemark.llm.queries import tokenizer_file
@@ -24,9 +24,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group (five-word shingles, 0.8 or more)."""
-    gone = near_groups(docs, Shingles(5)).where("not kept").select(F.col("doc_id").alias("_gone")).where("_gone is not null").distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """One document of each near-duplicate group, that of the smallest id (five-word shingles, 0.8 or more)."""
+    return without_near_copies(docs, Shingles(5))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
