@@ -25,8 +25,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_counted(rows: DataFrame, side: DataFrame, key: str | list[str], count: str) -> DataFrame:
-    """rows joined with side, a written table with one row of each key, of which count says how many of rows have it.
+def join_counted(rows: DataFrame, side: DataFrame, key: str | list[str], count: str, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with side, a written table with one row of each key, of which count says how
+    many of rows have it.
 
     A side of at most SMALL_SIDE rows is broadcast. Of a larger one, keys with more than a MOST_HOT-th of all
     rows are broadcast, which are MOST_HOT at most, and only the rest is shuffled, so no key is one task's.
@@ -34,10 +35,10 @@ def join_counted(rows: DataFrame, side: DataFrame, key: str | list[str], count:
     keys = [key] if isinstance(key, str) else key
     n, total = side.agg(F.count("*"), F.sum(count)).first()
     if n <= SMALL_SIDE:
-        return rows.join(F.broadcast(side), keys)
+        return rows.join(F.broadcast(side), keys, how)
     least = max((total or 0) // MOST_HOT, LEAST_HOT)
     hot = side.where(F.col(count) > least)
-    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(side.where(F.col(count) <= least), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(side.where(F.col(count) <= least), keys, how)
     return rows.join(F.broadcast(hot), keys).unionByName(rest)
 
 

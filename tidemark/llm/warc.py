@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
-
-#: Compressed bytes after which a file is rolled, and payload bytes that a shard should hold.
-ROLL_BYTES, SHARD_BYTES = 64 << 20, 64 << 20
-#: Ranges of ids that shards are made of; this many rows at most reach the driver.
-RANGES = 1 << 16
+from .common import join_counted, small_batches, stored
+
+#: Compressed bytes after which a file is rolled.
+ROLL_BYTES = 64 << 20
+#: Shards that there should be, and the least and most bytes of one, which go before that number.
+SHARDS, LEAST_SHARD, MOST_SHARD = 1024, 8 << 20, 256 << 20
+#: Parts by payload that the rows of one id split into, and ids that one task sums up.
+PARTS, ROWS_PER_TASK = 1024, 500_000
 LEVEL = 3
 #: Every record bears this date unless the caller gives another: archives are the same from run to run.
 DATE = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -45,25 +47,26 @@ def record(kind: str, headers: list[tuple[str, str]], body: bytes, content_type:
     return packer.compress(text.encode() + body + b"\r\n\r\n") + packer.flush()
 
 
-def page_record(page_id: int | None, occurrence: int, url: str | None, payload: bytes, refers: int | None, is_revisit: bool, date: datetime) -> bytes:
-    """A response record, or a revisit that names the response with the same payload and holds none."""
-    digest = digest32(payload)
+def page_record(name: tuple, page_id: int | None, url: str | None, payload: bytes | None, length: int, digest: str, refers: int | None, date: datetime) -> bytes:
+    """A response record, or without a payload a revisit that names the response with the same one.
+
+    name tells records apart: the id and which of its rows it is.
+    """
     when = date.strftime("%Y-%m-%dT%H:%M:%SZ")
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    body = http if is_revisit else http + payload
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % length + (payload or b"")
     uri = "".join(c for c in url or "" if c > " ") or f"urn:page:{page_id}"
     headers = [
-        ("WARC-Record-ID", record_id("page", page_id, occurrence)),
+        ("WARC-Record-ID", record_id("page", *name)),
         ("WARC-Date", when),
         ("WARC-Target-URI", uri),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Block-Digest", f"sha1:{digest32(body)}"),
         ("X-Page-Id", "" if page_id is None else str(page_id)),
-        ("X-Payload-Length", str(len(payload))),
+        ("X-Payload-Length", str(length)),
     ]
-    if is_revisit:
+    if payload is None:
         headers += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id("page", refers, 0)), ("X-Refers-To-Page-Id", str(refers))]
-    return record("revisit" if is_revisit else "response", headers, body, "application/http; msgtype=response")
+    return record("revisit" if payload is None else "response", headers, body, "application/http; msgtype=response")
 
 
 def info_record(name: str, date: datetime) -> bytes:
@@ -76,61 +79,88 @@ def opened(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
-def with_twins(pages: DataFrame, least_bytes: int, id_col: str, url_col: str, body_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (id, url, body, print) and, of payloads that several rows have, print and the least id.
+def shard_starts(sizes: DataFrame) -> list[tuple]:
+    """The first (id, part) of each shard, from rows (id, part, size): equal shares of the bytes before a row.
 
-    Payloads are equal if their SHA-256 and length are. Rows with a null id never are what others refer to.
+    Rows are sorted into ranges; bytes before a row are its range's plus those of the ranges before. They depend
+    on the rows alone, not on where ranges were cut; the driver holds a number a range and a row a shard.
     """
-    own = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(body_col).cast("string"), F.lit("")).alias("body"))
-    own = own.withColumn("print", F.sha2("body", 256))
-    least = own.where(F.octet_length("body") >= least_bytes).where("id is not null").groupBy("print").agg(F.min("id").alias("least"), F.count("*").alias("copies")).where("copies > 1").select("print", "least")
-    return own, least
+    order = (F.asc_nulls_first("id"), F.asc("part"))
+    ranges = max(1, -(-sizes.count() // ROWS_PER_TASK))
+    placed = stored(sizes.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("range", F.spark_partition_id()), "warc-ranges")
+    told = sorted((r["range"], r["size"]) for r in placed.groupBy("range").agg(F.sum("size").alias("size")).collect())
+    total = sum(size for _, size in told)
+    wide = min(max(total // SHARDS, LEAST_SHARD), MOST_SHARD)
+    before, at = {}, 0
+    for k, size in told:
+        before[k], at = at, at + size
+
+    def firsts(batches):
+        last, at = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = batch.column("size").to_numpy()
+            at = before[batch.column("range")[0].as_py()] if at is None else at
+            ends = at + np.cumsum(size)
+            shard = (ends - size) // wide
+            new = np.flatnonzero(np.diff(shard, prepend=-1 if last is None else last))
+            last, at = shard[-1], int(ends[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(shard[new], pa.int64()), batch.column("id").take(pa.array(new)), batch.column("part").take(pa.array(new))], ["shard", "id", "part"])
+
+    low = lambda r: (r["id"] is not None, r["id"] or 0, r["part"])
+    starts: dict[int, tuple] = {}
+    for r in placed.mapInArrow(firsts, "shard long, id long, part int").collect():
+        starts[r["shard"]] = min(starts.get(r["shard"], low(r)), low(r))
+    return [starts[k] for k in sorted(starts)]
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: datetime = DATE, roll_bytes: int = ROLL_BYTES, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
     """Writes a WARC record of each row into folder; returns the manifest: file, records, bytes, sha256.
 
-    Shards are ranges of the id with about SHARD_BYTES of payload, cut from a histogram, so they depend on the
-    rows alone. A shard's records are sorted by id and written one gzip member each, with regenerated headers
-    and digests; a file is rolled after roll_bytes compressed bytes. Tasks write under temporary names that
-    no other attempt shares; the manifest of the attempts that count is stored, the files in it are renamed,
-    and _MANIFEST.json, written last, commits them. What lost attempts left is removed.
+    Shards are ranges of the id with about equal bytes, an id with very many rows splitting by payload, so they
+    depend on the rows alone; a task writes one shard, sorted by id and payload, one gzip member a record, with
+    regenerated headers and digests; a file is rolled after roll_bytes compressed bytes. Tasks write under
+    temporary names that no other attempt shares; the manifest of the attempts that count is stored, the files
+    in it are renamed, and _MANIFEST.json, written last, commits them. What lost attempts left is removed.
 
-    Of equal payloads of least_bytes or more the row with the least id is a response, the others revisit it.
-    Null payloads are empty; a null id comes first and is always a response; rows with one id follow each
-    other, and of those with equal payloads the first is the response. An empty table gives an empty manifest.
+    Of equal payloads (by SHA-256) of least_bytes or more the row with the least id is a response, the others
+    revisit it; only lengths and digests of those are shuffled. Null payloads are empty; a null id comes first
+    and is always a response; rows with one id and payload follow each other, and if the payload is theirs the
+    first is the response. An empty table gives an empty manifest. Other columns are ignored.
     """
     spark = pages.sparkSession
-    own, least = with_twins(pages, least_bytes, id_col, url_col, body_col)
-    bounds = own.agg(F.min("id").alias("a"), F.max("id").alias("b")).first()
-    low, high = (bounds["a"] or 0), (bounds["b"] or 0)
-    step = (high - low) // RANGES + 1
-    span = F.coalesce(F.floor((F.col("id") - low) / step).cast("int"), F.lit(-1))
-    sizes = sorted((r["span"], r["size"]) for r in own.groupBy(span.alias("span")).agg(F.sum(F.octet_length("body") + 512).alias("size")).collect())
-    shard_of, total = {}, 0
-    for k, size in sizes:
-        shard_of[k] = total // SHARD_BYTES
-        total += size
-    cuts = sorted({v: k for k, v in reversed(list(shard_of.items()))}.items())
-    shard = F.lit(0)
-    for number, (_, first) in enumerate(cuts):
-        shard = F.when(F.col("span") >= first, F.lit(number)).otherwise(shard) if number else shard
-    if len(cuts) > 64:  # a table of ranges instead of a long expression
-        table = spark.createDataFrame([(k, int(np.searchsorted([f for _, f in cuts], k, "right")) - 1) for k, _ in sizes], "span int, shard int")
-        placed = own.withColumn("span", span).join(F.broadcast(table), "span")
-    else:
-        placed = own.withColumn("span", span).withColumn("shard", shard)
-    least = stored(least, "warc-twins")
-    if least.count() <= 50_000:  # else both sides are shuffled by the digest
-        least = F.broadcast(least)
-    ready = placed.join(least, "print", "left").select("shard", "id", "url", "body", "least")
-    ordered = ready.repartition(max(1, len(cuts)), "shard").sortWithinPartitions("shard", F.asc_nulls_first("id"), "url", "body")
+    small_batches(spark)
+    body, id_ = F.coalesce(F.col(body_col).cast("string"), F.lit("")), F.col(id_col).cast("long")
+    own = pages.select(id_.alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
+    own = own.withColumns({"print": F.unhex(F.sha2("body", 256)), "length": F.octet_length("body").cast("long")})
+    own = own.withColumn("part", F.pmod(F.xxhash64("print"), F.lit(PARTS)).cast("int"))
+    marks = stored(own.select("id", "print", "part", "length"), "warc-marks")
+    twins = marks.where(F.col("length") >= least_bytes).groupBy("print").agg(F.min("id").alias("least"), F.count("*").alias("copies")).where("copies > 1")
+    twins = stored(twins, "warc-twins")
+    revisits = F.coalesce(F.col("id") != F.col("least"), F.lit(False))  # repeated rows of the least id aside
+    size = F.when(revisits, 0).otherwise(F.col("length")) + 512
+    starts = shard_starts(join_counted(marks, twins, "print", "copies", "left").groupBy("id", "part").agg(F.sum(size).alias("size")))
+    shared = spark.sparkContext.broadcast(tuple(np.array(c, np.int64) for c in zip(*starts, strict=True)) if starts else None)
+
+    @F.arrow_udf("int")
+    def shard_of(ids: pa.Array, parts: pa.Array) -> pa.Array:
+        known, first_id, first_part = shared.value
+        some = np.array(ids.is_valid())
+        keys = np.rec.fromarrays([some, ids.fill_null(0).to_numpy(), parts.to_numpy().astype(np.int64)])
+        table = np.rec.fromarrays([known.astype(bool), first_id, first_part])
+        return pa.array(np.searchsorted(table, keys, "right") - 1, pa.int32())
+
+    ready = join_counted(own, twins, "print", "copies", "left")
+    ready = ready.select("id", "url", "print", "part", "length", "least", F.sha1("body").alias("digest"), F.when(~revisits, F.col("body")).alias("body"))
+    ready = ready.withColumn("shard", shard_of("id", "part"))
+    ordered = ready.repartitionById(max(1, len(starts)), "shard").sortWithinPartitions("shard", F.asc_nulls_first("id"), "part", "print", "url")
     names = uuid.uuid4().hex[:12]
 
     def written(batches):
         system, root = opened(folder)
         out, buffer, count, shard_now, file_no, name = None, 0, 0, None, 0, ""
-        sha, temp, done, last, seen = None, "", [], object(), {}
+        sha, temp, done, last, repeat, nulls = None, "", [], None, 0, 0
 
         def close():
             nonlocal out
@@ -143,7 +173,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: da
             for row in batch.to_pylist():
                 if row["shard"] != shard_now:
                     close()
-                    shard_now, file_no = row["shard"], 0
+                    shard_now, file_no, nulls = row["shard"], 0, 0
                 elif out is not None and buffer >= roll_bytes:
                     close()
                     file_no += 1
@@ -155,14 +185,17 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: da
                     data = info_record(name, date)
                     out.write(data)
                     buffer, count, sha = len(data), 1, hashlib.sha256(data)
-                if row["id"] != last or last is None:
-                    last, seen = row["id"], {}
-                payload = row["body"].encode()
-                mark = hashlib.sha256(payload).digest()
-                repeat = seen.get(mark, 0)
-                seen[mark] = repeat + 1
-                first = row["least"] is None or row["id"] is None or (row["id"] == row["least"] and repeat == 0)
-                data = page_record(row["id"], repeat if row["id"] is not None else len(seen), row["url"], payload, row["least"], not first, date)
+                page, least = row["id"], row["least"]
+                repeat = repeat + 1 if (page, row["print"]) == last else 0
+                last = page, row["print"]
+                first = page is None or least is None or (page == least and not repeat)
+                payload = row["body"].encode() if first else None
+                digest = digest32(payload) if first else base64.b32encode(bytes.fromhex(row["digest"])).decode()
+                # the response to a payload that others revisit is (id, 0); other rows are told apart by the payload
+                key = (page, 0) if page == least and not repeat else (page, row["print"].hex(), repeat)
+                if page is None:
+                    key, nulls = (None, shard_now, nulls), nulls + 1
+                data = page_record(key, page, row["url"], payload, row["length"], digest, least, date)
                 out.write(data)
                 sha.update(data)
                 buffer, count = buffer + len(data), count + 1
@@ -247,5 +280,5 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
     def table(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], columns)
 
-    spread = files.select("file").repartition(max(1, files.count()), "file")
+    spread = files.select("file").repartitionByRange(max(1, files.count()), "file")
     return spread.mapInArrow(read, FIELDS)
