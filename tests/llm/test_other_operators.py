@@ -46,15 +46,37 @@ def test_archives_round_trip(spark, pages):
     assert write_archives(pages.limit(0), tempfile.mkdtemp(prefix="spark-", dir="/tmp")).count() == 0
 
 
-def test_archives_are_the_same_each_time_and_roll(spark, pages):
+def test_archives_are_the_same_each_time_and_roll(spark, pages, monkeypatch):
     from tidemark.llm.warc import read_archives, write_archives
 
+    from tidemark.llm import warc
+
+    monkeypatch.setattr(warc, "LEAST_SHARD", 20_000)
+    monkeypatch.setattr(warc, "ROWS_PER_TASK", 50)
     many = pages.where("page_id is not null").crossJoin(spark.range(20).withColumnRenamed("id", "k")).select((F.col("page_id") * 100 + F.col("k")).alias("page_id"), "url", F.concat("html", F.col("k").cast("string")).alias("html"))
     folders = [tempfile.mkdtemp(prefix="spark-", dir="/tmp") for _ in range(2)]
     one = archive(write_archives(many.repartition(2), folders[0], roll_bytes=3000), folders[0])
     two = write_archives(many.repartition(7, "url"), folders[1], roll_bytes=3000)
     assert one == archive(two, folders[1]) and len(one) > 2
-    assert read_archives(two, folders[1]).count() == many.count()
+    assert read_archives(two, folders[1]).count() == many.count() and len({f[:11] for f in one}) > 5
+
+
+def test_shards_split_dense_ids_hot_ids_and_the_widest_range(spark, monkeypatch):
+    from tidemark.llm import warc
+    from tidemark.llm.warc import read_archives, write_archives
+
+    monkeypatch.setattr(warc, "LEAST_SHARD", 40_000)
+    rows = [(k, "u", f"{k} " + "x" * 900) for k in range(200)] + [(-(2**63), "u", "low"), (2**63 - 1, "u", "high")]
+    rows += [(77, "u", f"hot {k} " + "y" * 900) for k in range(300)] + [(None, "u", f"null {k % 50} " + "z" * 900) for k in range(100)] + [(5, "v", "0 " + "x" * 900)] * 3
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    files = write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), folder)
+    told = files.collect()
+    assert len(told) > 8 and max(r.records for r in told) < 120
+    out = read_archives(files, folder).collect()
+    assert sorted(((r.page_id, r.payload_bytes) for r in out), key=repr) == sorted(((i, len(h)) for i, _, h in rows), key=repr)
+    assert all(r.digest_ok for r in out) and sum(r.record_type == "revisit" for r in out) == 3 and {r.refers_to for r in out} == {None, 0}
+    ids = [line for r in told for line in gzip.decompress(open(f"{folder}/{r.file}", "rb").read()).split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+    assert len(ids) == len(set(ids)) == len(rows) + len(told)
 
 
 def test_embeddings(spark):
