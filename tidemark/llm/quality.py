@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, give_back, small_batches, spans_of_bytes, stored, text_buffer
+from .common import Words, give_back, join_counted, small_batches, spans_of_bytes, stored, text_buffer
 
 HEADS = ("low", "toxic")
 #: Groups (a site, a path and two numbers each) that may be broadcast.
@@ -122,7 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 2500, id_col: str =
     Longer texts than max_chars are not used for fitting; scoring reads whole texts.
     """
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).where(F.length("text") <= max_chars)
-    rows = own.join(F.broadcast(sampled(labels, sample)), "_id").collect()  # 3 x sample ids at most
+    # 3 x sample ids at most, one text of each: the least of those that share an id
+    rows = own.join(F.broadcast(sampled(labels, sample)), "_id").groupBy("_id", "low", "toxic").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["_id"], r["text"]))
     return fit_evidence([r["text"] for r in rows], np.array([[r["low"], r["toxic"]] for r in rows], np.int64).reshape(-1, 2))
 
@@ -151,15 +152,6 @@ def probability(log_odds):
     return 1 / (1 + F.exp(-F.greatest(F.least(log_odds, F.lit(500.0)), F.lit(-500.0))))
 
 
-@dataclass
-class Rates:
-    """Global rate of a head, and how many documents the prior of sites and of paths is worth."""
-
-    rate: float
-    site_weight: float
-    path_weight: float
-
-
 def moments(rates: DataFrame, value: str, about, count: str, rate: float) -> float:
     """Prior weight from the spread of group rates beyond what counting explains (method of moments)."""
     r = rates.agg(F.sum(F.col(count)).alias("n"), F.count("*").alias("k"), F.sum(F.col(count) * (F.col(value) - about) ** 2).alias("s")).first()
@@ -170,28 +162,43 @@ def moments(rates: DataFrame, value: str, about, count: str, rate: float) -> flo
     return float(min(max(within / between - 1, 1.0), 1e6)) if between > 0 else 1e6
 
 
-def hierarchy(scored: DataFrame, site: str, path: str, base_rates: dict[str, float]) -> DataFrame:
-    """Shrunken rates of every (site, path): columns site, path, low, toxic.
+@dataclass
+class Prior:
+    """What a head's groups shrink toward: the rate of all documents, and the weights of the priors."""
+
+    rate: float
+    site: float
+    path: float
+
 
-    scored: site, path (nulls are a group of their own), low, toxic (log likelihood ratios). A document counts
-    with its probability under the base rate. Sites shrink toward the global rate, paths toward their site,
-    by weights from the method of moments; all sums are grouped aggregation, only a few numbers of each head
-    reach the driver.
+def hierarchy(scored: DataFrame) -> tuple[DataFrame, dict[str, Prior]]:
+    """Sums of every (site, path), and the priors of the heads.
+
+    scored: _site, _path (nulls are a group of their own) and p_low, p_toxic, the probability of each head by the
+    evidence under the base rate. Columns: _site, _path, n, site_n, and low, toxic, site_low, site_toxic (sums of
+    probabilities). Weights come from the method of moments; all sums are grouped aggregation, only a few numbers
+    of each head reach the driver.
     """
-    p = [probability(F.col(h) + float(np.log(base_rates[h] / (1 - base_rates[h])))).alias(h) for h in HEADS]
-    paths = scored.select(F.col(site).alias("site"), F.col(path).alias("path"), *p).groupBy("site", "path").agg(F.count("*").alias("n"), *(F.sum(h).alias(h) for h in HEADS))
-    paths = stored(paths, "quality-paths")
-    sites = paths.groupBy("site").agg(F.sum("n").alias("site_n"), *(F.sum(h).alias(f"site_{h}") for h in HEADS))
+    paths = stored(scored.groupBy("_site", "_path").agg(F.count("*").alias("n"), *(F.sum(f"p_{h}").alias(h) for h in HEADS)), "quality-paths")
+    sites = paths.groupBy("_site").agg(F.sum("n").alias("site_n"), *(F.sum(h).alias(f"site_{h}") for h in HEADS))
     whole = paths.agg(F.sum("n").alias("n"), *(F.sum(h).alias(h) for h in HEADS)).first()
-    both = paths.join(sites, paths["site"].eqNullSafe(sites["site"])).drop(sites["site"])
-    out = [F.col("site"), F.col("path")]
+    both = stored(paths.join(sites, paths["_site"].eqNullSafe(sites["_site"])).drop(sites["_site"]), "quality-groups")
+    priors = {}
     for h in HEADS:
         rate = min(max((whole[h] or 0.0) / max(whole["n"] or 1, 1), 1e-6), 1 - 1e-6)
         at_sites = moments(sites.withColumn("_r", F.col(f"site_{h}") / F.col("site_n")), "_r", F.lit(rate), "site_n", rate)
         at_paths = moments(both.withColumn("_r", F.col(h) / F.col("n")), "_r", F.col(f"site_{h}") / F.col("site_n"), "n", rate)
-        site_rate = (F.col(f"site_{h}") + at_sites * rate) / (F.col("site_n") + at_sites)
-        out.append(((F.col(h) + at_paths * site_rate) / (F.col("n") + at_paths)).alias(h))
-    return both.select(*out)
+        priors[h] = Prior(rate, at_sites, at_paths)
+    return both, priors
+
+
+def shrunken(head: str, prior: Prior):
+    """A document's rate of its site and path: what the others there show, shrunk toward the site, and that
+    toward all. The document itself is left out, as its evidence comes in besides."""
+    own = F.col(f"p_{head}")
+    site = (F.greatest(F.col(f"site_{head}") - own, F.lit(0.0)) + prior.site * prior.rate) / (F.col("site_n") - 1 + prior.site)
+    rate = (F.greatest(F.col(head) - own, F.lit(0.0)) + prior.path * site) / (F.col("n") - 1 + prior.path)
+    return F.least(F.greatest(rate, F.lit(1e-9)), F.lit(1 - 1e-9))
 
 
 @dataclass
@@ -204,25 +211,34 @@ class Judge:
 
 
 def fit_judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", low_cutoff: float = 0.25, toxic_cutoff: float = 0.15) -> Judge:
-    """Evidence from a bounded labelled sample, base rates from all labels."""
-    r = labels.agg(F.count("*").alias("n"), F.sum(1 - F.col("quality")).alias("low"), F.sum("toxic").alias("toxic")).first()
-    base = {h: ((r[h] or 0) + 1) / (r["n"] + 4) for h in HEADS}
+    """Evidence from a bounded labelled sample, base rates from all labels that aren't null."""
+    r = labels.agg(F.count("quality").alias("n_low"), F.sum(1 - F.col("quality")).alias("low"), F.count("toxic").alias("n_toxic"), F.sum("toxic").alias("toxic")).first()
+    base = {h: ((r[h] or 0) + 1) / (r[f"n_{h}"] + 4) for h in HEADS}
     return Judge(train(docs, labels, id_col=id_col, text_col=text_col), base, {"low": low_cutoff, "toxic": toxic_cutoff})
 
 
-def judged(docs: DataFrame, judge: Judge, site: str = "source", path: str = "lang", text_col: str = "text") -> DataFrame:
-    """docs with _low, _toxic (posterior probabilities of the heads) and _kept.
+def judged(docs: DataFrame, judge: Judge, site: str = "source", path: str = "lang", text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """docs (or these columns of it) with _low, _toxic (posterior probabilities of the heads) and _kept.
 
-    The evidence of a text meets the shrunken rate of its site and path; _kept is false if either posterior
-    passes its cutoff. Null or empty texts have no evidence, so only their site's rate counts; null sites and
-    paths are groups of their own. Every row and column of docs stays; an empty table stays empty.
+    The evidence of a text meets the shrunken rate that the other documents of its site and path show; _kept is
+    false if either posterior passes its cutoff. Null or empty texts have no evidence, so only that rate counts;
+    null sites and paths are groups of their own. Every row of docs stays, and every column but those named
+    _low, _toxic and _kept, which are replaced; an empty table stays empty. Texts are read once: the columns are
+    written beside their evidence.
     """
+    given = [c for c in (columns if columns is not None else docs.columns) if c not in ("_low", "_toxic", "_kept")]
     llr = evidence_column(docs, judge.evidence, text_col)
-    scored = docs.select(F.col(site).alias("_s"), F.col(path).alias("_p"), llr.alias("_e")).select("_s", "_p", "_e.low", "_e.toxic")
-    groups = stored(hierarchy(scored, "_s", "_p", judge.base).select(F.col("site").alias("_s"), F.col("path").alias("_p"), F.struct(*HEADS).alias("_rates")), "quality-groups")
-    if groups.count() <= MOST_BROADCAST:  # else both sides are shuffled by site and path
-        groups = F.broadcast(groups)
-    all_rows = docs.withColumn("_e", llr)
-    joined = all_rows.join(groups, all_rows[site].eqNullSafe(groups["_s"]) & all_rows[path].eqNullSafe(groups["_p"]))
-    out = joined.select(*(all_rows[c] for c in docs.columns), *(probability(F.col(f"_e.{h}") + logit(F.col(f"_rates.{h}"))).alias(f"_{h}") for h in HEADS))
+    kept = docs.select(F.struct(*given).alias("row"), F.col(site).alias("_site"), F.col(path).alias("_path"), llr.alias("_evidence"))
+    start = {h: float(np.log(judge.base[h] / (1 - judge.base[h]))) for h in HEADS}
+    scored = stored(kept.select("row", "_site", "_path", *(F.col(f"_evidence.{h}").alias(f"e_{h}") for h in HEADS), *(probability(F.col(f"_evidence.{h}") + start[h]).alias(f"p_{h}") for h in HEADS)), "quality-evidence")
+    groups, priors = hierarchy(scored)
+    # nulls are equal to nulls here, so keys are never null
+    key = [F.struct("_site", "_path")]
+    sums = groups.select(*(k.alias("_group") for k in key), "n", "site_n", *HEADS, *(f"site_{h}" for h in HEADS))
+    if sums.count() <= MOST_BROADCAST:  # else hot groups are broadcast, the rest is shuffled
+        joined = scored.withColumn("_group", key[0]).join(F.broadcast(sums), "_group")
+    else:
+        joined = join_counted(scored.withColumn("_group", key[0]), sums.withColumn("rows", F.col("n")), "_group", "rows")
+    posterior = {h: probability(F.col(f"e_{h}") + logit(shrunken(h, priors[h]))).alias(f"_{h}") for h in HEADS}
+    out = joined.select("row", *posterior.values()).select("row.*", *(f"_{h}" for h in HEADS))
     return out.withColumn("_kept", (F.col("_low") < judge.cutoffs["low"]) & (F.col("_toxic") < judge.cutoffs["toxic"]))

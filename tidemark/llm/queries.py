@@ -85,7 +85,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     judge = fit_judge(docs, _table(spark, sf_dir, "labels"))
-    return judged(docs, judge).select("doc_id", F.col("_low").alias("p_low"), F.col("_toxic").alias("p_toxic"), F.col("_kept").alias("kept"))
+    return judged(docs, judge, columns=["doc_id"]).select("doc_id", F.col("_low").alias("p_low"), F.col("_toxic").alias("p_toxic"), F.col("_kept").alias("kept"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
