@@ -503,6 +503,59 @@ def test_log_filter_holds_levels():
     assert tiny.segment(keys, counts)[1] > 1
 
 
+def test_posteriors_equal_brute_force(spark):
+    """Evidence, method-of-moments priors, leave-one-out rates and posteriors, computed by hand."""
+    from tidemark.llm.quality import HEADS, Evidence, FEATURES, Judge, features, judged
+    from tidemark.llm.common import text_buffer
+
+    rng = random.Random(6)
+    weights = np.random.default_rng(5).normal(0, 0.2, (FEATURES, 2)).astype(np.float32)
+    judge = Judge(Evidence(weights, np.array([-0.3, 0.2])), {"low": 0.2, "toxic": 0.05}, {"low": 0.5, "toxic": 0.3})
+    rows = [(i, " ".join(rng.choice(["spam", "good", "news", "!!", "#x", "Alpha"]) for _ in range(rng.randint(0, 9))) if i % 11 else None, rng.choice(["en", None]), rng.choice(["a", "b", "c", None]) if i % 5 else f"s{i}") for i in range(120)]
+    llr = []
+    for _, t, _, _ in rows:
+        raw, offsets = text_buffer(pa.array([t]))
+        f, _ = features(raw, offsets)
+        llr.append(weights[f].astype(np.float64).sum(0) + [-0.3, 0.2] if t else np.zeros(2))
+    want = {}
+    for k, h in enumerate(HEADS):
+        base = math.log(judge.base[h] / (1 - judge.base[h]))
+        p = [1 / (1 + math.exp(-(e[k] + base))) for e in llr]
+        site, path = collections.defaultdict(list), collections.defaultdict(list)
+        for (_, _, lang, s), q in zip(rows, p, strict=True):
+            site[s].append(q)
+            path[s, lang].append(q)
+        rate = sum(p) / len(p)
+
+        def weight(groups, about):
+            n = sum(map(len, groups.values()))
+            between = (sum(len(g) * (sum(g) / len(g) - about(key)) ** 2 for key, g in groups.items()) - len(groups) * rate * (1 - rate)) / n
+            return min(max(rate * (1 - rate) / between - 1, 1.0), 1e6) if between > 0 else 1e6
+
+        ws, wp = weight(site, lambda _: rate), weight(path, lambda key: sum(site[key[0]]) / len(site[key[0]]))
+        for (i, _, lang, s), q, e in zip(rows, p, llr, strict=True):
+            at_site = (sum(site[s]) - q + ws * rate) / (len(site[s]) - 1 + ws)
+            at = (sum(path[s, lang]) - q + wp * at_site) / (len(path[s, lang]) - 1 + wp)
+            want.setdefault(i, []).append(1 / (1 + math.exp(-(e[k] + math.log(at / (1 - at))))))
+    clash = spark.createDataFrame([(*r, "low", "e", "p", 1, True) for r in rows], "doc_id long, text string, lang string, source string, _low string, _e string, _site string, n int, _kept boolean")
+    out = judged(clash.repartition(3), judge).collect()
+    assert len(out) == 120 and out[0].__fields__ == ["doc_id", "text", "lang", "source", "_e", "_site", "n", "_low", "_toxic", "_kept"]
+    for r in out:
+        assert [r._low, r._toxic] == pytest.approx(want[r.doc_id], rel=1e-9) and r._kept == (r._low < 0.5 and r._toxic < 0.3)
+
+
+def test_training_takes_one_text_of_an_id(spark, monkeypatch):
+    from tidemark.llm import quality
+
+    seen = []
+    monkeypatch.setattr(quality, "fit_evidence", lambda texts, labels: seen.append((texts, labels)))
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "other"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, None), (2, 1, 0), (2, 1, 0), (3, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    judge = quality.fit_judge(docs, labels)
+    assert seen[0][0] == ["text 0", "other"] and seen[0][1].tolist() == [[1, 0], [0, 0]]
+    assert judge.base == {"low": (1 + 1) / (5 + 4), "toxic": (2 + 1) / (4 + 4)}
+
+
 def test_classifier(spark, docs, empty):
     from tidemark.llm.quality import fit_judge, judged
 
