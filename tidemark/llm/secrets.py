@@ -16,7 +16,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 #: For Spark: whether a text has a base match. What else points to secrets.
 BASE = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}|AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}"""
-MARKS = re.compile(r"(?i:passw|secret|token|api_?key)|AKIA", re.A)
+MARKS = re.compile(r"(?i:passw|secret|token|api_?key)|AKIA|(?<!\S)(?=\S{0,64}[0-9])\S{12,}", re.A)
 KINDS = ("assign", "access", "hex", "crf")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
@@ -75,6 +75,8 @@ class Tokens(Words):
         only_hex = (digit + hexes == size) & (digit > 0)
         self.shape = ((((length * 3 + share) * 4 + cases) * 2 + only_hex) * 2 + (marks > 0)) * 2 + akia
         self.shape = (self.shape * 2 + (glue > marks)).astype(np.int64)
+        # what secrets of different kinds have in common: long, with digits, of one alphabet
+        self.coarse = ((np.searchsorted([8, 12, 16], size, "right") * 3 + share) * 2 + (digit + upper + lower == size)).astype(np.int64)
         # the word up to its first : or = names what is assigned
         pos = np.flatnonzero(mark[raw])
         cut = np.concatenate([pos, [len(raw)]])[np.searchsorted(pos, self.start)] if n else np.zeros(0, np.int64)
@@ -101,13 +103,16 @@ class Tokens(Words):
         next_shape = np.full(n, SHAPES)
         next_shape[:-1] = self.shape[1:]
         next_shape[last] = SHAPES
-        parts = (self.shape, self.name, prev_name, prev_shape, next_shape, self.file)
+        parts = (self.shape, self.name, prev_name, prev_shape, next_shape, self.file, self.coarse)
         return np.stack([p + o for p, o in zip(parts, OFFSETS, strict=True)], 1)
 
 
 SHAPES = 8 * 3 * 4 * 2 * 2 * 2 * 2
-OFFSETS = np.cumsum([0, SHAPES, BUCKETS + 1, BUCKETS + 1, SHAPES + 1, SHAPES + 1])
-FEATURES = int(OFFSETS[-1] + 64)
+OFFSETS = np.cumsum([0, SHAPES, BUCKETS + 1, BUCKETS + 1, SHAPES + 1, SHAPES + 1, 64])
+FEATURES = int(OFFSETS[-1] + 24) + 1
+BLANK = FEATURES - 1  # a feature that says nothing: its weights stay 0
+#: Templates that training also sees blank: what is left has to do for secrets of unknown shapes and names.
+SPECIFIC = [0, 1, 2]
 
 
 def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -143,6 +148,7 @@ class Field:
         tails = heads + sizes - 1
         pair = np.zeros((3, 3))
         follow = np.flatnonzero(~chain_start)
+        chain = np.cumsum(chain_start) - 1
         np.add.at(pair, (labels[follow - 1], labels[follow]), 1)
         for _ in range(epochs):
             e = self.emissions(columns)
@@ -155,14 +161,14 @@ class Field:
             for k in range(most - 2, -1, -1):
                 at = heads[: alive[k + 1]] + k
                 beta[at] = log_sum(self.t + (e[at + 1] + beta[at + 1])[:, None, :], 2)
-            z = np.repeat(log_sum(alpha[tails] + self.last, 1), sizes)
-            flat = np.concatenate([np.arange(h, h + s) for h, s in zip(heads, sizes, strict=True)]) if len(heads) else np.zeros(0, int)
-            total = np.zeros(len(labels))
-            total[flat] = z
+            z = np.empty(len(heads))
+            z[order] = log_sum(alpha[tails] + self.last, 1)
+            total = z[chain]
             belief = np.exp(alpha + beta - total[:, None])
             off = gold - belief
             two = np.exp(alpha[follow - 1][:, :, None] + self.t + (e[follow] + beta[follow])[:, None, :] - total[follow][:, None, None]).sum(0)
             gw = np.stack([sum(np.bincount(columns[:, k], off[:, y], FEATURES) for k in range(columns.shape[1])) for y in range(3)], 1) - decay * self.w
+            gw[BLANK] = 0
             for x, g, s in zip((self.w, self.t, self.first, self.last), (gw, pair - two, off[heads].sum(0), off[tails].sum(0)), squares, strict=True):
                 s += g * g
                 x += (rate * g / np.sqrt(s)).astype(x.dtype)
@@ -226,7 +232,7 @@ def spread(found: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
     return [found[i] for i in sorted({k * len(found) // most for k in range(most)})] if len(found) > most else found
 
 
-def excerpts(texts: list[str], line_chars: int, windows: int):
+def excerpts(texts: list[str], line_chars: int, windows: int, kinds: tuple[str, ...] = KINDS):
     """Of each text with words: columns, labels by the base patterns and chain starts of the tokens to learn from.
 
     Those are the tokens in windows around base matches and around other marks, and the first ones of the first
@@ -239,7 +245,7 @@ def excerpts(texts: list[str], line_chars: int, windows: int):
             continue
         at, to = chars_before(raw.tobytes(), tokens.start), chars_before(raw.tobytes(), tokens.end)
         labels = np.zeros(len(at), np.uint8)
-        spans = base_spans(text)
+        spans = [x for x in base_spans(text) if KINDS[x[1]] in kinds]
         for s, _, e in spans:
             hit = np.arange(np.searchsorted(to, s, "right"), np.searchsorted(at, e, "left"))
             labels[hit] = np.where(labels[hit] > 0, labels[hit], INSIDE)
@@ -258,13 +264,14 @@ def excerpts(texts: list[str], line_chars: int, windows: int):
         yield tokens.columns()[kept].astype("<u2"), labels[kept], start
 
 
-def train_field(docs: DataFrame, sample: int = 1500, line_chars: int = 400, id_col: str = "doc_id", text_col: str = "text", windows: int = 16) -> Field:
+def train_field(docs: DataFrame, sample: int = 1500, line_chars: int = 120, id_col: str = "doc_id", text_col: str = "text", windows: int = 16, kinds: tuple[str, ...] = KINDS) -> Field:
     """Fits the field on at most sample documents with a base pattern and as many without.
 
     Both come first of all documents by a hash of the id: hashes alone are compared, then texts are looked up.
     Bounded by sample, line_chars and windows: of each, windows of line_chars characters around base matches and
     around other marks (if there are more, so many of each, evenly spaced) and as many characters of the first
-    three lines.
+    three lines. kinds: the base patterns that count as secrets; without one, what the field finds of it shows
+    how it does on secrets of a kind that nothing names.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     mark, same = F.xxhash64(F.col(id_col), F.lit(7)), F.xxhash64(text)
@@ -274,13 +281,18 @@ def train_field(docs: DataFrame, sample: int = 1500, line_chars: int = 400, id_c
 
     def made(batches):
         for batch in batches:
-            rows = [[x.tobytes() for x in e] for e in excerpts(batch.column("_text").to_pylist(), line_chars, windows)]
+            rows = [[x.tobytes() for x in e] for e in excerpts(batch.column("_text").to_pylist(), line_chars, windows, kinds)]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in (zip(*rows, strict=True) if rows else ((), (), ()))], ["columns", "labels", "starts"])
 
     texts = docs.select(mark.alias("_mark"), same.alias("_same"), text.alias("_text")).join(chosen, ["_mark", "_same"]).select("_text")
     parts = sorted({tuple(bytes(x) for x in r) for r in texts.mapInArrow(made, "columns binary, labels binary, starts binary").distinct().collect()})
     columns, labels, starts = (np.frombuffer(b"".join(p[k] for p in parts), kind) for k, kind in enumerate(("<u2", np.uint8, bool)))
-    return Field().fit(columns.reshape(-1, 6), labels.astype(np.int64), starts)
+    columns, labels = columns.reshape(-1, len(OFFSETS)), labels.astype(np.int64)
+    chain = np.cumsum(starts) - 1
+    again = (np.bincount(chain, labels) > 0)[chain] | (chain % 4 == 0)  # chains with secrets, and a quarter of all
+    blank = columns[again]
+    blank[:, SPECIFIC] = BLANK
+    return Field().fit(np.concatenate([columns, blank]), np.concatenate([labels, labels[again]]), np.concatenate([starts, starts[again]]))
 
 
 def scan(texts: pa.Array, field: Field) -> list[list[tuple[int, int, int]]]:
@@ -330,7 +342,8 @@ def find_secrets(docs: DataFrame, field: Field, text_col: str = "text", out_col:
     """docs with out_col: array<struct<kind, start, end>>, by start and kind, code points, end exclusive.
 
     Kinds: assign, access and hex of the base patterns, crf of the random field (Viterbi). A null or empty
-    text has none; other columns and repeated rows stay as they are; an empty table stays empty.
+    text has none; other columns and repeated rows stay as they are, but a column named out_col is replaced; an
+    empty table stays empty.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(field)  # a fixed size: FEATURES x 3 floats
