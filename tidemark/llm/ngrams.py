@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -14,10 +12,12 @@ from . import blocks as B
 from .common import Words, mix64, spans_of_bytes, stored, text_buffer
 from .suffixes import by_key
 
-#: Size of the filter: so many bits for each event in it, or for each text byte where events aren't counted.
-BITS_PER_EVENT, BITS_PER_BYTE = 12, 1.5
-#: Probes of an event, base of the logarithm that counts are rounded to, weight of pairs against single tokens.
-PROBES, LOG_BASE, PAIR_WEIGHT = 3, 2.0, 0.6
+#: Bits of the filter for each event in it, and probes of an event.
+BITS_PER_EVENT, PROBES = 14, 4
+#: Counts are rounded to powers of 2 ** (1 / STEPS), so by a twelfth at most.
+STEPS = 4
+#: Longest n-grams, and the weight of the shorter n-gram's probability against counts of the longer one's context.
+ORDER, PRIOR = 3, 4.0
 #: The end of a document, a token like words; no word hashes to it but by a 64-bit chance.
 END = np.uint64(0x1F83D9ABFB41BD6B)
 #: Documents are trained on unless crc32 of their id's digits leaves this rest.
@@ -30,7 +30,10 @@ def held_out(ids: list) -> np.ndarray:
 
 
 class Tokens:
-    """Tokens of a block's documents: hashes of words (A-Z lowered) and an end each, and pairs of neighbours."""
+    """Tokens of a block's documents: hashes of words (A-Z lowered) and an end each, and n-grams up to ORDER.
+
+    grams[n - 2] holds for each token a hash of it and the n - 1 before it; an end stands before each document.
+    """
 
     def __init__(self, rows: pa.Table, id_col: str, text_col: str):
         text = rows.column(text_col).combine_chunks() if rows.num_rows else pa.array([], pa.string())
@@ -49,13 +52,26 @@ class Tokens:
         ends[self.first[1:] - 1] = True
         if len(hashes):
             self.token[~ends] = np.concatenate(hashes)
-        self.before = np.empty_like(self.token)
-        self.before[1:] = self.token[:-1]
-        self.before[self.first[:-1]] = END
-        self.pair = mix64(self.before * np.uint64(0xA24BAED4963EE407) + self.token)
+        self.head = np.zeros(len(self.token), bool)
+        self.head[self.first[:-1]] = True
+        self.grams = [self.after(self.token)]
+        for _ in range(ORDER - 2):
+            self.grams.append(self.after(self.grams[-1]))
         self.train = np.repeat(~self.held, n)
 
 
+    def before(self, values: np.ndarray, none) -> np.ndarray:
+        """The value of the token before each, none at heads of documents."""
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.head] = none
+        return out
+
+    def after(self, context: np.ndarray) -> np.ndarray:
+        """Hashes of each token behind the context that ends at the one before it."""
+        return mix64(self.before(context, END) * np.uint64(0xA24BAED4963EE407) + self.token)
+
+
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     """Equal ranges of 64-bit keys, in order."""
     return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
@@ -69,115 +85,107 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
     return keys[order[bounds[:-1]]], np.diff(bounds) if weights is None else np.add.reduceat(weights[order], bounds[:-1])
 
 
+def cells(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shard and 32 bits of each n-gram: what exchanges know it by. One in thousands shares a cell, at any size."""
+    return (shard_of(keys, shards).astype(np.uint64) << np.uint64(32)) | (keys & np.uint64(0xFFFFFFFF))
+
+
+def packed(sorted_cells: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers as 3-byte steps; the largest step says that the next one goes on from there."""
+    most = (1 << 24) - 1
+    more, rest = np.divmod(np.diff(sorted_cells & np.uint64(0xFFFFFFFF), prepend=np.uint64(0)).astype(np.int64), most)
+    out = np.full(len(more) + more.sum(), most, "<u4")
+    out[np.cumsum(more + 1) - 1] = rest
+    return out.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The numbers of packed()."""
+    step = np.zeros((len(data) // 3, 4), np.uint8)
+    step[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    step = step.view("<u4").ravel().astype(np.uint64)
+    return np.cumsum(step)[step != (1 << 24) - 1]
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
-    """1 + floor(log of the count), the number of events a count puts into the filter."""
-    return 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(LOG_BASE) + 1e-9).astype(np.int64)
+    """1 + floor(STEPS * log2 of the count), the number of events a count puts into the filter; 0 for none."""
+    return np.where(counts > 0, 1 + np.floor(STEPS * np.log2(np.maximum(counts, 1)) + 1e-9), 0).astype(np.int64)
 
 
 def middle(level: np.ndarray) -> np.ndarray:
-    """Approximate counts of levels: 0, or the middle of the level's range."""
-    level = level.astype(np.float64)
-    return np.where(level > 0, (LOG_BASE ** (level - 1.0) + np.maximum(LOG_BASE**level - 1, 1)) / 2, 0.0)
+    """Counts that levels stand for: the mean of the whole numbers that have the level; 0 for none."""
+    low, high = (np.ceil(2.0 ** ((level.astype(np.float64) - k) / STEPS) - 1e-9) for k in (1, 0))
+    return np.where(level > 0, (low + np.maximum(high - 1, low)) / 2, 0.0)
 
 
-@dataclass
 class LogFilter:
-    """A Bloom filter of (n-gram, level) events in segments, each of a range of the key space.
+    """A Bloom filter of (n-gram, level) events with room for all of them.
 
     A count is held as its level: the n-gram is inserted once for each level up to it, and read back by
     probing level after level until one is missing. A false positive can only raise a level.
     """
 
-    segments: int
-    bits: int  # of a segment
-    data: np.ndarray  # segments x bits / 8
-
-    @classmethod
-    def sized(cls, segments: int, text_bytes: int) -> LogFilter:
-        bits = (int(text_bytes * BITS_PER_BYTE) + segments * 512) // segments // 64 * 64
-        return cls(segments, bits, np.zeros((0, bits // 8), np.uint8))
-
-    @classmethod
-    def fitted(cls, keys: np.ndarray, counts: np.ndarray) -> LogFilter:
-        """One segment that has room for all events of these n-grams, and holds them."""
-        bits = (int(levels(counts).sum()) * BITS_PER_EVENT + 512) // 64 * 64
-        out = cls(1, bits, np.zeros((0, bits // 8), np.uint8))
-        data, floor = out.segment(keys, counts)
-        assert floor == 1, "n-grams left out of the filter"
-        out.data = np.frombuffer(data, np.uint8).reshape(1, -1)
-        return out
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        level = levels(counts)
+        self.bits = (int(level.sum()) * BITS_PER_EVENT + 512) // 64 * 64
+        set_bits = np.zeros(self.bits, bool)
+        for j in range(1, int(level.max(initial=0)) + 1):
+            keys, level = keys[level >= j], level[level >= j]
+            for at in self.places(keys, j):
+                set_bits[at] = True
+        self.data = np.packbits(set_bits, bitorder="little")
 
     def places(self, keys: np.ndarray, level: int) -> list[np.ndarray]:
         g = mix64(keys + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64))
         low, high = g & np.uint64(0xFFFFFFFF), (g >> np.uint64(32)) | np.uint64(1)
         return [((low + np.uint64(i) * high) % np.uint64(self.bits)).astype(np.int64) for i in range(PROBES)]
 
-    def segment(self, keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
-        """A segment's bits with these n-grams, and the least level it holds.
-
-        In a segment of a size set beforehand, if all events would fill over half of the bits, those of the
-        lowest levels stay out; fitted() leaves none out.
-        """
-        level = levels(counts)
-        room = self.bits * np.log(2) / PROBES
-        floor = 1
-        while level[level >= floor].sum() > room * 1.25 and (level >= floor).any():
-            floor += 1
-        keys, level = keys[level >= floor], level[level >= floor]
-        set_bits = np.zeros(self.bits, bool)
-        for j in range(1, int(level.max(initial=0)) + 1):
-            for at in self.places(keys[level >= j], j):
-                set_bits[at] = True
-        return np.packbits(set_bits, bitorder="little").tobytes(), floor
-
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The level found by probing, 0 for none."""
-        segment = shard_of(keys, self.segments)
-        level = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
-        for j in range(1, 63):
+        level, alive = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for j in range(1, 256):
             found = np.ones(len(alive), bool)
             for at in self.places(keys[alive], j):
-                found &= (self.data[segment[alive], at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+                found &= (self.data[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
             alive = alive[found]
             if not len(alive):
                 break
             level[alive] = j
         return level
 
-    def read(self, keys: np.ndarray) -> np.ndarray:
-        """Approximate counts."""
-        return middle(self.level(keys))
-
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Language-model scores of whole texts: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z lowered and one end for each document; a null or empty text
     is an end alone. What is learnt comes from the documents that held_out() leaves. base_score: add-one
-    probabilities from exact counts. score: PAIR_WEIGHT of the pair's share of its first token's count, the
-    rest an add-one probability, all counts read from the log-frequency filter; the token before a document's
-    first is an end. A null id counts as the empty text, so it trains. Repeated rows each count. Other columns
-    are ignored; an empty table gives no rows.
+    probabilities from exact counts. score: n-grams up to ORDER, each order's count plus PRIOR times the shorter
+    one's probability over the context's count plus PRIOR, down to an add-one probability, all counts read from the
+    log-frequency filter; an end stands before a document. A null id counts as the empty text, so it trains.
+    Repeated rows each count. Other columns are ignored; an empty table gives no rows.
 
-    Blocks send their distinct tokens and pairs with counts to shards by hash, those of held-out documents with
+    Blocks send their distinct tokens and n-grams with counts to shards by hash, those of held-out documents with
     a count of 0. A shard adds them up, sets the bits of its segment of the filter, which is as large as its
     n-grams need, and answers each block with the exact counts of its tokens and with the levels that probes of
-    the segment find for its tokens and pairs. So the filter grows with the n-grams and is never in one place.
+    the segment find for its tokens and n-grams. So the filter grows with the n-grams and is never in one place.
     """
     blocks = B.packed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
     shards = B.shard_count(blocks)
+    orders = range(ORDER - 1)
+
+    def bounds(found: np.ndarray, present: np.ndarray) -> list[list[int]]:
+        return [np.searchsorted(found, present, side).tolist() for side in ("left", "right")]
 
     def ask(rows: pa.Table, _):
         t = Tokens(rows, "id", "text")
-        keys, counts = counted(t.token, t.train.astype(np.int64))
-        pairs, pair_counts = counted(t.pair, t.train.astype(np.int64))
-        one, two = shard_of(keys, shards), shard_of(pairs, shards)
-        present = np.union1d(one, two)
-        six = pairs.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        bounds = [np.searchsorted(x, present, side).tolist() for x in (one, two) for side in ("left", "right")]
-        for s, a, b, p, q in zip(present.tolist(), *bounds, strict=True):
-            yield s, keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes(), six[p:q].tobytes(), pair_counts[p:q].astype("<u4").tobytes()
+        train = t.train.astype(np.int64)
+        keys, counts = counted(t.token, train)
+        grams = [counted(cells(g, shards), train) for g in t.grams]
+        found = [shard_of(keys, shards), *((g >> np.uint64(32)).astype(np.int64) for g, _ in grams)]
+        present = np.unique(np.concatenate(found))
+        for s, *at in zip(present.tolist(), *(x for f in found for x in bounds(f, present)), strict=True):
+            (a, b), rest = at[:2], [at[2 * k + 2 : 2 * k + 4] for k in orders]
+            yield s, keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes(), *(x for (g, n), (p, q) in zip(grams, rest, strict=True) for x in (packed(g[p:q]), n[p:q].astype("<u4").tobytes()))
 
     def reply(table: pa.Table) -> pa.Table:
         def column(name: str, kind) -> tuple[np.ndarray, np.ndarray]:
@@ -185,30 +193,30 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             return np.frombuffer(b"".join(parts), kind), np.cumsum([0] + [len(p) for p in parts]) // np.dtype(kind).itemsize
 
         keys, ends = column("keys", np.uint64)
-        counts, _ = column("counts", "<u4")
-        known, total = counted(keys, counts.astype(np.int64))
+        known, total = counted(keys, column("counts", "<u4")[0].astype(np.int64))
+        events, sums, asked, cuts = [known], [total], [keys], [ends]
+        for k in orders:
+            parts = [unpacked(p) for p in table.column(f"grams{k}").to_pylist()]
+            asked.append(mix64(np.concatenate(parts) + np.uint64((k + 1) << 32)))
+            cuts.append(np.cumsum([0] + [len(p) for p in parts]))
+            grams, n = counted(asked[-1], column(f"counts{k}", "<u4")[0].astype(np.int64))
+            events.append(grams)
+            sums.append(n)
+        seen = [n > 0 for n in sums]
+        lf = LogFilter(np.concatenate([e[s] for e, s in zip(events, seen, strict=True)]), np.concatenate([n[s] for n, s in zip(sums, seen, strict=True)]))
         told = total[np.searchsorted(known, keys)].astype("<u8")
-        six, pair_ends = column("pairs", np.dtype("V6"))
-        eight = np.zeros((len(six), 8), np.uint8)
-        eight[:, :6] = six.view(np.uint8).reshape(-1, 6)
-        pairs = eight.view(">u8").ravel().astype(np.uint64)
-        known_pairs, pair_total = counted(pairs, column("pair_counts", "<u4")[0].astype(np.int64))
-        seen, pair_seen = total > 0, pair_total > 0
-        low = ~np.uint64(0xFFFF)
-        lf = LogFilter.fitted(np.concatenate([known[seen] & low, known_pairs[pair_seen]]), np.concatenate([total[seen], pair_total[pair_seen]]))
-        rough = lf.level(known & low).astype(np.uint8)[np.searchsorted(known, keys)]
-        pair_rough = lf.level(known_pairs).astype(np.uint8)[np.searchsorted(known_pairs, pairs)]
-        replies = [told[a:b].tobytes() + rough[a:b].tobytes() + pair_rough[p:q].tobytes() for a, b, p, q in zip(ends[:-1], ends[1:], pair_ends[:-1], pair_ends[1:], strict=True)]
+        rough = [lf.level(e).astype(np.uint8)[np.searchsorted(e, q)] for e, q in zip(events, asked, strict=True)]
         n = table.num_rows
+        replies = [told[ends[i] : ends[i + 1]].tobytes() + b"".join(r[c[i] : c[i + 1]].tobytes() for r, c in zip(rough, cuts, strict=True)) for i in range(n)]
         return pa.table({
             "shard": pa.array([table.column("shard")[0].as_py()] * (n + 1), pa.int32()),
             "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
             "reply": pa.array([*replies, None], pa.binary()),
             "tokens": pa.array([0] * n + [int(total.sum())], pa.int64()),
-            "types": pa.array([0] * n + [int(seen.sum())], pa.int64()),
+            "types": pa.array([0] * n + [int(seen[0].sum())], pa.int64()),
         })
 
-    asked = B.asked(blocks, ask, "keys binary, counts binary, pairs binary, pair_counts binary")
+    asked = B.asked(blocks, ask, "keys binary, counts binary, " + ", ".join(f"grams{k} binary, counts{k} binary" for k in orders))
     replies = stored(asked.groupBy("shard").applyInArrow(reply, "shard int, block long, reply binary, tokens long, types long"), "ngram-counts")
     sums = replies.agg(F.sum("tokens"), F.sum("types")).first()
     n, v = sums[0] or 0, sums[1] or 0
@@ -218,26 +226,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             for k in range(batch.num_rows):
                 t = Tokens(B.opened(batch.column("data")[k]), "id", "text")
                 told = B.earlier(batch.column("answer0")[k])
-                order, bounds = by_key(t.token)
-                which = np.empty(len(order), np.int64)
-                which[order] = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                words = t.token[order[bounds[:-1]]]
-                n_words = np.bincount(shard_of(words, shards), minlength=shards).tolist()
-                parts = [(told[i], n_words[i]) for i in sorted(told)]
-                exact = np.frombuffer(b"".join(r[: 8 * w] for r, w in parts), "<u8").astype(np.float64)
-                rough = middle(np.frombuffer(b"".join(r[8 * w : 9 * w] for r, w in parts), np.uint8))
-                rough_pairs = middle(np.frombuffer(b"".join(r[9 * w :] for r, w in parts), np.uint8))
-                known = exact[which]
+                places, sizes = [], []  # of each order: which distinct n-gram each token ends, and how many a shard told of
+                for keys in (t.token, *(cells(g, shards) for g in t.grams)):
+                    order, cut = by_key(keys)
+                    which = np.empty(len(order), np.int64)
+                    which[order] = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+                    places.append(which)
+                    mine = keys[order[cut[:-1]]]
+                    sizes.append(np.bincount(shard_of(mine, shards) if not sizes else (mine >> np.uint64(32)).astype(np.int64), minlength=shards).tolist())
+                exact, rough = [], [[] for _ in places]
+                for i in sorted(told):
+                    at = 8 * sizes[0][i]
+                    exact.append(told[i][:at])
+                    for parts, size in zip(rough, sizes, strict=True):
+                        parts.append(told[i][at : at + size[i]])
+                        at += size[i]
+                known = np.frombuffer(b"".join(exact), "<u8").astype(np.float64)[places[0]]
+                counts = [middle(np.frombuffer(b"".join(r), np.uint8))[w] for r, w in zip(rough, places, strict=True)]
                 base = np.log10((known + 1) / (n + 1 * (v + 1)))
-                p_order, p_bounds = by_key(t.pair)
-                pair = np.empty(len(t.pair))
-                pair[p_order] = np.repeat(rough_pairs, np.diff(p_bounds))
-                single = (rough + 1) / (n + v + 1)
-                before = rough[np.searchsorted(words, t.before)] if len(words) else rough
-                share = np.where(before > 0, np.minimum(pair / np.maximum(before, 1), 1.0), 0.0)
-                smooth = np.where(before > 0, PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * single[which], single[which])
+                p = (counts[0] + 1) / (n + v + 1)
+                starts = counts[0][t.first[1:] - 1].max(initial=0.0)  # documents: as often as ends
+                for lower, own in zip(counts, counts[1:], strict=False):
+                    context = t.before(lower, starts)
+                    p = (np.minimum(own, context) + PRIOR * p) / (context + PRIOR)
                 first = t.first[:-1]
-                sums = [np.add.reduceat(x, first) if len(first) else np.zeros(0) for x in (known > 0, base, np.log10(smooth))]
+                sums = [np.add.reduceat(x, first) if len(first) else np.zeros(0) for x in (known > 0, base, np.log10(p))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(t.ids, id_type), pa.array(t.held), pa.array(np.diff(t.first)), pa.array(sums[0].astype(np.int64)), pa.array(np.full(len(first), n, np.int64)), pa.array(sums[1]), pa.array(sums[2])],
                     ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
