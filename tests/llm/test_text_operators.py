@@ -480,63 +480,93 @@ def test_field_trains_on_rare_matches_and_on_long_lines(spark, monkeypatch):
     assert (found > 0).any() and set(whole[:, 5].tolist()) == set(alone[:, 5].tolist())  # the file feature of the whole text
 
 
-def test_scores(docs, rows, empty):
-    from tidemark.llm.ngrams import HELD_OUT, score
+def brute_scores(rows):
+    """Exact scores by the definition, with counts in dictionaries: (held, n, known, train, base, score) of each row."""
+    from tidemark.llm.ngrams import HELD_OUT, PRIOR
 
-    tokens = [(i, [*WORD.findall((t or "").translate(LOWER)), None]) for i, t in rows]
     held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == HELD_OUT
-    single, pair = collections.Counter(), collections.Counter()
-    for i, w in tokens:
+    seen, starts = collections.Counter(), 0
+    docs = [[None, None, *WORD.findall((t or "").translate(LOWER)), None] for _, t in rows]
+    for (i, _), w in zip(rows, docs, strict=True):
         if not held(i):
-            single.update(w)
-            pair.update(zip([None, *w], w, strict=False))
-    n, v = sum(single.values()), len(single)
+            starts += 1
+            for k in range(2, len(w)):
+                seen.update([(w[k],), ("2", w[k - 1], w[k]), ("3", w[k - 2], w[k - 1], w[k]) if k > 2 else ("3", w[k])])
+    n, v = sum(c for g, c in seen.items() if len(g) == 1), sum(len(g) == 1 for g in seen)
+    out = []
+    for (i, _), w in zip(rows, docs, strict=True):
+        base = whole = 0.0
+        for k in range(2, len(w)):
+            base += math.log10((seen[w[k],] + 1) / (n + v + 1))
+            p = (seen[w[k],] + 1) / (n + v + 1)
+            one, two = (seen[w[k - 1],], seen["2", w[k - 2], w[k - 1]]) if k > 2 else (starts, starts)
+            p = (min(seen["2", w[k - 1], w[k]], one) + PRIOR * p) / (one + PRIOR)
+            p = (min(seen[("3", w[k - 2], w[k - 1], w[k]) if k > 2 else ("3", w[k])], two) + PRIOR * p) / (two + PRIOR)
+            whole += math.log10(p)
+        out.append((held(i), len(w) - 2, sum(seen[x,] > 0 for x in w[2:]), n, base, whole))
+    return out
+
+
+def test_scores(docs, rows, empty):
+    from tidemark.llm.ngrams import score
+
     want = collections.defaultdict(list)
-    for i, w in tokens:
-        base = sum(math.log10((single[x] + 1) / (n + v + 1)) for x in w)
-        whole = sum(math.log10(0.6 * min(1, pair[a, b] / single[a]) + 0.4 * (single[b] + 1) / (n + v + 1)) if single[a] else math.log10((single[b] + 1) / (n + v + 1)) for a, b in zip([None, *w], w, strict=False))
-        want[i].append((held(i), len(w), sum(single[x] > 0 for x in w), n, base, whole))
+    for (i, _), w in zip(rows, brute_scores(rows), strict=True):
+        want[i].append(w)
     out = score(docs).collect()
     assert len(out) == len(rows)
     for r in out:
         near = [w for w in want[r.doc_id] if w[:4] == (r.held_out, r.n_tokens, r.n_known, r.train_tokens)]
-        assert any(r.base_score == pytest.approx(w[4], rel=1e-9) and abs(r.score - w[5]) <= 0.35 * w[1] for w in near)
+        assert any(r.base_score == pytest.approx(w[4], rel=1e-9) and abs(r.score - w[5]) <= 0.1 * w[1] for w in near)
     assert score(empty).count() == 0
 
 
-def test_scores_of_a_corpus_beyond_any_cap(spark, monkeypatch):
+def test_scores_are_exact_for_counts_that_levels_hold(spark, monkeypatch):
+    """With a filter that gives no false positives, small counts leave no error at all."""
     from tidemark.llm import ngrams
 
-    monkeypatch.setattr(ngrams, "MOST_BITS", 1 << 12, raising=False)  # stands for a corpus far over it
+    monkeypatch.setattr(ngrams, "BITS_PER_EVENT", 200)
+    monkeypatch.setattr(ngrams, "PROBES", 8)
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(12))) for i in range(7)] + [(100 + i, "a b a b c") for i in range(2)]
+    want = {i: w for (i, _), w in zip(rows, brute_scores(rows), strict=True)}
+    for r in ngrams.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect():
+        assert (r.base_score, r.score) == pytest.approx(want[r.doc_id][4:], rel=1e-6)
+
+
+def test_scores_tell_documents_that_occur_twice(spark):
+    """No n-gram is left out at any size, so a copy raises the counts of all of a document's n-grams."""
+    from tidemark.llm.ngrams import score
+
     rng = random.Random(8)
-    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(200))) for i in range(100)]
-    single, pair = collections.Counter(), collections.Counter()
-    for i, t in rows:
-        if not ngrams.held_out([i])[0]:
-            single.update([*t.split(), None])
-            pair.update(zip([None, *t.split()], [*t.split(), None], strict=True))
-    n, v = sum(single.values()), len(single)
-    for r in ngrams.score(spark.createDataFrame(rows, "doc_id long, text string")).collect():
-        w = [*dict(rows)[r.doc_id].split(), None]
-        want = sum(math.log10(0.6 * min(1, pair[a, b] / single[a]) + 0.4 * (single[b] + 1) / (n + v + 1)) if single[a] else math.log10((single[b] + 1) / (n + v + 1)) for a, b in zip([None, *w], w, strict=False))
-        assert abs(r.score - want) <= 0.2 * len(w)
+    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(200))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(30)]
+    want = {i: w[5] for (i, _), w in zip(rows, brute_scores(rows), strict=True)}
+    out = {r.doc_id: r for r in score(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert all(abs(r.score - want[i]) <= 0.05 * r.n_tokens for i, r in out.items())
+    from tidemark.llm.ngrams import held_out
+
+    trained = [i for i in range(30) if not held_out([i])[0] and not held_out([1000 + i])[0]]
+    once = max(r.score for i, r in out.items() if 30 <= i < 300)
+    assert len(trained) > 15 and all(out[i].score > once for i in trained)
 
 
 def test_log_filter_holds_levels():
-    from tidemark.llm.ngrams import LogFilter, levels, shard_of
+    from tidemark.llm.ngrams import LogFilter, levels, middle, packed, unpacked
 
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 2**63, 4000, dtype=np.uint64) * np.uint64(2))
     counts = rng.integers(1, 5000, len(keys))
-    lf = LogFilter.sized(3, 1_000_000)
-    parts = [lf.segment(keys[shard_of(keys, 3) == s], counts[shard_of(keys, 3) == s])[0] for s in range(3)]
-    lf.data = np.stack([np.frombuffer(p, np.uint8) for p in parts])
-    read = lf.read(keys)
-    low, high = 2.0 ** (levels(counts) - 1), 2.0 ** levels(counts)
-    assert (read >= low).all() and (read < high).mean() > 0.9
-    assert (lf.read(rng.integers(0, 2**63, 4000, dtype=np.uint64)) > 0).mean() < 0.2
-    tiny = LogFilter(1, 64, np.zeros((0, 8), np.uint8))
-    assert tiny.segment(keys, counts)[1] > 1
+    lf = LogFilter(keys, counts)
+    found = lf.level(keys)
+    assert (found >= levels(counts)).all() and (found == levels(counts)).mean() > 0.98
+    assert (lf.level(rng.integers(0, 2**63, 4000, dtype=np.uint64)) > 0).mean() < 0.02
+    every = np.arange(1, 100_000)
+    assert (np.abs(middle(levels(every)) / every - 1) <= 0.1).all() and (middle(levels(every[:7])) == every[:7]).all()
+    assert middle(np.zeros(1)) == 0 and levels(np.zeros(1, np.int64)) == 0
+    for some in ([], [0], [2**32 - 1], [0, 1, 2**24 - 2, 2**24 - 1, 2**24, 3 * 2**24, 2**32 - 1]):
+        some = np.array(some, np.uint64)
+        assert unpacked(packed(some)).tolist() == some.tolist()
 
 
 def test_posteriors_equal_brute_force(spark):
