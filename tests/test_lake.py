@@ -1,6 +1,7 @@
 """Operators on small frames: the cases that bite."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -60,6 +61,11 @@ def test_snapshot_diff_sees_values_that_move_and_nulls(spark):
     new = spark.createDataFrame([(1, None, "a"), (2, "x", "y"), (3, None, None)], s)
     assert rows(changes.snapshot_diff(new, old, ["k"]), "k") == [(1,), (3,)]
     assert changes.snapshot_diff(old, old, ["k"], whole_first=True).count() == 0
+    moved = spark.createDataFrame([(1, None, "a"), (2, "x", "y"), (9, "g", "g")], s)
+    assert rows(changes.snapshot_diff(moved, old, ["k"], whole_first=True), "k") == [(1,)]
+    nested = "k int, v struct<a:string,b:array<string>>"
+    one, two = (spark.createDataFrame([(1, v)], nested) for v in ((None, ["x", None]), (None, [None, "x"])))
+    assert rows(changes.snapshot_diff(one, two, ["k"], whole_first=True), "k") == [(1,)]
     assert changes.snapshot_diff(new, None, ["k"]).count() == 3
 
 
@@ -154,12 +160,84 @@ def test_stream_appends_each_file_once(spark):
     assert spark.read.parquet(target).count() == 10
 
 
-def test_csv_latin1_carries_whole_titles(spark, data, monkeypatch):
+def test_csv_with_line_feeds_needs_multi_line(spark):
+    src = shared_path(spark, "csv")
+    os.makedirs(src)
+    with open(f"{src}/drop.csv", "w") as f:
+        f.write('k,v\n1,"a\nb"\n2,"say ""x"""\n')
+    assert rows(scans.read_csv(spark, src, "k int, v string", multi_line=True)) == [(1, "a\nb"), (2, 'say "x"')]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        scans.read_csv(spark, src, "k int, v string").collect()
+
+
+def test_deeper_trees_than_allowed_fail(spark):
+    doc = '[{"Codigo":"1","NomenclaturaFilha":[{"Codigo":"2","NomenclaturaFilha":[{"Codigo":"3","NomenclaturaFilha":[]}]}]}]'
+    df = spark.createDataFrame([(doc,)], "doc string")
+    assert scans.flatten_tree(df, "doc", depth=3).count() == 3
+    with pytest.raises(Exception, match="more than 2 levels"):
+        scans.flatten_tree(df, "doc", depth=2).collect()
+
+
+def test_manifest_of_a_manifest_and_crashes(spark):
+    base = shared_path(spark, "m")
+    sinks.save_manifest(spark.createDataFrame([(2, "b"), (1, "a")], "k int, h string"), ["k"], base, "1")
+    spark.createDataFrame([(9, "half")], "k int, h string").write.parquet(f"{base}/version=2")  # a run that died before its pointer
+    assert rows(sinks.current_snapshot(spark, base), "k", "h") == [(1, "a"), (2, "b")]
+    sinks.save_manifest(sinks.current_snapshot(spark, base).where("k = 1"), ["k"], base, "3")
+    assert rows(sinks.current_snapshot(spark, base), "k", "h") == [(1, "a")]
+
+
+def test_names_are_looked_for_in_whole_texts(spark):
+    src = spark.createDataFrame([(1, "s3/x/run-01.csv"), (2, "run-0"), (3, None), (4, "yrun-01.csvz"), (4, "yrun-01.csvz"), (5, "ab")], "k int, p string")
+    names = spark.createDataFrame([("run-01.csv",), ("run-01.csv",), ("b",), ("",), (None,)], "n string")
+    assert rows(sinks.containing_rows(src, "p", names, "n"), "k") == [(1,), (4,), (4,), (5,)]
+    assert sinks.containing_rows(src, "p", names.limit(0), "n").count() == 0
+
+
+def test_expired_loads_are_listed_then_dropped(spark):
+    base = shared_path(spark, "l")
+    for day in ("2024-01-01", "2024-01-20"):
+        sinks.write_delta(spark.range(3), base, day)
+    assert sinks.drop_expired_loads(spark, base, "2024-01-25", 7) == ["2024-01-01"]
+    assert spark.read.parquet(base).count() == 6
+    assert sinks.drop_expired_loads(spark, base, "2024-01-25", 7, dry_run=False) == ["2024-01-01"]
+    assert spark.read.parquet(base).count() == 3
+
+
+def test_strict_cast_fails_whatever_the_setting(spark):
+    bad = spark.createDataFrame([("1",), (None,), (" 2 ",)], "c string")
+    assert rows(bad.select(C.strict_cast("c", "int"))) == [(1,), (2,), (None,)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            spark.createDataFrame([("x",)], "c string").select(C.strict_cast("c", "int")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_tree_plans_read_their_nodes_few_times(spark, data):
     from tidemark.plans import queries as Q
 
-    read, seen = Q.scans.read_csv, []
-    monkeypatch.setattr(Q.scans, "read_csv", lambda *a, **k: seen.append(read(*a, **k)) or seen[-1])
-    out = Q.QUERIES["csv_latin1"](spark, data)
-    sent = spark.read.parquet(f"{data}/pages.parquet").selectExpr("page_id", "regexp_extract(html, '<title>([^<]*)', 1) AS t")
-    assert sorted((r.page_id, r.titulo or "") for r in seen[0].collect()) == sorted(map(tuple, sent.collect()))
-    assert out.count() == sent.count() and out.where("length(titulo) > 30").count() == 0
+    for name in ("tree_enrich", "prefix_lookup", "active_margins"):
+        plan = Q.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") < 10, name
+
+
+def test_scratch_is_cleared_and_needs_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from tidemark import scratch
+
+    made = dict(scratch._made)
+    try:
+        scratch._made.clear()
+        path, name = shared_path(spark, "gone"), scratch.shared_table(spark, "gone")
+        spark.range(3).write.parquet(path)
+        spark.range(3).write.saveAsTable(name)
+        assert scratch.clear_scratch(spark) == 2 and not sinks.path_exists(spark, path) and not spark.catalog.tableExists(name)
+    finally:
+        scratch._made.update(made)
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a", getConf=lambda: SimpleNamespace(get=lambda k: None)))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_path(far, "x")

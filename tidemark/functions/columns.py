@@ -51,9 +51,9 @@ def completeness(columns: Iterable[str], exclude: Iterable[str] = (), skip_suffi
     return reduce(lambda a, b: a + b, (F.col(c).isNotNull().cast("int") for c in counted), F.lit(0))
 
 
-def audited(df: DataFrame, loaded_at: datetime | str, file_column: str | None = None) -> DataFrame:
-    """df with _loaded_at (a literal) and, from a file column, _source_file."""
-    out = df.withColumn("_loaded_at", F.lit(str(loaded_at)))
+def audited(df: DataFrame, loaded_at: datetime | str, file_column: str | None = "_metadata.file_name") -> DataFrame:
+    """df with _loaded_at (one time without zone for all rows) and _source_file, by default the scanned file's name."""
+    out = df.withColumn("_loaded_at", F.lit(str(loaded_at)).cast("timestamp_ntz"))
     return out if file_column is None else out.withColumn("_source_file", F.col(file_column))
 
 
@@ -72,6 +72,13 @@ def percent(c: Column | str) -> Column:
     return F.round(trimmed(c).try_cast("double") / 100, 4)
 
 
+def strict_cast(c: Column | str, kind: str) -> Column:
+    """The trimmed text as kind; text that isn't one fails the job, whatever the session's ANSI setting."""
+    value = trimmed(c)
+    wrong = F.raise_error(F.concat(F.lit("CAST_INVALID_INPUT: not a "), F.lit(kind), F.lit(": "), value))
+    return F.when(value.isNotNull() & value.try_cast(kind).isNull(), wrong).otherwise(value.try_cast(kind))
+
+
 def period_key(day: Column, grain: str) -> Column:
     """ISO period of a day: yyyy-MM-dd, yyyy-MM or yyyy for the grains diario, mensal and anual."""
     return F.date_format(day, {"diario": "yyyy-MM-dd", "mensal": "yyyy-MM", "anual": "yyyy"}[grain])

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.columns import period_key
-from ..scratch import shared_path, small
+from ..scratch import small, stored
 
 # What a run can find of a key.
 NEW, CHANGED, SAME, ABSENT = "baixado", "atualizado", "ignorado", "indisponivel"
@@ -33,9 +33,19 @@ def status_counts(diff: DataFrame) -> DataFrame:
     return diff.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def hashable(column: Column, kind: T.DataType) -> list[Column]:
+    """What to hash of a value so that nulls count: xxhash64 passes over them, wherever they stand."""
+    if isinstance(kind, T.StructType):
+        return [column.isNull(), *(x for f in kind for x in hashable(column[f.name], f.dataType))]
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return [F.coalesce(F.to_json(F.struct(column), {"ignoreNullFields": "false"}), F.lit(""))]
+    return [column.isNull(), column]
+
+
 def table_print(df: DataFrame) -> tuple:
-    """Rows and an order-independent hash of a whole table: equal tables have equal ones."""
-    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.struct(*df.columns), F.lit(1)))).first())
+    """Rows and an order-independent hash of a whole table: equal tables have equal ones, nulls and their places counted."""
+    parts = [x for f in df.schema for x in hashable(F.col(f"`{f.name}`"), f.dataType)]
+    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*parts).cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit(1), *parts))).first())
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame | None, keys: list[str], whole_first: bool = False) -> DataFrame:
@@ -91,15 +101,13 @@ def document_change(entries: DataFrame, document: DataFrame, hash_col: str = "ha
 def surrogate_ids(df: DataFrame, order: list[Column], name: str = "id") -> DataFrame:
     """df with consecutive numbers from 1 in the given order, which must be total.
 
-    The table is sorted into ranges; each row's number is its place in its range plus the sizes of the ranges
-    before: a few numbers meet, never the rows.
+    The table is sorted into ranges and written once with each row's place in its range; its number is that plus
+    the sizes of the ranges before: one shuffle, and a few numbers meet, never the rows.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = shared_path(spark, "ranges")  # written, so that both reads see the same ranges
-    df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
-    ranged = spark.read.parquet(path)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # monotonically_increasing_id counts rows within a partition and has the partition's number in its high bits
+    ranged = stored(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    ranged = ranged.withColumns({"_part": F.shiftright("_at", 33), "_place": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))})
     before = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = before.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # one row a range
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn("_place", place).join(F.broadcast(before), "_part").withColumn(name, F.col("_place") + F.col("_before")).drop("_part", "_place", "_before")
+    return ranged.join(F.broadcast(before), "_part").withColumn(name, F.col("_place") + F.col("_before") + 1).drop("_at", "_part", "_place", "_before")

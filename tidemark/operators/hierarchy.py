@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import LEVELS, digits_only, level_name
+from ..scratch import stored
 
 #: Names of the levels' columns, by digits (fixed values).
 LEVEL_COLUMNS = {2: "capitulo", 4: "posicao", 5: "subposicao_1", 6: "subposicao_2", 7: "item", 8: "subitem"}
@@ -21,53 +22,52 @@ def proper_prefixes(df: DataFrame, code: str, name: str, shortest: int = 1) -> D
 
 def prefix_lookup(nodes: DataFrame, lengths: tuple[int, ...] = (2, 4, 5, 6, 7, 8), leaf: int = 8) -> DataFrame:
     """Each leaf under each of its prefixes that is a node: prefixo, codigo (the leaf), descricao, nivel,
-    capitulo_codigo, capitulo_descricao of the node, caminho of the leaf. One explode and one join."""
-    base = nodes.withColumn("prefixo", digits_only(F.col("codigo")))
+    capitulo_codigo, capitulo_descricao of the node, caminho of the leaf. Nodes are written once; then one
+    explode and one join."""
+    base = stored(nodes, "tree").withColumn("prefixo", digits_only(F.col("codigo")))
     leaves = base.where(F.length("prefixo") == leaf).select(F.col("prefixo").alias("codigo_8"), F.col("caminho").alias("caminho_8"))
     cut = leaves.select("*", F.explode(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.left("codigo_8", n))).alias("prefixo"))
     kept = base.where(F.length("prefixo").isin(*lengths)).select("prefixo", "descricao", "nivel", "capitulo_codigo", "capitulo_descricao")
     return cut.join(kept, "prefixo").select("prefixo", F.col("codigo_8").alias("codigo"), "descricao", "nivel", "capitulo_codigo", "capitulo_descricao", F.col("caminho_8").alias("caminho"))
 
 
+def plain_codes(nodes: DataFrame, code: str) -> DataFrame:
+    """Distinct codes and, as _c, their digits; written, as both sides of a join read it."""
+    return stored(nodes.select(F.col(code), digits_only(F.col(code)).alias("_c")).distinct(), "codes")
+
+
 def parents(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """code and pai: the longest proper prefix that is a node, null if there is none."""
-    plain = nodes.select(F.col(code), digits_only(F.col(code)).alias("_c")).distinct()
+    plain = plain_codes(nodes, code)
     found = proper_prefixes(plain, "_c", "_p").join(plain.select(F.col("_c").alias("_p"), F.col(code).alias("_parent")), "_p")
     longest = found.groupBy(code).agg(F.max_by("_parent", F.length("_p")).alias("pai"))
     return plain.select(code).join(longest, code, "left")
 
 
-def sound(nodes: DataFrame, code: str = "codigo") -> DataFrame:
-    """Nodes at a known level, with their chapter there and no ancestor at an unknown level below it."""
-    plain = nodes.withColumn("_c", digits_only(F.col(code)))
-    known = plain.where(F.length("_c").isin(*LEVELS))
-    chapters = plain.where(F.length("_c") == 2).select(F.col("_c").alias("_chapter")).distinct()
-    odd = plain.where(~F.length("_c").isin(*LEVELS) & (F.length("_c") >= 3)).select(F.col("_c").alias("_p")).distinct()
-    broken = proper_prefixes(known.select("_c").distinct(), "_c", "_p", 3).join(odd, "_p", "left_semi").select("_c").distinct()
-    ok = known.withColumn("_chapter", F.left("_c", F.lit(2))).join(chapters, "_chapter", "left_semi").join(broken, "_c", "left_anti")
-    return ok.drop("_c", "_chapter")
-
-
 def enrich(nodes: DataFrame, root: str = "Nomenclatura Comum do Mercosul") -> DataFrame:
     """codigo, descricao, nivel, caminho and code and description of the ancestor (or self) at each level.
 
-    One explode of each code's prefixes at known levels, one join with the nodes, one aggregation back.
-    caminho joins the descriptions from the root down with ' > '.
+    Nodes at no known level drop out, those whose chapter isn't a node, and those below a node of an unknown level
+    (of three digits or more). Nodes are written once; then one explode of each code's prefixes, one join with the
+    nodes and one aggregation, which tells both the ancestors and what drops out. caminho joins the descriptions
+    from the root down with ' > '.
     """
-    ok = sound(nodes).withColumn("_c", digits_only(F.col("codigo")))
-    lengths = F.filter(F.array(*map(F.lit, LEVELS)), lambda n: n <= F.length("_c"))
-    asked = ok.select("codigo", "_c", F.explode(F.transform(lengths, lambda n: F.left("_c", n))).alias("_p"))
-    told = asked.join(ok.select(F.col("_c").alias("_p"), F.col("codigo").alias("_code"), F.col("descricao").alias("_text")), "_p")
+    base = stored(nodes.select("codigo", "descricao", digits_only(F.col("codigo")).alias("_c")), "tree")
+    known = base.where(F.length("_c").isin(*LEVELS))
+    asked = known.select("codigo", "descricao", F.explode(F.transform(F.sequence(F.lit(2), F.length("_c")), lambda n: F.left("_c", n))).alias("_p"), "_c")
+    told = asked.join(base.select(F.col("_c").alias("_p"), F.col("codigo").alias("_code"), F.col("descricao").alias("_text")), "_p")
     at = {n: F.length("_p") == n for n in LEVELS}
     cols = [F.max(F.when(at[n], F.col(v))).alias(f"{LEVEL_COLUMNS[n]}_{k}") for n in LEVELS for k, v in (("codigo", "_code"), ("descricao", "_text"))]
-    by_node = told.groupBy("codigo").agg(*cols)
+    odd = F.count_if(~F.length("_p").isin(*LEVELS)).alias("_odd")
+    out = told.groupBy("codigo", "descricao").agg(*cols, odd).where("_odd = 0 and capitulo_codigo is not null").drop("_odd")
     path = F.concat_ws(" > ", F.lit(root), *(F.col(f"{c}_descricao") for c in LEVEL_COLUMNS.values()))
-    return ok.select("codigo", "descricao", level_name(F.col("codigo")).alias("nivel")).join(by_node, "codigo").withColumn("caminho", path)
+    names = [c for c in out.columns if c not in ("codigo", "descricao")]
+    return out.select("codigo", "descricao", level_name(F.col("codigo")).alias("nivel"), *names).withColumn("caminho", path)
 
 
 def depth(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """code and profundidade: how many of its proper prefixes are nodes."""
-    plain = nodes.select(F.col(code), digits_only(F.col(code)).alias("_c")).distinct()
+    plain = plain_codes(nodes, code)
     hits = proper_prefixes(plain, "_c", "_p").join(plain.select(F.col("_c").alias("_p")), "_p", "left_semi").groupBy(code).agg(F.count("*").alias("n"))
     return plain.select(code).join(hits, code, "left").select(code, F.coalesce("n", F.lit(0)).cast("long").alias("profundidade"))
 
@@ -79,7 +79,7 @@ def child_count(nodes: DataFrame, code: str = "codigo") -> DataFrame:
 
 def descendant_count(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """code and n_descendentes (itself aside) of nodes that have any."""
-    plain = nodes.select(F.col(code), digits_only(F.col(code)).alias("_c")).distinct()
+    plain = plain_codes(nodes, code)
     hits = proper_prefixes(plain, "_c", "_p").groupBy("_p").agg(F.count("*").alias("n_descendentes"))
     return plain.join(hits, plain["_c"] == hits["_p"]).select(code, "n_descendentes")
 

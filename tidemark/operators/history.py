@@ -29,6 +29,16 @@ def as_of(history: DataFrame, day: str) -> DataFrame:
     return history.where((F.col("valido_de") <= d) & ((F.col("valido_ate") >= d) | F.col("is_current")))
 
 
+def loads_as_of(history: DataFrame, moment: str, keys: list[str]) -> DataFrame:
+    """Of a history by load time the version of each key that a read at a moment saw: the last one loaded by then.
+
+    valido_ate is no bound here, as it may lie before valido_de when two loads are less than a day apart.
+    """
+    seen = history.where(F.col("valido_de") <= F.lit(moment).cast("timestamp_ntz"))
+    last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("valido_de").desc(), *(F.col(c).asc_nulls_last() for c in history.columns if c not in keys)))
+    return seen.withColumn("_rn", last).where("_rn = 1").drop("_rn", "valido_ate", "is_current")
+
+
 def retained(df: DataFrame, loaded_col: str, now: str, days: int) -> DataFrame:
     """Rows loaded in the last days before now; what it leaves out is what retention drops."""
     return df.where(F.col(loaded_col) >= F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAY"))

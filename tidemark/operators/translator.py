@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import not_blank, trimmed
+from ..functions.columns import not_blank, strict_cast, trimmed
 
 #: Text columns of the sheet in order, and what they become: kind and name (fixed values).
 COLUMNS = (("int", "grupo_cod"), ("text", "grupo_descr"), ("int", "classe_cod"), ("text", "classe_descr"), ("int", "pdm_cod"), ("text", "pdm_nome"), ("int", "catmat"), ("text", "catmat_descr"),
@@ -16,7 +16,7 @@ def stage_suggestions(raw: DataFrame, key: str = "catmat") -> DataFrame:
     """raw (text columns under the names of COLUMNS) typed: numbers fail if they aren't any, '-' is no code,
     lists are split. Rows with a blank key drop out; columns that raw lacks stay out."""
     kinds = {
-        "int": lambda c: trimmed(c).cast("int"),
+        "int": lambda c: strict_cast(c, "int"),
         "text": trimmed,
         "dash": lambda c: F.nullif(trimmed(c), F.lit("-")),
         ",": lambda c: F.split(trimmed(c), ","),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import columns as C
 from ..operators import changes, checks, dedup, hierarchy as H, history, margins, summaries, translator
-from ..scratch import shared_path
+from ..scratch import shared_path, shared_table, stored
 from ..sources import scans, sinks
 from . import jobs
 
@@ -83,9 +83,14 @@ def _(spark, d):
     return C.without(table(spark, d, "orders"), "o_totalprice", "o_orderdate", "o_orderpriority")
 
 
-@query("audit_columns", "SELECT n_nationkey, n_name, '2024-05-01 00:00:00' AS _loaded_at, n_name AS _source_file FROM nation")
+@query("audit_columns", "SELECT o_orderkey, o_orderstatus, TIMESTAMP '2024-05-01 00:00:00' AS _loaded_at, 'orders.parquet' AS _source_file FROM orders")
 def _(spark, d):
-    return C.audited(table(spark, d, "nation").select("n_nationkey", "n_name"), "2024-05-01 00:00:00", "n_name")
+    return C.audited(table(spark, d, "orders"), "2024-05-01 00:00:00").select("o_orderkey", "o_orderstatus", "_loaded_at", "_source_file")
+
+
+@query("strict_cast", "SELECT o_orderkey, CAST(left(o_orderpriority, 1) AS INT) AS prioridade FROM orders")
+def _(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", C.strict_cast(F.left("o_orderpriority", F.lit(1)), "int").alias("prioridade"))
 
 
 @query("completeness_score", f"SELECT cod_compra, data_atualizacao, CAST((CASE WHEN prioridade IS NULL THEN 0 ELSE 1 END) + (CASE WHEN situacao IS NULL THEN 0 ELSE 1 END) + (CASE WHEN valor IS NULL THEN 0 ELSE 1 END) + (CASE WHEN ano_compra IS NULL THEN 0 ELSE 1 END) AS INT) AS score FROM ({PURCHASES}) p")
@@ -152,12 +157,28 @@ def _(spark, d):
     return history.as_of(jobs.versioned(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", VARIANTS), "1996-06-30")
 
 
+@query("load_as_of", f"SELECT codigo, tipo, max(carga) AS carga, max(carga) AS valido_de FROM ({LOADS}) l WHERE carga <= TIMESTAMP '2024-01-15 12:00:00' GROUP BY codigo, tipo")
+def _(spark, d):
+    return history.loads_as_of(jobs.load_versions(derive(spark, d, LOADS), ["codigo", "tipo"], "carga"), "2024-01-15 12:00:00", ["codigo", "tipo"])
+
+
 @query("retention_filter", "SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
 def _(spark, d):
     ev = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
     return history.retained(ev, "ts", str(ev.agg(F.max("ts")).first()[0]), 7)
 
 
+@query("retention_drop", "SELECT strftime(ts, '%Y-%m-%d') AS load_ts, count(*) AS n FROM events WHERE date_trunc('day', ts) >= (SELECT max(date_trunc('day', ts)) FROM events) - INTERVAL 7 DAY GROUP BY 1")
+def _(spark, d):
+    base = shared_path(spark, "loads")
+    ev = table(spark, d, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("load_ts"))
+    ev.repartition("load_ts").write.partitionBy("load_ts").parquet(base)
+    now = ev.agg(F.max("load_ts")).first()[0]
+    listed = sinks.drop_expired_loads(spark, base, now, 7)
+    assert listed == sinks.drop_expired_loads(spark, base, now, 7, dry_run=False)  # the dry run listed them and left them
+    return spark.read.parquet(base).groupBy(F.col("load_ts").cast("string").alias("load_ts")).agg(F.count("*").alias("n"))
+
+
 @query("yearly_summary", f"SELECT ano_compra, count(*) AS n, sum(valor) AS total FROM ({HISTORY}) h WHERE is_current GROUP BY ano_compra")
 def _(spark, d):
     return summaries.yearly_summary(jobs.published(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", variants=VARIANTS), "ano_compra", {"total": "valor"})
@@ -190,9 +211,9 @@ def _(spark, d):
     return summaries.ad_hoc(spark, "SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name", {n: table(spark, d, n) for n in ("customer", "nation")})
 
 
-@query("union_all", "SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region")
+@query("union_all", "SELECT c_name AS name FROM customer UNION ALL SELECT s_name FROM supplier")
 def _(spark, d):
-    return H.union_all(table(spark, d, "nation").select(F.col("n_name").alias("name")), table(spark, d, "region").select(F.col("r_name").alias("name")))
+    return H.union_all(table(spark, d, "customer").select(F.col("c_name").alias("name")), table(spark, d, "supplier").select(F.col("s_name").alias("name")))
 
 
 @query("union_distinct", "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier")
@@ -229,6 +250,15 @@ def _(spark, d):
     return changes.snapshot_diff(table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), derive(spark, d, _OLD), ["c_custkey"], whole_first=True)
 
 
+_MOVED = "SELECT c_custkey, CASE WHEN c_custkey % {n} = 0 THEN NULL ELSE c_name END AS nome, CASE WHEN c_custkey % {n} = 0 THEN c_name END AS apelido FROM customer"
+
+
+@query("snapshot_diff_moved_nulls", f"SELECT n.* FROM ({_MOVED.format(n=5)}) n JOIN ({_MOVED.format(n=15)}) o ON o.c_custkey = n.c_custkey WHERE n.nome IS DISTINCT FROM o.nome")
+def _(spark, d):
+    # the tables differ by values that moved to the column beside, a null taking their place
+    return changes.snapshot_diff(derive(spark, d, _MOVED.format(n=5)), derive(spark, d, _MOVED.format(n=15)), ["c_custkey"], whole_first=True)
+
+
 @query("period_calendar", """WITH b AS (SELECT CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS z FROM events),
   c AS (SELECT 'diario' AS granularidade, strftime(g, '%Y-%m-%d') AS periodo FROM b, generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY) t(g)
   UNION ALL SELECT 'mensal', strftime(g, '%Y-%m') FROM b, generate_series(date_trunc('month', CAST(a AS TIMESTAMP)), CAST(z AS TIMESTAMP), INTERVAL 1 MONTH) t(g)
@@ -246,10 +276,15 @@ def _(spark, d):
     return changes.latest_by(table(spark, d, "events"), "event_type", "ts", ["user_id"])
 
 
-@query("document_change", "SELECT user_id, event_type AS hash, event_type IS DISTINCT FROM last AS mudou FROM (SELECT user_id, min(event_type) AS event_type FROM events GROUP BY user_id) n LEFT JOIN (SELECT user_id, max_by(event_type, (ts, event_type)) AS last FROM events WHERE event_id % 3 = 0 GROUP BY user_id) o USING (user_id)")
+@query("document_change", "SELECT page_id, page_id % 3 <> 0 OR page_id % 10 = 0 AS mudou FROM pages")
 def _(spark, d):
-    ev = table(spark, d, "events").withColumnRenamed("event_type", "hash")
-    return changes.document_change(ev.where("event_id % 3 = 0"), ev.groupBy("user_id").agg(F.min("hash").alias("hash")), "hash", "ts", ["user_id"])
+    """Pages read again on another day: those of every third have an entry, every tenth has other content now."""
+    pages = table(spark, d, "pages")
+    told = lambda html: changes.content_hash({"url": F.col("url"), "html": html})  # noqa: E731  the day isn't part of it
+    before = pages.where("page_id % 3 = 0").select("page_id", told(F.col("html")).alias("hash"), F.lit("2024-01-02").alias("extraido_em"))
+    older = before.select("page_id", F.lit("0").alias("hash"), F.lit("2024-01-01").alias("extraido_em"))
+    now = pages.select("page_id", told(F.when(F.col("page_id") % 10 == 0, F.concat("html", F.lit("!"))).otherwise(F.col("html"))).alias("hash"))
+    return changes.document_change(before.unionByName(older), now, "hash", "extraido_em", ["page_id"]).select("page_id", "mudou")
 
 
 @query("surrogate_id", "SELECT event_id, row_number() OVER (ORDER BY ts ASC NULLS LAST, event_id) AS id FROM events")
@@ -269,10 +304,11 @@ def _(spark, d):
     return sinks.changed_rows(table(spark, d, "customer"), big, ["c_custkey"]).select("c_custkey")
 
 
-@query("contains_semi_join", "SELECT page_id FROM pages p WHERE EXISTS (SELECT 1 FROM (SELECT regexp_extract(url, '([^/]+)$', 1) AS f FROM pages WHERE page_id % 9 = 0) c WHERE regexp_extract(p.url, '([^/]+)$', 1) = c.f)")
+@query("contains_semi_join", "SELECT page_id FROM pages p WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT regexp_extract(url, '([^/]+)$', 1) AS f FROM pages WHERE page_id % 9 = 0) c WHERE f <> '' AND contains(p.url, c.f))")
 def _(spark, d):
-    pages = table(spark, d, "pages").select("page_id", F.regexp_extract("url", "([^/]+)$", 1).alias("file"))
-    return sinks.changed_rows(pages, pages.where("page_id % 9 = 0"), ["file"]).select("page_id")
+    pages = table(spark, d, "pages").select("page_id", "url")
+    names = pages.where("page_id % 9 = 0").select(F.regexp_extract("url", "([^/]+)$", 1).alias("arquivo"))
+    return sinks.containing_rows(pages, "url", names, "arquivo").select("page_id")
 
 
 @query("dim_join", f"SELECT resolucao, ncm, vigencia_inicio AS data_evento FROM ({SHEETS}) s JOIN ({REGULATIONS}) r ON r.id = s.resolucao")
@@ -328,9 +364,9 @@ def _(spark, d):
     return H.prune(derive(spark, d, NODES), 2)
 
 
-@query("tree_search", f"SELECT codigo, descricao FROM ({_KEPT}) k WHERE contains(lower(descricao), 'part 1')")
+@query("tree_search", f"SELECT codigo, descricao FROM ({_KEPT}) k WHERE contains(lower(descricao), 'e bolt')")
 def _(spark, d):
-    return H.search(derive(spark, d, NODES), "PART 1")
+    return H.search(derive(spark, d, NODES), "E BOLT")
 
 
 @query("tree_select", f"SELECT codigo, descricao FROM ({_KEPT}) k WHERE codigo = '00'")
@@ -343,13 +379,20 @@ def _(spark, d):
     return H.preorder(derive(spark, d, NODES))
 
 
-@query("flatten_tree", f"SELECT codigo, descricao FROM ({_KEPT}) k WHERE length(codigo) IN (2, 4)")
+@query("flatten_tree", f"SELECT codigo, descricao FROM ({_KEPT}) k")
 def _(spark, d):
-    nodes = derive(spark, d, NODES)
-    kids = nodes.where("length(codigo) = 4").groupBy(F.left("codigo", F.lit(2)).alias("c")).agg(F.collect_list(F.struct(F.col("codigo").alias("Codigo"), F.col("descricao").alias("Descricao"))).alias("NomenclaturaFilha"))
-    tops = nodes.where("length(codigo) = 2").join(kids, F.col("codigo") == F.col("c"), "left")
-    doc = tops.select(F.to_json(F.array(F.struct(F.col("codigo").alias("Codigo"), F.col("descricao").alias("Descricao"), "NomenclaturaFilha"))).alias("doc"))
-    return scans.flatten_tree(doc, "doc")
+    """All six levels, nested from the leaves up and flattened again."""
+    nodes, lengths = stored(derive(spark, d, NODES), "nodes"), list(H.LEVEL_COLUMNS)
+    kids = None
+    for n, above in reversed(list(zip(lengths, [None, *lengths], strict=False))):
+        level = nodes.where(F.length("codigo") == n).select("codigo", F.struct(F.col("codigo").alias("Codigo"), F.col("descricao").alias("Descricao")).alias("node"))
+        told = F.to_json("node")
+        if kids is not None:
+            level = level.join(kids, "codigo", "left")
+            told = F.when(F.col("kids").isNull(), told).otherwise(F.concat(told.substr(F.lit(1), F.length(told) - 1), F.lit(',"NomenclaturaFilha":['), "kids", F.lit("]}")))
+        key = F.left("codigo", F.lit(above)) if above else F.left("codigo", F.lit(1))
+        kids = level.select(key.alias("codigo"), "codigo", told.alias("told")).toDF("codigo", "own", "told").groupBy("codigo").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("own", "told"))), lambda x: x["told"]), ",").alias("kids"))
+    return scans.flatten_tree(kids.select(F.concat(F.lit("["), "kids", F.lit("]")).alias("doc")), "doc")
 
 
 # ---- margins and translator ------------------------------------------------------------------------------
@@ -414,6 +457,11 @@ def _(spark, d):
     return jobs.margin_marts(derive(spark, d, SHEETS), derive(spark, d, STANDING), derive(spark, d, REGULATIONS), H.prefix_lookup(H.enrich(derive(spark, d, NODES))), SUCCESSION)["cics"]
 
 
+@query("active_margins_ciiapac", f"WITH p AS ({_PREFIXES}), i AS ({_INTERVALS}) SELECT i.*, p.codigo AS ncm, p.descricao AS ncm_descricao FROM i JOIN p ON p.prefixo = i.prefixo_ncm WHERE starts_with(i.resolucao, 'ciiapac') AND i.ativa")
+def _(spark, d):
+    return jobs.margin_marts(derive(spark, d, SHEETS), derive(spark, d, STANDING), derive(spark, d, REGULATIONS), H.prefix_lookup(H.enrich(derive(spark, d, NODES))), SUCCESSION)["ciiapac"]
+
+
 _STAGED = f"SELECT CAST(trim(catmat) AS INT) AS catmat, trim(catmat_descr) AS catmat_descr, nullif(trim(ncm), '-') AS ncm, trim(ncm_capitulo_sugerido_cod) AS ncm_capitulo_sugerido_cod, trim(ncm_posicao_sugerida_cod) AS ncm_posicao_sugerida_cod, string_split(trim(ncm_subitem_sugerido_top_5_cod), ',') AS ncm_subitem_sugerido_top_5_cod, string_split(trim(ncm_subitem_sugerido_top_5_descr), '|') AS ncm_subitem_sugerido_top_5_descr FROM ({SUGGESTIONS}) s WHERE trim(catmat) <> ''"
 
 
@@ -468,16 +516,20 @@ def _(spark, d):
     return scans.csv_to_parquet(spark, src, shared_path(spark, "parquet"), _ORDER_COLUMNS)
 
 
-@query("csv_latin1", "SELECT page_id, left(regexp_extract(html, '<title>([^<]*)', 1), 30) AS titulo FROM pages")
+@query("csv_multiline", "SELECT doc_id, lang, text FROM documents")
+def _(spark, d):
+    src = shared_path(spark, "lines")
+    plain = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    table(spark, d, "documents").select("doc_id", "lang", "text").write.options(**plain).csv(src)
+    return scans.csv_to_parquet(spark, src, shared_path(spark, "parquet"), "doc_id long, lang string, text string", multi_line=True)
+
+
+@query("csv_latin1", "SELECT page_id, regexp_extract(html, '<title>([^<]*)', 1) AS titulo FROM pages")
 def _(spark, d):
     src = shared_path(spark, "latin1")
     table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)", 1).alias("titulo")).write.option("header", True).option("sep", ";").option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("encoding", "ISO-8859-1").csv(src)
-    out = scans.read_csv(spark, src, "page_id long, titulo string", sep=";", encoding="ISO-8859-1")
-    # whole titles go out and come back, each held against its page; only what is shown is cut, as the SQL does
-    whole = table(spark, d, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)", 1).alias("_sent"))
-    read = out.select("page_id", F.coalesce("titulo", F.lit("")).alias("titulo")).join(whole, "page_id", "full")
-    same = F.col("titulo").eqNullSafe(F.col("_sent"))
-    return read.select("page_id", F.when(same, F.left("titulo", F.lit(30))).otherwise(F.raise_error(F.concat(F.lit("title changed on its way: page "), F.col("page_id").cast("string")))).alias("titulo"))
+    out = scans.read_csv(spark, src, "page_id long, titulo string", sep=";", encoding="ISO-8859-1", multi_line=True)
+    return out.select("page_id", F.coalesce("titulo", F.lit("")).alias("titulo"))
 
 
 _DRIFT = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.StringType()), T.StructField("v", T.DoubleType())])
@@ -491,19 +543,21 @@ def _(spark, d):
     return scans.union_by_name([spark.read.parquet(a), spark.read.parquet(b)], _DRIFT)
 
 
-@query("file_name_keys", "SELECT 'mensal' AS granularidade, strftime(o_orderdate, '%Y-%m') AS periodo, count(*) AS n FROM orders GROUP BY 2")
+@query("file_name_keys", "SELECT 'anual' AS granularidade, strftime(o_orderdate, '%Y') AS periodo, count(*) AS n FROM orders GROUP BY 2")
 def _(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("drop-mensal-compras/compras-"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet")).alias("path"))
-    return scans.with_file_keys(o, "compras", "path").groupBy("granularidade", "periodo").agg(F.count("*").alias("n"))
+    base, orders = shared_path(spark, "drops"), table(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("ano"))
+    years = orders.agg(F.min("ano"), F.max("ano")).first()
+    for y in range(years[0], years[1] + 1):  # a drop a year, under the names that drops have
+        orders.where(F.col("ano") == y).select("o_orderkey").write.parquet(f"{base}/drop-anual-compras/compras-{y}.parquet")
+    return scans.with_file_keys(spark.read.parquet(f"{base}/drop-*/*.parquet"), "compras").groupBy("granularidade", "periodo").agg(F.count("*").alias("n"))
 
 
-@query("csv_glob_versions", "SELECT r_name, n_name FROM nation JOIN region ON r_regionkey = n_regionkey")
+@query("csv_glob_versions", "SELECT o_orderpriority AS versao, o_orderkey FROM orders")
 def _(spark, d):
     src = shared_path(spark, "versions")
-    joined = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    joined.select("n_name", "r_name").write.partitionBy("r_name").option("header", True).csv(src)
-    out = scans.read_csv(spark, f"{src}/*", "n_name string").withColumn("path", F.col("_metadata.file_path"))
-    return out.select(F.url_decode(F.regexp_extract("path", "r_name=([^/]+)/", 1)).alias("r_name"), "n_name")
+    table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("versao")).write.partitionBy("versao").option("header", True).csv(src)
+    out = scans.read_csv(spark, f"{src}/*", "o_orderkey long").withColumn("path", F.col("_metadata.file_path"))
+    return out.select(F.url_decode(F.regexp_extract("path", "versao=([^/]+)/", 1)).alias("versao"), "o_orderkey")
 
 
 @query("catalog_scan", "SELECT p_partkey, p_name, p_size FROM part")
@@ -527,21 +581,63 @@ def _(spark, d):
     return scans.explode_payload(pages, "payload", "k: bigint", "itens", "2024-05-01")
 
 
-@query("file_metrics", "SELECT CAST(1 AS BIGINT) AS arquivos, count(*) AS linhas FROM nation")
+@query("file_metrics", "SELECT p_brand AS marca, CAST(sum(strlen(p_name) + 1) AS BIGINT) AS tamanho_bytes, sha256(string_agg(p_name || chr(10), '' ORDER BY p_partkey)) AS hash_sha256, count(*) AS num_linhas, 1 AS num_colunas FROM part GROUP BY p_brand")
 def _(spark, d):
     src = shared_path(spark, "metrics")
-    table(spark, d, "nation").coalesce(1).write.parquet(src)
-    told = scans.file_metrics(spark, f"{src}/*.parquet").where("length(hash_sha256) = 64 and tamanho_bytes > 0").agg(F.count("*").alias("arquivos"))
-    return told.join(F.broadcast(spark.read.parquet(src).agg(F.count("*").alias("linhas"))), F.lit(True))
+    parts = table(spark, d, "part").repartition("p_brand").sortWithinPartitions("p_brand", "p_partkey")
+    parts.select("p_name", "p_brand").write.partitionBy("p_brand").text(src)
+    told = scans.file_metrics(spark, f"{src}/*/*.txt", spark.read.schema("value string").text(f"{src}/*/*.txt"))
+    return told.select(F.url_decode(F.regexp_extract("path", "p_brand=([^/]+)/", 1)).alias("marca"), "tamanho_bytes", "hash_sha256", "num_linhas", "num_colunas")
 
 
 @query("incremental_append", "SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
 def _(spark, d):
-    target = shared_path(spark, "append")
+    target, lists, delta = (shared_path(spark, n) for n in ("append", "changes", "delta"))
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
-    sinks.incremental_append(o, o.limit(0), ["o_orderstatus"], target)
-    sinks.incremental_append(o, o.limit(0), ["o_orderstatus"], target)
-    return sinks.incremental_append(o, o.where("o_orderstatus = 'F'"), ["o_orderstatus"], target)
+    o.write.parquet(delta)
+    o = spark.read.parquet(f"{delta}/*.parquet")  # drops and change lists are files, read as such
+    o.where("o_orderstatus = 'F'").select("o_orderstatus").distinct().write.option("header", True).csv(lists)
+    changed = scans.read_csv(spark, lists, "o_orderstatus string")
+    sinks.incremental_append(o, changed.limit(0), ["o_orderstatus"], target)
+    sinks.incremental_append(o, changed.limit(0), ["o_orderstatus"], target)
+    return sinks.incremental_append(o, changed, ["o_orderstatus"], target)
+
+
+@query("full_refresh", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0")
+def _(spark, d):
+    name, c = shared_table(spark, "refresh"), table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_name")
+    sinks.refresh_table(c, name)
+    sinks.refresh_table(c.where("c_custkey % 2 = 0"), name)
+    return scans.catalog_table(spark, name, ["c_custkey", "c_acctbal"])
+
+
+@query("published_view", "SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment")
+def _(spark, d):
+    name, view = shared_table(spark, "base"), shared_table(spark, "view")
+    sinks.refresh_table(table(spark, d, "customer"), name)
+    return sinks.publish_view(spark, view, f"SELECT c_mktsegment, count(*) AS n FROM {name} WHERE c_acctbal > 0 GROUP BY c_mktsegment")
+
+
+@query("delta_by_load", f"SELECT c_custkey, c_acctbal, '2024-01-01' AS carga FROM ({_OLD}) a UNION ALL SELECT n.c_custkey, n.c_acctbal, '2024-01-02' FROM customer n LEFT JOIN ({_OLD}) o ON o.c_custkey = n.c_custkey WHERE o.c_custkey IS NULL OR n.c_acctbal IS DISTINCT FROM o.c_acctbal")
+def _(spark, d):
+    base, old = shared_path(spark, "loads"), derive(spark, d, _OLD)
+    sinks.write_delta(changes.snapshot_diff(old, None, ["c_custkey"]), base, "2024-01-01")
+    sinks.write_delta(changes.snapshot_diff(table(spark, d, "customer").select(*old.columns), old, ["c_custkey"], whole_first=True), base, "2024-01-02")
+    return spark.read.parquet(base).select("c_custkey", "c_acctbal", F.col("load_ts").cast("string").alias("carga"))
+
+
+@query("manifest_commit", f"SELECT page_id, hash_sha256, status IN ('baixado', 'atualizado') AS mudou FROM ({_MANIFEST_DIFF}) x WHERE status <> 'indisponivel' OR hash_sha256 IS NOT NULL")
+def _(spark, d):
+    """A run over a manifest: what it finds is saved as the next version beside its change list."""
+    base, lists = shared_path(spark, "manifest"), shared_path(spark, "changed")
+    sinks.save_manifest(derive(spark, d, MANIFEST.format(hash="sha2(html, 256)")), ["page_id"], base, "1")
+    pages, known = table(spark, d, "pages"), sinks.current_snapshot(spark, base)
+    observed = pages.where("page_id % 13 <> 0").select("page_id", F.sha2("html", 256).alias("hash_sha256"))
+    diff = changes.manifest_diff(pages.select("page_id"), observed, known, ["page_id"])
+    sinks.export_table(changes.change_list(diff, ["page_id"]), lists)
+    sinks.save_manifest(diff.where("hash_sha256 is not null").drop("status"), ["page_id"], base, "2")
+    saved = spark.read.parquet(lists).withColumn("_changed", F.lit(True))
+    return sinks.current_snapshot(spark, base).join(saved, "page_id", "left").select("page_id", "hash_sha256", F.coalesce("_changed", F.lit(False)).alias("mudou"))
 
 
 @query("export_table", _ORDERS3)

@@ -8,9 +8,23 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """CSV with a header under a declared schema: codes keep their zeros. Files without rows give none."""
-    return spark.read.csv(paths, schema=schema, header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=False)
+def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """CSV with a header under a declared schema: codes keep their zeros. Files without rows give none.
+
+    multi_line is for drops whose quoted fields hold line feeds; such files aren't split. Rows that don't fit the
+    schema fail the job; without multi_line, so does a quoted line feed that leaves a row short.
+    """
+    return spark.read.csv(paths, schema=schema, header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multi_line, mode="FAILFAST")
+
+
+def catalog_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
+    """A table of the catalog, or some columns of it."""
+    return spark.read.table(name).select(*(columns or ["*"]))
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int, **options) -> DataFrame:
+    """A database table read by parts tasks, each a range of a numeric key."""
+    return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=key, lowerBound=low, upperBound=high, numPartitions=parts, **options).load()
 
 
 def csv_to_parquet(spark: SparkSession, source: str | list[str], target: str, schema: T.StructType | str, **options) -> DataFrame:
@@ -52,14 +66,19 @@ NODE = "code string, description string, children array<string>"
 
 
 def flatten_tree(df: DataFrame, json_col: str, code: str = "Codigo", description: str = "Descricao", children: str = "NomenclaturaFilha", depth: int = 6) -> DataFrame:
-    """(codigo, descricao) of all nodes of nested JSON arrays, at most depth levels; of one code the last
-    (deepest, then furthest) wins. Children stay text until their level is reached."""
+    """(codigo, descricao) of all nodes of nested JSON arrays of at most depth levels; of one code the last
+    (deepest, then furthest) wins. Children stay text until their level is reached; children below the last
+    level fail the job."""
     level_schema = f"array<struct<`{code}`:string,`{description}`:string,`{children}`:string>>"
     level = df.select(F.posexplode(F.from_json(F.col(json_col), level_schema)).alias("at", "node"))
     level = level.select(F.array(F.col("at")).alias("place"), "node.*")
     found = []
-    for _ in range(depth):
-        found.append(level.select(F.col(code).alias("codigo"), F.col(description).alias("descricao"), "place"))
+    for k in range(depth):
+        below = F.coalesce(F.regexp_replace(children, r"\s", ""), F.lit("[]"))
+        text = F.col(description)
+        if k == depth - 1:
+            text = F.when(below != "[]", F.raise_error(F.lit(f"tree has more than {depth} levels"))).otherwise(text)
+        found.append(level.select(F.col(code).alias("codigo"), text.alias("descricao"), "place"))
         below = level.where(F.col(children).isNotNull()).select("place", F.posexplode(F.from_json(F.col(children), level_schema)).alias("at", "node"))
         level = below.select(F.concat("place", F.array("at")).alias("place"), "node.*")
     nodes = reduce(DataFrame.unionByName, found).where("codigo is not null")
@@ -78,6 +97,14 @@ def explode_payload(df: DataFrame, payload_col: str, item: T.StructType | str, l
     return out if fetched_at is None else out.withColumn("api_consultada_em", F.lit(fetched_at))
 
 
-def file_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """name, bytes and SHA-256 of each file."""
-    return spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.length("content").cast("long").alias("tamanho_bytes"), F.sha2("content", 256).alias("hash_sha256"))
+def file_metrics(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
+    """path, tamanho_bytes and hash_sha256 (SHA-256) of each file; of those that rows was scanned from (files that
+    give no row aside, which have 0) num_linhas and num_colunas too."""
+    told = spark.read.format("binaryFile").load(path).select("path", F.length("content").cast("long").alias("tamanho_bytes"), F.sha2("content", 256).alias("hash_sha256"))
+    if rows is None:
+        return told
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  both spellings of local files
+    scanned = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # told URL-encoded
+    counts = rows.groupBy(plain(scanned).alias("_p")).agg(F.count("*").alias("num_linhas"))
+    out = told.withColumn("_p", plain(F.col("path"))).join(counts, "_p", "left").drop("_p")
+    return out.withColumns({"num_linhas": F.coalesce("num_linhas", F.lit(0).cast("long")), "num_colunas": F.lit(len(rows.columns))})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..scratch import small
+from ..scratch import small, stored
 
 #: Change lists up to this many keys are broadcast.
 CHANGES = 200_000
@@ -58,6 +58,52 @@ def current_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
     return spark.read.parquet(f"{base}/version={version}")
 
 
-def save_manifest(df: DataFrame, keys: list[str], path: str) -> None:
-    """A manifest in the order of its keys; written last, it commits a run."""
-    df.orderBy(*keys).write.mode("overwrite").parquet(path)
+def save_manifest(df: DataFrame, keys: list[str], base: str, version: str) -> str:
+    """A manifest in the order of its keys as a new version; the pointer to it, written last, commits a run.
+
+    Until then readers see the manifest before, so df may be made from it, and a crash loses nothing.
+    """
+    return replace_snapshot(df.orderBy(*keys), base, version)
+
+
+def refresh_table(df: DataFrame, table: str) -> DataFrame:
+    """A full refresh of a table of the catalog."""
+    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    return df.sparkSession.read.table(table)
+
+
+def publish_view(spark: SparkSession, view: str, query: str) -> DataFrame:
+    """A view of the catalog under a query over its tables, replaced if it is there."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+    return spark.read.table(view)
+
+
+def containing_rows(source: DataFrame, column: str, names: DataFrame, name: str, gram: int = 8) -> DataFrame:
+    """Rows whose text in column contains one of the names (blank and null ones aside).
+
+    No pair of row and name is tried blindly: rows meet names by the first characters of the names, as many as the
+    shortest has and gram at most, and only then the whole name is looked for.
+    """
+    told = names.select(F.col(name).alias("_name")).where("_name <> ''").distinct()
+    k = min(gram, told.agg(F.min(F.length("_name"))).first()[0] or gram)
+    rows = stored(source.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    text = F.coalesce(F.col(column), F.lit(""))
+    starts = F.when(F.length(text) >= k, F.sequence(F.lit(1), F.length(text) - k + 1)).otherwise(F.array().cast("array<int>"))
+    parts = rows.select("_row", text.alias("_text"), F.explode(F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(k))))).alias("_gram"))
+    hits = parts.join(small(told.withColumn("_gram", F.left("_name", F.lit(k))), CHANGES), "_gram").where(F.contains("_text", "_name")).select("_row").distinct()
+    return rows.join(hits, "_row", "left_semi").drop("_row")
+
+
+def expired_loads(spark: SparkSession, base: str, now: str, days: int) -> DataFrame:
+    """load_ts of the load partitions (load_ts=…) of base that are older than so many days before now."""
+    loads = spark.read.parquet(base).select(F.col("load_ts").cast("string").alias("load_ts")).distinct()
+    return loads.where(F.col("load_ts").cast("timestamp_ntz") < F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAY"))
+
+
+def drop_expired_loads(spark: SparkSession, base: str, now: str, days: int, dry_run: bool = True) -> list[str]:
+    """Retention: the load partitions that go, and unless it is a dry run, gone."""
+    gone = sorted(r["load_ts"] for r in expired_loads(spark, base, now, days).collect())  # a row a load
+    for load in [] if dry_run else gone:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/load_ts={load}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return gone
