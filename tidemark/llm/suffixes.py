@@ -20,6 +20,9 @@ AT = 24
 MOST_WINDOWS = 1 << 22
 #: Suffixes of a batch of the index family, at least.
 BATCH = 16_384
+#: Distinct suffixes of one anchor beyond which its strings are dealt by themselves; runs of an anchor in a block
+#: from which on they are told apart when counted.
+HOT_SUFFIXES, MANY = 50_000, 16
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -98,31 +101,53 @@ class Block:
         first = np.flatnonzero(np.concatenate([np.ones(min(len(shard), 1), bool), shard[1:] != shard[:-1]])).tolist()
         return list(zip(shard[first].tolist(), first, [*first[1:], len(shard)][: len(first)], strict=True))
 
+    def prints(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Hashes of raw[at : at + size], which lie in one document each."""
+        out = np.zeros(len(at), np.uint64)
+        for a, b in spans_of_bytes(self.offsets):  # sums over one stretch at a time
+            lo, hi = int(self.offsets[a]), int(self.offsets[b])
+            mine = np.flatnonzero((at >= lo) & (at < hi))
+            if len(mine):
+                up, down = powers(hi - lo + 1)
+                sums = np.zeros(hi - lo + 1, np.uint64)
+                np.cumsum(BYTE_VALUE[self.raw[lo:hi]] * up[:-1], out=sums[1:])
+                s = at[mine] - lo
+                out[mine] = mix64((sums[s + size[mine]] - sums[s]) * down[s])
+        return out
+
+    def contents(self, runs: np.ndarray) -> np.ndarray:
+        """Hashes of runs, equal if their strings are."""
+        return self.prints(self.left[runs], self.wins[runs] + MATCH - 1) + self.wins[runs].astype(np.uint64)
+
     def ask_keys(self):
-        """Distinct keys, 6 bytes each, and whether more than one document here has them."""
+        """Distinct keys, 6 bytes each, and of each a byte: whether more than one document here has it, and how many
+        distinct suffixes it has here at most, as a logarithm."""
         ids = self.ids[self.doc[self.order]]
-        first = self.bounds[:-1]
+        first, n = self.bounds[:-1], np.diff(self.bounds)
         several = np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first) if len(first) else np.zeros(0, bool)
+        many = np.repeat(n > MANY, n)
+        if many.any():
+            group = np.repeat(np.arange(len(n)), n)[many]
+            content = self.contents(self.order[many])
+            order = np.lexsort((content, group))
+            group, content = group[order], content[order]
+            new = np.ones(len(group), bool)
+            new[1:] = (group[1:] != group[:-1]) | (content[1:] != content[:-1])
+            n = np.where(n > MANY, np.bincount(group[new], minlength=len(n)), n)
+        said = (np.log2(np.maximum(n, 1)).astype(np.uint8) | (several.astype(np.uint8) << 7)).astype(np.uint8)
         six = self.keys.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:]
         for s, a, b in self.parts(self.keys):
-            yield s, six[a:b].tobytes(), np.packbits(several[a:b]).tobytes()
+            yield s, six[a:b].tobytes(), said[a:b].tobytes()
 
     def share(self, told: dict[int, bytes]) -> None:
-        """Keeps the runs whose key other documents have too, grouped by key and content."""
-        hit = np.zeros(len(self.keys), bool)
+        """Keeps the runs whose key other documents have too, grouped by key and content; of hot keys the strings."""
+        hit, hot = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
         for s, a, b in self.parts(self.keys):
-            hit[a:b] = np.unpackbits(np.frombuffer(told[s], np.uint8), count=b - a).astype(bool)
-        runs = self.order[np.repeat(hit, np.diff(self.bounds))]
-        key, doc, left, wins = self.key[runs], self.doc[runs], self.left[runs], self.wins[runs]
-        content = np.zeros(len(runs), np.uint64)
-        for a, b in spans_of_bytes(self.offsets):  # sums over one stretch at a time
-            mine = np.flatnonzero((doc >= a) & (doc < b))
-            lo, hi = int(self.offsets[a]), int(self.offsets[b])
-            up, down = powers(hi - lo + 1)
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(BYTE_VALUE[self.raw[lo:hi]] * up[:-1], out=sums[1:])
-            s = left[mine] - lo
-            content[mine] = mix64((sums[s + wins[mine] + MATCH - 1] - sums[s]) * down[s]) + wins[mine].astype(np.uint64)
+            bits = np.frombuffer(told[s], np.uint8)
+            hit[a:b], hot[a:b] = (np.unpackbits(x, count=b - a).astype(bool) for x in (bits[: len(bits) // 2], bits[len(bits) // 2 :]))
+        n = np.diff(self.bounds)
+        runs = self.order[np.repeat(hit & ~hot, n)]
+        key, doc, left, wins, content = self.key[runs], self.doc[runs], self.left[runs], self.wins[runs], self.contents(runs)
         ids = self.ids[doc]
         order = np.lexsort((ids, content, key))
         self.key2, self.doc2, self.left2, self.wins2, self.ids2, content = (x[order] for x in (key, doc, left, wins, ids, content))
@@ -130,21 +155,39 @@ class Block:
         new[1:] = (self.key2[1:] != self.key2[:-1]) | (content[1:] != content[:-1])
         self.heads = np.flatnonzero(new)  # the first has the least id
         self.group = np.cumsum(new) - 1
+        runs = self.order[np.repeat(hot, n)]
+        wins = self.wins[runs]
+        self.hot_at = np.repeat(self.left[runs], wins) + np.arange(wins.sum()) - np.repeat(np.cumsum(wins) - wins, wins)
+        self.hot_id = np.repeat(self.ids[self.doc[runs]], wins)
+        order, bounds = by_key(self.prints(self.hot_at, np.full(len(self.hot_at), MATCH)))
+        self.hot_at, self.hot_id = self.hot_at[order], self.hot_id[order]
+        self.hot_n = np.diff(bounds)
+        first = bounds[:-1]
+        self.hot_print = self.prints(self.hot_at[first], np.full(len(first), MATCH))
+        self.hot_least = np.minimum.reduceat(self.hot_id, first) if len(first) else self.hot_id
+
+    def asked_parts(self):
+        """(shard, suffixes from, to, strings from, to) of what ask_suffixes sends."""
+        suffixes = {s: (a, b) for s, a, b in self.parts(self.key2[self.heads])}
+        strings = {s: (a, b) for s, a, b in self.parts(self.hot_print >> np.uint64(16))}
+        return [(s, *suffixes.get(s, (0, 0)), *strings.get(s, (0, 0))) for s in sorted({*suffixes, *strings})]
 
     def ask_suffixes(self):
-        """Each distinct anchored suffix with its least id: n, keys, ids, wins, text (compressed)."""
+        """Each distinct anchored suffix with its least id: n, keys, ids, wins, text (compressed); each distinct
+        string at a hot anchor, with its least id: prints, least."""
         h = self.heads
         sizes = self.wins2[h] + MATCH - 1
-        for s, a, b in self.parts(self.key2[h]):
+        for s, a, b, p, q in self.asked_parts():
             size = sizes[a:b]
-            at = np.repeat(self.left2[h[a:b]] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            yield s, b - a, self.key2[h[a:b]].astype("<u8").tobytes(), self.ids2[h[a:b]].tobytes(), self.wins2[h[a:b]].astype(np.uint8).tobytes(), zlib.compress(self.raw[at].tobytes(), 1)
+            at = np.repeat(self.left2[h[a:b]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            yield s, b - a, self.key2[h[a:b]].astype("<u8").tobytes(), self.ids2[h[a:b]].tobytes(), self.wins2[h[a:b]].astype(np.uint8).tobytes(), zlib.compress(self.raw[at].tobytes(), 1), self.hot_print[p:q].tobytes(), self.hot_least[p:q].tobytes()
 
     def removed(self, told: dict[int, bytes]) -> np.ndarray:
-        """Whether each byte goes, from the masks of the distinct suffixes."""
-        masks = np.zeros(len(self.heads), np.uint32)
-        for s, a, b in self.parts(self.key2[self.heads]):
-            masks[a:b] = np.frombuffer(told[s], np.uint32)
+        """Whether each byte goes, from the masks of the distinct suffixes and the least ids of the strings."""
+        masks, least = np.zeros(len(self.heads), np.uint32), np.zeros(len(self.hot_print), np.int64)
+        for s, a, b, p, q in self.asked_parts():
+            masks[a:b] = np.frombuffer(told[s], np.uint32, b - a)
+            least[p:q] = np.frombuffer(told[s], np.int64, q - p, 4 * (b - a))
         mask, full = masks[self.group], (np.uint64(1) << self.wins2.astype(np.uint64)).astype(np.uint64) - np.uint64(1)
         whole = (self.ids2 > self.ids2[self.heads[self.group]]) | (mask == full)
         steps = np.zeros(len(self.raw) + 1, np.int32)
@@ -155,6 +198,9 @@ class Block:
             at = self.left2[some[(mask[some] >> np.uint32(j)) & 1 > 0]] + j
             np.add.at(steps, at, 1)
             np.add.at(steps, at + MATCH, -1)
+        at = self.hot_at[self.hot_id > np.repeat(least, self.hot_n)]
+        np.add.at(steps, at, 1)
+        np.add.at(steps, at + MATCH, -1)
         return np.cumsum(steps[:-1]) > 0
 
 
@@ -222,26 +268,44 @@ def window_masks(text: np.ndarray, wins: np.ndarray, key: np.ndarray, ids: np.nd
 
 
 def reply_keys(table: pa.Table) -> list[bytes]:
-    """Which of a block's keys more than one document has."""
+    """Which of a block's keys more than one document has, and which of them are hot: two sets of bits."""
     parts = [np.frombuffer(k.as_buffer(), np.uint8).reshape(-1, 6) for k in table.column("keys")]
-    several = np.concatenate([np.unpackbits(np.frombuffer(f.as_buffer(), np.uint8), count=len(p)).astype(bool) for p, f in zip(parts, table.column("several"), strict=True)])
+    said = np.concatenate([np.frombuffer(f.as_buffer(), np.uint8) for f in table.column("said")])
     eight = np.zeros((sum(map(len, parts)), 8), np.uint8)
     eight[:, 2:] = np.concatenate(parts)
     key = eight.view(">u8").ravel().astype(np.uint64)
     order, bounds = by_key(key)
-    first = bounds[:-1]
-    hit = np.empty(len(key), bool)
-    hit[order] = np.repeat((np.diff(bounds) > 1) | np.logical_or.reduceat(several[order], first), np.diff(bounds))
+    first, n = bounds[:-1], np.diff(bounds)
+    shared = (n > 1) | np.logical_or.reduceat(said[order] > 127, first)
+    suffixes = np.add.reduceat(np.int64(1) << (said[order] & 127).astype(np.int64), first)
+    hit, hot = np.empty(len(key), bool), np.empty(len(key), bool)
+    hit[order], hot[order] = np.repeat(shared, n), np.repeat(shared & (suffixes > HOT_SUFFIXES), n)
     ends = np.cumsum([0] + [len(p) for p in parts])
-    return [np.packbits(hit[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return [np.packbits(hit[a:b]).tobytes() + np.packbits(hot[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def reply_suffixes(table: pa.Table) -> list[bytes]:
-    """A mask of each asked suffix: bit j if the string at its j-th byte starts in a document of smaller id."""
+    """A mask of each asked suffix: bit j if the string at its j-th byte starts in a document of smaller id; behind
+    them the least id of each asked string."""
     n = np.array(table.column("n").to_pylist(), np.int64)
     key = np.frombuffer(b"".join(table.column("keys").to_pylist()), "<u8")
     ids = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.int64)
     wins = np.frombuffer(b"".join(table.column("wins").to_pylist()), np.uint8).astype(np.int64)
+    ends = np.cumsum(n)
+    out = suffix_masks(table, key, ids, wins, ends) if len(key) else np.zeros(0, np.uint32)
+    prints = [np.frombuffer(p.as_buffer(), np.uint64) for p in table.column("prints")]
+    cuts = np.cumsum([0] + [len(p) for p in prints])
+    order, bounds = by_key(np.concatenate(prints))
+    own = np.frombuffer(b"".join(table.column("least").to_pylist()), np.int64)
+    least = np.empty(len(own), np.int64)
+    if len(own):
+        least[order] = np.repeat(np.minimum.reduceat(own[order], bounds[:-1]), np.diff(bounds))
+    starts = ends - n
+    return [out[a:b].tobytes() + least[p:q].tobytes() for a, b, p, q in zip(starts, ends, cuts[:-1], cuts[1:], strict=True)]
+
+
+def suffix_masks(table: pa.Table, key: np.ndarray, ids: np.ndarray, wins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The masks of reply_suffixes, by an index family that takes blocks as batches."""
     flat = np.frombuffer(b"".join(zlib.decompress(t) for t in table.column("text").to_pylist()), np.uint8)
     sizes = wins + MATCH - 1
     text = np.zeros((len(key), WIDTH + 1), np.uint8)
@@ -250,7 +314,6 @@ def reply_suffixes(table: pa.Table) -> list[bytes]:
     text[:, WIDTH] = wins  # parts suffixes that end in zero bytes
     suffix = text.view(f"S{WIDTH + 1}").ravel()
     family = IndexFamily()
-    ends = np.cumsum(n)
     a = 0
     while a < len(key):
         b = int(ends[min(np.searchsorted(ends, a + BATCH), len(ends) - 1)])
@@ -260,9 +323,7 @@ def reply_suffixes(table: pa.Table) -> list[bytes]:
     masks = window_masks(text[rows, :WIDTH], wins[rows], key[rows], least)
     at = np.searchsorted(known, suffix)
     full = ((np.uint64(1) << wins.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
-    out = np.where(ids > least[at], full, masks[at]).astype(np.uint32)
-    starts = ends - n
-    return [out[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+    return np.where(ids > least[at], full, masks[at]).astype(np.uint32)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", replace: bool = False) -> DataFrame:
@@ -273,15 +334,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A byte goes if a MATCH-byte string that covers it also starts in a document with a smaller id. Texts are
     UTF-8 bytes; null is empty; matches never cross documents; all is judged on the input. A null id ranks
-    after all ids, equal ids never remove from each other. Every row and column stays; an empty table stays
-    empty.
+    after all ids, equal ids never remove from each other. Every row and column stays, but columns of the names
+    above are replaced; an empty table stays empty.
 
     Suffix tables hold the suffixes at anchors (content-chosen places, one at least in each MATCH bytes), not
     those at all bytes: a shared string has its anchor at the same place everywhere, so nothing is missed and
     an index is a sixteenth of the text's suffixes. Blocks first ask which anchors are shared at all; only
     suffixes at those are sent, to shards by key. A shard takes blocks as batches: it sorts their suffixes,
     scans them against its levels, merges levels of a size, and last settles strings at the edges of matches.
+    An anchor with very many different suffixes, as of a line that stands everywhere, is not one shard's: each of
+    its strings goes to a shard of its own hash, once a block with the block's least id.
     """
+    added = ("_n_bytes", "_n_removed", "_n_spans", *(() if replace else ("_kept",)))
+    docs = docs.drop(*(c for c in added if c != text_col and c != id_col))
     blocks = B.packed(docs, text_col)
     shards = B.shard_count(blocks)
 
@@ -296,8 +361,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         b.share(told[0])
         return b.ask_suffixes()
 
-    shared = stored(B.answered(B.asked(blocks, keys, "keys binary, several binary"), reply_keys), "suffix-keys")
-    masks = stored(B.answered(B.asked(blocks, suffixes, "n int, keys binary, ids binary, wins binary, text binary", (shared,)), reply_suffixes), "suffix-masks")
+    shared = stored(B.answered(B.asked(blocks, keys, "keys binary, said binary"), reply_keys), "suffix-keys")
+    masks = stored(B.answered(B.asked(blocks, suffixes, "n int, keys binary, ids binary, wins binary, text binary, prints binary, least binary", (shared,)), reply_suffixes), "suffix-masks")
     fields = [*docs.schema.fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", _n_bytes long, _n_removed long, _n_spans long" + ("" if replace else ", _kept binary")
 
