@@ -341,10 +341,22 @@ def test_suffix_dedup(docs, rows, empty):
     assert repeats_report(empty).count() == 0
 
 
-def test_suffix_masks_without_spark(monkeypatch):
-    """Blocks, shards and levels by hand: periodic text, tiny batches, long texts in several steps."""
+def test_suffix_dedup_replaces_columns_of_its_names(spark):
+    from tidemark.llm.suffixes import without_repeats
+
+    passage = "a passage of more than fifty bytes that two documents have in common."
+    df = spark.createDataFrame([(1, passage, 7, "x"), (2, passage + " and more", 8, "y")], "doc_id long, text string, _n_removed int, _kept string")
+    out = {r.doc_id: r for r in without_repeats(df).collect()}
+    assert out[1]._n_removed == 0 and out[2]._n_removed == len(passage) and bytes(out[2]._kept) == b" and more"
+
+
+@pytest.mark.parametrize("hot", [50_000, 3, 0])
+def test_suffix_masks_without_spark(monkeypatch, hot):
+    """Blocks, shards and levels by hand: periodic text, tiny batches, long texts in several steps, hot anchors."""
     from tidemark.llm import suffixes as S
 
+    monkeypatch.setattr(S, "HOT_SUFFIXES", hot)
+    monkeypatch.setattr(S, "MANY", 1)
     monkeypatch.setattr(S, "BATCH", 4)
     monkeypatch.setattr(S, "MOST_WINDOWS", 300)
     rng = random.Random(2)
@@ -361,10 +373,10 @@ def test_suffix_masks_without_spark(monkeypatch):
                 told[k][shard] = r
         return told
 
-    for b, told in zip(blocks, exchange(S.Block.ask_keys, ["keys", "several"], S.reply_keys), strict=True):
+    for b, told in zip(blocks, exchange(S.Block.ask_keys, ["keys", "said"], S.reply_keys), strict=True):
         b.share(told)
     out = []
-    for b, told in zip(blocks, exchange(S.Block.ask_suffixes, ["n", "keys", "ids", "wins", "text"], S.reply_suffixes), strict=True):
+    for b, told in zip(blocks, exchange(S.Block.ask_suffixes, ["n", "keys", "ids", "wins", "text", "prints", "least"], S.reply_suffixes), strict=True):
         gone = b.removed(told)
         out += [(int(i), int(gone[x:y].sum())) for i, x, y in zip(b.ids, b.offsets[:-1], b.offsets[1:], strict=True)]
     assert sorted(out) == sorted((i, n) for i, _, n, _, _ in brute_repeats(rows))
