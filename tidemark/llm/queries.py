@@ -30,6 +30,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def rule_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cutoffs that small sets of labels allow, at a wide risk: op2's choice held against SQL where it has one."""
+    from .common import stored
+    from .rules import WIDE_RISK, risk_cutoffs, with_measures
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("stratum"), "text")
+    measured = stored(with_measures(docs).drop("text"), "rule-measures")
+    return risk_cutoffs(measured, _table(spark, sf_dir, "labels"), "stratum", risk=WIDE_RISK).where("cutoff is not null")
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embeddings import near_vectors
 
@@ -97,6 +107,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
+    "rule_cutoffs": rule_cutoffs,
     "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_suffix_dedup": op5_suffix_dedup,

@@ -14,6 +14,8 @@ SYMBOLS = "#*$%&|<>"
 
 #: Risk: share of good documents of a stratum that all rules together may reject, and how sure that is.
 RISK, CONFIDENCE = 0.01, 0.95
+#: The risk of the query rule_cutoffs, at which a stratum of 113 good labels can have a cutoff (at RISK it takes 2305).
+WIDE_RISK = 0.2
 
 
 def with_measures(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:

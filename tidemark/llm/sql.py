@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .rules import CONFIDENCE, CUTOFFS, RISK
+from .rules import CONFIDENCE, CUTOFFS, RISK, WIDE_RISK
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -10,7 +10,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Components of links (a, b), both ways: the smallest node that each reaches.
 _REACH = "reach(a, b) AS (SELECT id, id FROM nodes UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)"
 
-RULES = f"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
+def rules_sql(risk: float, last: str) -> str:
+    """Measures, labelled counts at each cutoff, exact binomial tests and chosen cutoffs (u); then last."""
+    return f"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '{_WORD}') AS words, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '{_WORD}')] AS lines FROM d),
 win AS (SELECT doc_id, p, words[p] || ' ' || words[p + 1] || ' ' || words[p + 2] AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM w) x),
 rep AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) x WHERE c > 1),
@@ -21,10 +23,14 @@ v AS ({' UNION ALL '.join(f"SELECT doc_id, stratum, '{r}' AS rule, {x} // greate
 cuts AS ({' UNION ALL '.join(f"SELECT '{r}' AS rule, unnest([{', '.join(map(str, c))}]) AS cutoff" for r, c in CUTOFFS.items())}),
 lab AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 c AS (SELECT stratum, rule, cutoff, count(*) FILTER (quality = 1) AS n, count(*) FILTER (quality = 1 AND value > cutoff) AS k, count(*) FILTER (quality <> 1) AS bad, count(*) FILTER (quality <> 1 AND value > cutoff) AS bad_k FROM v JOIN lab USING (doc_id) JOIN cuts USING (rule) GROUP BY stratum, rule, cutoff),
-t AS (SELECT *, CASE WHEN k >= n THEN 1.0 ELSE list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK / len(CUTOFFS)}) + (n - i) * ln({1 - RISK / len(CUTOFFS)})) FOR i IN range(k + 1)]) END <= {1 - CONFIDENCE} / ((SELECT count(DISTINCT stratum) FROM c) * {len(CUTOFFS)}) AS safe FROM c),
+t AS (SELECT *, CASE WHEN k >= n THEN 1.0 ELSE list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk / len(CUTOFFS)}) + (n - i) * ln({1 - risk / len(CUTOFFS)})) FOR i IN range(k + 1)]) END <= {1 - CONFIDENCE} / ((SELECT count(DISTINCT stratum) FROM c) * {len(CUTOFFS)}) AS safe FROM c),
 s AS (SELECT stratum, rule, max(cutoff) FILTER (NOT safe) AS stop FROM t GROUP BY stratum, rule),
 u AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM t JOIN s USING (stratum, rule) WHERE bad_k * n > k * bad AND (stop IS NULL OR cutoff > stop) GROUP BY stratum, rule)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT v.doc_id FROM v JOIN u USING (stratum, rule) WHERE v.value > u.cutoff) AS kept FROM b"""
+{last}"""
+
+
+RULES = rules_sql(RISK, """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT v.doc_id FROM v JOIN u USING (stratum, rule) WHERE v.value > u.cutoff) AS kept FROM b""")
+RULE_CUTOFFS = rules_sql(WIDE_RISK, "SELECT stratum, rule, cutoff FROM u")
 
 EMBEDDINGS = f"""WITH RECURSIVE nodes AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 ok AS (SELECT * FROM nodes WHERE label IS NOT NULL AND v IS NOT NULL AND list_dot_product(v, v) > 0 AND isfinite(list_dot_product(v, v))),
@@ -53,4 +59,4 @@ b AS (SELECT page_id, h, least, CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR) AS
 SELECT page_id, strlen(h) AS payload_bytes, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT) + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT), 1) FOR i IN range(32)], '') AS payload_digest,
   CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to FROM b"""
 
-ORACLE_SQL = {"op2_quality_rules": RULES, "op3_embedding_near_dedup": EMBEDDINGS, "op5_suffix_dedup": SUFFIXES, "op6_minhash": MINHASH, "op8_warc": WARC}
+ORACLE_SQL = {"op2_quality_rules": RULES, "rule_cutoffs": RULE_CUTOFFS, "op3_embedding_near_dedup": EMBEDDINGS, "op5_suffix_dedup": SUFFIXES, "op6_minhash": MINHASH, "op8_warc": WARC}
