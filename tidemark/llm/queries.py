@@ -104,6 +104,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -116,5 +122,6 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_phrases": op11_phrases,
 }
 

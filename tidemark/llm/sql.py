@@ -59,4 +59,15 @@ b AS (SELECT page_id, h, least, CAST(CAST(unhex(sha1(h)) AS BIT) AS VARCHAR) AS
 SELECT page_id, strlen(h) AS payload_bytes, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(bits[5 * i + 1] AS INT) + 8 * CAST(bits[5 * i + 2] AS INT) + 4 * CAST(bits[5 * i + 3] AS INT) + 2 * CAST(bits[5 * i + 4] AS INT) + CAST(bits[5 * i + 5] AS INT), 1) FOR i IN range(32)], '') AS payload_digest,
   CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> least THEN least END AS refers_to FROM b"""
 
-ORACLE_SQL = {"op2_quality_rules": RULES, "rule_cutoffs": RULE_CUTOFFS, "op3_embedding_near_dedup": EMBEDDINGS, "op5_suffix_dedup": SUFFIXES, "op6_minhash": MINHASH, "op8_warc": WARC}
+PHRASES = f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p),
+g AS (SELECT lang, m, words[i : i + m - 1] AS phrase FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) t(m)) x),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL), n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang), often AS (SELECT * FROM f WHERE f >= 30), c AS (SELECT * FROM often WHERE m > 1),
+cut AS (SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, k, CAST(CAST(2000000 AS HUGEINT) * c.f // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score FROM c JOIN (VALUES (1), (2), (3)) t(k) ON k < c.m JOIN often x ON x.lang = c.lang AND x.phrase = c.phrase[1 : k] JOIN often y ON y.lang = c.lang AND y.phrase = c.phrase[k + 1 : c.m]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, phrase, max(f) AS f FROM (SELECT lang, f, phrase[i : i + j - 1] AS phrase FROM c JOIN (VALUES (2, 1), (2, 2), (2, 3), (3, 1), (3, 2)) t(j, i) ON j < m AND i + j - 1 <= m) x GROUP BY ALL),
+kept AS (SELECT b.lang, array_to_string(b.phrase, ' ') AS phrase, a, l, r, score FROM best b LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.f IS NULL OR CAST(100 AS HUGEINT) * i.f < CAST(80 AS HUGEINT) * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLE_SQL = {"op2_quality_rules": RULES, "rule_cutoffs": RULE_CUTOFFS, "op3_embedding_near_dedup": EMBEDDINGS, "op5_suffix_dedup": SUFFIXES, "op6_minhash": MINHASH, "op8_warc": WARC, "op11_phrases": PHRASES}
