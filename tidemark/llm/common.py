@@ -80,6 +80,23 @@ def spans_of_bytes(offsets: np.ndarray, limit: int = CHUNK_BYTES):
         a = min(b, n)
 
 
+def cut_texts(raw: np.ndarray, offsets: np.ndarray, marks: np.ndarray, most: int):
+    """Pieces (row, start, end) of texts, of about most bytes at most: longer texts are cut behind a byte that marks
+    (256 booleans) has, whose next one may lie further off."""
+    for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+        while b - a > most:
+            found = np.flatnonzero(marks[raw[a : a + most]])
+            if len(found):
+                step = int(found[-1]) + 1
+            else:
+                found = np.flatnonzero(marks[raw[a + most : b]])
+                step = most + int(found[0]) + 1 if len(found) else b - a
+            yield row, a, a + step
+            a += step
+        if b > a:
+            yield row, a, b
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser over uint64 (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(32))

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.changes import surrogate_ids
 from ..scratch import shared_table, small
-from .common import give_back, mix64, small_batches, stored, text_buffer
+from .common import cut_texts, give_back, mix64, small_batches, stored, text_buffer
 
 #: Text bytes of a block, filters that one merge takes at most, and words of the longest phrases.
 BLOCK_BYTES, FAN, LONGEST = 4 << 20, 256, 4
@@ -28,21 +28,6 @@ WORDS = "words array<struct<lang:string,word:string,n:int>>, tokens binary"
 
 
 # ---- blocks of words --------------------------------------------------------------------------------------
-def cut_texts(raw: np.ndarray, offsets: np.ndarray, most: int = BLOCK_BYTES):
-    """The pieces (row, start, end) of texts of at most about most bytes each; longer ones are cut behind a piece's end."""
-    for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-        while b - a > most:
-            marks = np.flatnonzero(ENDS[raw[a : a + most]])
-            step = int(marks[-1]) + 1 if len(marks) else 0
-            if not step:  # no end so soon: up to the next one
-                later = np.flatnonzero(ENDS[raw[a + most : b]])
-                step = most + int(later[0]) + 1 if len(later) else b - a
-            yield row, a, a + step
-            a += step
-        if b > a:
-            yield row, a, b
-
-
 def words_of(parts: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
     """The words of some texts, A-Z lowered, and where a word stands in another piece than the one before it."""
     raw = LOWER[np.concatenate([x for p in parts for x in (p, np.array([10], np.uint8))])]
@@ -95,7 +80,7 @@ def word_blocks(docs: DataFrame, text_col: str, lang_col: str, name: str) -> Dat
         for batch in batches:
             raw, offsets = text_buffer(batch.column("text"))
             langs = batch.column("lang").to_pylist()
-            for row, a, b in cut_texts(raw, offsets):
+            for row, a, b in cut_texts(raw, offsets, ENDS, BLOCK_BYTES):
                 if size and size + b - a > BLOCK_BYTES:
                     yield block()
                     held, size = {}, 0

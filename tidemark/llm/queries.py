@@ -110,6 +110,12 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import counted_words, variant_groups
+
+    return variant_groups(counted_words(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -123,5 +129,6 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_phrases": op11_phrases,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 

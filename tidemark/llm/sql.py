@@ -70,4 +70,22 @@ kept AS (SELECT b.lang, array_to_string(b.phrase, ' ') AS phrase, a, l, r, score
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
 
-ORACLE_SQL = {"op2_quality_rules": RULES, "rule_cutoffs": RULE_CUTOFFS, "op3_embedding_near_dedup": EMBEDDINGS, "op5_suffix_dedup": SUFFIXES, "op6_minhash": MINHASH, "op8_warc": WARC, "op11_phrases": PHRASES}
+#: CRC-32 of t.s as h: the register table by rule, then a byte of all texts a step.
+_CRC = """tab AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM (SELECT unnest(range(256)) AS i) x) y),
+bytes AS (SELECT s, hex(encode(s)) AS hx FROM (SELECT DISTINCT s FROM t) x),
+steps(s, hx, j, r) AS (SELECT s, hx, 0, CAST(4294967295 AS BIGINT) FROM bytes UNION ALL
+  SELECT s, hx, j + 1, xor(r >> 8, tab[(xor(r, (strpos('0123456789ABCDEF', hx[2 * j + 1]) - 1) * 16 + strpos('0123456789ABCDEF', hx[2 * j + 2]) - 1) & 255) + 1]) FROM steps, tab WHERE 2 * j < length(hx)),
+crc AS (SELECT s, xor(r, 4294967295) AS h FROM steps WHERE 2 * j = length(hx))"""
+
+SPELLING = f"""WITH RECURSIVE runs AS (SELECT doc_id, run, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents) x GROUP BY ALL HAVING length(run) >= 5),
+t AS (SELECT doc_id || ':' || run AS s, run, c FROM runs), {_CRC},
+w AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 97 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, c FROM t JOIN crc USING (s)) x WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+v AS MATERIALIZED (SELECT word, n, i, word[: i - 1] AS a, word[i + 1 :] AS b FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w) x),
+pairs AS (SELECT x.word AS p, y.word AS q FROM v x JOIN v y ON x.a = y.a AND x.b = y.b AND x.word < y.word UNION SELECT v.word, w.word FROM v JOIN w ON w.word = v.a || v.b),
+near AS (SELECT p.a AS word, p.b AS other, w.n AS other_n FROM (SELECT p AS a, q AS b FROM pairs UNION SELECT q, p FROM pairs) p JOIN w ON w.word = p.b),
+best AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form, CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n FROM w LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON b.word = w.word),
+up(word, top) AS (SELECT word, word FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.top WHERE f.form IS NOT NULL)
+SELECT f.word AS word, form, r.root AS root, n, n_near, form_n FROM f JOIN (SELECT up.word, up.top AS root FROM up JOIN f ON f.word = up.top WHERE f.form IS NULL) r ON r.word = f.word"""
+
+ORACLE_SQL = {"op2_quality_rules": RULES, "rule_cutoffs": RULE_CUTOFFS, "op3_embedding_near_dedup": EMBEDDINGS, "op5_suffix_dedup": SUFFIXES, "op6_minhash": MINHASH, "op8_warc": WARC, "op11_phrases": PHRASES, "op12_spelling_variants": SPELLING}
