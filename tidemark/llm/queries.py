@@ -116,6 +116,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_groups(counted_words(_table(spark, sf_dir, "documents")))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit_models, languages
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return languages(docs, fit_models(docs))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -130,5 +137,6 @@ QUERIES = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_phrases": op11_phrases,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_language_id": op13_language_id,
 }
 
