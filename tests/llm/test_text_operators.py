@@ -650,3 +650,232 @@ def test_classifier(spark, docs, empty):
     assert out.where("_low is null or _toxic is null or _kept is null").count() == 0
     assert judged(empty, judge).count() == 0
     assert judged(docs, fit_judge(docs, labels.limit(0))).count() == docs.count()
+
+
+# ---- phrases, spelling, language ---------------------------------------------------------------------------
+PIECES = re.compile("[.,;:!?\n\x0b\x0c\r]")
+
+
+def brute_phrases(rows, least, share=80, most=2000):
+    """(lang, rank, phrase, a, l, r, n, score) from the definition."""
+    n, f = collections.Counter(), collections.Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in PIECES.split((text or "").translate(LOWER)):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            for m in range(1, 5):
+                for i in range(len(words) - m + 1):
+                    f[lang, tuple(words[i : i + m])] += 1
+    out = collections.defaultdict(list)
+    often = {k: c for k, c in f.items() if c >= least and len(k[1]) > 1}
+    longer = collections.defaultdict(int)
+    for (lang, p), c in often.items():
+        for m in range(2, len(p)):
+            for i in range(len(p) - m + 1):
+                longer[lang, p[i : i + m]] = max(longer[lang, p[i : i + m]], c)
+    for (lang, p), a in often.items():
+        if 100 * longer.get((lang, p), 0) >= share * a:
+            continue
+        score, _, left, right = min((2000000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p)))
+        out[lang].append((-score, -a, " ".join(p).encode(), left, right))
+    return sorted((lang, k, p.decode(), -a, left, right, n[lang], -s) for lang, told in out.items() for k, (s, a, p, left, right) in enumerate(sorted(told)[:most], 1))
+
+
+@pytest.mark.parametrize("least", [2, 30])
+def test_phrases(docs, rows, empty, least):
+    from tidemark.llm.phrases import collocations
+
+    told = [(r.lang, r.text) for r in docs.select("lang", "text").collect()]
+    out = sorted(tuple(r) for r in collocations(docs, least=least).collect())
+    assert out == brute_phrases(told, least) and out
+    assert collocations(empty).collect() == []
+
+
+def test_phrases_of_few_ranks_over_many_blocks_and_merges(spark, monkeypatch):
+    from tidemark.llm import phrases
+
+    rng = random.Random(3)
+    said = [" ".join(rng.choice("ab c, d. e f\tg".split(" ")) for _ in range(rng.randrange(400))) for _ in range(60)]
+    rows = [(rng.choice(["x", None]), t) for t in said] * 2 + [("x", ". ".join(said))]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", 700)  # of the driver's copy; workers read the closure of word_blocks
+    monkeypatch.setattr(phrases, "RANKED", 50)
+    monkeypatch.setattr(phrases, "FAN", 4)
+    out = sorted(tuple(r) for r in phrases.collocations(df, least=5, most=20).collect())
+    assert out == brute_phrases(rows, 5, most=20)
+
+
+def test_quotient_filters_lose_nothing():
+    from tidemark.llm.phrases import CountingFilter, Packing, dealt, in_order, summed
+
+    rng = np.random.default_rng(1)
+    for bits in (16, 18, 24, 32):
+        for n in (2, 3, 4):
+            p = Packing(n, bits)
+            words = [rng.integers(1, min(2**bits, 40) if j else 2**bits, 3000, dtype=np.uint64) for j in range(n)]
+            high, low = p.pack(words)
+            assert all((a == b).all() for a, b in zip(words, p.unpack(high, low), strict=True))
+            counts = rng.choice([1, 1, 1, 2, 300, 5_000_000_000], 3000)
+            order = in_order(high, low)
+            kept = summed(high[order], low[order], counts[order])
+            want = collections.Counter()
+            for key, c in zip(zip(*(w.tolist() for w in words), strict=True), counts.tolist(), strict=True):
+                want[key] += c
+            told = {}
+            for known, more in ((0, 1), (0, 9)):
+                told = {}
+                for prefix, data in dealt(p, known, more, *kept):
+                    h, lo, c = CountingFilter.read(p, known + more, prefix, data)
+                    told.update(zip(zip(*(w.tolist() for w in p.unpack(h, lo)), strict=True), c.tolist(), strict=True))
+                assert told == want
+
+
+def brute_words(rows, slips=97):
+    n = collections.Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % slips == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += len(run) >= 5
+    return {w: c for w, c in n.items() if c >= 3}
+
+
+def brute_variants(n):
+    def close(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    near = {w: [v for v in n if abs(len(v) - len(w)) < 2 and close(v, w)] for w in n}
+    form = {}
+    for w, told in near.items():
+        best = min(told, key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] is not None else None))
+    return sorted(out, key=repr)
+
+
+def test_spelling_words(spark, docs, rows, empty, monkeypatch):
+    from tidemark.llm import spelling
+
+    more = [(7, "x" * 200_000 + " Straße STRASSE straßen " * 3), (8, "ÀÉÿ÷×abc " * 4 + "ab1cd-ef_gh" * 5), (9, "wordy " * 300)]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(more * 3, "doc_id long, text string"))
+    every = [(i, t) for i, t in rows] + more * 3
+    assert {r.word: r.n for r in spelling.counted_words(df, slips=3).collect()} == brute_words(every, 3)
+    assert spelling.counted_words(empty).collect() == []
+
+
+def test_spelling_variants(spark):
+    from tidemark.llm.spelling import variant_groups
+
+    rng = random.Random(8)
+    words = {"aaaaa": 5, "aaaaaa": 10, "aaaaaaa": 25, "aabaa": 5, "abaaa": 5}
+    for _ in range(400):
+        w = "".join(rng.choice("abcé") for _ in range(rng.randrange(5, 9)))
+        words[w] = rng.choice([3, 4, 9, 20, 50])
+    long = "".join(rng.choice("xyz") for _ in range(33))
+    for w in (long, long[1:], long[:-1], long + "q", long[:10] + "é" + long[11:], "k" * 31, "k" * 32, "k" * 33, "k" * 34, "m" * 5000, "m" * 2500 + "n" + "m" * 2499, "m" * 4999):
+        words[w] = rng.choice([3, 7, 16, 40])
+    df = spark.createDataFrame([(w, n, "clash") for w, n in words.items()], "word string, n long, x string")
+    assert sorted((tuple(r) for r in variant_groups(df).collect()), key=repr) == brute_variants(words)
+    assert variant_groups(df.limit(0)).collect() == []
+    assert [tuple(r) for r in variant_groups(df.where("word = 'aabaa'")).collect()] == [("aabaa", None, "aabaa", 5, 0, None)]
+
+
+def brute_kneser_ney(texts, langs, alphabet=None):
+    """p(sign | signs before) of each language, straight from the definition."""
+    from tidemark.llm.langid import ORDER
+
+    grams = {x: collections.Counter() for x in langs}
+    for lang, text in texts:
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            s = " " + w + " "
+            for i in range(1, len(s)):
+                for k in range(1, ORDER + 1):
+                    if i - k + 1 >= 0:
+                        grams[lang][s[i - k + 1 : i + 1], i == k - 1] += 1
+    signs = {g[-1] for c in grams.values() for g, _ in c if len(g) == 1}
+    models = {}
+    for lang in langs:
+        raw = collections.Counter()
+        head = {}
+        for (g, h), c in grams[lang].items():
+            raw[g] += c
+            head[g] = h or head.get(g, False)
+        count = {}
+        for g, c in raw.items():
+            if len(g) < ORDER and not head[g]:
+                left = sum(1 for x in raw if len(x) == len(g) + 1 and x[1:] == g)
+                count[g] = left or c
+            else:
+                count[g] = c
+        discounts = {}
+        for k in range(1, ORDER + 1):
+            ones, twos = (sum(1 for g, c in count.items() if len(g) == k and c == m) for m in (1, 2))
+            discounts[k] = min(max(ones / max(ones + 2 * twos, 1), 0.1), 0.9)
+        models[lang] = count, discounts
+    def p(lang, context, sign):
+        count, discounts = models[lang]
+        d = discounts[len(context) + 1]
+        under = p(lang, context[1:], sign) if context else 1 / (len(signs) + 1)
+        follow = [c for g, c in count.items() if g[:-1] == context]
+        if not follow:
+            return under
+        return max(count.get(context + sign, 0) - d, 0) / sum(follow) + d * len(follow) / sum(follow) * under
+    return p
+
+
+def test_language_models_are_kneser_ney(spark):
+    from tidemark.llm.langid import ORDER, Words, gram_counts, kneser_ney, parts_of
+
+    texts = [("a", "the cat sat on the mat, then the rat ran"), ("a", "that hat"), ("b", "der hund und die katze; das Haus über der Straße"), ("b", "und der Hund")]
+    langs = ["a", "b"]
+    counts = gram_counts(spark.createDataFrame(texts, "lang string, text string").repartition(2)).toArrow()
+    models = kneser_ney(counts, langs)
+    p = brute_kneser_ney(texts, langs)
+    for word in ("the", "hund", "zzz", "theder", "katzex"):
+        (words,) = parts_of(pa.array([word]))
+        told = models.of_words(words)[0]
+        s = " " + word + " "
+        for c, lang in enumerate(langs):
+            want = sum(math.log10(p(lang, s[max(0, i - ORDER + 1) : i], s[i])) for i in range(1, len(s)))
+            assert told[c] == pytest.approx(want, rel=1e-4), (word, lang)
+
+
+def test_language_id(spark, docs, rows, empty):
+    from tidemark.llm import langid
+
+    rng = random.Random(2)
+    parts = {"aa": ["ka", "to", "mi", "ru", "se"], "bb": ["sch", "ung", "ein", "keit", "ber"], "cc": ["ción", "ez", "los", "ñado", "ría"]}
+    said = []
+    for i in range(600):
+        lang = rng.choice(sorted(parts))
+        said.append((i, " ".join("".join(rng.choice(parts[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 60))), lang))
+    said += [(1000, None, "aa"), (1001, "123 ... 45", "bb"), (1002, "", None), (None, said[0][1], None), (1003, said[1][1] * 2000, None), (1004, "Жук ещё живёт здесь " * 30, None)]
+    df = spark.createDataFrame([(*r, "c", 1.0) for r in said + said[:5]], "doc_id long, text string, lang string, id string, score double").repartition(4)
+    models = langid.fit_models(df)
+    out = langid.languages(df, models).collect()
+    assert len(out) == len(said) + 5
+    truth = {i: lang for i, _, lang in said}
+    told = {r.doc_id: r for r in out}
+    held = [r for r in out if r.doc_id is not None and r.doc_id < 600 and r.held_out]
+    assert all(r.held_out == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 4 == 2) for r in out)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.98 * len(held) and len(held) > 100
+    assert all(told[i].lang_pred == "und" and told[i].score == 0 and told[i].rejected for i in (1000, 1001, 1002))
+    assert told[None].lang_pred == truth[0] and told[1003].lang_pred == truth[1] and not told[1003].rejected
+    assert told[1004].rejected and all(0 <= r.score <= 1 for r in out)
+    wrong = [r for r in held if r.lang_pred != truth[r.doc_id]]
+    assert sum(r.score for r in held) / len(held) == pytest.approx(1 - len(wrong) / len(held), abs=0.03)
+    none = langid.fit_models(df.where("lang is null"))
+    assert {r.lang_pred for r in langid.languages(df, none).collect()} == {"und"}
+    assert langid.languages(empty, models).collect() == []
+    assert len(langid.languages(docs, models).collect()) == len(rows)

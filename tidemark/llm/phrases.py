@@ -312,14 +312,17 @@ def frequent_phrases(blocks: DataFrame, ids: DataFrame, n_blocks: int, bits: int
     told = blocks.select("block", F.size("words").alias("n_words"), "tokens").join(ids.hint("shuffle_hash"), "block")
     out = told.select(F.pmod(F.xxhash64("block"), F.lit(first_groups)).alias("group"), "n_words", "tokens", "ids").mapInArrow(counted, FILTERS)
     known = first_bits
-    for more, groups in later:
 
-        def dealt_on(table: pa.Table, known=known, more=more) -> pa.Table:
+    def deal(known: int, more: int):
+        def on(table: pa.Table) -> pa.Table:
             rows = [(r, p.n, f) for p, kept in merged(table, known) for r, f in dealt(p, known, more, *kept)]
             give_back()
             return pa.Table.from_batches([filters(rows, table.column("group")[0].as_py())])
 
-        out = out.groupBy("group", "range").applyInArrow(dealt_on, FILTERS).withColumn("group", F.pmod("group", F.lit(groups)))
+        return on
+
+    for more, groups in later:
+        out = out.groupBy("group", "range").applyInArrow(deal(known, more), FILTERS).withColumn("group", F.pmod("group", F.lit(groups)))
         known += more
 
     def kept(table: pa.Table) -> pa.Table:

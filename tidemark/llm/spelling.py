@@ -216,11 +216,11 @@ def long_pairs(words: DataFrame) -> DataFrame:
     over the word. Two words of a length that are alike but for one place agree at it; a word agrees as it is with
     what a longer one leaves. Pairs that meet are compared.
     """
-    told = words.where(F.length("word") >= LEVELS).select("word", "n")
+    told = stored(words.where(F.length("word") >= LEVELS).select("word", "n", F.monotonically_increasing_id().alias("id")), "long-words")
 
     def made(batches):
         for batch in batches:
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
+            for word, i in zip(batch.column("word").to_pylist(), batch.column("id").to_pylist(), strict=True):
                 points = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
                 up, down = powers(len(points) + 1)
                 sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(points + np.uint64(1)) * up[: len(points)])])
@@ -229,17 +229,20 @@ def long_pairs(words: DataFrame) -> DataFrame:
                 kinds = [(len(points), np.arange(len(points)), left), (len(points) - 1, np.full(int(fresh.sum()), -1), left[fresh]), (len(points), np.array([-1]), mix64(sums[-1:]))]
                 for k, (size, at, key) in enumerate(kinds):
                     rows = len(key)
-                    yield pa.RecordBatch.from_arrays([pa.array([word] * rows), pa.array([n] * rows, pa.int64()), pa.array([k] * rows, pa.int32()), pa.array([size] * rows, pa.int64()), pa.array(at, pa.int64()), pa.array(key.view(np.int64))], ["w", "n", "kind", "size", "at", "key"])
+                    yield pa.RecordBatch.from_arrays([pa.array([i] * rows), pa.array([k] * rows, pa.int32()), pa.array([size] * rows, pa.int64()), pa.array(at, pa.int64()), pa.array(key.view(np.int64))], ["id", "kind", "size", "at", "key"])
         give_back()
 
-    keys = stored(told.mapInArrow(made, "w string, n long, kind int, size long, at long, `key` long"), "word-keys")
-    a = keys.select("kind", "size", "at", "key", F.col("w").alias("x"), F.col("n").alias("n_x"))
-    b = keys.select("kind", "size", "at", "key", F.col("w").alias("y"), F.col("n").alias("n_y"))
+    keys = stored(told.select("id", "word").mapInArrow(made, "id long, kind int, size long, at long, `key` long"), "word-keys")
+
+    def side(kind: int, name: str) -> DataFrame:
+        return keys.where(F.col("kind") == kind).select("size", "at", "key", F.col("id").alias(name))
+
     on = ["size", "at", "key"]
-    replaced = a.where("kind = 0").drop("kind").join(b.where("kind = 0").drop("kind"), on).where("x < y")
-    longer = a.where("kind = 1").drop("kind").join(b.where("kind = 2").drop("kind"), on)
-    met = replaced.unionByName(longer).where(F.greatest(F.length("x"), F.length("y")) > LEVELS)
-    return met.where(F.levenshtein("x", "y", 1) == 1).select("x", "n_x", "y", "n_y").distinct()
+    replaced = side(0, "i").join(side(0, "j"), on).where((F.col("i") < F.col("j")) & (F.col("size") > LEVELS))
+    longer = side(1, "i").join(side(2, "j"), on).where(F.col("size") + 1 > LEVELS)
+    met = stored(replaced.unionByName(longer).select("i", "j").distinct(), "long-pairs")
+    xs, ys = (told.select(F.col("id").alias(i), F.col("word").alias(w), F.col("n").alias(f"n_{w}")) for i, w in (("i", "x"), ("j", "y")))
+    return met.join(xs, "i").join(ys, "j").where(F.levenshtein("x", "y", 1) == 1).select("x", "n_x", "y", "n_y")
 
 
 def roots(ups: DataFrame) -> DataFrame:
