@@ -10,7 +10,7 @@ from tidemark.functions import columns as C
 from tidemark.operators import changes, checks, dedup, hierarchy as H, history, margins, translator
 from tidemark.plans import jobs
 from tidemark.scratch import shared_path
-from tidemark.sources import scans, sinks
+from tidemark.sources import commits, history_table, scans, sinks
 from tidemark.streaming.append import append_new_files
 
 
@@ -241,3 +241,138 @@ def test_scratch_is_cleared_and_needs_a_shared_folder(spark):
     far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", applicationId="a", getConf=lambda: SimpleNamespace(get=lambda k: None)))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_path(far, "x")
+
+
+def written(path, text, encoding="utf-8"):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding=encoding, newline="") as f:
+        f.write(text)
+
+
+def test_csv_columns_go_by_name(spark):
+    base = shared_path(spark, "named")
+    written(f"{base}/1.csv", "a,b\n01,2\n")
+    written(f"{base}/2.csv", "b,A\n3,04\n")
+    written(f"{base}/3 [x].csv", "﻿b\n5\n")
+    written(f"{base}/4.csv", "b,a\n6,07\n")
+    written(f"{base}/5.csv", "")
+    written(f"{base}/6.csv", "a,b\n")
+    out = scans.read_csv(spark, f"{base}/*.csv", "a string, b int", path_col="p")
+    assert rows(out, "a", "b") == sorted([("01", 2), ("04", 3), (None, 5), ("07", 6)], key=repr)
+    assert {os.path.basename(r[0]) for r in rows(out, "p")} >= {"1.csv", "4.csv"}
+    assert len(scans.header_signatures(spark, f"{base}/*.csv")) == 4  # (a, b), (b, A), (b), (b, a)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 4
+    written(f"{base}/7.csv", "b,extra,a\n8,x,09\n")
+    with pytest.raises(ValueError, match="extra"):
+        scans.read_csv(spark, f"{base}/*.csv", "a string, b int")
+    kept = scans.read_csv(spark, f"{base}/*.csv", "a string, b int", unknown="keep")
+    assert kept.columns == ["a", "b", "extra"] and ("09", 8, "x") in rows(kept)
+    assert scans.read_csv(spark, f"{base}/7.csv", "a string, b int", unknown="drop").collect() == [("09", 8)]
+    written(f"{base}/8.csv", "a,b,A\n1,2,3\n")
+    with pytest.raises(ValueError, match="twice"):
+        scans.read_csv(spark, f"{base}/8.csv", "a string, b int")
+    written(f"{base}/9.csv", 'b;"a"\n1;"x;""y"""\n'.replace("x", "ç"), "latin-1")
+    assert rows(scans.read_csv(spark, f"{base}/9.csv", "a string, b int", sep=";", encoding="ISO-8859-1")) == [('ç;"y"', 1)]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        written(f"{base}/10.csv", "b,a\nx,1\n")
+        scans.read_csv(spark, f"{base}/10.csv", "a string, b int").collect()
+
+
+def test_commits_are_numbered_and_made_once(spark):
+    base = shared_path(spark, "log")
+    first = commits.state(spark, base)
+    one = commits.commit(spark, base, first, "r1", ["a"])
+    with pytest.raises(commits.CommitConflict):
+        commits.commit(spark, base, first, "r2", ["b"])
+    for k in range(2, 12):
+        one = commits.commit(spark, base, one, f"r{k}", [str(k)])
+    assert commits.state(spark, base) == one and one.number == 11 and one.runs["r1"] == 1
+    assert not [f for f in os.listdir(f"{base}/_commits") if not f.strip(".").split(".")[0].isdigit() and f.endswith(".json")]
+
+
+def test_append_of_a_run_counts_once(spark):
+    target = shared_path(spark, "once")
+    df = spark.createDataFrame([("2024", 1), ("2023", 2)], "p string, v int")
+    for run in ("1", "1", "2", "2"):
+        sinks.incremental_append(df, df.where("p = '2024'"), ["p"], target, run=run)
+    assert rows(commits.committed(spark, target, df.schema)) == [("2023", 2), ("2024", 1), ("2024", 1)]
+    df.write.parquet(f"{target}/data/append-of-a-run-that-died")
+    assert commits.committed(spark, target, df.schema).count() == 3
+
+
+def test_the_last_commit_is_the_newest_version(spark):
+    base = shared_path(spark, "versions")
+    for v in ("9", "10"):
+        sinks.replace_snapshot(spark.createDataFrame([(v,)], "v string"), base, v)
+    assert rows(sinks.current_snapshot(spark, base)) == [("10",)]
+    sinks.replace_snapshot(spark.createDataFrame([("again",)], "v string"), base, "10")
+    assert rows(sinks.current_snapshot(spark, base)) == [("10",)]
+
+
+TIME = dt.datetime(2024, 1, 1, 0, 0, 0, 1)
+
+
+def test_prints_tell_what_fields_tell(spark):
+    kinds = "k int, d double, a array<timestamp_ntz>, m map<string,array<double>>, s struct<x:string,y:map<int,string>>, t timestamp_ntz, b binary"
+    base = (1, float("nan"), [TIME, None], {"p": [1.0, None], "q": None}, ("v", {1: "a", 2: None}), TIME, b"\x00")
+    other = [(1, None), (2, [TIME + dt.timedelta(microseconds=1), None]), (2, [None, TIME]), (2, [TIME]), (2, None), (2, []), (3, {"p": [1.0, None]}), (3, {"p": [None, 1.0], "q": None}), (3, None), (3, {}), (4, ("v", {1: "a", 2: ""})), (4, (None, {1: "a", 2: None})), (4, None), (5, TIME + dt.timedelta(microseconds=1)), (6, b""), (6, None)]
+    told = [base] + [(*base[:i], v, *base[i + 1 :]) for i, v in other]
+    same = (*base[:3], {"q": None, "p": [1.0, None]}, ("v", {2: None, 1: "a"}), *base[5:])
+    frames = [spark.createDataFrame([r], kinds) for r in [*told, same]]
+    every = spark.createDataFrame([(i, *r[1:]) for i, r in enumerate([*told, same])], kinds)
+    marks = [r[0] for r in every.orderBy("k").select(changes.row_print(every.drop("k").schema)).collect()]
+    assert len(set(marks[:-1])) == len(told) and marks[-1] == marks[0]
+    for k in (1, 5, 7, 11, 12):
+        for fast in (True, False):
+            assert changes.snapshot_diff(frames[k], frames[0], ["k"], whole_first=fast).count() == 1, k
+    assert changes.snapshot_diff(frames[-1], frames[0], ["k"]).count() == 0
+    assert changes.snapshot_diff(frames[0], frames[0], ["k"]).count() == 0
+
+
+def test_differences_read_only_buckets_that_differ(spark):
+    base = shared_path(spark, "digest")
+    old = spark.range(2000).select("id", (F.col("id") * 3).alias("v"), F.array(F.lit(None).cast("int")).alias("a"))
+    sinks.replace_snapshot(old, base, "1", keys=["id"], buckets=100)
+    new = old.withColumn("v", F.when(F.col("id") == 77, 0).otherwise(F.col("v")))
+    out = sinks.changes_since(new, base, ["id"])
+    assert rows(out, "id", "v") == [(77, 0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    (bucket,) = {r[0] for r in rows(new.where("id = 77").select(sinks.key_bucket(new, ["id"], 100)))}
+    assert f"PartitionFilters: [isnotnull(_bucket" in plan and f"= {bucket})" in plan
+    assert sinks.changes_since(old, base, ["id"]).count() == 0
+    with pytest.raises(ValueError, match="digests"):
+        sinks.changes_since(new, base, ["v"])
+    assert sinks.current_snapshot(spark, base).columns == ["id", "v", "a"]
+
+
+def test_history_merges_touch_their_buckets_only(spark):
+    d = dt.date
+    s = "k string, t date, v string"
+    loads = [
+        [("a", d(2024, 1, 1), "1"), ("b", d(2024, 1, 1), None), ("c", d(2024, 1, 5), "x")],
+        [("a", d(2024, 3, 1), "3"), ("b", d(2024, 1, 1), "filled"), ("d", None, "n")],
+        [("a", d(2024, 2, 1), "late"), ("a", d(2024, 3, 1), "3"), (None, d(2024, 1, 1), "null key")],
+    ]
+    base, every = shared_path(spark, "hist"), []
+    for k, load in enumerate(loads):
+        before = commits.state(spark, base).info.get("held", {})
+        touched = history_table.merge_history(spark.createDataFrame(load, s), base, ["k"], "t", run=str(k), buckets=32)
+        every += load
+        held = commits.state(spark, base).info["held"]
+        assert {b for b in held if held[b] != before.get(b)} == set(map(str, touched)) and len(touched) <= 3
+        want = jobs.versioned(spark.createDataFrame(every, s), ["k"], "t")
+        assert rows(history_table.history(spark, base), *want.columns) == rows(want)
+    assert history_table.merge_history(spark.createDataFrame(loads[0], s), base, ["k"], "t", run="1") == []
+    one = history_table.history_rows(spark, base, touched[:1])
+    assert one.inputFiles() and all(f"/_bucket={touched[0]}/" in f for f in one.inputFiles())
+    assert history_table.merge_history(spark.createDataFrame([], s), base, ["k"], "t", run="9") == []
+
+
+def test_history_by_load_time_keeps_every_load(spark):
+    t = dt.datetime
+    base = shared_path(spark, "loads")
+    loads = [("a", t(2024, 1, 1, 8), 1), ("a", t(2024, 1, 1, 20), 2), ("a", t(2024, 1, 1, 20), 2)]
+    for k, load in enumerate(loads):
+        history_table.merge_history(spark.createDataFrame([load], "k string, l timestamp_ntz, v int"), base, ["k"], "l", run=str(k), by_time=True)
+    want = jobs.load_versions(spark.createDataFrame(loads, "k string, l timestamp_ntz, v int"), ["k"], "l")
+    assert rows(history_table.history(spark, base), *want.columns) == rows(want)

@@ -33,35 +33,72 @@ def status_counts(diff: DataFrame) -> DataFrame:
     return diff.groupBy("status").agg(F.count("*").alias("n"))
 
 
-def hashable(column: Column, kind: T.DataType) -> list[Column]:
-    """What to hash of a value so that nulls count: xxhash64 passes over them, wherever they stand."""
+def value_print(column: Column, kind: T.DataType) -> list[Column]:
+    """What to hash of a value so that equal values, and only they, agree: xxhash64 passes over nulls wherever they
+    stand, and knows no maps. Elements of arrays and entries of maps, these in the order of their hashes, are hashed
+    one by one."""
     if isinstance(kind, T.StructType):
-        return [column.isNull(), *(x for f in kind for x in hashable(column[f.name], f.dataType))]
-    if isinstance(kind, (T.ArrayType, T.MapType)):
-        return [F.coalesce(F.to_json(F.struct(column), {"ignoreNullFields": "false"}), F.lit(""))]
+        return [column.isNull(), *(x for f in kind for x in value_print(column[f.name], f.dataType))]
+    if isinstance(kind, T.ArrayType):
+        each = F.transform(column, lambda x: F.xxhash64(*value_print(x, kind.elementType)))
+        return [F.coalesce(F.size(column), F.lit(-1)), each]
+    if isinstance(kind, T.MapType):
+        each = F.transform(F.map_entries(column), lambda e: F.xxhash64(*value_print(e["key"], kind.keyType), *value_print(e["value"], kind.valueType)))
+        return [F.coalesce(F.size(column), F.lit(-1)), F.array_sort(each)]
     return [column.isNull(), column]
 
 
+def row_print(schema: T.StructType, *before: Column) -> Column:
+    """A 64-bit hash of a row's columns."""
+    return F.xxhash64(*before, *(x for f in schema for x in value_print(F.col(f"`{f.name}`"), f.dataType)))
+
+
+def prints(schema: T.StructType) -> list[Column]:
+    """Aggregates that tell tables (or groups) apart: rows and two order-independent hashes."""
+    return [F.count("*"), F.sum(row_print(schema).cast("decimal(38,0)")), F.bit_xor(row_print(schema, F.lit(1)))]
+
+
 def table_print(df: DataFrame) -> tuple:
-    """Rows and an order-independent hash of a whole table: equal tables have equal ones, nulls and their places counted."""
-    parts = [x for f in df.schema for x in hashable(F.col(f"`{f.name}`"), f.dataType)]
-    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*parts).cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit(1), *parts))).first())
+    """Rows and hashes of a whole table: equal tables have equal ones, nulls and their places counted."""
+    return tuple(df.agg(*prints(df.schema)).first())
+
+
+def comparable(column: Column, kind: T.DataType) -> Column:
+    """The value with maps, which can't be compared, as their entries in the order of their keys."""
+    if not has_map(kind):
+        return column
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*(comparable(column[f.name], f.dataType).alias(f.name) for f in kind))
+        return F.when(column.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: comparable(x, kind.elementType))
+    entries = F.transform(F.map_entries(column), lambda e: F.struct(comparable(e["key"], kind.keyType).alias("k"), comparable(e["value"], kind.valueType).alias("v")))
+    return F.array_sort(entries)
+
+
+def has_map(kind: T.DataType) -> bool:
+    inner = [f.dataType for f in kind] if isinstance(kind, T.StructType) else [kind.elementType] if isinstance(kind, T.ArrayType) else []
+    return isinstance(kind, T.MapType) or any(map(has_map, inner))
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame | None, keys: list[str], whole_first: bool = False) -> DataFrame:
     """Rows of new whose key is new or whose content differs; deletions aren't told, no old means all rows.
 
-    Rows are compared field by field, nulls being equal, so a value that moves between columns is seen.
-    whole_first compares table hashes before any join.
+    Rows are compared field by field, nulls (and NaN) being equal, so a value that moves between columns is seen; maps
+    are equal if their entries are, in any order. whole_first compares table hashes before any join.
     """
     if old is None:
         return new
     if whole_first and table_print(new) == table_print(old.select(*new.columns)):
         return new.limit(0)
-    rest = [c for c in new.columns if c not in keys]
-    before = old.select(*keys, F.struct(*rest).alias("_old"), F.lit(True).alias("_had"))
-    j = new.join(before, keys, "left")
-    return j.where(F.col("_had").isNull() | ~F.struct(*rest).eqNullSafe(F.col("_old"))).select(*new.columns)
+    rest = [f for f in new.schema if f.name not in keys]
+
+    def content(df: DataFrame) -> Column:
+        return F.struct(*(comparable(df[f.name], f.dataType).alias(f.name) for f in rest), F.lit(0).alias("_"))
+
+    before = old.select(*keys, content(old).alias("_old"), F.lit(True).alias("_had"))
+    j = new.withColumn("_new", content(new)).join(before, keys, "left")
+    return j.where(F.col("_had").isNull() | ~F.col("_new").eqNullSafe(F.col("_old"))).select(*new.columns)
 
 
 def period_calendar(spark: SparkSession, start: str, end: str, grains: tuple[str, ...] = ("diario", "mensal", "anual"), last_open: bool = False) -> DataFrame:

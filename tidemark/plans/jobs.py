@@ -9,6 +9,7 @@ from ..operators.dedup import dedup_exact, keep_most_complete
 from ..operators.history import current, scd2
 from ..operators.margins import active_margins, event_table, margin_intervals, sheet_events, succession_events
 from ..operators.translator import resolve_codes, stage_suggestions
+from ..sources.history_table import history, merge_history
 
 
 def versioned(raw: DataFrame, keys: list[str], date_col: str, variants: list[str] = (), audit: list[str] = (), suffix: str = "_pncp") -> DataFrame:
@@ -20,6 +21,14 @@ def versioned(raw: DataFrame, keys: list[str], date_col: str, variants: list[str
     return scd2(df, keys, date_col)
 
 
+def merge_versions(raw: DataFrame, base: str, keys: list[str], date_col: str, run: str | None = None, variants: list[str] = (), audit: list[str] = (), suffix: str = "_pncp", buckets: int = 256) -> DataFrame:
+    """The history that versioned() tells, kept as a table at base: raw rows of one more load are merged into the
+    buckets of their keys, and the whole history is returned."""
+    df = harmonize_variants(raw, variants, suffix) if variants else raw
+    merge_history(df.withColumn(date_col, df[date_col].cast("date")), base, keys, date_col, run, audit=audit, skip_suffix=suffix, buckets=buckets)
+    return history(raw.sparkSession, base)
+
+
 def published(raw: DataFrame, keys: list[str], date_col: str, **options) -> DataFrame:
     """Current rows of the history."""
     return current(versioned(raw, keys, date_col, **options))

@@ -134,6 +134,16 @@ def _(spark, d):
     return jobs.versioned(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", VARIANTS)
 
 
+@query("scd2_merged", HISTORY)
+def _(spark, d):
+    """The same history as a table that three loads are merged into: rows of a key come late, apart and again."""
+    base, raw = shared_path(spark, "history"), derive(spark, d, PURCHASES)
+    load = F.pmod(F.col("cod_compra") + F.dayofyear("data_atualizacao"), F.lit(3))
+    for k in range(3):
+        out = jobs.merge_versions(raw.where((load == k) | (F.col("cod_compra") % 50 == 0)), base, ["cod_compra"], "data_atualizacao", run=f"load-{k}", variants=VARIANTS, buckets=16)
+    return out
+
+
 @query("scd2_current", f"SELECT * EXCLUDE (is_current) FROM ({HISTORY}) h WHERE is_current")
 def _(spark, d):
     return jobs.published(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", variants=VARIANTS)
@@ -179,9 +189,11 @@ def _(spark, d):
     return spark.read.parquet(base).groupBy(F.col("load_ts").cast("string").alias("load_ts")).agg(F.count("*").alias("n"))
 
 
-@query("yearly_summary", f"SELECT ano_compra, count(*) AS n, sum(valor) AS total FROM ({HISTORY}) h WHERE is_current GROUP BY ano_compra")
+@query("yearly_summary", f"SELECT ano_compra, count(*) AS n, sum(valor) AS total_estimado, sum(CASE WHEN situacao = 'F' THEN valor END) AS total_homologado FROM ({HISTORY}) h WHERE is_current GROUP BY ano_compra")
 def _(spark, d):
-    return summaries.yearly_summary(jobs.published(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", variants=VARIANTS), "ano_compra", {"total": "valor"})
+    now = jobs.published(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", variants=VARIANTS)
+    now = now.withColumn("valor_homologado", F.when(F.col("situacao") == "F", F.col("valor")))  # stand-in: closed purchases
+    return summaries.yearly_summary(now, "ano_compra", {"total_estimado": "valor", "total_homologado": "valor_homologado"})
 
 
 @query("rows_per_year", "SELECT CAST(year(o_orderdate) AS INT) AS ano, count(*) AS n, CAST(grouping(CAST(year(o_orderdate) AS INT)) AS INT) AS total FROM orders GROUP BY ROLLUP (CAST(year(o_orderdate) AS INT))")
@@ -253,6 +265,14 @@ def _(spark, d):
 _MOVED = "SELECT c_custkey, CASE WHEN c_custkey % {n} = 0 THEN NULL ELSE c_name END AS nome, CASE WHEN c_custkey % {n} = 0 THEN c_name END AS apelido FROM customer"
 
 
+@query("snapshot_digests", f"SELECT n.c_custkey, n.c_name, n.c_acctbal FROM customer n LEFT JOIN ({_OLD}) o ON o.c_custkey = n.c_custkey WHERE o.c_custkey IS NULL OR n.c_name IS DISTINCT FROM o.c_name OR n.c_acctbal IS DISTINCT FROM o.c_acctbal")
+def _(spark, d):
+    """The same difference by digests of buckets that are stored with the snapshot."""
+    base = shared_path(spark, "digests")
+    sinks.replace_snapshot(derive(spark, d, _OLD), base, "2024-01-01", keys=["c_custkey"])
+    return sinks.changes_since(table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), base, ["c_custkey"])
+
+
 @query("snapshot_diff_moved_nulls", f"SELECT n.* FROM ({_MOVED.format(n=5)}) n JOIN ({_MOVED.format(n=15)}) o ON o.c_custkey = n.c_custkey WHERE n.nome IS DISTINCT FROM o.nome")
 def _(spark, d):
     # the tables differ by values that moved to the column beside, a null taking their place
@@ -516,6 +536,17 @@ def _(spark, d):
     return scans.csv_to_parquet(spark, src, shared_path(spark, "parquet"), _ORDER_COLUMNS)
 
 
+@query("csv_by_header", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE o_orderstatus END AS o_orderstatus, o_totalprice, CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS nota FROM orders")
+def _(spark, d):
+    """Drops whose headers name the columns in another order, one too few or one too many."""
+    base, o = shared_path(spark, "headers"), table(spark, d, "orders")
+    drops = (["o_orderkey", "o_orderstatus", "o_totalprice"], ["o_totalprice", "O_ORDERKEY", "nota", "o_orderstatus"], ["o_totalprice", "o_orderkey"])
+    for k, columns in enumerate(drops):
+        part = o.where(F.col("o_orderkey") % 3 == k).withColumn("nota", F.col("o_orderpriority"))
+        part.select(*columns).write.option("header", True).csv(f"{base}/drop={k}")
+    return scans.read_csv(spark, f"{base}/*", _ORDER_COLUMNS, unknown="keep")
+
+
 @query("csv_multiline", "SELECT doc_id, lang, text FROM documents")
 def _(spark, d):
     src = shared_path(spark, "lines")
@@ -556,7 +587,7 @@ def _(spark, d):
 def _(spark, d):
     src = shared_path(spark, "versions")
     table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("versao")).write.partitionBy("versao").option("header", True).csv(src)
-    out = scans.read_csv(spark, f"{src}/*", "o_orderkey long").withColumn("path", F.col("_metadata.file_path"))
+    out = scans.read_csv(spark, f"{src}/*", "o_orderkey long", path_col="path")
     return out.select(F.url_decode(F.regexp_extract("path", "versao=([^/]+)/", 1)).alias("versao"), "o_orderkey")
 
 
@@ -598,9 +629,10 @@ def _(spark, d):
     o = spark.read.parquet(f"{delta}/*.parquet")  # drops and change lists are files, read as such
     o.where("o_orderstatus = 'F'").select("o_orderstatus").distinct().write.option("header", True).csv(lists)
     changed = scans.read_csv(spark, lists, "o_orderstatus string")
-    sinks.incremental_append(o, changed.limit(0), ["o_orderstatus"], target)
-    sinks.incremental_append(o, changed.limit(0), ["o_orderstatus"], target)
-    return sinks.incremental_append(o, changed, ["o_orderstatus"], target)
+    sinks.incremental_append(o, changed.limit(0), ["o_orderstatus"], target, run="1")
+    sinks.incremental_append(o, changed.limit(0), ["o_orderstatus"], target, run="2")
+    sinks.incremental_append(o, changed, ["o_orderstatus"], target, run="3")
+    return sinks.incremental_append(o, changed, ["o_orderstatus"], target, run="3")  # tried again, counted once
 
 
 @query("full_refresh", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0")
@@ -649,8 +681,8 @@ def _(spark, d):
 def _(spark, d):
     base = shared_path(spark, "snapshot")
     c = table(spark, d, "customer").select("c_custkey", "c_acctbal")
-    sinks.replace_snapshot(c, base, "2024-01-01")
-    sinks.replace_snapshot(c.where("c_custkey % 2 = 0"), base, "2024-01-02")
+    sinks.replace_snapshot(c, base, "9")
+    sinks.replace_snapshot(c.where("c_custkey % 2 = 0"), base, "10")  # newer, though not as text
     return sinks.current_snapshot(spark, base)
 
 

@@ -2,19 +2,84 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from . import commits
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
-    """CSV with a header under a declared schema: codes keep their zeros. Files without rows give none.
+#: What is read of a CSV file to find its header, and how many files are looked at at once.
+HEADER_BYTES, READERS = 1 << 16, 16
+
+
+def csv_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files of CSV drops, in order; Spark lists them without opening any."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return [r["path"] for r in spark.read.format("binaryFile").load(paths).select("path").orderBy("path").collect()]
+
+
+def header_of(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> tuple[str, ...]:
+    """The columns that a CSV file's first line names, () for an empty file; reads its first HEADER_BYTES at most.
+
+    A file's mark of its byte order and blanks around names don't count.
+    """
+    text = commits.read_bytes(spark, path, HEADER_BYTES).decode(encoding, "replace").removeprefix("\ufeff")
+    first = next(csv.reader(io.StringIO(text, newline=""), delimiter=sep, quotechar='"', doublequote=True), [])
+    return tuple(c.strip() for c in first)
+
+
+def header_signatures(spark: SparkSession, paths: str | list[str], sep: str = ",", encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
+    """The files of CSV drops by the columns that their headers name, in order; empty files are left out."""
+    files = csv_files(spark, paths)
+    with ThreadPoolExecutor(READERS) as pool:
+        headers = list(pool.map(lambda f: header_of(spark, f, sep, encoding), files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for f, h in zip(files, headers, strict=True):
+        if h:
+            out.setdefault(h, []).append(f)
+    return out
+
+
+def literal_path(path: str) -> str:
+    """A path that stands for itself where patterns are understood."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType | str, sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False, unknown: str = "fail", path_col: str | None = None) -> DataFrame:
+    """CSV drops under a declared schema, columns taken by the names in each file's header: codes keep their zeros.
+
+    Files may name the columns in any order and case; one that a file lacks is null in its rows. Columns that
+    aren't declared fail the read, or with unknown="keep" stay behind the declared ones as text, or with "drop" go; a
+    header that names a column twice fails. Files without rows give none. There is one scan for each different header.
 
     multi_line is for drops whose quoted fields hold line feeds; such files aren't split. Rows that don't fit the
-    schema fail the job; without multi_line, so does a quoted line feed that leaves a row short.
+    header fail the job; without multi_line, so does a quoted line feed that leaves a row short. path_col adds the
+    path of each row's file.
     """
-    return spark.read.csv(paths, schema=schema, header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multi_line, mode="FAILFAST")
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    kinds = {f.name.lower(): f for f in declared}
+    frames = []
+    for header, files in header_signatures(spark, paths, sep, encoding).items():
+        names = [c.lower() for c in header]
+        odd = [c for c in header if c.lower() not in kinds]
+        if len(set(names)) < len(names):
+            raise ValueError(f"{files[0]} names a column twice: {', '.join(header)}")
+        if odd and unknown == "fail":
+            raise ValueError(f"{len(files)} files, {files[0]} for one, have columns that aren't declared: {', '.join(odd)}")
+        fields = [T.StructField(c, kinds[c.lower()].dataType if c.lower() in kinds else T.StringType()) for c in header]
+        read = spark.read.csv(list(map(literal_path, files)), schema=T.StructType(fields), header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multi_line, mode="FAILFAST")
+        here = {c.lower(): f"`{c}`" for c in header}
+        own = [(F.col(here[f.name.lower()]) if f.name.lower() in here else F.lit(None).cast(f.dataType)).alias(f.name) for f in declared]
+        rest = [F.col(f"`{c}`") for c in odd] if unknown == "keep" else []
+        frames.append(read.select(*own, *rest, *([F.col("_metadata.file_path").alias(path_col)] if path_col else [])))
+    if not frames:
+        return spark.createDataFrame([], T.StructType([*declared, *([T.StructField(path_col, T.StringType())] if path_col else [])]))
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
 
 def catalog_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from ..operators import changes
 from ..scratch import small, stored
+from . import commits
 
 #: Change lists up to this many keys are broadcast.
 CHANGES = 200_000
+#: The partition column of tables laid out by bucket of their key.
+BUCKET = "_bucket"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -16,17 +22,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def changed_rows(source: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+def changed_rows(source: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys are in the change list."""
-    return source.join(small(changes.select(*keys).distinct(), CHANGES), keys, "left_semi")
+    return source.join(small(listed.select(*keys).distinct(), CHANGES), keys, "left_semi")
+
 
+def incremental_append(source: DataFrame, listed: DataFrame, keys: list[str], target: str, run: str | None = None) -> DataFrame:
+    """The first run writes all rows; later ones append those of changed keys. Returns the table.
 
-def incremental_append(source: DataFrame, changes: DataFrame, keys: list[str], target: str) -> DataFrame:
-    """The first run writes all rows; later ones append those of changed keys. Returns the table."""
+    Appends are numbered commits, so readers see whole runs only. A run tried again under its name, after a crash or
+    though it had succeeded, counts once; of two writers at once, the second fails. Without a name each call is a run.
+    """
     spark = source.sparkSession
-    rows = changed_rows(source, changes, keys) if path_exists(spark, target) else source
-    rows.write.mode("append").parquet(target)
-    return spark.read.schema(source.schema).parquet(target)
+    now, run = commits.state(spark, target), run or uuid.uuid4().hex
+    if run not in now.runs:
+        rows = changed_rows(source, listed, keys) if now.number else source
+        folder = commits.new_folder("append")
+        rows.write.parquet(f"{target}/{folder}")
+        now = commits.commit(spark, target, now, run, [*now.folders, folder])
+    return commits.committed(spark, target, source.schema, now)
 
 
 def export_table(df: DataFrame, path: str) -> DataFrame:
@@ -42,20 +56,62 @@ def write_delta(delta: DataFrame, base: str, load_ts: str) -> str:
     return path
 
 
-def replace_snapshot(df: DataFrame, base: str, version: str) -> str:
-    """A new snapshot beside the old one, then a pointer row that names it: readers never see half of one."""
-    path = f"{base}/version={version}"
-    df.write.mode("errorifexists").parquet(path)
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").parquet(f"{base}_pointer")
-    return path
+def replace_snapshot(df: DataFrame, base: str, version: str, keys: list[str] | None = None, buckets: int = 64) -> str:
+    """A new snapshot beside the old ones, then a numbered commit that names it: readers never see half of one, and the
+    last commit counts, however versions are spelt. A version committed before stays as it was.
+
+    With keys, rows lie by bucket of their key beside digests of the buckets, for changes_since().
+    """
+    spark, now = df.sparkSession, commits.state(df.sparkSession, base)
+    if version in now.runs:
+        return f"{base}/{now.info['versions'][version]}"
+    folder = commits.new_folder("snapshot")
+    info = {"versions": {**now.info.get("versions", {}), version: folder}}
+    if keys:
+        laid = df.withColumn(BUCKET, key_bucket(df, keys, buckets))
+        laid.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{base}/{folder}")
+        written = spark.read.schema(laid.schema).parquet(f"{base}/{folder}")
+        info |= {"keys": keys, "buckets": buckets, "digests": bucket_digests(written)}
+    else:
+        df.write.parquet(f"{base}/{folder}")
+    commits.commit(spark, base, now, version, [folder], info)
+    return f"{base}/{folder}"
 
 
 def current_snapshot(spark: SparkSession, base: str) -> DataFrame | None:
-    """The snapshot of the latest version, None if there is none."""
-    if not path_exists(spark, f"{base}_pointer"):
-        return None
-    version = spark.read.parquet(f"{base}_pointer").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{base}/version={version}")
+    """The snapshot that was committed last, None if there is none."""
+    now = commits.state(spark, base)
+    return spark.read.parquet(f"{base}/{now.folders[0]}").drop(BUCKET) if now.number else None
+
+
+def key_bucket(df: DataFrame, keys: list[str], buckets: int) -> Column:
+    """The bucket of a row's key; nulls count, wherever they stand."""
+    return F.pmod(changes.row_print(df.select(*keys).schema), F.lit(buckets)).cast("int")
+
+
+def bucket_digests(rows: DataFrame) -> dict[str, list]:
+    """Rows and order-independent hashes of each bucket that has rows: one aggregation, a row a bucket."""
+    schema = T.StructType([f for f in rows.schema if f.name != BUCKET])
+    told = rows.groupBy(BUCKET).agg(*changes.prints(schema))
+    return {str(r[0]): [int(r[1]), str(r[2]), int(r[3])] for r in told.collect()}
+
+
+def changes_since(df: DataFrame, base: str, keys: list[str]) -> DataFrame:
+    """Rows of df whose key is new since the last snapshot of base or whose content differs; all, without a snapshot.
+
+    Digests of df's buckets are held against those stored with the snapshot, which was laid out by the same keys;
+    only buckets that differ are read, of the snapshot by partition and of df by a filter, and compared field by field.
+    """
+    spark, now = df.sparkSession, commits.state(df.sparkSession, base)
+    if not now.number:
+        return df
+    if now.info.get("keys") != keys or "digests" not in now.info:
+        raise ValueError(f"the snapshot of {base} has no digests by {keys}")
+    laid = df.withColumn(BUCKET, key_bucket(df, keys, now.info["buckets"]))
+    before = spark.read.schema(laid.schema).parquet(f"{base}/{now.folders[0]}")
+    mine, theirs = bucket_digests(laid), now.info["digests"]
+    differ = [int(b) for b in mine if mine[b] != theirs.get(b)]
+    return changes.snapshot_diff(laid.where(F.col(BUCKET).isin(differ)).drop(BUCKET), before.where(F.col(BUCKET).isin(differ)).drop(BUCKET), keys)
 
 
 def save_manifest(df: DataFrame, keys: list[str], base: str, version: str) -> str:
