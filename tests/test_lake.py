@@ -11,7 +11,8 @@ from tidemark.operators import changes, checks, dedup, hierarchy as H, history,
 from tidemark.plans import jobs
 from tidemark.scratch import shared_path
 from tidemark.sources import commits, history_table, scans, sinks
-from tidemark.streaming.append import append_new_files
+from tidemark.streaming.append import append_new_files, closed_windows
+from tidemark.streaming.changed import changed, observe
 
 
 def rows(df, *cols):
@@ -376,3 +377,37 @@ def test_history_by_load_time_keeps_every_load(spark):
         history_table.merge_history(spark.createDataFrame([load], "k string, l timestamp_ntz, v int"), base, ["k"], "l", run=str(k), by_time=True)
     want = jobs.load_versions(spark.createDataFrame(loads, "k string, l timestamp_ntz, v int"), ["k"], "l")
     assert rows(history_table.history(spark, base), *want.columns) == rows(want)
+
+
+def test_a_file_changed_under_its_name_is_seen_in_a_stream(spark):
+    files, looks, target, marks = (shared_path(spark, n) for n in ("files", "looks", "told", "marks"))
+    schema = T.StructType.fromDDL("path string, hash_sha256 string, visto_em string")
+    out = T.StructType([*schema, T.StructField("status", T.StringType())])
+    contents = [{"a": "1", "b": "1"}, {"a": "1", "b": "2", "c": "1"}, {"a": "3", "b": "2", "c": "1"}]
+    manifest = spark.createDataFrame([], "path string, hash_sha256 string")
+    for k, content in enumerate(contents):
+        for name, text in content.items():
+            written(f"{files}/{name}.txt", text)
+        observe(spark, f"{files}/*.txt", looks, str(k))
+        assert changed(spark, looks, schema, target, marks, ["path"]) >= 1  # each run starts anew from the checkpoint
+        now = commits.committed(spark, target, out).where(F.col("visto_em") == str(k)).select("path", "hash_sha256", "status")
+        observed = scans.file_metrics(spark, f"{files}/*.txt").select("path", "hash_sha256")
+        want = changes.manifest_diff(observed, observed, manifest, ["path"])
+        assert rows(now) == rows(want, "path", "hash_sha256", "status")
+        manifest = spark.createDataFrame(observed.collect(), "path string, hash_sha256 string")
+    assert changed(spark, looks, schema, target, marks, ["path"]) == 0
+    told = {(os.path.basename(r.path), r.visto_em): r.status for r in commits.committed(spark, target, out).collect()}
+    assert told["b.txt", "1"] == "atualizado" and told["a.txt", "2"] == "atualizado" and told["c.txt", "1"] == "baixado" and told["b.txt", "2"] == "ignorado"
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    src, target, marks = (shared_path(spark, n) for n in ("in", "windows", "marks"))
+    schema = T.StructType.fromDDL("t timestamp, k string")
+    day = lambda h: dt.datetime(2024, 1, 1, h)
+    lost = []
+    for batch in ([(day(8), "a"), (day(9), "a")], [(day(8), "a"), (day(15), "a")], [(day(8), "a"), (day(9), "b"), (day(16), "b")], [(day(20), "a")]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(src)
+        lost.append(closed_windows(spark, src, schema, target, marks, "t", "1 hour", "2 hours", "k"))
+    out = commits.committed(spark, target, T.StructType.fromDDL("window_start timestamp, k string, n long"))
+    assert lost == [0, 0, 2, 0]  # the third batch's first two came when their windows had closed
+    assert rows(out) == sorted([(day(8), "a", 2), (day(9), "a", 1), (day(15), "a", 1), (day(16), "b", 1)], key=repr)

@@ -699,6 +699,35 @@ def _(spark, d):
     return spark.read.parquet(target).select("event_id", "user_id")
 
 
+@query("stream_changes", """WITH o AS (SELECT page_id, k AS visto_em, sha256(CASE WHEN k > '1' AND page_id % 5 = 0 THEN html || k ELSE html END) AS h FROM pages, (VALUES ('1'), ('2'), ('3')) t(k) WHERE k <> '1' OR page_id % 3 <> 0)
+  SELECT page_id, h AS hash_sha256, visto_em, CASE WHEN p IS NULL THEN 'baixado' WHEN p = h THEN 'ignorado' ELSE 'atualizado' END AS status FROM (SELECT *, lag(h) OVER (PARTITION BY page_id ORDER BY visto_em) AS p FROM o) x""")
+def _(spark, d):
+    """Three looks at pages, one a run: some pages come later, some change, and each run goes on from the checkpoint."""
+    from ..sources.commits import committed
+    from ..streaming.changed import changed
+
+    looks, target, marks = (shared_path(spark, f"looks-{n}") for n in ("in", "out", "marks"))
+    pages, schema = table(spark, d, "pages"), "page_id long, visto_em string, hash_sha256 string"
+    for k in "123":
+        seen = pages.where(F.lit(k != "1") | (F.col("page_id") % 3 != 0))
+        now = F.when(F.lit(k > "1") & (F.col("page_id") % 5 == 0), F.concat("html", F.lit(k))).otherwise(F.col("html"))
+        seen.select("page_id", F.lit(k).alias("visto_em"), F.sha2(now, 256).alias("hash_sha256")).write.mode("append").parquet(looks)
+        changed(spark, looks, schema, target, marks, ["page_id"])
+    return committed(spark, target, T.StructType.fromDDL("page_id long, hash_sha256 string, visto_em string, status string"))
+
+
+@query("stream_windows", "SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n FROM events WHERE time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1, 2")
+def _(spark, d):
+    from ..sources.commits import committed
+    from ..streaming.append import closed_windows
+
+    src, target, marks = (shared_path(spark, f"windows-{n}") for n in ("in", "out", "marks"))
+    ev = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    ev.write.parquet(src)
+    closed_windows(spark, src, ev.schema, target, marks, "ts", "1 day", "1 hour", "event_type")
+    return committed(spark, target, T.StructType.fromDDL("window_start timestamp, event_type string, n long"))
+
+
 @query("window_counts", "SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(spark, d):
     from ..streaming.append import late_counts

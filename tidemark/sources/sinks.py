@@ -27,20 +27,27 @@ def changed_rows(source: DataFrame, listed: DataFrame, keys: list[str]) -> DataF
     return source.join(small(listed.select(*keys).distinct(), CHANGES), keys, "left_semi")
 
 
+def append_once(rows: DataFrame, target: str, run: str) -> commits.State:
+    """Appends rows as a numbered commit unless the run has made one: readers of commits.committed() see whole runs,
+    once each, whatever was tried and failed. Of two writers at once, the second fails."""
+    spark = rows.sparkSession
+    now = commits.state(spark, target)
+    if run in now.runs:
+        return now
+    folder = commits.new_folder("append")
+    rows.write.parquet(f"{target}/{folder}")
+    return commits.commit(spark, target, now, run, [*now.folders, folder])
+
+
 def incremental_append(source: DataFrame, listed: DataFrame, keys: list[str], target: str, run: str | None = None) -> DataFrame:
     """The first run writes all rows; later ones append those of changed keys. Returns the table.
 
-    Appends are numbered commits, so readers see whole runs only. A run tried again under its name, after a crash or
-    though it had succeeded, counts once; of two writers at once, the second fails. Without a name each call is a run.
+    A run tried again under its name, after a crash or though it had succeeded, counts once; see append_once(). Without
+    a name each call is a run.
     """
     spark = source.sparkSession
-    now, run = commits.state(spark, target), run or uuid.uuid4().hex
-    if run not in now.runs:
-        rows = changed_rows(source, listed, keys) if now.number else source
-        folder = commits.new_folder("append")
-        rows.write.parquet(f"{target}/{folder}")
-        now = commits.commit(spark, target, now, run, [*now.folders, folder])
-    return commits.committed(spark, target, source.schema, now)
+    rows = changed_rows(source, listed, keys) if commits.state(spark, target).number else source
+    return commits.committed(spark, target, source.schema, append_once(rows, target, run or uuid.uuid4().hex))
 
 
 def export_table(df: DataFrame, path: str) -> DataFrame:
