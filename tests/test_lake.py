@@ -411,3 +411,63 @@ def test_late_rows_are_dropped_and_counted(spark):
     out = commits.committed(spark, target, T.StructType.fromDDL("window_start timestamp, k string, n long"))
     assert lost == [0, 0, 2, 0]  # the third batch's first two came when their windows had closed
     assert rows(out) == sorted([(day(8), "a", 2), (day(9), "a", 1), (day(15), "a", 1), (day(16), "b", 1)], key=repr)
+
+
+def test_names_that_begin_alike_meet_few_texts(spark):
+    stamp = F.concat(F.lit("ncm_2024-"), F.lpad((F.col("id") % 12 + 1).cast("string"), 2, "0"), F.lit("-"), F.lpad((F.col("id") * 7919 % 1000003).cast("string"), 7, "0"), F.lit(".csv"))
+    src = spark.range(100_000).select("id", F.concat(F.lit("s3/lake/"), stamp).alias("p"))
+    names = spark.range(0, 100_000, 100).select(stamp.alias("n"))
+    assert sinks.containing_rows(src, "p", names, "n").count() == 1000
+    assert sinks.contained_names(src, "id", "p", names, "n").count() <= 2000
+
+
+def test_trees_of_nine_levels_and_bad_ones(spark):
+    doc = ""
+    for k in range(9, 0, -1):
+        doc = '[{"Codigo":"%d","Descricao":"d%d"%s}]' % (k, k, f',"NomenclaturaFilha":{doc}' if doc else ',"NomenclaturaFilha":null')
+    df = spark.createDataFrame([(doc,), ("[]",), (None,), ('[{"Descricao":"no code","NomenclaturaFilha":[]}]',)], "doc string")
+    assert rows(scans.flatten_tree(df, "doc")) == [(str(k), f"d{k}") for k in range(1, 10)]
+    assert scans.flatten_tree(df.limit(0), "doc").collect() == []
+    with pytest.raises(Exception, match="MALFORMED"):
+        scans.flatten_tree(spark.createDataFrame([("[{",)], "doc string"), "doc").collect()
+
+
+def test_a_database_table_is_dealt_by_its_keys_quantiles(spark):
+    url, options = "jdbc:derby:memory:skewed;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    key = F.when(F.col("id") % 11 != 0, F.col("id") * F.col("id") * F.col("id"))
+    spark.range(22_000).select(key.alias("k"), F.col("id").alias("v")).coalesce(1).write.jdbc(url, "t", properties=options)
+    out = scans.jdbc_table(spark, url, "t", "k", 8, **options)
+    sizes = sorted(r[0] for r in out.where("k is not null").groupBy(F.spark_partition_id()).count().select("count").collect())
+    assert out.count() == 22_000 and out.select("v").distinct().count() == 22_000 and out.where("k is null").count() == 2000
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    spark.createDataFrame([(None, 1)], "k long, v long").write.jdbc(url, "empty_keys", properties=options)
+    assert rows(scans.jdbc_table(spark, url, "empty_keys", "k", 4, **options)) == [(None, 1)]
+    spark.createDataFrame([(5, 1), (5, 2)], "k long, v long").write.jdbc(url, "one_key", properties=options)
+    assert rows(scans.jdbc_table(spark, url, "one_key", "k", 4, **options)) == [(5, 1), (5, 2)]
+
+
+def test_checks_ride_on_the_write(spark):
+    base = shared_path(spark, "checked")
+    df = spark.createDataFrame([(1, "a", 1.5), (2, None, 2.0), (None, "z", 3.0)], "k int, v string, x double")
+    rules = {"k": F.col("k").isNotNull(), "v": F.col("v").isin("a", "b")}
+    told = sinks.checked_snapshot(df, base, "1", rules, {"k": 1, "v": 2}, {"x": ("x", "6.5")})
+    assert told == {"rows": 3, "broken_k": 1, "broken_v": 2, "sum_x": "6.5"}
+    assert rows(sinks.checked(spark, base)) == [(1, "a", 1.5)]
+    assert rows(sinks.quarantined(spark, base), "x", "_broken") == [(2.0, ["v"]), (3.0, ["k", "v"])]
+    for limits, totals in (({"k": 0}, {}), ({}, {"x": ("x", "7.0")})):
+        with pytest.raises(sinks.QualityFailed):
+            sinks.checked_snapshot(df.limit(3), base, "2", rules, limits, totals)
+        assert rows(sinks.checked(spark, base)) == [(1, "a", 1.5)]
+    assert sinks.checked_snapshot(df.where("k = 1"), base, "3", rules)["rows"] == 1
+    assert sinks.quarantined(spark, base).count() == 0
+
+
+def test_reading_a_day_leaves_older_months_unread(spark):
+    d, base = dt.date, shared_path(spark, "ends")
+    df = spark.createDataFrame([(k, d(2024, m, 3)) for k in range(3) for m in range(1, 13)] + [(9, None)], "k int, t date")
+    told = history.scd2(df, ["k"], "t")
+    sinks.history_by_end(told, base, "1")
+    for day in ("2023-01-01", "2024-02-02", "2024-06-15", "2025-01-01"):
+        assert rows(sinks.history_on(spark, base, day)) == rows(history.as_of(told, day))
+    plan = sinks.history_on(spark, base, "2024-06-15")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_end" in plan and ">= 2024-06" in plan

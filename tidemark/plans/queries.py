@@ -167,6 +167,14 @@ def _(spark, d):
     return history.as_of(jobs.versioned(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", VARIANTS), "1996-06-30")
 
 
+@query("scd2_as_of_pruned", f"SELECT * FROM ({HISTORY}) h WHERE valido_de <= DATE '1996-06-30' AND (valido_ate >= DATE '1996-06-30' OR is_current)")
+def _(spark, d):
+    """The same from a history laid out by the month its versions end in."""
+    base = shared_path(spark, "by-end")
+    sinks.history_by_end(jobs.versioned(derive(spark, d, PURCHASES), ["cod_compra"], "data_atualizacao", VARIANTS), base, "1")
+    return sinks.history_on(spark, base, "1996-06-30")
+
+
 @query("load_as_of", f"SELECT codigo, tipo, max(carga) AS carga, max(carga) AS valido_de FROM ({LOADS}) l WHERE carga <= TIMESTAMP '2024-01-15 12:00:00' GROUP BY codigo, tipo")
 def _(spark, d):
     return history.loads_as_of(jobs.load_versions(derive(spark, d, LOADS), ["codigo", "tipo"], "carga"), "2024-01-15 12:00:00", ["codigo", "tipo"])
@@ -331,6 +339,15 @@ def _(spark, d):
     return sinks.containing_rows(pages, "url", names, "arquivo").select("page_id")
 
 
+@query("contains_common_beginning", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 50 = 0 AND l_linenumber = 1")
+def _(spark, d):
+    """File names that all begin alike, sought in paths of files that begin alike too."""
+    path = F.concat(F.lit("s3/lake/ncm/ncm_"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("-"), F.lpad(F.col("l_orderkey").cast("string"), 9, "0"), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit(".csv"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", path.alias("caminho"))
+    names = rows.where("l_orderkey % 50 = 0 and l_linenumber = 1").select(F.regexp_extract("caminho", "([^/]+)$", 1).alias("arquivo"))
+    return sinks.containing_rows(rows, "caminho", names, "arquivo").select("l_orderkey", "l_linenumber")
+
+
 @query("dim_join", f"SELECT resolucao, ncm, vigencia_inicio AS data_evento FROM ({SHEETS}) s JOIN ({REGULATIONS}) r ON r.id = s.resolucao")
 def _(spark, d):
     return margins.dated(derive(spark, d, SHEETS).select("resolucao", "ncm"), derive(spark, d, REGULATIONS))
@@ -415,6 +432,20 @@ def _(spark, d):
     return scans.flatten_tree(kids.select(F.concat(F.lit("["), "kids", F.lit("]")).alias("doc")), "doc")
 
 
+@query("flatten_deep_tree", "SELECT string_agg('n' || i, '/' ORDER BY i) || '/' || p_partkey AS codigo, p_name AS descricao FROM part, range(9) t(i) WHERE i <= p_partkey % 9 GROUP BY p_partkey, p_name UNION ALL SELECT string_agg('n' || i, '/' ORDER BY i) || '/' || p_partkey || '.' || j, NULL FROM part, range(9) t(i), range(9) u(j) WHERE i <= j AND j < p_partkey % 9 GROUP BY p_partkey, j")
+def _(spark, d):
+    """A document a part, one to nine levels deep: the last node has the part's name, those above it have none."""
+    p, deep = table(spark, d, "part").select("p_partkey", "p_name"), F.col("p_partkey") % 9
+    told = F.lit("{}")  # no part is deeper
+    for k in range(8, -1, -1):
+        path = F.concat(F.lit("/".join(f"n{i}" for i in range(k + 1)) + "/"), F.col("p_partkey").cast("string"))
+        leaf = F.to_json(F.struct(path.alias("Codigo"), F.col("p_name").alias("Descricao")))
+        inner = F.to_json(F.struct(F.concat(path, F.lit(f".{k}")).alias("Codigo")))
+        nested = F.concat(inner.substr(F.lit(1), F.length(inner) - 1), F.lit(',"NomenclaturaFilha":['), told, F.lit("]}"))
+        told = F.when(deep == k, leaf).otherwise(nested)
+    return scans.flatten_tree(p.select(F.concat(F.lit("["), told, F.lit("]")).alias("doc")), "doc")
+
+
 # ---- margins and translator ------------------------------------------------------------------------------
 _EVENT = """SELECT {reg} AS resolucao, '{kind}' AS tipo_evento_margem, '{type}' AS tipo_margem, trim(ncm) AS prefixo_ncm, trim(regra_de_origem) AS margem_normal_comprovante, round(try_cast(trim(margem_normal) AS DOUBLE) / 100, 4) AS margem_normal_pct,
   {proof} AS margem_adicional_comprovante, {extra} AS margem_adicional_pct, trim(grupo_de_produtos) AS grupo_de_produtos, trim(comentario) AS comentario FROM ({rows}) s WHERE trim(ncm) <> '' AND {where}"""
@@ -516,6 +547,16 @@ def _(spark, d):
     return checks.values_outside(table(spark, d, "orders"), "o_orderstatus", ["F", "O"])
 
 
+@query("dq_quarantine", f"SELECT *, CASE WHEN prioridade IS NULL AND situacao NOT IN ('F', 'O') THEN 'prioridade;situacao' WHEN prioridade IS NULL THEN 'prioridade' ELSE 'situacao' END AS regras FROM ({PLAIN}) p WHERE prioridade IS NULL OR situacao NOT IN ('F', 'O')")
+def _(spark, d):
+    """Rows that break a rule, set aside by the job that writes the others, whose counts it tells."""
+    base, rows = shared_path(spark, "checked"), derive(spark, d, PLAIN)
+    told = sinks.checked_snapshot(rows, base, "1", {"prioridade": F.col("prioridade").isNotNull(), "situacao": F.col("situacao").isin("F", "O")})
+    aside = sinks.quarantined(spark, base)
+    assert told["rows"] == sinks.checked(spark, base).count() + aside.count()
+    return aside.withColumn("regras", F.array_join("_broken", ";")).drop("_broken")
+
+
 CONTRACT = T.StructType([T.StructField("catmat", T.IntegerType()), *(T.StructField(c, T.StringType()) for c in ("capitulo_ncm", "posicao_ncm", "subitem_ncm", "metodo_de_mapeamento"))])
 
 
@@ -643,6 +684,16 @@ def _(spark, d):
     return scans.catalog_table(spark, name, ["c_custkey", "c_acctbal"])
 
 
+@query("jdbc_scan", "SELECT o_orderkey * o_orderkey AS chave, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 0 UNION ALL SELECT NULL, o_orderstatus FROM orders WHERE o_orderkey % 10 = 0")
+def _(spark, d):
+    """A table of a database (that Spark ships), its key far from evenly spread and missing in places."""
+    url, o = f"jdbc:derby:memory:{shared_table(spark, 'db')};create=true", table(spark, d, "orders")
+    key = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey").cast("long") * F.col("o_orderkey"))
+    options = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    o.select(key.alias("chave"), "o_orderstatus").coalesce(1).write.jdbc(url, "pedidos", properties=options)
+    return scans.jdbc_table(spark, url, "pedidos", "chave", 8, **options).select("chave", "o_orderstatus")
+
+
 @query("published_view", "SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment")
 def _(spark, d):
     name, view = shared_table(spark, "base"), shared_table(spark, "view")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import math
 import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -11,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..scratch import stored
 from . import commits
 
 #: What is read of a CSV file to find its header, and how many files are looked at at once.
@@ -87,9 +89,36 @@ def catalog_table(spark: SparkSession, name: str, columns: list[str] | None = No
     return spark.read.table(name).select(*(columns or ["*"]))
 
 
-def jdbc_table(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int, **options) -> DataFrame:
-    """A database table read by parts tasks, each a range of a numeric key."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, partitionColumn=key, lowerBound=low, upperBound=high, numPartitions=parts, **options).load()
+def key_predicates(key: str, bounds: list) -> list[str]:
+    """Conditions that each row of a table meets exactly one of: no key, below the first bound, between two, from the
+    last on."""
+    inside = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(bounds, bounds[1:], strict=False)]
+    ends = [f"{key} < {bounds[0]}", f"{key} >= {bounds[-1]}"] if bounds else [f"{key} IS NOT NULL"]
+    return [f"{key} IS NULL", ends[0], *inside, *ends[1:]]
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, key: str, parts: int, **options) -> DataFrame:
+    """A database table read by about parts tasks of equal rows, however its whole-number key is spread, and one task for
+    rows without a key.
+
+    Bounds are quantiles of the key, told by one pass over that column alone, which the database sends in equal ranges
+    of the key. Bounds that fall together are one, so a key that many rows share is one task's. Rows that come
+    between the passes are read: the tasks' conditions leave out no key.
+    """
+    options = {"url": url, "dbtable": table, **options}
+    whole = spark.read.format("jdbc").options(**options).load()
+    key = next((c for c in whole.columns if c.lower() == key.lower()), key)
+    ends = whole.agg(F.min(key), F.max(key)).first()  # the database finds them
+    if ends[0] is None:
+        bounds = []
+    else:
+        low, high = int(ends[0]), int(ends[1])
+        one = spark.read.format("jdbc").options(**options, partitionColumn=key, lowerBound=low, upperBound=max(high, low + 1), numPartitions=parts).load().select(key)
+        told = one.where(F.col(key).isNotNull()).approxQuantile(key, [k / parts for k in range(1, parts)], 0.1 / parts)
+        bounds = sorted({math.ceil(x) for x in told})
+    properties = {k: str(v) for k, v in options.items() if k not in ("url", "dbtable")}
+    quoted = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
+    return spark.read.jdbc(url, table, predicates=key_predicates(quoted, bounds), properties=properties)
 
 
 def csv_to_parquet(spark: SparkSession, source: str | list[str], target: str, schema: T.StructType | str, **options) -> DataFrame:
@@ -127,25 +156,28 @@ def read_sheet(spark: SparkSession, folder: str, sheet: str, columns: Iterable[s
     return read_csv(spark, f"{folder}/sheet={sheet}", T.StructType([T.StructField(c, T.StringType()) for c in columns]))
 
 
-NODE = "code string, description string, children array<string>"
-
-
-def flatten_tree(df: DataFrame, json_col: str, code: str = "Codigo", description: str = "Descricao", children: str = "NomenclaturaFilha", depth: int = 6) -> DataFrame:
-    """(codigo, descricao) of all nodes of nested JSON arrays of at most depth levels; of one code the last
-    (deepest, then furthest) wins. Children stay text until their level is reached; children below the last
-    level fail the job."""
-    level_schema = f"array<struct<`{code}`:string,`{description}`:string,`{children}`:string>>"
-    level = df.select(F.posexplode(F.from_json(F.col(json_col), level_schema)).alias("at", "node"))
-    level = level.select(F.array(F.col("at")).alias("place"), "node.*")
-    found = []
-    for k in range(depth):
-        below = F.coalesce(F.regexp_replace(children, r"\s", ""), F.lit("[]"))
-        text = F.col(description)
-        if k == depth - 1:
-            text = F.when(below != "[]", F.raise_error(F.lit(f"tree has more than {depth} levels"))).otherwise(text)
-        found.append(level.select(F.col(code).alias("codigo"), text.alias("descricao"), "place"))
-        below = level.where(F.col(children).isNotNull()).select("place", F.posexplode(F.from_json(F.col(children), level_schema)).alias("at", "node"))
-        level = below.select(F.concat("place", F.array("at")).alias("place"), "node.*")
+def flatten_tree(df: DataFrame, json_col: str, code: str = "Codigo", description: str = "Descricao", children: str = "NomenclaturaFilha", depth: int | None = None) -> DataFrame:
+    """(codigo, descricao) of all nodes of nested JSON arrays, however deep; of one code the last (deepest, then
+    furthest) wins. Text that isn't JSON fails the job, and so do children below depth levels, if that is given.
+
+    Documents are parsed once; each level's children are written as parsed values, and the next level reads them, until
+    one is empty.
+    """
+    found, place = [], F.array().cast("array<int>")
+    level = df.select(place.alias("place"), F.parse_json(json_col).alias("below"))
+    while depth is None or len(found) <= depth:
+        node = level.select("place", F.posexplode(F.variant_get("below", "$", "array<variant>")).alias("at", "node"))
+        field = lambda name, kind: F.variant_get("node", f"$.{name}", kind)
+        told = node.select(F.concat("place", F.array("at")).alias("place"), field(code, "string").alias("codigo"), field(description, "string").alias("descricao"), field(children, "variant").alias("below"))
+        told = stored(told, f"level-{len(found)}")
+        if told.isEmpty():
+            break
+        found.append(told.select("codigo", "descricao", "place"))
+        level = told.where(F.schema_of_variant("below").startswith("ARRAY")).select("place", "below")
+    if depth is not None and len(found) > depth:
+        raise ValueError(f"tree has more than {depth} levels")
+    if not found:
+        return df.sparkSession.createDataFrame([], "codigo string, descricao string")
     nodes = reduce(DataFrame.unionByName, found).where("codigo is not null")
     return nodes.groupBy("codigo").agg(F.max_by("descricao", F.struct(F.size("place"), F.col("place"))).alias("descricao"))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators import changes
+from ..operators.history import as_of
 from ..scratch import small, stored
 from . import commits
 
@@ -14,6 +15,10 @@ from . import commits
 CHANGES = 200_000
 #: The partition column of tables laid out by bucket of their key.
 BUCKET = "_bucket"
+#: Columns of checked snapshots: the rules that a row breaks, and whether it breaks none.
+BROKEN, KEPT = "_broken", "_kept"
+#: The partition column of histories laid out by end, and what open versions have there: later than any month.
+END, OPEN = "_end", "open"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -141,22 +146,110 @@ def publish_view(spark: SparkSession, view: str, query: str) -> DataFrame:
     return spark.read.table(view)
 
 
+def grams_of(text: Column, size: Column) -> Column:
+    """The distinct substrings of a length, none of a shorter text."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, size)))
+
+
+def contained_names(rows: DataFrame, row: str, column: str, names: DataFrame, name: str, gram: int = 8) -> DataFrame:
+    """Pairs of row and _name that may match, as the row's text has the name's rarest gram: what must be looked at.
+
+    Texts give their grams of the lengths that names need (gram, or that of a shorter name), of which only those in
+    some name are kept and counted. A name with a gram that no text has is in none; the others are sought by the gram
+    that the fewest texts have, so names that begin alike (or are long) meet about the texts that hold them.
+    """
+    told = names.select(F.col(name).alias("_name")).where("_name <> ''").distinct().withColumn("_k", F.least(F.length("_name"), F.lit(gram)))
+    told = stored(told.select("_name", "_k", F.explode(grams_of(F.col("_name"), F.col("_k"))).alias("_gram")), "names")
+    lengths = [r[0] for r in told.select("_k").distinct().collect()]  # gram numbers at most
+    text = F.coalesce(F.col(column), F.lit(""))
+    parts = rows.select(row, F.explode(F.flatten(F.array(*(grams_of(text, F.lit(k)) for k in lengths)) if lengths else F.array().cast("array<array<string>>"))).alias("_gram"))
+    parts = stored(parts.join(small(told.select("_gram").distinct(), CHANGES), "_gram", "left_semi"), "grams")
+    counts = parts.groupBy("_gram").agg(F.count("*").alias("_texts"))
+    anchors = told.join(counts, "_gram", "left").groupBy("_name").agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_rarest"))
+    anchors = anchors.where("_rarest.n > 0").select("_name", F.col("_rarest.gram").alias("_gram"))
+    return parts.join(small(anchors, CHANGES), "_gram").select(row, "_name")
+
+
 def containing_rows(source: DataFrame, column: str, names: DataFrame, name: str, gram: int = 8) -> DataFrame:
     """Rows whose text in column contains one of the names (blank and null ones aside).
 
-    No pair of row and name is tried blindly: rows meet names by the first characters of the names, as many as the
-    shortest has and gram at most, and only then the whole name is looked for.
+    No pair of row and name is tried blindly: see contained_names(). Names of at most gram characters need no look.
     """
-    told = names.select(F.col(name).alias("_name")).where("_name <> ''").distinct()
-    k = min(gram, told.agg(F.min(F.length("_name"))).first()[0] or gram)
     rows = stored(source.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    text = F.coalesce(F.col(column), F.lit(""))
-    starts = F.when(F.length(text) >= k, F.sequence(F.lit(1), F.length(text) - k + 1)).otherwise(F.array().cast("array<int>"))
-    parts = rows.select("_row", text.alias("_text"), F.explode(F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(k))))).alias("_gram"))
-    hits = parts.join(small(told.withColumn("_gram", F.left("_name", F.lit(k))), CHANGES), "_gram").where(F.contains("_text", "_name")).select("_row").distinct()
+    pairs = contained_names(rows, "_row", column, names, name, gram)
+    hits = pairs.join(rows.select("_row", F.col(column).alias("_text")), "_row").where(F.contains("_text", "_name")).select("_row").distinct()
     return rows.join(hits, "_row", "left_semi").drop("_row")
 
 
+class QualityFailed(RuntimeError):
+    """More rows break a rule than it allows, or a total is off; nothing was published. metrics: what was counted."""
+
+    def __init__(self, message: str, metrics: dict):
+        super().__init__(message)
+        self.metrics = metrics
+
+
+def checked_snapshot(df: DataFrame, base: str, version: str, rules: dict[str, Column], most: dict[str, int] | None = None, totals: dict[str, tuple[str, object]] | None = None) -> dict:
+    """Publishes the rows that keep all rules as a snapshot, and those that break some beside it; returns the counts.
+
+    rules: a condition a row must meet, null being a break, by name; most: how many may break each (any number, if a
+    rule isn't named). totals: by name a column whose sum over all rows must be as given. The same job that writes
+    counts and adds up, so df is read once; if a check fails what it wrote is never committed and readers keep what
+    was there. quarantined() reads the rows that broke rules, with the names of these.
+    """
+    spark, now = df.sparkSession, commits.state(df.sparkSession, base)
+    if version in now.runs:
+        return now.info["metrics"]
+    seen, folder = Observation(), commits.new_folder("checked")
+    broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(n)) for n, ok in rules.items())))
+    counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(F.array_contains(BROKEN, n)).alias(f"broken_{n}") for n in rules)]
+    sums = [F.sum(c).cast("string").alias(f"sum_{n}") for n, (c, _) in (totals or {}).items()]
+    told = df.withColumn(BROKEN, broken).observe(seen, *counts, *sums)
+    told.withColumn(KEPT, F.size(BROKEN) == 0).write.partitionBy(KEPT).parquet(f"{base}/{folder}")
+    metrics = dict(seen.get)
+    off = [f"{n}: {metrics[f'broken_{n}']} rows break it, {m} may" for n, m in (most or {}).items() if metrics[f"broken_{n}"] > m]
+    off += [f"{n}: {metrics[f'sum_{n}']}, not {want}" for n, (_, want) in (totals or {}).items() if str(want) != str(metrics[f"sum_{n}"])]
+    if off:
+        raise QualityFailed(f"version {version} of {base} isn't published: " + "; ".join(off), metrics)
+    schema = told.schema.jsonValue()
+    commits.commit(spark, base, now, version, [folder], {"metrics": metrics, "schema": schema})
+    return metrics
+
+
+def checked(spark: SparkSession, base: str, kept: bool = True) -> DataFrame:
+    """The rows of the checked snapshot that was committed last: those that keep all rules, or those that don't."""
+    now = commits.state(spark, base)
+    schema = T.StructType.fromJson(now.info["schema"]).add(KEPT, T.BooleanType())
+    rows = spark.read.schema(schema).parquet(f"{base}/{now.folders[0]}").where(F.col(KEPT) == kept).drop(KEPT)
+    return rows.drop(BROKEN) if kept else rows
+
+
+def quarantined(spark: SparkSession, base: str) -> DataFrame:
+    """The rows of the last checked snapshot that broke rules, with their names in `_broken`."""
+    return checked(spark, base, kept=False)
+
+
+def history_by_end(history: DataFrame, base: str, version: str) -> str:
+    """A history as a snapshot laid out by the month its versions end in, open ones apart, for history_on()."""
+    now = commits.state(history.sparkSession, base)
+    if version in now.runs:
+        return f"{base}/{now.folders[0]}"
+    folder = commits.new_folder("history")
+    end = F.when(F.col("is_current"), OPEN).otherwise(F.date_format("valido_ate", "yyyy-MM"))
+    history.withColumn(END, end).hint("rebalance", END).write.partitionBy(END).parquet(f"{base}/{folder}")
+    commits.commit(history.sparkSession, base, now, version, [folder], {"schema": history.schema.jsonValue()})
+    return f"{base}/{folder}"
+
+
+def history_on(spark: SparkSession, base: str, day: str) -> DataFrame:
+    """Versions that held on a day, as as_of() tells; months that ended before it aren't read."""
+    now = commits.state(spark, base)
+    schema = T.StructType.fromJson(now.info["schema"]).add(END, T.StringType())
+    rows = spark.read.schema(schema).parquet(f"{base}/{now.folders[0]}")
+    return as_of(rows.where(F.col(END) >= day[:7]), day).drop(END)
+
+
 def expired_loads(spark: SparkSession, base: str, now: str, days: int) -> DataFrame:
     """load_ts of the load partitions (load_ts=…) of base that are older than so many days before now."""
     loads = spark.read.parquet(base).select(F.col("load_ts").cast("string").alias("load_ts")).distinct()
