@@ -471,3 +471,30 @@ def test_reading_a_day_leaves_older_months_unread(spark):
         assert rows(sinks.history_on(spark, base, day)) == rows(history.as_of(told, day))
     plan = sinks.history_on(spark, base, "2024-06-15")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_end" in plan and ">= 2024-06" in plan
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_intervals_of_trees_in_any_ranges(spark, parts):
+    import random
+
+    rng = random.Random(parts)
+    codes = {"".join(rng.choice("012") for _ in range(rng.randrange(1, 7))) for _ in range(150)} | {"2"}
+    codes |= {"01.2", "012", "0.12", "x", "", "2.1"} | {f"2.{c}" for c in sorted(codes)[:40]}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        df = spark.createDataFrame([(c,) for c in [*codes, *sorted(codes)[:30]]] + [(None,)], "codigo string")
+        told = {r.codigo: r for r in H.intervals(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    plain = {c: "".join(x for x in c if x.isdigit()) for c in codes}
+    order = sorted(codes, key=lambda c: (plain[c], c))
+    assert set(told) == codes and all(told[c].ordem == k for k, c in enumerate(order, 1))
+    for c in codes:
+        over = [x for x in codes if plain[x] and plain[c].startswith(plain[x]) and plain[x] != plain[c]]
+        under = [x for x in codes if plain[c] and plain[x].startswith(plain[c]) and plain[x] != plain[c]]
+        nearest = min((x for x in over if plain[x] == max((plain[o] for o in over), key=len)), default=None)
+        twins = [x for x in codes if plain[x] == plain[c]]
+        assert (told[c].profundidade, told[c].pai, told[c].n_descendentes) == (len({plain[x] for x in over}), nearest, len(under)), c
+        assert told[c].fim == max(told[x].ordem for x in [*twins, *under])
+        assert told[c].n_filhos == sum(told[x].pai == c for x in codes)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.columns import LEVELS, digits_only, level_name
 from ..scratch import stored
@@ -13,13 +17,6 @@ from ..scratch import stored
 LEVEL_COLUMNS = {2: "capitulo", 4: "posicao", 5: "subposicao_1", 6: "subposicao_2", 7: "item", 8: "subitem"}
 
 
-def proper_prefixes(df: DataFrame, code: str, name: str, shortest: int = 1) -> DataFrame:
-    """df with a row of each proper prefix of the dotless code."""
-    c = digits_only(F.col(code))
-    lengths = F.when(F.length(c) > shortest, F.sequence(F.lit(shortest), F.length(c) - 1)).otherwise(F.array().cast("array<int>"))
-    return df.withColumn(name, F.explode(F.transform(lengths, lambda n: F.left(c, n))))
-
-
 def prefix_lookup(nodes: DataFrame, lengths: tuple[int, ...] = (2, 4, 5, 6, 7, 8), leaf: int = 8) -> DataFrame:
     """Each leaf under each of its prefixes that is a node: prefixo, codigo (the leaf), descricao, nivel,
     capitulo_codigo, capitulo_descricao of the node, caminho of the leaf. Nodes are written once; then one
@@ -31,17 +28,97 @@ def prefix_lookup(nodes: DataFrame, lengths: tuple[int, ...] = (2, 4, 5, 6, 7, 8
     return cut.join(kept, "prefixo").select("prefixo", F.col("codigo_8").alias("codigo"), "descricao", "nivel", "capitulo_codigo", "capitulo_descricao", F.col("caminho_8").alias("caminho"))
 
 
-def plain_codes(nodes: DataFrame, code: str) -> DataFrame:
-    """Distinct codes and, as _c, their digits; written, as both sides of a join read it."""
-    return stored(nodes.select(F.col(code), digits_only(F.col(code)).alias("_c")).distinct(), "codes")
+WALK = "code string, digits string, part int, place long, twin int, twins int, deep int, parent string, shared int, under long, kids long"
+
+
+def _walk(batches: Iterator[pa.RecordBatch], arrow: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """One range of nodes in preorder (code, digits, part): what a walk with a stack of open nodes tells of each.
+
+    place within the range; of spellings of the same digits (twins) which one; depth, parent, nodes under and children,
+    as far as the range goes; shared: how many first digits the node and all before it share with the range's first,
+    which tells what of earlier ranges it lies under.
+    """
+    done: list[tuple] = []
+    stack: list[tuple[str, list[str], list[int], int, int]] = []  # digits, codes, [first place, under, kids], depth, shared
+    first, last, shared, place, part = None, None, 0, 0, 0
+
+    def close() -> None:
+        digits, codes, (at, under, kids), deep, own = stack.pop()
+        parent = stack[-1][1][0] if stack else None
+        done.extend((c, digits, part, at + i, i, len(codes), deep, parent, own, under, kids) for i, c in enumerate(codes))
+        if stack:
+            above = stack[-1][2]
+            above[1] += under + len(codes)
+            above[2] += len(codes)
+
+    def out() -> pa.RecordBatch:
+        columns = list(zip(*done, strict=True))
+        done.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    for batch in batches:
+        for code, digits, part in zip(*(batch.column(c).to_pylist() for c in ("code", "digits", "part")), strict=True):
+            if (digits, code) == last:
+                continue
+            last = (digits, code)
+            if first is None:
+                first = digits
+                shared = len(digits)
+            shared = min(shared, len(os.path.commonprefix([first, digits])))
+            if stack and stack[-1][0] == digits:
+                stack[-1][1].append(code)
+            else:
+                while stack and (not stack[-1][0] or not digits.startswith(stack[-1][0])):
+                    close()
+                stack.append((digits, [code], [place, 0, 0], len(stack), shared))
+            place += 1
+        if len(done) > 10_000:
+            yield out()
+    while stack:
+        close()
+    if done:
+        yield out()
+
+
+def intervals(nodes: DataFrame, code: str = "codigo") -> DataFrame:
+    """code, ordem (number in preorder, from 1), fim (number of the last node under it, else of its own digits),
+    profundidade (how many nodes it lies under, those of the same digits counted once), pai (the closest of them),
+    n_filhos and n_descendentes (0 for none) of each distinct node.
+
+    A node lies under those whose digits begin its own; what lies under it has the numbers behind it up to fim, so
+    ancestors contain and descendants are a difference. Of spellings of the same digits the first is the parent.
+
+    One sort into ranges numbers all nodes, and a walk over each range finds what lies under what. What reaches over
+    ranges is told by the ranges' first nodes alone, whose beginnings are looked up in the table. No code's beginnings
+    are joined and no group is gathered: a node that a third of all lie under is counted once a range.
+    """
+    spark = nodes.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = nodes.select(F.col(code).alias("code"), digits_only(F.col(code)).alias("digits")).where("code is not null")
+    ranged = plain.repartitionByRange(n, "digits").sortWithinPartitions("digits", "code").select("code", "digits", F.spark_partition_id().alias("part"))
+    arrow = to_arrow_schema(T.StructType.fromDDL(WALK))
+    told = stored(ranged.mapInArrow(lambda batches: _walk(batches, arrow), WALK), "walk")
+    parts = told.groupBy("part").agg(F.count("*").alias("_n"), F.min("digits").alias("_first"))  # a row a range, so are its joins
+    offsets = parts.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_before"))
+    begin = parts.select("part", F.explode(F.when(F.length("_first") > 1, F.transform(F.sequence(F.lit(1), F.length("_first") - 1), lambda k: F.left("_first", k))).otherwise(F.array().cast("array<string>"))).alias("digits"))
+    open_ = stored(told.where("twin = 0").select("digits", "code").join(F.broadcast(begin), "digits").select("part", "digits", F.length("digits").alias("len"), "code"), "open")
+    above = open_.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("len", "code"))).alias("_above"))
+    over = F.coalesce(F.filter("_above", lambda x: x["len"] <= F.least(F.col("shared"), F.length("digits") - 1)), F.array().cast("array<struct<len:int,code:string>>"))
+    roots = told.where("parent is null and twin = 0").groupBy("part", "shared", F.length("digits").alias("_len")).agg(F.sum("twins").alias("_kids"), F.sum(F.col("under") + F.col("twins")).alias("_under"))
+    met = roots.join(F.broadcast(open_), "part").where(F.col("len") <= F.least(F.col("shared"), F.col("_len") - 1))
+    closest = F.max("len").over(Window.partitionBy("part", "shared", "_len"))
+    more = met.withColumn("_closest", closest).groupBy("digits").agg(F.sum("_under").alias("_more"), F.sum(F.when(F.col("len") == F.col("_closest"), F.col("_kids")).otherwise(0)).alias("_more_kids"))
+    j = told.join(F.broadcast(offsets), "part").join(F.broadcast(above), "part", "left").join(F.broadcast(more), "digits", "left").withColumn("_over", over)
+    number = F.col("place") + F.col("_before") + 1
+    under = F.col("under") + F.coalesce("_more", F.lit(0))
+    kids = F.when(F.col("twin") == 0, F.col("kids") + F.coalesce("_more_kids", F.lit(0))).otherwise(0)
+    parent = F.coalesce("parent", F.try_element_at("_over", F.lit(-1))["code"])
+    return j.select(F.col("code").alias(code), number.alias("ordem"), (number - F.col("twin") + F.col("twins") - 1 + under).alias("fim"), (F.col("deep") + F.size("_over")).cast("long").alias("profundidade"), parent.alias("pai"), kids.cast("long").alias("n_filhos"), under.cast("long").alias("n_descendentes"))
 
 
 def parents(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """code and pai: the longest proper prefix that is a node, null if there is none."""
-    plain = plain_codes(nodes, code)
-    found = proper_prefixes(plain, "_c", "_p").join(plain.select(F.col("_c").alias("_p"), F.col(code).alias("_parent")), "_p")
-    longest = found.groupBy(code).agg(F.max_by("_parent", F.length("_p")).alias("pai"))
-    return plain.select(code).join(longest, code, "left")
+    return intervals(nodes, code).select(code, "pai")
 
 
 def enrich(nodes: DataFrame, root: str = "Nomenclatura Comum do Mercosul") -> DataFrame:
@@ -67,21 +144,17 @@ def enrich(nodes: DataFrame, root: str = "Nomenclatura Comum do Mercosul") -> Da
 
 def depth(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """code and profundidade: how many of its proper prefixes are nodes."""
-    plain = plain_codes(nodes, code)
-    hits = proper_prefixes(plain, "_c", "_p").join(plain.select(F.col("_c").alias("_p")), "_p", "left_semi").groupBy(code).agg(F.count("*").alias("n"))
-    return plain.select(code).join(hits, code, "left").select(code, F.coalesce("n", F.lit(0)).cast("long").alias("profundidade"))
+    return intervals(nodes, code).select(code, "profundidade")
 
 
 def child_count(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """code and n_filhos of nodes that have children."""
-    return parents(nodes, code).where("pai is not null").groupBy(F.col("pai").alias(code)).agg(F.count("*").alias("n_filhos"))
+    return intervals(nodes, code).where("n_filhos > 0").select(code, "n_filhos")
 
 
 def descendant_count(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """code and n_descendentes (itself aside) of nodes that have any."""
-    plain = plain_codes(nodes, code)
-    hits = proper_prefixes(plain, "_c", "_p").groupBy("_p").agg(F.count("*").alias("n_descendentes"))
-    return plain.join(hits, plain["_c"] == hits["_p"]).select(code, "n_descendentes")
+    return intervals(nodes, code).where("n_descendentes > 0").select(code, "n_descendentes")
 
 
 def prune(nodes: DataFrame, most: int, code: str = "codigo") -> DataFrame:

@@ -396,6 +396,12 @@ def _(spark, d):
     return H.descendant_count(derive(spark, d, NODES))
 
 
+@query("tree_intervals", f"""WITH k AS (SELECT codigo, row_number() OVER (ORDER BY codigo) AS ordem FROM ({_KEPT}) k), d AS (SELECT acima AS codigo, count(*) AS n FROM ({_ABOVE}) a GROUP BY 1), f AS (SELECT pai AS codigo, count(*) AS n FROM ({_PARENTS}) p GROUP BY 1)
+  SELECT k.codigo AS codigo, ordem, ordem + coalesce(d.n, 0) AS fim, profundidade, pai, coalesce(f.n, 0) AS n_filhos, coalesce(d.n, 0) AS n_descendentes FROM k JOIN ({_DEPTHS}) x ON x.codigo = k.codigo JOIN ({_PARENTS}) p ON p.codigo = k.codigo LEFT JOIN d ON d.codigo = k.codigo LEFT JOIN f ON f.codigo = k.codigo""")
+def _(spark, d):
+    return H.intervals(derive(spark, d, NODES))
+
+
 @query("tree_prune", f"SELECT codigo, descricao FROM ({_KEPT}) k WHERE codigo IN (SELECT codigo FROM ({_DEPTHS}) x WHERE profundidade <= 2)")
 def _(spark, d):
     return H.prune(derive(spark, d, NODES), 2)
