@@ -184,3 +184,41 @@ def test_pipeline_stage_by_stage(spark, corpus):
     assert safe.columns == columns and safe.count() == cut.count()
     packed = P.pack_sequences(spark, safe, corpus)
     assert packed.select("doc_id").distinct().count() == safe.select("doc_id").distinct().count()
+
+
+def test_archives_are_read_by_their_manifest_alone(spark, pages, monkeypatch):
+    from tidemark import scratch
+    from tidemark.llm import warc
+    from tidemark.llm.warc import manifest_files, read_archives, write_archives
+
+    monkeypatch.setattr(warc, "LEAST_SHARD", 20_000)
+    monkeypatch.setattr(warc, "SHARDS_A_PART", 2)
+    many = pages.where("page_id is not null").select("page_id", "url", F.concat("html", F.expr("repeat('x', 5000)"), F.col("page_id").cast("string")).alias("html"))
+    folder, other = (tempfile.mkdtemp(prefix="spark-", dir="/tmp") for _ in range(2))
+    kept = dict(scratch._made)
+    scratch._made.clear()
+    try:
+        files = sorted(map(tuple, write_archives(many, folder, roll_bytes=3000).collect()))
+        scratch.clear_scratch(spark)
+    finally:
+        scratch._made.update(kept)
+    told = manifest_files(spark, folder)
+    assert sorted(map(tuple, told.collect())) == files and len(files) > 2
+    assert read_archives(told, folder).count() == many.count()
+    parts = [f for f in os.listdir(folder) if f.startswith("_MANIFEST-")]
+    assert len(parts) > 1
+    write_archives(many.repartition(3), other, roll_bytes=3000)
+    for name in [*parts, "_MANIFEST.json"]:
+        assert open(f"{folder}/{name}", "rb").read() == open(f"{other}/{name}", "rb").read()
+    with pytest.raises(FileExistsError, match="commits"):
+        write_archives(many.limit(1), folder)
+    write_archives(many.limit(1), folder, replace=True)  # a smaller run leaves nothing of the larger one
+    assert manifest_files(spark, folder).count() == 1 and len([f for f in os.listdir(folder) if f.endswith(".warc.gz")]) == 1
+    os.remove(f"{folder}/_MANIFEST.json")  # as if the run had died before it committed
+    assert manifest_files(spark, folder).count() == 0
+    write_archives(many.limit(0), folder)
+    assert manifest_files(spark, folder).count() == 0 and not [f for f in os.listdir(folder) if f.endswith(".warc.gz")]
+    with open(f"{other}/{parts[0]}", "a") as f:
+        f.write("{}\n")
+    with pytest.raises(Exception, match="isn't the part"):
+        manifest_files(spark, other).collect()

@@ -83,11 +83,11 @@ def op7_crf_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import shared_path
-    from .warc import read_archives, write_archives
+    from .warc import manifest_files, read_archives, write_archives
 
     folder = shared_path(spark, "warc")
-    files = write_archives(_table(spark, sf_dir, "pages"), folder)
-    return read_archives(files, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    write_archives(_table(spark, sf_dir, "pages"), folder)
+    return read_archives(manifest_files(spark, folder), folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import io
 import json
+import re
 import uuid
 import zlib
 from datetime import datetime, timezone
@@ -14,7 +15,7 @@ from datetime import datetime, timezone
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import join_counted, small_batches, stored
 
@@ -28,6 +29,8 @@ LEVEL = 3
 #: Every record bears this date unless the caller gives another: archives are the same from run to run.
 DATE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 SOFTWARE = "tidemark"
+#: What commits a folder's archives, the names that this writer gives, and the shards whose files one part lists.
+MANIFEST, OWN_NAMES, SHARDS_A_PART = "_MANIFEST.json", re.compile(r"part-\d{6}-\d{5}\.warc\.gz$|_MANIFEST[-.].*|_temporary-"), 1024
 
 
 def digest32(payload: bytes) -> str:
@@ -115,14 +118,90 @@ def shard_starts(sizes: DataFrame) -> list[tuple]:
     return [starts[k] for k in sorted(starts)]
 
 
-def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: datetime = DATE, roll_bytes: int = ROLL_BYTES, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
+def own_files(system: fs.FileSystem, root: str) -> list[fs.FileInfo]:
+    """What runs of this writer have in a folder: archives, manifests, and temporary folders of runs that died."""
+    if system.get_file_info(root).type == fs.FileType.NotFound:
+        return []
+    return [f for f in system.get_file_info(fs.FileSelector(root)) if OWN_NAMES.match(f.base_name)]
+
+
+def made_ready(folder: str, replace: bool) -> None:
+    """Leaves nothing of other runs in folder: what no manifest commits goes; what one does is an error, or goes too."""
+    system, root = opened(folder)
+    found = own_files(system, root)
+    if any(f.base_name == MANIFEST for f in found) and not replace:
+        raise FileExistsError(f"{folder} holds archives that {MANIFEST} commits; replace them, or write elsewhere")
+    for f in sorted(found, key=lambda f: f.base_name != MANIFEST):  # the manifest first: what is half gone isn't committed
+        (system.delete_dir if f.type == fs.FileType.Directory else system.delete_file)(f.path)
+
+
+def commit_manifest(files: DataFrame, folder: str) -> None:
+    """Writes the manifest of files (file, records, bytes, sha256): parts by ranges of shards, one JSON line a file in the
+    order of names, then MANIFEST, which names the parts with their sizes and hashes and commits them all.
+
+    The same files give the same bytes, whoever wrote them when.
+    """
+    shard = F.regexp_extract("file", r"part-(\d+)-", 1).cast("int")
+
+    def written(table: pa.Table) -> pa.Table:
+        system, root = opened(folder)
+        rows = sorted(table.select(["file", "records", "bytes", "sha256"]).to_pylist(), key=lambda r: r["file"])
+        data = "".join(json.dumps(r) + "\n" for r in rows).encode()
+        name, temp = f"_MANIFEST-{table.column('part')[0].as_py():06d}.jsonl", f"_temporary-manifest-{uuid.uuid4().hex}"
+        with system.open_output_stream(f"{root}/{temp}") as f:
+            f.write(data)
+        system.move(f"{root}/{temp}", f"{root}/{name}")  # attempts write the same, so the last one may win
+        sums = [len(rows), sum(r["records"] for r in rows), sum(r["bytes"] for r in rows)]
+        return pa.table({"part": [name], "files": [sums[0]], "records": [sums[1]], "bytes": [sums[2]], "sha256": [hashlib.sha256(data).hexdigest()]})
+
+    parts = files.withColumn("part", F.floor(shard / SHARDS_A_PART).cast("int")).groupBy("part").applyInArrow(written, "part string, files long, records long, bytes long, sha256 string")
+    told = sorted((r.asDict() for r in parts.collect()), key=lambda r: r["part"])  # a row for some thousand files
+    totals = {k: sum(r[k] for r in told) for k in ("files", "records", "bytes")}
+    system, root = opened(folder)
+    temp = f"{root}/_temporary-manifest-{uuid.uuid4().hex}"
+    system.create_dir(root, recursive=True)
+    with system.open_output_stream(temp) as f:
+        f.write(json.dumps({**totals, "parts": told}).encode())
+    system.move(temp, f"{root}/{MANIFEST}")
+
+
+def manifest_files(spark: SparkSession, folder: str) -> DataFrame:
+    """file, records, bytes and sha256 of the archives that are committed in folder; none, if no run has ended there.
+
+    A part that isn't what the manifest says fails the job.
+    """
+    kinds = "file string, records long, bytes long, sha256 string"
+    system, root = opened(folder)
+    if system.get_file_info(f"{root}/{MANIFEST}").type == fs.FileType.NotFound:
+        return spark.createDataFrame([], kinds)
+    with system.open_input_stream(f"{root}/{MANIFEST}") as f:
+        parts = json.loads(f.read())["parts"]
+
+    def read(batches):
+        system, root = opened(folder)
+        for batch in batches:
+            for part in batch.to_pylist():
+                with system.open_input_stream(f"{root}/{part['part']}") as f:
+                    data = f.read()
+                if hashlib.sha256(data).hexdigest() != part["sha256"]:
+                    raise ValueError(f"{part['part']} isn't the part that {MANIFEST} of {folder} names")
+                yield pa.RecordBatch.from_pylist([json.loads(x) for x in data.splitlines()])
+
+    if not parts:
+        return spark.createDataFrame([], kinds)
+    return spark.createDataFrame([(p["part"], p["sha256"]) for p in parts], "part string, sha256 string").repartition(len(parts)).mapInArrow(read, kinds)
+
+
+def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: datetime = DATE, roll_bytes: int = ROLL_BYTES, replace: bool = False, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
     """Writes a WARC record of each row into folder; returns the manifest: file, records, bytes, sha256.
 
     Shards are ranges of the id with about equal bytes, an id with very many rows splitting by payload, so they
     depend on the rows alone; a task writes one shard, sorted by id and payload, one gzip member a record, with
     regenerated headers and digests; a file is rolled after roll_bytes compressed bytes. Tasks write under
-    temporary names that no other attempt shares; the manifest of the attempts that count is stored, the files
-    in it are renamed, and _MANIFEST.json, written last, commits them. What lost attempts left is removed.
+    temporary names that no other attempt shares; the list of the attempts that count is stored, the files in it
+    are renamed, and the manifest that names each file with its records, bytes and hash, written last, commits them
+    (commit_manifest, read by manifest_files). What lost attempts left is removed, and so is, before, what a run that
+    died left in folder; archives that a manifest commits there are an error unless replace says that they go.
 
     Of equal payloads (by SHA-256) of least_bytes or more the row with the least id is a response, the others
     revisit it; only lengths and digests of those are shuffled. Null payloads are empty; a null id comes first
@@ -131,6 +210,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: da
     """
     spark = pages.sparkSession
     small_batches(spark)
+    made_ready(folder, replace)
     body, id_ = F.coalesce(F.col(body_col).cast("string"), F.lit("")), F.col(id_col).cast("long")
     own = pages.select(id_.alias("id"), F.col(url_col).cast("string").alias("url"), body.alias("body"))
     own = own.withColumns({"print": F.unhex(F.sha2("body", 256)), "length": F.octet_length("body").cast("long")})
@@ -218,10 +298,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: da
     system.create_dir(root, recursive=True)
     if system.get_file_info(f"{root}/_temporary-{names}").type != fs.FileType.NotFound:
         system.delete_dir(f"{root}/_temporary-{names}")
-    totals = files.agg(F.count("*").alias("files"), F.sum("records").alias("records"), F.sum("bytes").alias("bytes")).first()
-    with system.open_output_stream(f"{root}/_MANIFEST.tmp") as f:
-        f.write(json.dumps({"files": totals["files"], "records": totals["records"] or 0, "bytes": totals["bytes"] or 0, "run": names}).encode())
-    system.move(f"{root}/_MANIFEST.tmp", f"{root}/_MANIFEST.json")
+    commit_manifest(files, folder)
     return files
 
 
