@@ -879,3 +879,22 @@ def test_language_id(spark, docs, rows, empty):
     assert {r.lang_pred for r in langid.languages(df, none).collect()} == {"und"}
     assert langid.languages(empty, models).collect() == []
     assert len(langid.languages(docs, models).collect()) == len(rows)
+
+
+def test_a_text_of_very_many_rows_goes_on_once(spark, monkeypatch):
+    from tidemark.llm import minhash
+    from tidemark.llm.minhash import Shingles, near_groups, one_text_each
+
+    rows = [(1, 10, "hot " * 50)] * 3000 + [(k, k + 1, f"t{k}") for k in range(2, 500)]
+    keyed = spark.createDataFrame(rows, "_id long, _t long, text string").repartition(6)
+    wanted = spark.createDataFrame([(i, i, t) for i, t, _ in set(rows)], "rep long, _id long, _t long")
+    for small in (10**6, 0):
+        monkeypatch.setattr(minhash, "SMALL_SIDE", small)
+        out = one_text_each(keyed, wanted, keyed.select("_id", "_t"))
+        assert {(r.rep, r.text) for r in out.distinct().collect()} == {(i, x) for i, _, x in rows}
+    assert out.where("rep = 1").count() == 1  # though its rows would have met in one task
+    monkeypatch.setattr(minhash, "LEAST_HOT", 5)
+    said = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(None, said)] * 40 + [(7, said + " more")] + [(k, f"w{k} " * 12) for k in range(20, 40)], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_groups(docs, Shingles(4)).collect()}
+    assert found[None] == 7 and found[7] == 7 and found[20] == 20

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SMALL_SIDE, Words, give_back, join_counted, mix64, runs_of_words, small_batches, spans_of_bytes, stored, text_buffer
+from .common import LEAST_HOT, MOST_HOT, SMALL_SIDE, Words, give_back, join_counted, mix64, runs_of_words, small_batches, spans_of_bytes, stored, text_buffer
 
 #: Bands and rows: two sets of similarity 0.8 share no band with a chance of (1 - 0.8**5)**32, 3 in a million.
 BANDS, ROWS = 32, 5
@@ -218,6 +218,21 @@ def links_across(members: DataFrame, groups: DataFrame, sets: DataFrame, shingle
     return met.groupBy("bin").applyInArrow(compared, "a long, b long").distinct()
 
 
+def one_text_each(keyed: DataFrame, wanted: DataFrame, keys: DataFrame) -> DataFrame:
+    """rep and text of rows (_id, _t, text) that are wanted (rep, _id, _t), at least one of each; keys: all (_id, _t).
+
+    A wanted side of at most SMALL_SIDE rows is broadcast. With more, rows are shuffled by key, but of a key that very
+    many rows have each task passes one text on.
+    """
+    on = ["_id", "_t"]
+    if wanted.count() <= SMALL_SIDE:
+        return keyed.join(F.broadcast(wanted), on).select("rep", "text")
+    counts = stored(keys.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > LEAST_HOT), "repeated")
+    hot = F.broadcast(counts.where(F.col("_n") > max(keys.count() // MOST_HOT, LEAST_HOT)).select(*on))  # MOST_HOT at most
+    one = keyed.join(hot, on, "left_semi").groupBy(*on).agg(F.first("text").alias("text"))
+    return keyed.join(hot, on, "left_anti").unionByName(one.select(*keyed.columns)).join(wanted, on).select("rep", "text")
+
+
 def near_rows(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
     """row, id, n (set size), component (a number of the group, null without a set), component_id of each row.
 
@@ -241,7 +256,8 @@ def near_rows(docs: DataFrame, shingles: Shingles, id_col: str, text_col: str, r
     pair = (F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
     tried = join_counted(members.drop("m"), leaders, "key", "m").select("rep", F.explode(F.array("first", "hub")).alias("other")).where("rep <> other").select(*pair).distinct()
     wanted = reps.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", F.coalesce("id", "t").alias("_id"), F.col("t").alias("_t"))
-    texts = own.select(F.coalesce("id", "t").alias("_id"), F.col("t").alias("_t"), "text").join(wanted, ["_id", "_t"]).dropDuplicates(["rep"])
+    keyed = own.select(F.coalesce("id", "t").alias("_id"), F.col("t").alias("_t"), "text")
+    texts = one_text_each(keyed, stored(wanted, "wanted"), rows.select(F.coalesce("id", "t").alias("_id"), F.col("t").alias("_t"))).dropDuplicates(["rep"])
     sets = stored(full_sets(texts, shingles, "rep", "text"), "full-sets")
     links = stored(verified(tried, sets, shingles), "links")
     groups = stored(components(links), "components")
