@@ -8,9 +8,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import ChunkCache, give_back, small_batches, stored
+from ..scratch import small
+from .common import SMALL_SIDE, ChunkCache, give_back, small_batches, stored
 
 #: Documents that one task ranks within their sizes.
 ROWS_PER_TASK = 50_000
@@ -182,33 +183,30 @@ def ranked(items: DataFrame, rows_per_task: int) -> DataFrame:
 def best_fit(items: DataFrame, capacity: int = 1024, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Places items (key long, unique; length long, 1 to capacity) in sequences: key, sequence_id, offset.
 
-    Items of one size are alike, so plan() sweeps counts per size, over all items at once at every number of
-    them; the driver holds these counts by range, and rows of the plan: some for each size and round, however
-    many items. Items then look up their rank within their size. sequence_id is the key of the sequence's first
-    item.
+    Items are sorted into ranges of size and ranked there. Those of one size are alike, and so are equal gaps, so a
+    sweep is over counts: plan() matches the items of all sizes at once, at every number of them, and the driver
+    holds a count a size (capacity at most) and the rows of the plan, some for each size and round. Items then
+    look up their rank within their size. sequence_id is the key of the sequence's first item.
     """
     items = ranked(items.select(F.col("key").cast("long").alias("key"), F.col("length").cast("long").alias("size")), rows_per_task)
-    parts = np.array([tuple(r) for r in items.groupBy("part", "size").count().orderBy("size", "part").collect()], np.int64).reshape(-1, 3)
-    part, size, n = parts.T
-    before = np.cumsum(n) - n
-    before -= before[np.searchsorted(size, size)]  # items of this size in earlier parts
-    sizes, at = np.unique(size, return_index=True)
-    totals = dict(zip(sizes.tolist(), np.add.reduceat(n, at).tolist() if len(at) else [], strict=True))
+    parts = stored(items.groupBy("part", "size").agg(F.count("*").alias("n")), "packing-parts")
+    earlier = Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = parts.withColumn("ahead", F.coalesce(F.sum("n").over(earlier), F.lit(0)).cast("long")).drop("n")
+    totals = {r["size"]: r["n"] for r in parts.groupBy("size").agg(F.sum("n").alias("n")).collect()}  # capacity at most
     rows = plan(totals, capacity)
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    order = np.lexsort((size, part))
-    shared = items.sparkSession.sparkContext.broadcast((part[order] * (capacity + 1) + size[order], before[order], rows))
+    shared = items.sparkSession.sparkContext.broadcast(rows[np.lexsort((rows[:, 1], rows[:, 0]))])
 
     def found(batches):
-        codes, ahead, rows = shared.value
+        rows = shared.value
         heads = (rows[:, 0] << 44) + rows[:, 1]
         for batch in batches:
-            key, size, part, rank = (batch.column(c).to_numpy() for c in ("key", "size", "part", "rank"))
-            rank = rank + ahead[np.searchsorted(codes, part * (capacity + 1) + size)]
+            key, size, rank, ahead = (batch.column(c).to_numpy() for c in ("key", "size", "rank", "ahead"))
+            rank = rank + ahead
             row = rows[np.searchsorted(heads, (size << 44) + rank, "right") - 1]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in (key, row[:, 3] + rank - row[:, 1], row[:, 4])], ["key", "sequence", "offset"])
 
-    spots = items.mapInArrow(found, "key long, sequence long, offset long")
+    placed = items.join(small(ahead, SMALL_SIDE), ["part", "size"]).select("key", "size", "rank", "ahead")
+    spots = placed.mapInArrow(found, "key long, sequence long, offset long")
     firsts = spots.where("offset = 0").select("sequence", F.col("key").alias("sequence_id"))
     return spots.join(firsts, "sequence").select("key", "sequence_id", "offset")
 
