@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import os
 import tempfile
+import zlib
 
 import numpy as np
 import pytest
@@ -186,6 +187,30 @@ def test_pipeline_stage_by_stage(spark, corpus):
     assert packed.select("doc_id").distinct().count() == safe.select("doc_id").distinct().count()
 
 
+def test_pipeline_runs_as_its_stages_do(spark, data):
+    """run() over documents is each stage over what the one before it wrote, and packs what the last text is."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as P
+    from tidemark.llm.common import stored
+    from tidemark.llm.queries import tokenizer_file
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    for name, stage in P.STAGES[:-1]:
+        docs = stored(stage(spark, docs, data), f"by-hand-{name.split(' ')[0]}")
+    tokenizer = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    want = {}
+    for r in docs.collect():
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 2]
+        head = len(ids) % 1024
+        bounds = [0, *([head] if head else []), *range(head + 1024, len(ids) + 1, 1024)]
+        want |= {(r.doc_id, k): (a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))}
+    out = P.run(spark, data).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in out} == want and len(out) == len(want)
+    total = sum(r.length for r in out)
+    assert -(-total // 1024) <= len({r.sequence_id for r in out}) <= -(-total // 1024) + 2
+
+
 def test_archives_are_read_by_their_manifest_alone(spark, pages, monkeypatch):
     from tidemark import scratch
     from tidemark.llm import warc
