@@ -498,3 +498,21 @@ def test_intervals_of_trees_in_any_ranges(spark, parts):
         assert (told[c].profundidade, told[c].pai, told[c].n_descendentes) == (len({plain[x] for x in over}), nearest, len(under)), c
         assert told[c].fim == max(told[x].ordem for x in [*twins, *under])
         assert told[c].n_filhos == sum(told[x].pai == c for x in codes)
+
+
+def test_files_too_large_to_hold_are_hashed_as_streams(spark):
+    import hashlib
+
+    base = shared_path(spark, "big")
+    written(f"{base}/small.txt", "a,b\n")
+    written(f"{base}/large.txt", "xyz\n" * 500_000)
+    told = {os.path.basename(r.path): (r.tamanho_bytes, r.hash_sha256) for r in scans.file_metrics(spark, f"{base}/*.txt", whole=1000).collect()}
+    want = {n: open(f"{base}/{n}", "rb").read() for n in ("small.txt", "large.txt")}
+    assert told == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in want.items()}
+
+
+def test_rows_know_their_files_name(spark):
+    base = shared_path(spark, "named")
+    spark.range(3).coalesce(1).write.parquet(base)
+    (name,) = [f for f in os.listdir(base) if f.endswith(".parquet")]
+    assert rows(scans.with_file_name(spark.read.parquet(base))) == [(k, name) for k in range(3)]

@@ -194,10 +194,30 @@ def explode_payload(df: DataFrame, payload_col: str, item: T.StructType | str, l
     return out if fetched_at is None else out.withColumn("api_consultada_em", F.lit(fetched_at))
 
 
-def file_metrics(spark: SparkSession, path: str, rows: DataFrame | None = None) -> DataFrame:
+def streamed_hash(spark: SparkSession, path: str) -> str:
+    """SHA-256 of a file of any size, read as a stream by the JVM: no more than a buffer of it is held."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
+def file_metrics(spark: SparkSession, path: str, rows: DataFrame | None = None, whole: int = 1 << 28) -> DataFrame:
     """path, tamanho_bytes and hash_sha256 (SHA-256) of each file; of those that rows was scanned from (files that
-    give no row aside, which have 0) num_linhas and num_colunas too."""
-    told = spark.read.format("binaryFile").load(path).select("path", F.length("content").cast("long").alias("tamanho_bytes"), F.sha2("content", 256).alias("hash_sha256"))
+    give no row aside, which have 0) num_linhas and num_colunas too.
+
+    Tasks hold files of at most `whole` bytes whole, dealt by their sizes. Larger ones, of which a task could hold no two
+    and Spark none over 2 GB, are read as streams, READERS at once, by the driver's JVM.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    told = files.where(F.col("length") <= whole).select("path", F.col("length").alias("tamanho_bytes"), F.sha2("content", 256).alias("hash_sha256"))
+    large = files.where(F.col("length") > whole).select("path", "length").collect()
+    if large:
+        with ThreadPoolExecutor(READERS) as pool:
+            hashes = list(pool.map(lambda r: streamed_hash(spark, r["path"]), large))
+        told = told.unionByName(spark.createDataFrame([(r["path"], r["length"], h) for r, h in zip(large, hashes, strict=True)], told.schema))
     if rows is None:
         return told
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  both spellings of local files
