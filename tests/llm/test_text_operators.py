@@ -914,3 +914,19 @@ def test_a_text_of_very_many_rows_goes_on_once(spark, monkeypatch):
     docs = spark.createDataFrame([(None, said)] * 40 + [(7, said + " more")] + [(k, f"w{k} " * 12) for k in range(20, 40)], "doc_id long, text string")
     found = {r.doc_id: r.component_id for r in near_groups(docs, Shingles(4)).collect()}
     assert found[None] == 7 and found[7] == 7 and found[20] == 20
+
+
+def test_a_kept_model_scores_documents_it_has_not_learnt_from(spark, docs, rows, empty):
+    from tidemark.llm.ngrams import fitted, score_with
+
+    out, model = fitted(docs)
+    want = sorted(map(repr, out.collect()))
+    assert model.size() > 0 and model.n > 0
+    for most in (1 << 30, 0):  # broadcast, and by shard
+        assert sorted(map(repr, score_with(model, docs, most_bytes=most).collect())) == want
+    other = spark.createDataFrame([(1, "alpha Beta gamma never-seen words\u00e9"), (2, None), (2, rows[2][1])], "doc_id long, text string")
+    here, there = (sorted(map(repr, score_with(model, other, most_bytes=most).collect())) for most in (1 << 30, 0))
+    assert here == there and len(here) == 3
+    told = {r.doc_id: r for r in score_with(model, other.limit(1)).collect()}[1]
+    assert told.n_tokens == 6 and told.n_known == 4 and told.train_tokens == model.n
+    assert score_with(model, empty).collect() == [] and score_with(model, empty, most_bytes=0).collect() == []

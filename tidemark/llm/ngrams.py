@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -20,6 +23,8 @@ STEPS = 4
 ORDER, PRIOR = 3, 4.0
 #: The end of a document, a token like words; no word hashes to it but by a 64-bit chance.
 END = np.uint64(0x1F83D9ABFB41BD6B)
+#: Bytes of a model that score_with() broadcasts at most.
+MOST_BROADCAST = 64 << 20
 #: Documents are trained on unless crc32 of their id's digits leaves this rest.
 FOLDS, HELD_OUT = 7, 2
 
@@ -135,6 +140,13 @@ class LogFilter:
                 set_bits[at] = True
         self.data = np.packbits(set_bits, bitorder="little")
 
+    @classmethod
+    def of(cls, data: bytes, bits: int) -> LogFilter:
+        """A filter as it was kept."""
+        out = cls.__new__(cls)
+        out.bits, out.data = bits, np.frombuffer(data, np.uint8)
+        return out
+
     def places(self, keys: np.ndarray, level: int) -> list[np.ndarray]:
         g = mix64(keys + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64))
         low, high = g & np.uint64(0xFFFFFFFF), (g >> np.uint64(32)) | np.uint64(1)
@@ -154,8 +166,110 @@ class LogFilter:
         return level
 
 
+@dataclass
+class Segment:
+    """What a shard has learnt: its part of the filter, and its tokens with their exact counts."""
+
+    lf: LogFilter
+    tokens: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, row: dict | None) -> Segment:
+        """A segment as it was kept; of a shard that has learnt nothing, without a row, one that knows nothing."""
+        if row is None:
+            return cls(LogFilter(np.zeros(0, np.uint64), np.zeros(0, np.int64)), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return cls(LogFilter.of(row["bits"], row["n_bits"]), np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["counts"], "<u8").astype(np.int64))
+
+    def answer(self, keys: np.ndarray, grams: list[np.ndarray]) -> bytes:
+        """The exact counts of tokens, then the levels that probes find for them and for n-grams (32 bits each, by order)."""
+        at = np.minimum(np.searchsorted(self.tokens, keys), max(len(self.tokens) - 1, 0))
+        exact = np.where(self.tokens[at] == keys, self.counts[at], 0) if len(self.tokens) else np.zeros(len(keys), np.int64)
+        asked = [keys, *(gram_keys(g, k) for k, g in enumerate(grams))]
+        return exact.astype("<u8").tobytes() + b"".join(self.lf.level(q).astype(np.uint8).tobytes() for q in asked)
+
+
+@dataclass
+class Model:
+    """A language model: segments of the filter (written, one row a shard), how many shards, tokens and kinds of them."""
+
+    segments: DataFrame
+    shards: int
+    n: int
+    v: int
+
+    def size(self) -> int:
+        return self.segments.agg(F.sum(F.octet_length("bits") + F.octet_length("tokens") + F.octet_length("counts"))).first()[0] or 0
+
+
+SEGMENT = "struct<bits:binary,n_bits:bigint,tokens:binary,counts:binary>"
+_arrow_segment = pa.struct([("bits", pa.binary()), ("n_bits", pa.int64()), ("tokens", pa.binary()), ("counts", pa.binary())])
+
+
+def gram_keys(low: np.ndarray, k: int) -> np.ndarray:
+    """What the filter knows an n-gram of the k-th longer order by, from the 32 bits that it has within its shard."""
+    return mix64(low.astype(np.uint64) + np.uint64((k + 1) << 32))
+
+
+def distinct(t: Tokens, shards: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each order: the distinct tokens (or n-grams, as cells) in order, which one each token of the block ends, and
+    where those of each shard begin (one more than shards)."""
+    out = []
+    for k, keys in enumerate((t.token, *(cells(g, shards) for g in t.grams))):
+        order, cut = by_key(keys)
+        which = np.empty(len(order), np.int64)
+        which[order] = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+        mine = keys[order[cut[:-1]]]
+        owner = (mine >> np.uint64(32)).astype(np.int64) if k else shard_of(mine, shards)
+        out.append((mine, which, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=shards))])))
+    return out
+
+
+def scored(blocks: DataFrame, replies: DataFrame | None, shards: int, n: int, v: int, id_field, told_here: Callable[[list], dict[int, bytes]] | None = None) -> DataFrame:
+    """The scores of blocks' documents from what shards told of their tokens and n-grams (or told_here finds out)."""
+    id_type = to_arrow_type(id_field.dataType)
+
+    def made(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                t = Tokens(B.opened(batch.column("data")[k]), "id", "text")
+                orders = distinct(t, shards)
+                told = B.earlier(batch.column("answer0")[k]) if told_here is None else told_here(orders)
+                sizes = [np.diff(begin).tolist() for _, _, begin in orders]
+                exact, rough = [], [[] for _ in orders]
+                for i in sorted(told):
+                    at = 8 * sizes[0][i]
+                    exact.append(told[i][:at])
+                    for parts, size in zip(rough, sizes, strict=True):
+                        parts.append(told[i][at : at + size[i]])
+                        at += size[i]
+                known = np.frombuffer(b"".join(exact), "<u8").astype(np.float64)[orders[0][1]]
+                counts = [middle(np.frombuffer(b"".join(r), np.uint8))[which] for r, (_, which, _) in zip(rough, orders, strict=True)]
+                base = np.log10((known + 1) / (n + 1 * (v + 1)))
+                p = (counts[0] + 1) / (n + v + 1)
+                starts = counts[0][t.first[1:] - 1].max(initial=0.0)  # documents: as often as ends
+                for lower, own in zip(counts, counts[1:], strict=False):
+                    context = t.before(lower, starts)
+                    p = (np.minimum(own, context) + PRIOR * p) / (context + PRIOR)
+                first = t.first[:-1]
+                sums = [np.add.reduceat(x, first) if len(first) else np.zeros(0) for x in (known > 0, base, np.log10(p))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(t.ids, id_type), pa.array(t.held), pa.array(np.diff(t.first)), pa.array(sums[0].astype(np.int64)), pa.array(np.full(len(first), n, np.int64)), pa.array(sums[1]), pa.array(sums[2])],
+                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
+
+    rows = blocks if replies is None else B.joined(blocks, (replies,))
+    return rows.mapInArrow(made, f"id {id_field.dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Language-model scores of whole texts: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """The scores of fitted(), without a model that stays."""
+    return fitted(docs, id_col, text_col, keep=False)[0]
+
+
+def fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = True) -> tuple[DataFrame, Model]:
+    """Language-model scores of whole texts (id_col, held_out, n_tokens, n_known, train_tokens, base_score, score), and
+    the model, which score_with() takes for other documents; its segments are written only to keep it.
 
     Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z lowered and one end for each document; a null or empty text
     is an end alone. What is learnt comes from the documents that held_out() leaves. base_score: add-one
@@ -197,13 +311,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         events, sums, asked, cuts = [known], [total], [keys], [ends]
         for k in orders:
             parts = [unpacked(p) for p in table.column(f"grams{k}").to_pylist()]
-            asked.append(mix64(np.concatenate(parts) + np.uint64((k + 1) << 32)))
+            asked.append(gram_keys(np.concatenate(parts), k))
             cuts.append(np.cumsum([0] + [len(p) for p in parts]))
             grams, n = counted(asked[-1], column(f"counts{k}", "<u4")[0].astype(np.int64))
             events.append(grams)
             sums.append(n)
         seen = [n > 0 for n in sums]
         lf = LogFilter(np.concatenate([e[s] for e, s in zip(events, seen, strict=True)]), np.concatenate([n[s] for n, s in zip(sums, seen, strict=True)]))
+        segment = {"bits": lf.data.tobytes(), "n_bits": lf.bits, "tokens": known[seen[0]].tobytes(), "counts": total[seen[0]].astype("<u8").tobytes()} if keep else None
         told = total[np.searchsorted(known, keys)].astype("<u8")
         rough = [lf.level(e).astype(np.uint8)[np.searchsorted(e, q)] for e, q in zip(events, asked, strict=True)]
         n = table.num_rows
@@ -214,49 +329,57 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             "reply": pa.array([*replies, None], pa.binary()),
             "tokens": pa.array([0] * n + [int(total.sum())], pa.int64()),
             "types": pa.array([0] * n + [int(seen[0].sum())], pa.int64()),
+            "segment": pa.array([None] * n + [segment], _arrow_segment),
         })
 
     asked = B.asked(blocks, ask, "keys binary, counts binary, " + ", ".join(f"grams{k} binary, counts{k} binary" for k in orders))
-    replies = stored(asked.groupBy("shard").applyInArrow(reply, "shard int, block long, reply binary, tokens long, types long"), "ngram-counts")
+    replies = stored(asked.groupBy("shard").applyInArrow(reply, f"shard int, block long, reply binary, tokens long, types long, segment {SEGMENT}"), "ngram-counts")
     sums = replies.agg(F.sum("tokens"), F.sum("types")).first()
     n, v = sums[0] or 0, sums[1] or 0
 
-    def scored(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                t = Tokens(B.opened(batch.column("data")[k]), "id", "text")
-                told = B.earlier(batch.column("answer0")[k])
-                places, sizes = [], []  # of each order: which distinct n-gram each token ends, and how many a shard told of
-                for keys in (t.token, *(cells(g, shards) for g in t.grams)):
-                    order, cut = by_key(keys)
-                    which = np.empty(len(order), np.int64)
-                    which[order] = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
-                    places.append(which)
-                    mine = keys[order[cut[:-1]]]
-                    sizes.append(np.bincount(shard_of(mine, shards) if not sizes else (mine >> np.uint64(32)).astype(np.int64), minlength=shards).tolist())
-                exact, rough = [], [[] for _ in places]
-                for i in sorted(told):
-                    at = 8 * sizes[0][i]
-                    exact.append(told[i][:at])
-                    for parts, size in zip(rough, sizes, strict=True):
-                        parts.append(told[i][at : at + size[i]])
-                        at += size[i]
-                known = np.frombuffer(b"".join(exact), "<u8").astype(np.float64)[places[0]]
-                counts = [middle(np.frombuffer(b"".join(r), np.uint8))[w] for r, w in zip(rough, places, strict=True)]
-                base = np.log10((known + 1) / (n + 1 * (v + 1)))
-                p = (counts[0] + 1) / (n + v + 1)
-                starts = counts[0][t.first[1:] - 1].max(initial=0.0)  # documents: as often as ends
-                for lower, own in zip(counts, counts[1:], strict=False):
-                    context = t.before(lower, starts)
-                    p = (np.minimum(own, context) + PRIOR * p) / (context + PRIOR)
-                first = t.first[:-1]
-                sums = [np.add.reduceat(x, first) if len(first) else np.zeros(0) for x in (known > 0, base, np.log10(p))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(t.ids, id_type), pa.array(t.held), pa.array(np.diff(t.first)), pa.array(sums[0].astype(np.int64)), pa.array(np.full(len(first), n, np.int64)), pa.array(sums[1]), pa.array(sums[2])],
-                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+    out = scored(blocks, replies.where("block is not null").select("shard", "block", "reply"), shards, n, v, docs.schema[id_col])
+    model = Model(replies.where("segment is not null").select("shard", "segment.*"), shards, n, v)
+    return out.withColumnRenamed("id", id_col), model
 
-    id_field = docs.schema[id_col]
-    id_type = to_arrow_type(id_field.dataType)
-    out = B.joined(blocks, (replies.where("block is not null").select("shard", "block", "reply"),)).mapInArrow(scored, f"id {id_field.dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return out.withColumnRenamed("id", id_col)
+
+def score_with(model: Model, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = MOST_BROADCAST) -> DataFrame:
+    """The scores, as fitted() tells them, of documents that the model need not have learnt from.
+
+    A model of at most most_bytes is broadcast and each block probes it in place. A larger one stays where it is: blocks
+    ask its shards, a job that reads each segment once and probes it for all of them.
+    """
+    spark, shards = docs.sparkSession, model.shards
+    blocks = B.packed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text")
+    if model.size() <= most_bytes:
+        sent = spark.sparkContext.broadcast({r["shard"]: r.asDict() for r in model.segments.collect()})
+        opened: dict[int, Segment] = {}
+
+        def told_here(orders: list) -> dict[int, bytes]:
+            out = {}
+            for s in range(shards):
+                keys, *grams = (mine[begin[s] : begin[s + 1]] for mine, _, begin in orders)
+                if s not in opened:
+                    opened[s] = Segment.of(sent.value.get(s))
+                if len(keys) or any(map(len, grams)):
+                    out[s] = opened[s].answer(keys, [g & np.uint64(0xFFFFFFFF) for g in grams])
+            return out
+
+        return scored(blocks, None, shards, model.n, model.v, docs.schema[id_col], told_here).withColumnRenamed("id", id_col)
+
+    def ask(rows: pa.Table, _):
+        orders = distinct(Tokens(rows, "id", "text"), shards)
+        for s in range(shards):
+            keys, *grams = (mine[begin[s] : begin[s + 1]] for mine, _, begin in orders)
+            if len(keys) or any(map(len, grams)):
+                yield s, keys.tobytes(), *(packed(g) for g in grams)
+
+    def reply(questions: pa.Table, kept: pa.Table) -> pa.Table:
+        segment = Segment.of(kept.to_pylist()[0] if kept.num_rows else None)
+        replies = []
+        for q in questions.to_pylist():
+            replies.append(segment.answer(np.frombuffer(q["keys"], np.uint64), [unpacked(q[f"grams{k}"]) for k in range(ORDER - 1)]))
+        return pa.table({"shard": questions.column("shard"), "block": questions.column("block"), "reply": pa.array(replies, pa.binary())})
+
+    asked = B.asked(blocks, ask, "keys binary, " + ", ".join(f"grams{k} binary" for k in range(ORDER - 1)))
+    replies = asked.groupBy("shard").cogroup(model.segments.groupBy("shard")).applyInArrow(reply, "shard int, block long, reply binary")
+    return scored(blocks, stored(replies, "ngram-replies"), shards, model.n, model.v, docs.schema[id_col]).withColumnRenamed("id", id_col)
