@@ -516,3 +516,20 @@ def test_rows_know_their_files_name(spark):
     spark.range(3).coalesce(1).write.parquet(base)
     (name,) = [f for f in os.listdir(base) if f.endswith(".parquet")]
     assert rows(scans.with_file_name(spark.read.parquet(base))) == [(k, name) for k in range(3)]
+
+
+def test_commits_are_compacted_and_what_none_counts_goes(spark):
+    base = shared_path(spark, "vacuum")
+    df = spark.range(10).select("id", (F.col("id") % 3).alias("v"))
+    for k in range(4):
+        sinks.append_once(df.where(F.col("v") == k % 3), base, str(k))
+    want = rows(commits.committed(spark, base, df.schema))
+    df.write.parquet(f"{base}/data/append-of-a-run-that-died")
+    now = commits.compact(spark, base, df.schema)
+    assert len(now.folders) == 1 and now.number == 5 and rows(commits.committed(spark, base, df.schema)) == want
+    assert sinks.append_once(df, base, "2") == now  # runs from before are still known
+    assert commits.vacuum(spark, base, dry_run=False) == []  # written a moment ago
+    assert commits.unused(spark, base, keep=2, idle_hours=0) == ["data/append-of-a-run-that-died"]  # the commit before counts the others
+    assert len(commits.vacuum(spark, base, keep=1, idle_hours=0, dry_run=False)) == 5
+    assert rows(commits.committed(spark, base, df.schema)) == want and commits.unused(spark, base, keep=1, idle_hours=0) == []
+    assert commits.unused(spark, shared_path(spark, "nothing")) == []

@@ -691,6 +691,19 @@ def _(spark, d):
     return sinks.incremental_append(o, changed, ["o_orderstatus"], target, run="3")  # tried again, counted once
 
 
+@query("append_compacted", "SELECT o_orderkey, o_orderstatus FROM orders")
+def _(spark, d):
+    """A run a status, then one folder in place of theirs, and those gone."""
+    from ..sources import commits
+
+    base, o = shared_path(spark, "compact"), table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for status in [r[0] for r in o.select("o_orderstatus").distinct().orderBy("o_orderstatus").collect()]:
+        sinks.append_once(o.where(F.col("o_orderstatus") == status), base, status)
+    now = commits.compact(spark, base, o.schema)
+    commits.vacuum(spark, base, keep=1, idle_hours=0, dry_run=False)
+    return commits.committed(spark, base, o.schema, now)
+
+
 @query("full_refresh", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0")
 def _(spark, d):
     name, c = shared_table(spark, "refresh"), table(spark, d, "customer").select("c_custkey", "c_acctbal", "c_name")
