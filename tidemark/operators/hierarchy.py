@@ -94,21 +94,28 @@ def intervals(nodes: DataFrame, code: str = "codigo") -> DataFrame:
     """
     spark = nodes.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    plain = nodes.select(F.col(code).alias("code"), digits_only(F.col(code)).alias("digits")).where("code is not null")
+    plain = stored(nodes.select(F.col(code).alias("code"), digits_only(F.col(code)).alias("digits")).where("code is not null"), "codes")
     ranged = plain.repartitionByRange(n, "digits").sortWithinPartitions("digits", "code").select("code", "digits", F.spark_partition_id().alias("part"))
     arrow = to_arrow_schema(T.StructType.fromDDL(WALK))
     told = stored(ranged.mapInArrow(lambda batches: _walk(batches, arrow), WALK), "walk")
-    parts = told.groupBy("part").agg(F.count("*").alias("_n"), F.min("digits").alias("_first"))  # a row a range, so are its joins
-    offsets = parts.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_before"))
-    begin = parts.select("part", F.explode(F.when(F.length("_first") > 1, F.transform(F.sequence(F.lit(1), F.length("_first") - 1), lambda k: F.left("_first", k))).otherwise(F.array().cast("array<string>"))).alias("digits"))
-    open_ = stored(told.where("twin = 0").select("digits", "code").join(F.broadcast(begin), "digits").select("part", "digits", F.length("digits").alias("len"), "code"), "open")
-    above = open_.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("len", "code"))).alias("_above"))
+    parts = told.groupBy("part").agg(F.count("*").alias("n"), F.min("digits").alias("first")).orderBy("part").collect()  # a row a range
+    before, at = [], 0
+    for r in parts:
+        before.append((r["part"], at))
+        at += r["n"]
+    begin = spark.createDataFrame([(r["part"], r["first"][:k]) for r in parts for k in range(1, len(r["first"]))], "part int, digits string")
+    met = told.where("twin = 0").select("digits", "code").join(F.broadcast(begin), "digits").collect()  # ranges times depth at most
+    open_ = spark.createDataFrame([(r["part"], r["digits"], len(r["digits"]), r["code"]) for r in met], "part int, digits string, len int, code string")
+    over_ranges: dict[int, list] = {r["part"]: [] for r in parts}
+    for r in sorted(met, key=lambda r: len(r["digits"])):
+        over_ranges[r["part"]].append((len(r["digits"]), r["code"]))
+    offsets = spark.createDataFrame([(p, at, over_ranges[p]) for p, at in before], "part int, _before long, _above array<struct<len:int,code:string>>")
     over = F.coalesce(F.filter("_above", lambda x: x["len"] <= F.least(F.col("shared"), F.length("digits") - 1)), F.array().cast("array<struct<len:int,code:string>>"))
     roots = told.where("parent is null and twin = 0").groupBy("part", "shared", F.length("digits").alias("_len")).agg(F.sum("twins").alias("_kids"), F.sum(F.col("under") + F.col("twins")).alias("_under"))
     met = roots.join(F.broadcast(open_), "part").where(F.col("len") <= F.least(F.col("shared"), F.col("_len") - 1))
     closest = F.max("len").over(Window.partitionBy("part", "shared", "_len"))
     more = met.withColumn("_closest", closest).groupBy("digits").agg(F.sum("_under").alias("_more"), F.sum(F.when(F.col("len") == F.col("_closest"), F.col("_kids")).otherwise(0)).alias("_more_kids"))
-    j = told.join(F.broadcast(offsets), "part").join(F.broadcast(above), "part", "left").join(F.broadcast(more), "digits", "left").withColumn("_over", over)
+    j = told.join(F.broadcast(offsets), "part").join(F.broadcast(more), "digits", "left").withColumn("_over", over)
     number = F.col("place") + F.col("_before") + 1
     under = F.col("under") + F.coalesce("_more", F.lit(0))
     kids = F.when(F.col("twin") == 0, F.col("kids") + F.coalesce("_more_kids", F.lit(0))).otherwise(0)

@@ -299,12 +299,12 @@ def _(spark, d):
     return changes.period_calendar(spark, str(a), str(z)).join(days, "periodo", "left").select("granularidade", "periodo", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("closed_months", "SELECT strftime(g, '%Y-%m') AS periodo, count(ts) AS n FROM (SELECT date_trunc('month', min(ts)) AS a, date_trunc('month', max(ts)) AS z FROM events) b, generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP) - INTERVAL 1 MONTH, INTERVAL 1 MONTH) t(g) LEFT JOIN events ON date_trunc('month', ts) = g GROUP BY g")
+@query("closed_months", "SELECT strftime(g, '%Y-%m') AS periodo, count(o_orderkey) AS n FROM (SELECT date_trunc('month', min(o_orderdate)) AS a, date_trunc('month', max(o_orderdate)) AS z FROM orders) b, generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP) - INTERVAL 1 MONTH, INTERVAL 1 MONTH) t(g) LEFT JOIN orders ON date_trunc('month', o_orderdate) = g GROUP BY g")
 def _(spark, d):
     """Months that a drop is expected of, the one that still runs left out, and their rows."""
-    ev = table(spark, d, "events")
-    a, z = ev.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
-    months = ev.groupBy(F.date_format("ts", "yyyy-MM").alias("periodo")).agg(F.count("*").alias("n"))
+    o = table(spark, d, "orders")
+    a, z = o.agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    months = o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("periodo")).agg(F.count("*").alias("n"))
     return changes.period_calendar(spark, str(a), str(z), ("mensal",), last_open=True).join(months, "periodo", "left").select("periodo", F.coalesce("n", F.lit(0)).alias("n"))
 
 
