@@ -201,7 +201,8 @@ class Block:
         at = self.hot_at[self.hot_id > np.repeat(least, self.hot_n)]
         np.add.at(steps, at, 1)
         np.add.at(steps, at + MATCH, -1)
-        return np.cumsum(steps[:-1]) > 0
+        np.cumsum(steps, out=steps)
+        return steps[:-1] > 0
 
 
 class IndexFamily:
@@ -372,16 +373,17 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 b = block(B.opened(batch.column("data")[k]))
                 b.share(B.earlier(batch.column("answer0")[k]))
                 gone = b.removed(B.earlier(batch.column("answer1")[k]))
+                table, raw, offsets = b.rows, b.raw, b.offsets
+                del b
                 edge = gone.copy()
-                starts = b.offsets[:-1][np.diff(b.offsets) > 0]
+                starts = offsets[:-1][np.diff(offsets) > 0]
                 edge[1:] &= ~gone[:-1]
                 edge[starts] = gone[starts]
-                total, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, edge))
-                left = b.raw[~gone].tobytes()
-                at = b.offsets - total[b.offsets]
+                total, spans = (np.searchsorted(np.flatnonzero(x), offsets) for x in (gone, edge))  # before each offset
+                left = raw[~gone].tobytes()
+                at = offsets - total
                 kept = [left[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                extra = [np.diff(b.offsets), np.diff(total[b.offsets]), np.diff(spans[b.offsets])]
-                table = b.rows
+                extra = [np.diff(offsets), np.diff(total), np.diff(spans)]
                 if replace:
                     texts = [k.decode("utf-8", "ignore") if n else t for k, n, t in zip(kept, extra[1].tolist(), table.column(text_col).to_pylist(), strict=True)]
                     at = table.column_names.index(text_col)
@@ -389,7 +391,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 last = [] if replace else [("_kept", pa.array(kept, pa.binary()))]
                 for name, values in [*zip(("_n_bytes", "_n_removed", "_n_spans"), (pa.array(x.astype(np.int64)) for x in extra), strict=True), *last]:
                     table = table.append_column(name, values)
-                del b, gone, edge, total, spans, left, kept
+                del gone, edge, raw, left, kept
                 yield from table.to_batches()
                 give_back()
 
