@@ -46,7 +46,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
-    return pack(docs, tokenizer_file("byte_bpe_50k.json"))
+    return pack(docs, tokenizer_file("byte_bpe_50k.json"), chunks=100_000)  # workers go on to other stages and keep these
 
 
 STAGES = [
