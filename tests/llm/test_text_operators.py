@@ -458,22 +458,47 @@ def test_field_learns_and_finds_more_than_the_patterns(spark, docs, empty):
     assert named.columns.count("secrets") == 1 and named.count() == docs.count()
 
 
-def test_field_finds_a_kind_that_nothing_names(spark):
-    """Access keys, when only assignments and hex runs are labelled."""
+def test_field_finds_kinds_that_nothing_names(spark):
+    """Access keys and others, when only assignments and hex runs are labelled: 160 of 200 at least, nothing false."""
     from tidemark.llm import secrets
 
     rng = random.Random(4)
-    plain = ["the", "of", "report", "Summer", "said", "in", "nine", "mail2@example.com", "2024", "1,200"]
+    plain = ["the", "of", "report", "Summer", "said", "in", "nine", "mail2@example.com", "2024", "1,200", "2024-05-17", "4111111111111111", "555-0134", "https://example.com/news/2024/item17", "10.0.12.200", "version2", "well-known"]
     pick = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
-    mixed = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz0123456789"
+    capitals, mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz0123456789"
     some = lambda n: " ".join(rng.choices(plain, k=n))
     told = [(k, some(8) + (f" password: {pick(26, mixed)} " if k % 2 else f" commit {pick(40, '0123456789abcdef')} ") + some(6)) for k in range(300)] + [(1000 + k, some(20)) for k in range(300)]
     field = secrets.train_field(spark.createDataFrame(told, "doc_id long, text string"), kinds=("assign", "hex"))
-    raw, offsets = secrets.text_buffer(pa.array([f"{some(5)} AKIA{pick(16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789')} {some(5)}" for _ in range(200)]))
-    tokens = secrets.Tokens(raw, offsets)
-    found = field.decode(tokens.columns(), tokens.chain_start) > 0
-    keys = np.array([raw[a : a + 4].tobytes() == b"AKIA" for a in tokens.start])
-    assert found[keys].sum() >= 60 and not found[~keys].any()
+    kinds = {
+        "access": lambda: "AKIA" + pick(16, capitals),
+        "prefixed": lambda: "ghp_" + pick(36, mixed),
+        "dotted": lambda: f"eyJ{pick(30, mixed)}.{pick(60, mixed + '_-')}.{pick(43, mixed + '_-')}",
+        "padded": lambda: pick(43, mixed + "+/") + "=",
+    }
+    for name, made in kinds.items():
+        keys = [made() for _ in range(200)]
+        raw, offsets = secrets.text_buffer(pa.array([f"{some(5)} {key} {some(5)}" for key in keys]))
+        tokens = secrets.Tokens(raw, offsets)
+        found = field.decode(tokens.columns(), tokens.chain_start) > 0
+        true = np.isin([raw[a:b].tobytes().decode() for a, b in zip(tokens.start, tokens.end, strict=True)], keys)
+        assert true.sum() == 200 and found[true].sum() >= 160, (name, found[true].sum())
+        assert not found[~true].any(), name
+
+
+def test_planted_values_have_the_neighbours_of_their_place():
+    from tidemark.llm import secrets
+
+    text = "\n".join(["plain words of a line"] * 40 + ["password: Abc123Def456Ghi789"])
+    (columns, labels, starts), = secrets.excerpts([text], 10_000, 16)
+    starts = starts | (np.arange(len(starts)) % 10 == 0) & (labels == 0)
+    out, told, first = secrets.planted(columns, labels, starts)
+    at = np.flatnonzero(told == secrets.BEGIN)
+    assert len(out) == len(told) == len(first) and len(at) == (len(out) - len(at)) // secrets.PLANTED and not first[at].any()
+    value = columns[np.flatnonzero(labels)[-1]]
+    assert (out[at, 6] == value[6]).all() and (out[:, secrets.SPECIFIC] == secrets.BLANK).all() and (out[at, 3] != value[3]).all()
+    none = np.zeros(0, np.int64)
+    for a in (secrets.planted(columns, labels * 0, starts), secrets.planted(columns[:0], none, none.astype(bool))):
+        assert not (a[1] > 0).any() and len(a[0]) == len(a[1]) == len(a[2])
 
 
 def test_secrets_query_equals_the_patterns(spark, data):

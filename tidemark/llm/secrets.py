@@ -24,6 +24,12 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 BUCKETS = 4096
 OUT, BEGIN, INSIDE = 0, 1, 2
 NONE = BUCKETS  # the bucket of a neighbour that isn't there
+#: Bytes as digits 1, capitals 2, small letters 3, others 0; the pairs of these that count as a turn.
+CLASS = np.zeros(256, np.int8)
+CLASS[48:58], CLASS[65:91], CLASS[97:123] = 1, 2, 3
+TURN = np.zeros((4, 4), np.int32)
+AT_SIGN = (np.arange(256) == 64).astype(np.int32)
+TURN[1, 2:] = TURN[2:, 1] = TURN[3, 2] = 1
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -75,8 +81,14 @@ class Tokens(Words):
         only_hex = (digit + hexes == size) & (digit > 0)
         self.shape = ((((length * 3 + share) * 4 + cases) * 2 + only_hex) * 2 + (marks > 0)) * 2 + akia
         self.shape = (self.shape * 2 + (glue > marks)).astype(np.int64)
-        # what secrets of different kinds have in common: long, with digits, of one alphabet
-        self.coarse = ((np.searchsorted([8, 12, 16], size, "right") * 3 + share) * 2 + (digit + upper + lower == size)).astype(np.int64)
+        # what secrets of different kinds have in common: long, and changing between digits and letters, or to
+        # capitals, far more often than words, numbers, dates and addresses do
+        kind = CLASS[raw]
+        turns = np.zeros(len(raw) + 1, np.int32)
+        turns[2:] = np.cumsum(TURN[kind[:-1], kind[1:]])
+        turns = turns[self.end] - turns[self.start + 1]
+        often = np.where(turns == 0, 0, np.where(turns * 8 < size, 1, np.where((turns * 5 < size) | (turns < 4), 2, 3)))
+        self.coarse = ((np.searchsorted([8, 12, 16], size, "right") * 4 + often) * 2 + (inside(AT_SIGN) > 0)).astype(np.int64)
         # the word up to its first : or = names what is assigned
         pos = np.flatnonzero(mark[raw])
         cut = np.concatenate([pos, [len(raw)]])[np.searchsorted(pos, self.start)] if n else np.zeros(0, np.int64)
@@ -109,10 +121,12 @@ class Tokens(Words):
 
 SHAPES = 8 * 3 * 4 * 2 * 2 * 2 * 2
 OFFSETS = np.cumsum([0, SHAPES, BUCKETS + 1, BUCKETS + 1, SHAPES + 1, SHAPES + 1, 64])
-FEATURES = int(OFFSETS[-1] + 24) + 1
+FEATURES = int(OFFSETS[-1] + 32) + 1
 BLANK = FEATURES - 1  # a feature that says nothing: its weights stay 0
 #: Templates that training also sees blank: what is left has to do for secrets of unknown shapes and names.
 SPECIFIC = [0, 1, 2]
+#: Tokens of plain chains to one value that training plants among them.
+PLANTED = 50
 
 
 def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -135,7 +149,7 @@ class Field:
             out += self.w[columns[:, k]]
         return out
 
-    def fit(self, columns: np.ndarray, labels: np.ndarray, chain_start: np.ndarray, epochs: int = 30, rate: float = 0.3, decay: float = 1e-4) -> Field:
+    def fit(self, columns: np.ndarray, labels: np.ndarray, chain_start: np.ndarray, epochs: int = 30, rate: float = 1.0, decay: float = 1e-4) -> Field:
         """Maximum likelihood by full-batch AdaGrad; forward and backward run over all chains in step."""
         heads = np.flatnonzero(chain_start)
         sizes = np.diff(np.append(heads, len(labels)))
@@ -264,6 +278,31 @@ def excerpts(texts: list[str], line_chars: int, windows: int, kinds: tuple[str,
         yield tokens.columns()[kept].astype("<u2"), labels[kept], start
 
 
+def planted(columns: np.ndarray, labels: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The chains without secrets again, with the values of secrets (the last token of each) planted among them.
+
+    One to PLANTED tokens, at places drawn by a fixed seed, with the neighbours and the file they then have, and
+    SPECIFIC features blank. This says what the names before values hide: that a value alone is a secret
+    anywhere.
+    """
+    chain = np.cumsum(starts) - 1
+    rows = np.flatnonzero(np.bincount(chain, labels)[chain] == 0)
+    values = np.flatnonzero((labels > 0) & ~np.append((labels[1:] == INSIDE) & ~starts[1:], False))
+    n = len(rows) // PLANTED if len(values) else 0
+    after = np.sort(np.random.default_rng(3).integers(0, len(rows), n)) + 1 if n else np.zeros(0, np.int64)
+    put = np.insert(np.zeros(len(rows), bool), after, True)
+    out = columns[np.insert(rows, after, np.resize(values, n))].astype(np.int64)
+    first = np.insert(starts[rows], after, False)
+    at = np.flatnonzero(put)
+    out[at, 5] = out[at - 1, 5]
+    last = np.append(first[1:], True)[: len(out)]
+    out[1:, 3] = out[:-1, 0] + OFFSETS[3]
+    out[:-1, 4] = out[1:, 0] + OFFSETS[4]
+    out[first, 3], out[last, 4] = SHAPES + OFFSETS[3], SHAPES + OFFSETS[4]
+    out[:, SPECIFIC] = BLANK
+    return out, np.where(put, BEGIN, OUT), first
+
+
 def train_field(docs: DataFrame, sample: int = 1500, line_chars: int = 120, id_col: str = "doc_id", text_col: str = "text", windows: int = 16, kinds: tuple[str, ...] = KINDS) -> Field:
     """Fits the field on at most sample documents with a base pattern and as many without.
 
@@ -292,7 +331,8 @@ def train_field(docs: DataFrame, sample: int = 1500, line_chars: int = 120, id_c
     again = (np.bincount(chain, labels) > 0)[chain] | (chain % 4 == 0)  # chains with secrets, and a quarter of all
     blank = columns[again]
     blank[:, SPECIFIC] = BLANK
-    return Field().fit(np.concatenate([columns, blank]), np.concatenate([labels, labels[again]]), np.concatenate([starts, starts[again]]))
+    copies = (columns, labels, starts), (blank, labels[again], starts[again]), planted(columns, labels, starts)
+    return Field().fit(*(np.concatenate(x) for x in zip(*copies, strict=True)))
 
 
 def scan(texts: pa.Array, field: Field) -> list[list[tuple[int, int, int]]]:
