@@ -160,6 +160,17 @@ def test_rule_cutoffs_keep_the_risk(spark):
     assert cut["b", "symbols"] is None and cut["a", "repeats"] is None
 
 
+def test_labels_are_not_broadcast_however_small_their_files(spark):
+    from tidemark.llm.rules import holdout, risk_cutoffs
+
+    measured = spark.createDataFrame([(1, "a", 100, 500, 3, 0, 0), (2, "a", 100, 500, 60, 0, 0)], "doc_id long, s string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, None)], "doc_id long, quality int")
+    held = holdout(measured, labels, "s")
+    assert held.count() == 2 and "Broadcast" not in held._jdf.queryExecution().executedPlan().toString()
+    plan = risk_cutoffs(measured, labels, "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert "quality" not in plan  # documents and labels are read once, for the counts
+
+
 def test_a_cutoff_alone_rejects_rows_and_only_where_it_is_proved(spark):
     from tidemark.llm.rules import rule_verdicts
 

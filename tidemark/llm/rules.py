@@ -88,6 +88,17 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n, F.lit(1.0)).otherwise(F.exp(F.aggregate(F.when(k >= 1, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>")), start, step, lambda s: s["total"])))
 
 
+def holdout(measured: DataFrame, labels: DataFrame, stratum: str, id_col: str = "doc_id", prefix: str = "") -> DataFrame:
+    """stratum, the rules' values (_v) and _quality of each labelled document.
+
+    Labels may be many, and their files small for their rows, so Spark's guess of their size would broadcast more
+    than the driver holds: both sides are shuffled.
+    """
+    told = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
+    values = F.array(*(F.struct(F.lit(r).alias("rule"), v.alias("value"), F.lit(list(CUTOFFS[r])).cast("array<bigint>").alias("cutoffs")) for r, v in rule_values(prefix).items()))
+    return measured.select(F.col(id_col).alias("_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), values.alias("_v")).join(told.hint("merge"), "_id")
+
+
 def risk_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, id_col: str = "doc_id", risk: float = RISK, confidence: float = CONFIDENCE, prefix: str = "") -> DataFrame:
     """Cutoffs per stratum and rule: stratum, rule, cutoff (null: the rule rejects nothing there).
 
@@ -98,14 +109,13 @@ def risk_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, id_col: s
     run from the mildest cutoff down and stop at the first that fails (fixed sequence), so cutoffs need no
     correction. A cutoff is taken only if bad documents go at it too, more often than good ones.
     """
-    told = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
     rules = rule_values(prefix)
-    values = F.array(*(F.struct(F.lit(r).alias("rule"), v.alias("value"), F.lit(list(CUTOFFS[r])).cast("array<bigint>").alias("cutoffs")) for r, v in rules.items()))
-    held = measured.select(F.col(id_col).alias("_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), values.alias("_v")).join(told, "_id")
+    held = holdout(measured, labels, stratum, id_col, prefix)
     each = held.select("stratum", "_quality", F.explode("_v").alias("v")).select("stratum", "_quality", "v.rule", "v.value", F.explode("v.cutoffs").alias("cutoff"))
     good, gone = F.col("_quality") == 1, F.col("value") > F.col("cutoff")
     counts = each.groupBy("stratum", "rule", "cutoff").agg(F.count_if(good).alias("n"), F.count_if(good & gone).alias("k"), F.count_if(~good).alias("bad"), F.count_if(~good & gone).alias("bad_k"))
-    strata = held.select("stratum").distinct().agg(F.count("*").alias("strata"))
+    counts = stored(counts, "rule-counts")  # a row a stratum and cutoff, used three times
+    strata = counts.select("stratum").distinct().agg(F.count("*").alias("strata"))
     level = (1 - confidence) / (F.greatest(F.col("strata"), F.lit(1)) * len(rules))
     tested = counts.join(F.broadcast(strata), F.lit(True)).withColumn("safe", binomial_tail(F.col("n"), F.col("k"), risk / len(rules)) <= level)
     # the first unsafe cutoff ends the sequence
