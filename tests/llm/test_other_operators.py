@@ -15,6 +15,22 @@ from pyspark.sql import functions as F
 PAGES = [(5, "http://a", "same body"), (2, "http://b", "same body"), (9, None, "same body"), (1, "http://c", None), (3, "http://d", ""), (4, "http://e x\r\ny", "other ü"), (4, "http://e", "other ü"), (None, "http://n", "same body"), (8, "u", "z" * 100_000)]
 
 
+def test_no_pair_of_a_large_label_is_missed(spark, monkeypatch):
+    """3000 pairs a little above the least cosine, in one label of several pieces: bands miss some of them."""
+    from tidemark.llm import embeddings as E
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.93001 * x + np.sqrt(1 - 0.93001**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    rows = [(k + 3000 * half, v.tolist(), 1) for half, vs in enumerate((x, y)) for k, v in enumerate(vs)]
+    monkeypatch.setattr(E, "WHOLE_PIECE", 2500)
+    out = E.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(out) == 6000 and all((r.n_links, r.component_id, r.kept) == (1, r.vec_id % 3000, r.vec_id < 3000) for r in out)
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     return spark.createDataFrame([(*p, 1, "clash") for p in PAGES], "page_id long, url string, html string, shard int, body string")
