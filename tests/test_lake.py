@@ -421,6 +421,15 @@ def test_names_that_begin_alike_meet_few_texts(spark):
     assert sinks.contained_names(src, "id", "p", names, "n").count() <= 2000
 
 
+def test_histories_and_trees_are_dealt_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(jobs.by_keys, "__defaults__", (10,))
+    df = spark.range(100).select((F.col("id") % 40).alias("k"), F.current_date().alias("t"), F.col("id").alias("v"))
+    assert "hashpartitioning(k#" in (plan := jobs.versioned(df, ["k"], "t")._jdf.queryExecution().executedPlan().toString()) and ", 10)" in plan
+    assert jobs.versioned(df, ["k"], "t").where("is_current").count() == 40
+    docs = spark.range(0, 50, 1, 1).select(F.format_string('[{"Codigo":"%d","Descricao":"d"}]', "id").alias("doc"))
+    assert scans.dealt(docs, 5).rdd.getNumPartitions() == 10
+
+
 def test_trees_of_nine_levels_and_bad_ones(spark):
     doc = ""
     for k in range(9, 0, -1):

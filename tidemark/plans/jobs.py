@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import harmonize_variants
 from ..operators.dedup import dedup_exact, keep_most_complete
@@ -12,11 +12,21 @@ from ..operators.translator import resolve_codes, stage_suggestions
 from ..sources.history_table import history, merge_history
 
 
+#: Rows that one task of a history dedups and sorts.
+ROWS_PER_TASK = 250_000
+
+
+def by_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """df dealt by its keys to as many tasks as its rows need, so that no task grows with the input; a key stays whole."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.select(F.lit(1)).count() // rows_per_task))
+    return df.repartition(parts, *keys)
+
+
 def versioned(raw: DataFrame, keys: list[str], date_col: str, variants: list[str] = (), audit: list[str] = (), suffix: str = "_pncp") -> DataFrame:
     """History of raw rows: variants of columns made one, exact copies gone, of each key and date the most
     complete row, versions by date. One exchange by key serves all three steps."""
     df = harmonize_variants(raw, variants, suffix) if variants else raw
-    df = df.withColumn(date_col, df[date_col].cast("date")).repartition(*keys)
+    df = by_keys(df.withColumn(date_col, df[date_col].cast("date")), keys)
     df = keep_most_complete(dedup_exact(df, audit), keys, date_col, exclude=[*keys, date_col], skip_suffix=suffix)
     return scd2(df, keys, date_col)
 
