@@ -450,7 +450,7 @@ def _(spark, d):
 @query("flatten_deep_tree", "SELECT string_agg('n' || i, '/' ORDER BY i) || '/' || p_partkey AS codigo, p_name AS descricao FROM part, range(9) t(i) WHERE i <= p_partkey % 9 GROUP BY p_partkey, p_name UNION ALL SELECT string_agg('n' || i, '/' ORDER BY i) || '/' || p_partkey || '.' || j, NULL FROM part, range(9) t(i), range(9) u(j) WHERE i <= j AND j < p_partkey % 9 GROUP BY p_partkey, j")
 def _(spark, d):
     """A document a part, one to nine levels deep: the last node has the part's name, those above it have none."""
-    p, deep = table(spark, d, "part").select("p_partkey", "p_name"), F.col("p_partkey") % 9
+    p, deep = scans.dealt(table(spark, d, "part").select("p_partkey", "p_name")), F.col("p_partkey") % 9
     told = F.lit("{}")  # no part is deeper
     for k in range(8, -1, -1):
         path = F.concat(F.lit("/".join(f"n{i}" for i in range(k + 1)) + "/"), F.col("p_partkey").cast("string"))

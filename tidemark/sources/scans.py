@@ -10,7 +10,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..scratch import stored
 from . import commits
@@ -18,6 +18,9 @@ from . import commits
 #: What is read of a CSV file to find its header, and how many files are looked at at once.
 HEADER_BYTES, READERS = 1 << 16, 16
 
+#: Levels of a tree that one pass unnests; documents that one task parses.
+LEVELS_AT_ONCE, DOCUMENTS = 4, 20_000
+
 
 def csv_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
     """The files of CSV drops, in order; Spark lists them without opening any."""
@@ -156,29 +159,46 @@ def read_sheet(spark: SparkSession, folder: str, sheet: str, columns: Iterable[s
     return read_csv(spark, f"{folder}/sheet={sheet}", T.StructType([T.StructField(c, T.StringType()) for c in columns]))
 
 
+def dealt(df: DataFrame, rows_per_task: int = DOCUMENTS) -> DataFrame:
+    """df dealt evenly to as many tasks as its rows need, whatever its files' sizes."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task)))
+
+
 def flatten_tree(df: DataFrame, json_col: str, code: str = "Codigo", description: str = "Descricao", children: str = "NomenclaturaFilha", depth: int | None = None) -> DataFrame:
     """(codigo, descricao) of all nodes of nested JSON arrays, however deep; of one code the last (deepest, then
     furthest) wins. Text that isn't JSON fails the job, and so do children below depth levels, if that is given.
 
-    Documents are parsed once; each level's children are written as parsed values, and the next level reads them, until
-    one is empty.
+    Documents are parsed once, and LEVELS_AT_ONCE levels unnested in one pass; what lies deeper is written as parsed
+    values, and the next pass reads it, dealt evenly, until there is none.
     """
-    found, place = [], F.array().cast("array<int>")
-    level = df.select(place.alias("place"), F.parse_json(json_col).alias("below"))
-    while depth is None or len(found) <= depth:
-        node = level.select("place", F.posexplode(F.variant_get("below", "$", "array<variant>")).alias("at", "node"))
-        field = lambda name, kind: F.variant_get("node", f"$.{name}", kind)
-        told = node.select(F.concat("place", F.array("at")).alias("place"), field(code, "string").alias("codigo"), field(description, "string").alias("descricao"), field(children, "variant").alias("below"))
-        told = stored(told, f"level-{len(found)}")
-        if told.isEmpty():
+    node = "struct<place:array<int>,codigo:string,descricao:string,below:variant>"
+    level = df.select(F.struct(F.array().cast("array<int>").alias("place"), F.lit(None).cast("string").alias("codigo"), F.lit(None).cast("string").alias("descricao"), F.parse_json(json_col).alias("below")).alias("n"))
+
+    def with_children(n: Column) -> Column:
+        """The node itself, done with, and its children."""
+
+        def child(x: Column, i: Column) -> Column:
+            kids = F.variant_get(x, f"$.{children}", "variant")
+            kids = F.when(F.try_variant_get(x, f"$.{children}[0]", "variant").isNotNull(), kids)  # an array that isn't empty
+            return F.struct(F.concat(n["place"], F.array(i)).alias("place"), F.variant_get(x, f"$.{code}", "string").alias("codigo"), F.variant_get(x, f"$.{description}", "string").alias("descricao"), kids.alias("below"))
+
+        own = F.struct(n["place"].alias("place"), n["codigo"].alias("codigo"), n["descricao"].alias("descricao"), F.lit(None).cast("variant").alias("below"))
+        below = F.transform(F.variant_get(n["below"], "$", "array<variant>"), child)
+        return F.concat(F.array(own), F.coalesce(below, F.array().cast(f"array<{node}>")))
+
+    found = []
+    while True:
+        for _ in range(LEVELS_AT_ONCE):
+            level = level.select(F.explode(with_children(F.col("n"))).alias("n"))
+        told = stored(level.select("n.*"), f"level-{len(found) * LEVELS_AT_ONCE}")
+        deepest, more = told.agg(F.max(F.size("place")), F.count_if(F.col("below").isNotNull())).first()
+        if depth is not None and (deepest or 0) > depth:
+            raise ValueError(f"tree has more than {depth} levels")
+        found.append(told.select("codigo", "descricao", "place").where("codigo is not null"))
+        if not more:
             break
-        found.append(told.select("codigo", "descricao", "place"))
-        level = told.where(F.schema_of_variant("below").startswith("ARRAY")).select("place", "below")
-    if depth is not None and len(found) > depth:
-        raise ValueError(f"tree has more than {depth} levels")
-    if not found:
-        return df.sparkSession.createDataFrame([], "codigo string, descricao string")
-    nodes = reduce(DataFrame.unionByName, found).where("codigo is not null")
+        level = dealt(told.where("below is not null")).select(F.struct("place", F.lit(None).cast("string").alias("codigo"), F.lit(None).cast("string").alias("descricao"), "below").alias("n"))
+    nodes = reduce(DataFrame.unionByName, found).repartition("codigo")
     return nodes.groupBy("codigo").agg(F.max_by("descricao", F.struct(F.size("place"), F.col("place"))).alias("descricao"))
 
 
