@@ -9,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 from tidemark.functions import columns as C
 from tidemark.operators import changes, checks, dedup, hierarchy as H, history, margins, translator
 from tidemark.plans import jobs
-from tidemark.scratch import shared_path
+from tidemark.scratch import shared_path, stored
 from tidemark.sources import commits, history_table, scans, sinks
 from tidemark.streaming.append import append_new_files, closed_windows
 from tidemark.streaming.changed import changed, observe
@@ -421,6 +421,15 @@ def test_names_that_begin_alike_meet_few_texts(spark):
     assert sinks.contained_names(src, "id", "p", names, "n").count() <= 2000
 
 
+def test_only_grams_that_tell_names_apart_are_kept_of_texts(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(sinks, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    stamp = F.concat(F.lit("ncm_2024-"), F.lpad((F.col("id") * 7919 % 1000003).cast("string"), 7, "0"), F.lit(".csv"))
+    src, names = spark.range(20_000).select("id", F.concat(F.lit("s3/lake/"), stamp).alias("p")), spark.range(0, 20_000, 100).select(stamp.alias("n"))
+    assert sinks.containing_rows(src, "p", names, "n").count() == 200
+    assert kept["grams"].count() < 2 * 20_000  # those of the common beginning alone are more
+
+
 def test_histories_and_trees_are_dealt_by_rows(spark, monkeypatch):
     monkeypatch.setattr(jobs.by_keys, "__defaults__", (10,))
     df = spark.range(100).select((F.col("id") % 40).alias("k"), F.current_date().alias("t"), F.col("id").alias("v"))

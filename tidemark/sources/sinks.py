@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from ..operators import changes
 from ..operators.history import as_of
@@ -13,6 +13,9 @@ from . import commits
 
 #: Change lists up to this many keys are broadcast.
 CHANGES = 200_000
+
+#: Grams that a name is sought by one of, and hashes of such grams that a join broadcasts at most.
+OFFERED, GRAMS = 2, 1_000_000
 #: The partition column of tables laid out by bucket of their key.
 BUCKET = "_bucket"
 #: Columns of checked snapshots: the rules that a row breaks, and whether it breaks none.
@@ -155,20 +158,26 @@ def grams_of(text: Column, size: Column) -> Column:
 def contained_names(rows: DataFrame, row: str, column: str, names: DataFrame, name: str, gram: int = 8) -> DataFrame:
     """Pairs of row and _name that may match, as the row's text has the name's rarest gram: what must be looked at.
 
-    Texts give their grams of the lengths that names need (gram, or that of a shorter name), of which only those in
-    some name are kept and counted. A name with a gram that no text has is in none; the others are sought by the gram
-    that the fewest texts have, so names that begin alike (or are long) meet about the texts that hold them.
+    A name offers the OFFERED of its grams that the fewest names have (gram long, or as long as a shorter name), so
+    names that begin alike are sought by what tells them apart. Texts give their grams of these lengths, of which only
+    offered ones are kept and counted, as hashes. A name with an offered gram that no text has is in none; the others
+    are sought by the offered gram that the fewest texts have.
     """
     told = names.select(F.col(name).alias("_name")).where("_name <> ''").distinct().withColumn("_k", F.least(F.length("_name"), F.lit(gram)))
-    told = stored(told.select("_name", "_k", F.explode(grams_of(F.col("_name"), F.col("_k"))).alias("_gram")), "names")
+    told = told.select("_name", "_k", F.explode(F.transform(grams_of(F.col("_name"), F.col("_k")), lambda g: F.xxhash64(g))).alias("_gram"))
+    common = told.groupBy("_gram").agg(F.count("*").alias("_names"))
+    best = F.row_number().over(Window.partitionBy("_name").orderBy("_names", F.xxhash64("_gram"), "_gram"))
+    told = stored(told.join(common, "_gram").withColumn("_rank", best).where(F.col("_rank") <= OFFERED).select("_name", "_k", "_gram"), "names")
     lengths = [r[0] for r in told.select("_k").distinct().collect()]  # gram numbers at most
     text = F.coalesce(F.col(column), F.lit(""))
-    parts = rows.select(row, F.explode(F.flatten(F.array(*(grams_of(text, F.lit(k)) for k in lengths)) if lengths else F.array().cast("array<array<string>>"))).alias("_gram"))
-    parts = stored(parts.join(small(told.select("_gram").distinct(), CHANGES), "_gram", "left_semi"), "grams")
+    cut = rows.select(row, text.alias("_t"), F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("_k")).where(F.length("_t") >= F.col("_k"))
+    cut = cut.select(row, "_t", "_k", F.explode(F.sequence(F.lit(1), F.length("_t") - F.col("_k") + 1)).alias("_at"))
+    parts = cut.select(row, F.xxhash64(F.substring("_t", F.col("_at"), F.col("_k"))).alias("_gram"))  # a gram comes again where a text repeats it
+    parts = stored(parts.join(small(told.select("_gram").distinct(), GRAMS), "_gram", "left_semi"), "grams")
     counts = parts.groupBy("_gram").agg(F.count("*").alias("_texts"))
     anchors = told.join(counts, "_gram", "left").groupBy("_name").agg(F.min(F.struct(F.coalesce("_texts", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_rarest"))
     anchors = anchors.where("_rarest.n > 0").select("_name", F.col("_rarest.gram").alias("_gram"))
-    return parts.join(small(anchors, CHANGES), "_gram").select(row, "_name")
+    return parts.join(small(anchors, CHANGES), "_gram").select(row, "_name").distinct()
 
 
 def containing_rows(source: DataFrame, column: str, names: DataFrame, name: str, gram: int = 8) -> DataFrame:
