@@ -430,6 +430,14 @@ def test_only_grams_that_tell_names_apart_are_kept_of_texts(spark, monkeypatch):
     assert kept["grams"].count() < 2 * 20_000  # those of the common beginning alone are more
 
 
+def test_grams_of_names_are_never_broadcast(spark):
+    names = spark.range(200).select(F.format_string("ncm_2024-%07d.csv", "id").alias("n"))
+    out = sinks.offered_grams(names, "n")
+    assert out.count() == 200 * sinks.OFFERED and out.where("_k = 8").select("_name").distinct().count() == 200
+    out.collect()
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()  # as it ran, sizes being known
+
+
 def test_histories_and_trees_are_dealt_by_rows(spark, monkeypatch):
     monkeypatch.setattr(jobs.by_keys, "__defaults__", (10,))
     df = spark.range(100).select((F.col("id") % 40).alias("k"), F.current_date().alias("t"), F.col("id").alias("v"))

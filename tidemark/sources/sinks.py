@@ -15,7 +15,7 @@ from . import commits
 CHANGES = 200_000
 
 #: Grams that a name is sought by one of, and hashes of such grams that a join broadcasts at most.
-OFFERED, GRAMS = 2, 1_000_000
+OFFERED, GRAMS = 2, 2_000_000
 #: The partition column of tables laid out by bucket of their key.
 BUCKET = "_bucket"
 #: Columns of checked snapshots: the rules that a row breaks, and whether it breaks none.
@@ -155,6 +155,18 @@ def grams_of(text: Column, size: Column) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, size)))
 
 
+def offered_grams(names: DataFrame, name: str, gram: int = 8) -> DataFrame:
+    """_name, the length _k of its grams, and as hashes the OFFERED of its grams that the fewest names have.
+
+    Both sides are shuffled: Spark takes a name's grams for as large as the name, and would broadcast those of 100,000 names.
+    """
+    told = names.select(F.col(name).alias("_name")).where("_name <> ''").distinct().withColumn("_k", F.least(F.length("_name"), F.lit(gram)))
+    told = told.select("_name", "_k", F.explode(F.transform(grams_of(F.col("_name"), F.col("_k")), lambda g: F.xxhash64(g))).alias("_gram"))
+    common = told.groupBy("_gram").agg(F.count("*").alias("_names"))
+    best = F.row_number().over(Window.partitionBy("_name").orderBy("_names", F.xxhash64("_gram"), "_gram"))
+    return told.join(common.hint("merge"), "_gram").withColumn("_rank", best).where(F.col("_rank") <= OFFERED).select("_name", "_k", "_gram")
+
+
 def contained_names(rows: DataFrame, row: str, column: str, names: DataFrame, name: str, gram: int = 8) -> DataFrame:
     """Pairs of row and _name that may match, as the row's text has the name's rarest gram: what must be looked at.
 
@@ -163,11 +175,7 @@ def contained_names(rows: DataFrame, row: str, column: str, names: DataFrame, na
     offered ones are kept and counted, as hashes. A name with an offered gram that no text has is in none; the others
     are sought by the offered gram that the fewest texts have.
     """
-    told = names.select(F.col(name).alias("_name")).where("_name <> ''").distinct().withColumn("_k", F.least(F.length("_name"), F.lit(gram)))
-    told = told.select("_name", "_k", F.explode(F.transform(grams_of(F.col("_name"), F.col("_k")), lambda g: F.xxhash64(g))).alias("_gram"))
-    common = told.groupBy("_gram").agg(F.count("*").alias("_names"))
-    best = F.row_number().over(Window.partitionBy("_name").orderBy("_names", F.xxhash64("_gram"), "_gram"))
-    told = stored(told.join(common, "_gram").withColumn("_rank", best).where(F.col("_rank") <= OFFERED).select("_name", "_k", "_gram"), "names")
+    told = stored(offered_grams(names, name, gram), "names")
     lengths = [r[0] for r in told.select("_k").distinct().collect()]  # gram numbers at most
     text = F.coalesce(F.col(column), F.lit(""))
     cut = rows.select(row, text.alias("_t"), F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("_k")).where(F.length("_t") >= F.col("_k"))
