@@ -31,6 +31,33 @@ def test_no_pair_of_a_large_label_is_missed(spark, monkeypatch):
     assert len(out) == 6000 and all((r.n_links, r.component_id, r.kept) == (1, r.vec_id % 3000, r.vec_id < 3000) for r in out)
 
 
+def test_links_between_the_middles_of_two_stars_join_them(spark, monkeypatch):
+    """Two nodes linked by neither's first nor last partner; and arcs with a gap, in any order, of one and several pieces."""
+    from tidemark.llm import embeddings as E
+
+    def told(rows):
+        flat = [(k, [float(np.cos(np.radians(t))), float(np.sin(np.radians(t)))], label) for k, t, label in rows]
+        return {r.vec_id: r for r in E.near_vectors(spark.createDataFrame(flat, "vec_id long, embedding array<double>, label int").coalesce(1)).collect()}
+
+    stars = told([(k, t, 1) for k, t in enumerate((-10.0, 30.0, 0.0, 20.0, -15.0, 35.0))])
+    assert {(r.n_links, r.component_id) for r in stars.values()} == {(2, 0), (3, 0)}
+    assert [k for k, r in stars.items() if r.kept] == [0]
+
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for label in range(60):
+        gap, order = int(rng.integers(3, 28)), rng.permutation(30)
+        rows += [(100 * label + k, 10.0 * int(p) + 13.0 * (p >= gap), label) for k, p in enumerate(order)]  # 23 degrees: no link
+        for side in (order < gap, order >= gap):
+            here = np.flatnonzero(side)
+            for k in here:
+                links = int((np.abs(order[here] - order[k]) <= 2).sum()) - 1
+                want[100 * label + int(k)] = (links, 100 * label + int(here[0]), bool(k == here[0]))
+    for piece in (8192, 8):
+        monkeypatch.setattr(E, "WHOLE_PIECE", piece)
+        assert {k: (r.n_links, r.component_id, r.kept) for k, r in told(rows).items()} == want
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     return spark.createDataFrame([(*p, 1, "clash") for p in PAGES], "page_id long, url string, html string, shard int, body string")
